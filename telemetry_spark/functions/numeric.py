@@ -14,3 +14,8 @@ def round_half_up(value: Column, digits: int) -> Column:
     first removes the summation noise, and the decimal round is exact.
     """
     return F.round(value.cast("decimal(28,10)"), digits).cast("double")
+
+
+def round_half_up_sql(value: str, digits: int) -> str:
+    """SQL form of :func:`round_half_up`."""
+    return f"CAST(round(CAST({value} AS DECIMAL(28,10)), {int(digits)}) AS DOUBLE)"

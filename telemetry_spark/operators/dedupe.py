@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from telemetry_spark.session import scratch_path
@@ -35,17 +35,16 @@ DEFAULT_HOT_MIN = 1_000_000
 DEFAULT_SALT_BUCKETS = 64
 
 
-def _order(order: tuple[str, ...]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
+def _order_sql(order: tuple[str, ...]) -> str:
+    return "struct(" + ", ".join(f"`{c}`" for c in order) + ")"
 
 
 def duplicated_keys(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
     """Keys with more than one row, their row count and their first order key (lazy)."""
     return (
-        df.select(*[F.col(k) for k in keys], _order(order).alias("_ord"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_ord").alias("_first"))
-        .filter(F.col("_n") > 1)
+        df.groupBy(*keys)
+        .agg(F.expr("count(1)").alias("_n"), F.expr(f"min({_order_sql(order)})").alias("_first"))
+        .where("_n > 1")
     )
 
 
@@ -54,22 +53,19 @@ def materialise_duplicated_keys(df: DataFrame, keys: tuple[str, ...], order: tup
     spark = df.sparkSession
     obs = Observation("duplicated_keys")
     path = scratch_path(spark, "duplicated-keys")
+    dup = duplicated_keys(df, keys, order)
     (
-        duplicated_keys(df, keys, order)
-        .observe(obs, F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
+        dup.observe(obs, F.expr("count(1)").alias("keys"), F.expr("coalesce(sum(_n), 0)").alias("rows"))
         .write.mode("overwrite")
         .parquet(path)
     )
     metrics = obs.get
-    return spark.read.parquet(path), int(metrics["keys"]), int(metrics["rows"])
+    # the schema is known: no inference pass over the written files
+    return spark.read.schema(dup.schema).parquet(path), int(metrics["keys"]), int(metrics["rows"])
 
 
-def _null_safe_on(left_keys: list[str], right_keys: list[str]) -> Column:
-    cond = None
-    for lk, rk in zip(left_keys, right_keys):
-        c = F.col(lk).eqNullSafe(F.col(rk))
-        cond = c if cond is None else cond & c
-    return cond
+def _null_safe(left: list[str], right: list[str]) -> str:
+    return " AND ".join(f"`{lk}` <=> `{rk}`" for lk, rk in zip(left, right))
 
 
 def flag_duplicates(
@@ -82,31 +78,32 @@ def flag_duplicates(
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """``df`` with a non-NULL boolean ``flag``: True for every row after the first of its key."""
+    cols = [f"`{c}`" for c in df.columns]
     dup, n_keys, n_rows = materialise_duplicated_keys(df, keys, order)
     if n_keys == 0:
-        return df.withColumn(flag, F.lit(False))
+        return df.selectExpr(*cols, f"false AS `{flag}`")
 
     rk = [f"_dk_{k}" for k in keys]
-    dup = dup.select(*[F.col(k).alias(r) for k, r in zip(keys, rk)], "_n", "_first")
-    mine = _order(order)
+    mine = _order_sql(order)
 
     if n_keys <= broadcast_max_rows:
-        joined = df.join(F.broadcast(dup.drop("_n")), _null_safe_on(list(keys), rk), "left")
-        first = F.col("_first")
-        return joined.withColumn(flag, F.coalesce(mine > first, F.lit(False))).drop(*rk, "_first")
+        right = dup.selectExpr(*[f"`{k}` AS `{r}`" for k, r in zip(keys, rk)], "_first")
+        joined = df.join(F.broadcast(right), F.expr(_null_safe(list(keys), rk)), "left")
+        return joined.selectExpr(*cols, f"coalesce({mine} > _first, false) AS `{flag}`")
 
-    # Too many duplicated keys to broadcast: split hot keys from the rest.
+    # Too many duplicated keys to broadcast: split hot keys from the rest.  Hot keys are at
+    # most n_rows / hot_min, which the bound below keeps within broadcast_max_rows.
     hot_min = max(hot_min, math.ceil(n_rows / broadcast_max_rows))
-    hot = dup.filter(F.col("_n") >= hot_min).select(
-        *[F.col(r).alias(f"{r}_h") for r in rk], F.col("_first").alias("_first_h")
-    )
-    cold = dup.filter(F.col("_n") < hot_min).select(*rk, F.col("_first").alias("_first_c"), F.lit(0).alias("_salt_c"))
-    with_hot = df.join(F.broadcast(hot), _null_safe_on(list(keys), [f"{r}_h" for r in rk]), "left")
-    salt = F.when(F.col("_first_h").isNotNull(), F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salt_buckets))).otherwise(F.lit(0))
-    salted = with_hot.withColumn("_salt", salt)
-    joined = salted.join(cold, _null_safe_on(list(keys), rk) & (F.col("_salt") == F.col("_salt_c")), "left")
-    first = F.coalesce(F.col("_first_h"), F.col("_first_c"))
-    return (
-        joined.withColumn(flag, F.coalesce(mine > first, F.lit(False)))
-        .drop(*rk, *[f"{r}_h" for r in rk], "_first_h", "_first_c", "_salt", "_salt_c")
+    hot = dup.where(f"_n >= {hot_min}").selectExpr(*[f"`{k}` AS `{r}_h`" for k, r in zip(keys, rk)],
+                                                   "_first AS _first_h")
+    cold = dup.where(f"_n < {hot_min}").selectExpr(*[f"`{k}` AS `{r}`" for k, r in zip(keys, rk)],
+                                                   "_first AS _first_c", "0 AS _salt_c")
+    with_hot = df.join(F.broadcast(hot), F.expr(_null_safe(list(keys), [f"{r}_h" for r in rk])), "left")
+    order_cols = ", ".join(f"`{c}`" for c in order)
+    # rows of hot keys get a salt from their (unique) order key, so the shuffle join below
+    # spreads each hot key over `salt_buckets` partitions; they need no partner there
+    salted = with_hot.selectExpr(
+        "*", f"CASE WHEN _first_h IS NOT NULL THEN pmod(xxhash64({order_cols}), {salt_buckets}) ELSE 0 END AS _salt"
     )
+    joined = salted.join(cold, F.expr(_null_safe(list(keys), rk) + " AND _salt = _salt_c"), "left")
+    return joined.selectExpr(*cols, f"coalesce({mine} > coalesce(_first_h, _first_c), false) AS `{flag}`")

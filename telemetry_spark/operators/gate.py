@@ -2,8 +2,8 @@
 
 Typing uses ``try_cast`` / ``try_to_timestamp``: an unparsable value becomes NULL and the
 matching rule names the row, instead of the ANSI cast raising for the whole job.  Every
-rule is a native boolean column; the rejection reason is derived from those flags, so the
-rule counts never have to re-split reason text.
+rule is a native boolean (one struct field per rule); the rejection reason is derived
+from those flags, so rule counts never have to re-split reason text.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_spark.functions.rules import DUPLICATE_FLAG, reason_from_flags, rule_flags
+from telemetry_spark.functions.rules import DUPLICATE_FLAG, flags_struct_sql, q, reason_sql, text
 from telemetry_spark.model import TelemetryModel
 from telemetry_spark.operators.dedupe import flag_duplicates
 from telemetry_spark.session import ensure_utc
@@ -23,20 +23,25 @@ FLAGS = "_flags"
 REASON = "rejection_reason"
 
 
-def typed_projection(bronze: DataFrame, model: TelemetryModel, equipment: Column | None = None) -> DataFrame:
-    """Raw key strings kept beside the typed key; sensors renamed to Silver names as double."""
-    ensure_utc(bronze.sparkSession)
+def typed_columns_sql(model: TelemetryModel, equipment_sql: str | None = None) -> list[str]:
     id_src, ts_src = model.id_source, model.ts_source
     id_dst, ts_dst = model.columns[0][1], model.columns[1][1]
-    return bronze.select(
-        F.col(f"`{id_src}`").alias(RAW_ID),
-        F.col(f"`{ts_src}`").alias(RAW_TS),
-        F.col(f"`{id_src}`").try_cast("bigint").alias(id_dst),
-        F.try_to_timestamp(F.col(f"`{ts_src}`")).alias(ts_dst),
-        *[F.col(f"`{src}`").try_cast("double").alias(dst) for src, dst in model.columns[2:]],
-        *[F.col(c) for c in LINEAGE],
-        (equipment if equipment is not None else F.lit(model.equipment.equipment_id)).alias("equipment_id"),
-    )
+    return [
+        f"{q(id_src)} AS {RAW_ID}",
+        f"{q(ts_src)} AS {RAW_TS}",
+        f"try_cast({q(id_src)} AS BIGINT) AS {q(id_dst)}",
+        f"try_to_timestamp({q(ts_src)}) AS {q(ts_dst)}",
+        *[f"try_cast({q(src)} AS DOUBLE) AS {q(dst)}" for src, dst in model.columns[2:]],
+        *[q(c) for c in LINEAGE],
+        f"{equipment_sql or text(model.equipment.equipment_id)} AS equipment_id",
+    ]
+
+
+def typed_projection(bronze: DataFrame, model: TelemetryModel, equipment_sql: str | None = None) -> DataFrame:
+    """Raw key strings kept beside the typed key; sensors renamed to Silver names as double.
+    ``equipment_sql`` names the equipment per row (a fleet feed); default: the model's id."""
+    ensure_utc(bronze.sparkSession)
+    return bronze.selectExpr(*typed_columns_sql(model, equipment_sql))
 
 
 def key_columns(model: TelemetryModel) -> tuple[str, str]:
@@ -49,35 +54,25 @@ def with_duplicate_flag(typed: DataFrame, model: TelemetryModel, **dedupe_option
 
 def apply_gate(bronze: DataFrame, model: TelemetryModel, **dedupe_options) -> DataFrame:
     """Typed rows + ``_flags`` (one boolean per rule) + ``rejection_reason`` ('' = accepted)."""
-    typed = with_duplicate_flag(typed_projection(bronze, model), model, **dedupe_options)
-    flags = rule_flags(model)
-    flagged = typed.withColumn(FLAGS, F.struct(*[c.alias(n) for n, c in flags.items()])).drop(DUPLICATE_FLAG)
-    reason = F.concat_ws(
-        "; ", *[F.when(F.col(f"{FLAGS}.{n}"), F.lit(n)) for n in model.rule_names]
-    )
-    return flagged.withColumn(REASON, reason)
+    typed = typed_projection(bronze, model)
+    flagged = with_duplicate_flag(typed, model, **dedupe_options)
+    keep = [q(c) for c in typed.columns]
+    with_flags = flagged.selectExpr(*keep, f"{flags_struct_sql(model)} AS {FLAGS}")
+    return with_flags.selectExpr(*keep, FLAGS, f"{reason_sql(model.rule_names, FLAGS + '.')} AS {REASON}")
 
 
 def accepted(gated: DataFrame) -> DataFrame:
     """Silver: rows no rule names, without raw keys, flags or reason."""
-    return gated.filter(F.col(REASON) == "").drop(RAW_ID, RAW_TS, FLAGS, REASON)
+    cols = [c for c in gated.columns if c not in (RAW_ID, RAW_TS, FLAGS, REASON)]
+    return gated.where(f"{REASON} = ''").select(*cols)
 
 
 def rejected(gated: DataFrame) -> DataFrame:
     """Rejects: rows with at least one reason; raw keys and the reason are kept."""
-    return gated.filter(F.col(REASON) != "").drop(FLAGS)
+    cols = [c for c in gated.columns if c != FLAGS]
+    return gated.where(f"{REASON} <> ''").select(*cols)
 
 
 def flag_columns(model: TelemetryModel) -> list[Column]:
     """The per-rule flags of a gated frame as top-level boolean columns."""
     return [F.col(f"{FLAGS}.{n}").alias(n) for n in model.rule_names]
-
-
-__all__ = [
-    "typed_projection",
-    "apply_gate",
-    "accepted",
-    "rejected",
-    "flag_columns",
-    "reason_from_flags",
-]

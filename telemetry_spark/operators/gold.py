@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telemetry_spark.functions.calendar import calendar_attributes, date_key, time_key
-from telemetry_spark.functions.numeric import round_half_up
-from telemetry_spark.functions.rules import anomaly_reason
+from telemetry_spark.functions.calendar import calendar_attributes_sql, date_key_sql, time_key_sql
+from telemetry_spark.functions.literal import literal_rows
+from telemetry_spark.functions.numeric import round_half_up_sql
+from telemetry_spark.functions.rules import anomaly_reason_sql, q
 from telemetry_spark.model import TelemetryModel
 from telemetry_spark.operators.intervals import interval_lookup, model_day_rows
 
@@ -39,27 +40,26 @@ def dim_equipment(spark: SparkSession, model: TelemetryModel) -> DataFrame:
     """One row per equipment declared in the model (values bound with literals, never
     interpolated into SQL text)."""
     e = model.equipment
-    return spark.createDataFrame(
-        [(e.equipment_id, e.equipment_name, e.equipment_type, e.operating_context)], EQUIPMENT_SCHEMA
+    return literal_rows(
+        spark, [(e.equipment_id, e.equipment_name, e.equipment_type, e.operating_context)], EQUIPMENT_SCHEMA
     )
 
 
 def dim_failure_event(spark: SparkSession, model: TelemetryModel) -> DataFrame:
     """The model's failure intervals as a dimension (inline rows)."""
     rows = [
-        (iv.failure_event_id, datetime.fromisoformat(iv.start_ts), datetime.fromisoformat(iv.end_ts),
-         iv.failure_type, iv.severity, iv.notes)
+        (iv.failure_event_id, iv.start_ts, iv.end_ts, iv.failure_type, iv.severity, iv.notes)
         for iv in model.intervals
     ]
-    return spark.createDataFrame(rows, FAILURE_SCHEMA)
+    return literal_rows(spark, rows, FAILURE_SCHEMA)
 
 
 def dim_date(silver: DataFrame, ts_col: str = "event_ts") -> DataFrame:
     """Distinct calendar days of the accepted readings.  The day is projected first and
     de-duplicated (partial aggregation leaves one row per day per task), then the eleven
     attributes are derived once per day instead of once per reading."""
-    days = silver.select(F.to_date(F.col(ts_col)).alias("_d")).distinct()
-    return days.select(*[c.alias(n) for n, c in calendar_attributes(F.col("_d")).items()])
+    days = silver.selectExpr(f"to_date({q(ts_col)}) AS _d").distinct()
+    return days.selectExpr(*calendar_attributes_sql("_d"))
 
 
 def window_days(model: TelemetryModel) -> int:
@@ -80,39 +80,34 @@ def fact_reading(silver: DataFrame, model: TelemetryModel, failures: DataFrame |
         bound = model_day_rows(model.intervals)
     else:
         bound = None
-    ts = F.col("event_ts")
-    base = silver.select(
+    base = silver.selectExpr(
         "reading_id",
         "equipment_id",
         "event_ts",
-        date_key(ts).alias("date_key"),
-        time_key(ts).alias("time_key"),
-        *model.sensors,
-        *keep,
+        f"{date_key_sql('event_ts')} AS date_key",
+        f"{time_key_sql('event_ts')} AS time_key",
+        *[q(c) for c in model.sensors],
+        f"{anomaly_reason_sql(model)} AS anomaly_reason",
+        *[q(c) for c in keep],
     )
-    looked = interval_lookup(base, failures.select("failure_event_id", "start_ts", "end_ts"), day_rows=bound)
-    return looked.withColumn("anomaly_reason", anomaly_reason(model))
+    return interval_lookup(base, failures, day_rows=bound)
 
 
 def daily_health(fact: DataFrame, model: TelemetryModel) -> DataFrame:
     """Daily KPIs per (equipment, day).  Coverage and anomaly rate keep the decimal
     arithmetic of the published definition (ratio to 6 dp, then percent) and are exposed
     as double; averages and maxima round half up through decimal."""
-    n = model.expected_readings_per_day
-    anomalous = F.col("anomaly_reason") != ""
+    n = int(model.expected_readings_per_day)
     aggs = [
-        F.count(F.lit(1)).alias("reading_count"),
-        F.expr(f"round(least(count(1) / {int(n)}.0, 1.0) * 100, 2)").cast("double").alias("telemetry_coverage_pct"),
-        F.count_if(anomalous).alias("anomaly_reading_count"),
-        F.round(F.avg(F.when(anomalous, F.lit(1.0).cast("decimal(2,1)")).otherwise(F.lit(0.0).cast("decimal(2,1)"))) * 100, 3)
-        .cast("double")
-        .alias("anomaly_rate_pct"),
-        F.count_if(F.col("failure_event_id").isNotNull()).alias("known_failure_window_readings"),
+        "count(1) AS reading_count",
+        f"CAST(round(least(count(1) / {n}.0, 1.0) * 100, 2) AS DOUBLE) AS telemetry_coverage_pct",
+        "count_if(anomaly_reason <> '') AS anomaly_reading_count",
+        "CAST(round(avg(CASE WHEN anomaly_reason <> '' THEN 1.0 ELSE 0.0 END) * 100, 3) AS DOUBLE) AS anomaly_rate_pct",
+        "count_if(failure_event_id IS NOT NULL) AS known_failure_window_readings",
     ]
     for out, col, agg, digits in model.daily_averages:
-        value = F.avg(col) if agg == "avg" else F.max(col)
-        aggs.append(round_half_up(value, digits).alias(out))
-    return fact.groupBy("equipment_id", "date_key").agg(*aggs)
+        aggs.append(f"{round_half_up_sql(f'{agg}({q(col)})', digits)} AS {q(out)}")
+    return fact.groupBy("equipment_id", "date_key").agg(*[F.expr(a) for a in aggs])
 
 
 def dashboard_view(daily: DataFrame, dates: DataFrame, equipment: DataFrame, model: TelemetryModel) -> DataFrame:

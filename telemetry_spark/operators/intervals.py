@@ -25,10 +25,9 @@ DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 def interval_days(intervals: DataFrame, id_col: str = "failure_event_id", start: str = "start_ts",
                   end: str = "end_ts") -> DataFrame:
     """One row per (day, interval) for every interval with start <= end."""
-    valid = intervals.filter(F.col(start) <= F.col(end))
-    return valid.select(
-        F.explode(F.sequence(F.to_date(F.col(start)), F.to_date(F.col(end)))).alias("_day"),
-        F.struct(F.col(start).alias("s"), F.col(end).alias("e"), F.col(id_col).alias("id")).alias("_iv"),
+    return intervals.where(f"`{start}` <= `{end}`").selectExpr(
+        f"explode(sequence(to_date(`{start}`), to_date(`{end}`))) AS _day",
+        f"named_struct('s', `{start}`, 'e', `{end}`, 'id', `{id_col}`) AS _iv",
     )
 
 
@@ -48,15 +47,13 @@ def interval_lookup(
     days = interval_days(intervals, id_col, start, end)
     if day_rows is None:
         day_rows = days.count()
-    by_day = days.groupBy("_day").agg(F.collect_list("_iv").alias("_ivs"))
+    by_day = days.groupBy("_day").agg(F.expr("collect_list(_iv)").alias("_ivs"))
     if day_rows <= broadcast_max_rows:
         by_day = F.broadcast(by_day)
-    joined = readings.join(by_day, F.to_date(F.col(ts_col)) == F.col("_day"), "left")
-    ts = F.col(ts_col)
-    hit = F.array_min(
-        F.transform(F.filter(F.col("_ivs"), lambda iv: ts.between(iv["s"], iv["e"])), lambda iv: iv["id"])
-    )
-    return joined.withColumn(out_col, hit).drop("_day", "_ivs")
+    cols = [f"`{c}`" for c in readings.columns]
+    joined = readings.join(by_day, F.expr(f"to_date(`{ts_col}`) = _day"), "left")
+    hit = f"array_min(transform(filter(_ivs, iv -> `{ts_col}` BETWEEN iv.s AND iv.e), iv -> iv.id))"
+    return joined.selectExpr(*cols, f"{hit} AS `{out_col}`")
 
 
 def model_day_rows(intervals) -> int:

@@ -33,7 +33,8 @@ class Flow:
     # ---- sources ---------------------------------------------------------------------
     @cached_property
     def bronze(self) -> DataFrame:
-        return feed_source.feed(self.spark, self.sf_dir)
+        """Stored Bronze: the feed derived from ``events``, landed once per session."""
+        return feed_source.landed_feed(self.spark, self.sf_dir)
 
     @cached_property
     def csv_path(self) -> str:

@@ -78,7 +78,40 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+def spread(df: DataFrame, key: str = "event_id") -> DataFrame:
+    """Hash-spread an input that arrives in fewer partitions than the cluster has cores
+    (a single small file is one split).  Large inputs already arrive in many splits and
+    are left alone.  Hashing a key keeps the placement deterministic on retry."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The Bronze-shaped reading feed for one scale directory."""
+    """The Bronze-shaped reading feed for one scale directory (lazy)."""
     ensure_utc(spark)
-    return feed_from_events(read_events(spark, sf_dir))
+    return feed_from_events(spread(read_events(spark, sf_dir)))
+
+
+_LANDED: dict[tuple[str, str, float], str] = {}
+
+
+def landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed landed as a stored Bronze table under the shared checkpoint folder.
+
+    Bronze is written once per session and scale directory (as a landing job writes it
+    once per run); every later read is a plain parquet scan with column pruning.  The key
+    includes the events file's modification time, so a changed input is landed again."""
+    import os
+
+    from telemetry_spark.session import scratch_path
+
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    key = (spark.sparkContext.applicationId, os.path.abspath(src), os.path.getmtime(src) if os.path.exists(src) else 0.0)
+    path = _LANDED.get(key)
+    if path is None:
+        path = scratch_path(spark, "bronze-feed")
+        feed(spark, sf_dir).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)

@@ -1,0 +1,26 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from telemetry_spark.session import local_session
+
+    s = local_session("*", shuffle_partitions=8, app="telemetry_spark_tests")
+    yield s
+
+
+@pytest.fixture(scope="session")
+def duck_small():
+    from oracle_compare import duck
+
+    return duck(SF_SMALL)

@@ -15,6 +15,10 @@ from telemetry_spark.functions.rules import q, text
 
 
 def _value(v, dtype: T.DataType) -> str:
+    import datetime
+
+    if isinstance(v, (datetime.datetime, datetime.date)):
+        v = v.isoformat(sep=" ") if isinstance(v, datetime.datetime) else v.isoformat()
     lit = "NULL" if v is None else (text(v) if isinstance(v, str) else repr(v))
     return f"CAST({lit} AS {dtype.simpleString()})"
 

@@ -8,14 +8,18 @@ Plan.  A window would hash the whole table on the key and sort each key's rows i
 task, so a hot key -- a replayed file, or every row whose key failed to parse, which
 all share (NULL, NULL) -- lands in one task.  Instead:
 
-1. ``groupBy(key).agg(count, min(order))`` keeps only keys seen more than once.  Partial
-   aggregation combines map-side, so a hot key costs one row per input partition before
-   the shuffle, never one task holding the group.  The result is written to the shared
-   checkpoint folder (lineage is cut; an executor loss cannot force a re-run of the scan)
-   and its size is observed on that same write.
-2. If the duplicated-key table is at most ``broadcast_max_rows`` rows it is broadcast and
+1. Candidates: only a 64-bit hash of the key goes through a shuffle (``groupBy(hash)
+   .count()``), and hashes seen more than once are kept -- every duplicated key, plus
+   rare hash collisions.  Unique keys, the common case, never ship their order key.
+2. Exact: rows whose key hash is a candidate (a broadcast left-semi join, no shuffle) are
+   reduced by ``groupBy(key).agg(count, min(order))`` to keys seen more than once.
+   Partial aggregation combines map-side, so a hot key costs one row per input partition
+   before the shuffle, never one task holding the group.  Both tables are written to the
+   shared checkpoint folder (lineage is cut; an executor loss cannot force a re-run of
+   the scan) and their sizes are observed on those same writes.
+3. If the duplicated-key table is at most ``broadcast_max_rows`` rows it is broadcast and
    joined map-side: the readings are never shuffled.
-3. Otherwise keys holding at least ``hot_min`` rows are broadcast (their number is at most
+4. Otherwise keys holding at least ``hot_min`` rows are broadcast (their number is at most
    rows / hot_min, so that side is bounded), and the rest go through a shuffle join in
    which rows of hot keys carry a salt, spreading them over ``salt_buckets`` partitions
    instead of one.  Cold keys hold fewer than ``hot_min`` rows each.
@@ -48,20 +52,34 @@ def duplicated_keys(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]
     )
 
 
-def materialise_duplicated_keys(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]):
-    """Write the duplicated-key table to the shared folder; returns (frame, keys, rows)."""
+def _key_hash(keys: tuple[str, ...]) -> str:
+    return "xxhash64(" + ", ".join(f"`{k}`" for k in keys) + ")"
+
+
+def _write_observed(df: DataFrame, name: str, metrics: list[str]) -> tuple[DataFrame, dict]:
+    """Write ``df`` under the shared folder, observing ``metrics`` on the same pass."""
     spark = df.sparkSession
-    obs = Observation("duplicated_keys")
-    path = scratch_path(spark, "duplicated-keys")
-    dup = duplicated_keys(df, keys, order)
-    (
-        dup.observe(obs, F.expr("count(1)").alias("keys"), F.expr("coalesce(sum(_n), 0)").alias("rows"))
-        .write.mode("overwrite")
-        .parquet(path)
-    )
-    metrics = obs.get
+    obs = Observation(name)
+    path = scratch_path(spark, name)
+    df.observe(obs, *[F.expr(m) for m in metrics]).write.mode("overwrite").parquet(path)
     # the schema is known: no inference pass over the written files
-    return spark.read.schema(dup.schema).parquet(path), int(metrics["keys"]), int(metrics["rows"])
+    return spark.read.schema(df.schema).parquet(path), obs.get
+
+
+def materialise_duplicated_keys(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...],
+                                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS):
+    """Write the duplicated-key table to the shared folder; returns (frame, keys, rows)."""
+    hashes = df.selectExpr(f"{_key_hash(keys)} AS _h").groupBy("_h").agg(F.expr("count(1)").alias("_c")).where("_c > 1")
+    cands, m = _write_observed(hashes, "duplicate-candidates", ["count(1) AS n"])
+    if int(m["n"]) == 0:
+        return cands.selectExpr(*[f"CAST(NULL AS LONG) AS `{k}`" for k in keys]).limit(0), 0, 0
+    if int(m["n"]) <= broadcast_max_rows:
+        narrowed = df.join(F.broadcast(cands.select("_h")), F.expr(f"{_key_hash(keys)} = _h"), "left_semi")
+    else:
+        narrowed = df  # too many candidates to broadcast: aggregate every row exactly
+    dup, m = _write_observed(duplicated_keys(narrowed, keys, order), "duplicated-keys",
+                             ["count(1) AS keys", "coalesce(sum(_n), 0) AS rows"])
+    return dup, int(m["keys"]), int(m["rows"])
 
 
 def _null_safe(left: list[str], right: list[str]) -> str:
@@ -79,7 +97,7 @@ def flag_duplicates(
 ) -> DataFrame:
     """``df`` with a non-NULL boolean ``flag``: True for every row after the first of its key."""
     cols = [f"`{c}`" for c in df.columns]
-    dup, n_keys, n_rows = materialise_duplicated_keys(df, keys, order)
+    dup, n_keys, n_rows = materialise_duplicated_keys(df, keys, order, broadcast_max_rows)
     if n_keys == 0:
         return df.selectExpr(*cols, f"false AS `{flag}`")
 

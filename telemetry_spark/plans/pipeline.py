@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telemetry_spark.functions.literal import literal_rows
 from telemetry_spark.model import TelemetryModel, events_feed
 from telemetry_spark.operators import gate, gold, validate
 from telemetry_spark.session import ensure_utc
@@ -77,9 +78,9 @@ def build_silver(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id:
                    "sensor_readings_gated", partition_by=("_accepted",))
     m = obs.get
     # one audit row per rule from the observed metrics (as many rows as the model has rules)
-    audit = spark.createDataFrame(
-        [(run_id, n, int(m["checked_rows"]), int(m[n]), checked_at) for n in model.rule_names], AUDIT_SCHEMA
-    ).withColumn("passed_rows", F.col("checked_rows") - F.col("failed_rows"))
+    audit = literal_rows(
+        spark, [(run_id, n, int(m["checked_rows"]), int(m[n]), checked_at) for n in model.rule_names], AUDIT_SCHEMA
+    ).selectExpr("*", "checked_rows - failed_rows AS passed_rows")
     lake.append(audit, "audit", "quality_check_results")
     accepted_rows = int(m["accepted_rows"])
     return accepted_rows, int(m["checked_rows"]) - accepted_rows

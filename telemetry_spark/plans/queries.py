@@ -1,8 +1,9 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Every query reads the driver ``events`` table of ``sf_dir`` through the derived feed, so
-its work grows with the table.  Column names match the SQL in
-:mod:`telemetry_spark.plans.oracle` one for one.
+Every query reads data Spark derives from the driver ``events`` table of ``sf_dir`` (the
+feed, landed and run through the pipeline once per session, see :mod:`.flow`) and
+computes its operator from the stored layer that operator reads, so its work grows with
+the table.  Column names match the SQL in :mod:`telemetry_spark.plans.oracle` one for one.
 """
 
 from __future__ import annotations
@@ -70,11 +71,11 @@ def quality_gate(spark, sf):
 
 
 def silver_accepted(spark, sf):
-    return Flow(spark, sf).silver
+    return gate.accepted(Flow(spark, sf).gated)
 
 
 def silver_rejects(spark, sf):
-    return Flow(spark, sf).rejects
+    return gate.rejected(Flow(spark, sf).gated)
 
 
 def reason_tokens(spark, sf):
@@ -85,39 +86,39 @@ def reason_tokens(spark, sf):
 # ---- quality evidence ---------------------------------------------------------------------
 def quality_counts(spark, sf):
     f = Flow(spark, sf)
-    return quality.rule_counts(f.gated, f.model)
+    return quality.rule_counts(f.stored_gated, f.model)
 
 
 def quality_summary(spark, sf):
     f = Flow(spark, sf)
-    return quality.quality_summary(f.gated, f.model, per_run=True)
+    return quality.quality_summary(f.stored_gated, f.model, per_run=True)
 
 
 def quality_pass_rate(spark, sf):
     f = Flow(spark, sf)
-    audit = quality.quality_summary(f.gated, f.model, run_id=CHECK_RUN_ID, checked_at=CHECK_TIME)
+    audit = quality.quality_summary(f.stored_gated, f.model, run_id=CHECK_RUN_ID, checked_at=CHECK_TIME)
     return quality.pass_rate(audit)
 
 
 def latest_quality(spark, sf):
     f = Flow(spark, sf)
-    return quality.latest_quality(quality.quality_summary(f.gated, f.model, per_run=True))
+    return quality.latest_quality(quality.quality_summary(f.stored_gated, f.model, per_run=True))
 
 
 def run_report(spark, sf):
     f = Flow(spark, sf)
-    return quality.run_report(f.gated, f.fact, f.model)
+    return quality.run_report(f.stored_gated, f.stored_fact, f.model)
 
 
 # ---- gold ---------------------------------------------------------------------------------
 def dim_date(spark, sf):
-    return Flow(spark, sf).dates
+    return gold.dim_date(Flow(spark, sf).silver)
 
 
 def dim_equipment(spark, sf):
     """The equipment dimension with the readings and days each equipment contributed."""
     f = Flow(spark, sf)
-    usage = f.fact.groupBy("equipment_id").agg(
+    usage = f.stored_fact.groupBy("equipment_id").agg(
         F.count(F.lit(1)).alias("reading_count"), F.countDistinct("date_key").alias("active_days")
     )
     return f.equipment.join(usage, "equipment_id", "left").select(
@@ -130,7 +131,7 @@ def dim_equipment(spark, sf):
 def dim_failure_event(spark, sf):
     """The failure dimension with the fact readings attributed to each interval."""
     f = Flow(spark, sf)
-    usage = f.fact.filter(F.col("failure_event_id").isNotNull()).groupBy("failure_event_id").agg(
+    usage = f.stored_fact.filter(F.col("failure_event_id").isNotNull()).groupBy("failure_event_id").agg(
         F.count(F.lit(1)).alias("reading_count")
     )
     return f.failures.join(usage, "failure_event_id", "left").select(
@@ -178,13 +179,13 @@ def duplicate_keys(spark, sf):
 
 def layer_counts(spark, sf):
     f = Flow(spark, sf)
-    return validate.layer_counts(f.bronze, f.silver, f.rejects, f.fact)
+    return validate.layer_counts(f.bronze, f.silver, f.rejects, f.stored_fact)
 
 
 def validation_results(spark, sf):
     f = Flow(spark, sf)
     return validate.validation_results(
-        f.bronze, f.silver, f.rejects, f.fact, f.dates, gate.key_columns(f.model), CHECK_RUN_ID, CHECK_TIME
+        f.bronze, f.silver, f.rejects, f.stored_fact, f.dates, gate.key_columns(f.model), CHECK_RUN_ID, CHECK_TIME
     )
 
 

@@ -34,21 +34,31 @@ def test_no_python_udf_no_cartesian(spark, name):
 
 def test_fact_is_built_without_shuffling_readings(spark):
     plan = physical(QUERIES["fact_reading"](spark, SF_SMALL))
-    # the duplicated-key table and the interval day table are broadcast; the readings
-    # are never repartitioned (the day table is built from a one-partition literal)
-    assert plan.count("BroadcastHashJoin") == 2
+    # the interval day table is broadcast; the readings are never repartitioned
+    assert plan.count("BroadcastHashJoin") == 1
     assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
 
 
+def test_gate_flags_duplicates_without_shuffling_readings(spark):
+    plan = physical(QUERIES["quality_gate"](spark, SF_SMALL))
+    # the (measured, small) duplicated-key table is broadcast with null-safe keys
+    assert plan.count("BroadcastHashJoin") == 1 and "isnull" in plan
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
 def test_dashboard_broadcasts_both_dimensions(spark):
     plan = physical(QUERIES["dashboard_view"](spark, SF_SMALL))
-    assert plan.count("BroadcastHashJoin") >= 4  # dedupe, intervals, date, equipment
-    assert "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == 2  # date and equipment dimensions
+    assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_scan_is_pruned(spark):
+    # the daily KPIs read only the fact columns they aggregate
     plan = physical(QUERIES["daily_health"](spark, SF_SMALL))
-    # every sensor feeds a rule, but the daily KPIs never read the run id or ingest time
+    fact_scans = [scan_columns(line) for line in plan.splitlines() if "FileScan parquet [" in line]
+    assert fact_scans and all("towers#" not in s and "reading_id#" not in s for s in fact_scans)
+    # every sensor feeds a rule, but the gate's reason never needs the run id or ingest time
+    plan = physical(QUERIES["quality_gate"](spark, SF_SMALL))
     bronze_scans = [scan_columns(line) for line in plan.splitlines() if "FileScan parquet [index#" in line]
     assert bronze_scans and all("_run_id" not in s and "_ingested_at" not in s for s in bronze_scans)
     # counting duplicate keys in Bronze reads the two key columns only

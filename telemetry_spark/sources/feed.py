@@ -88,10 +88,20 @@ def spread(df: DataFrame, key: str = "event_id") -> DataFrame:
     return df.repartition(cores, key)
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The Bronze-shaped reading feed for one scale directory (lazy)."""
+def feed(spark: SparkSession, sf_dir: str, replicate: int = 1) -> DataFrame:
+    """The Bronze-shaped reading feed for one scale directory (lazy).
+
+    ``replicate`` > 1 is a scale test: every event is repeated that many times with its
+    id shifted past the largest id (``explode`` of a sequence, no join), so keys stay
+    unique, every row is kept, and each day holds ``replicate`` times the readings."""
     ensure_utc(spark)
-    return feed_from_events(spread(read_events(spark, sf_dir)))
+    events = read_events(spark, sf_dir)
+    if replicate > 1:
+        span = events.agg(F.max("event_id")).first()[0] + 1
+        events = events.select(
+            "event_id", "ts", F.explode(F.sequence(F.lit(0), F.lit(replicate - 1))).alias("_copy_no")
+        ).select((F.col("event_id") + F.col("_copy_no") * F.lit(span)).alias("event_id"), "ts")
+    return feed_from_events(spread(events))
 
 
 _LANDED: dict[tuple[str, str, float], str] = {}

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The workload this package rebuilds is a batch job: a full refresh of every layer per
+run, with no stream source, watermark, stream window or stateful operator anywhere in
+it.  Nothing is built here on purpose -- adding stream operators the workload does not
+have would change its semantics (for example, de-duplication across micro-batches).
+A file-arrival trigger for the batch job is a scheduling concern outside this package.
+"""

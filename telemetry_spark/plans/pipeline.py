@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from telemetry_spark.functions.literal import literal_rows
 from telemetry_spark.model import TelemetryModel, events_feed
-from telemetry_spark.operators import gate, gold, validate
+from telemetry_spark.operators import gate, gold, quality, validate
 from telemetry_spark.session import ensure_utc
 from telemetry_spark.sources import landing
 from telemetry_spark.sources.store import Lake
@@ -143,6 +143,16 @@ def validate_run(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id:
     return validate.raise_on_failure(stored)
 
 
+def write_run_report(lake: Lake, model: TelemetryModel, run_id: str, checked_at: datetime) -> None:
+    """Append the run report (counts, failures by rule, anomaly rows, pass rate) as one
+    JSON row; computed by one aggregate over the stored gated Silver and reading fact."""
+    gated = lake.read("silver", "sensor_readings_gated").drop("_accepted")
+    report = quality.report_json(quality.run_report(gated, lake.read("gold", "fact_sensor_reading"), model), model)
+    # run id and time are bound as literals, never interpolated into SQL text
+    lake.append(report.select(F.lit(run_id).alias("run_id"), F.lit(checked_at).alias("checked_at"), "report"),
+                "audit", "run_reports")
+
+
 def run_pipeline(spark: SparkSession, source: str | DataFrame, lake_root: str, run_id: str,
                  model: TelemetryModel | None = None, expected_rows: int | None = None,
                  fact_layout: str = "range") -> dict:
@@ -155,6 +165,7 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, lake_root: str, r
     silver_rows, reject_rows = build_silver(spark, lake, model, run_id, checked_at)
     build_gold(spark, lake, model, fact_layout)
     checks = validate_run(spark, lake, model, run_id, checked_at)
+    write_run_report(lake, model, run_id, checked_at)
     return {
         "run_id": run_id,
         "bronze_rows": bronze_rows,

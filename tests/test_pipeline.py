@@ -61,3 +61,34 @@ def test_failed_check_is_stored_then_raised(spark, lake_run):
         pipeline.validate_run(spark, lake_broken, pipeline.events_feed(), "r3", datetime.datetime(2024, 2, 1))
     stored = lake.read("audit", "pipeline_validation_results").filter("run_id = 'r3'")
     assert stored.count() == 4 and stored.filter("NOT passed").count() == 1
+
+
+def test_portfolio_reports_over_stored_tables(spark, lake_run):
+    import json
+
+    from telemetry_spark.plans import reports
+
+    root, _, _ = lake_run
+    lake = Lake(spark, root)
+    counts = {r.layer: r.rows for r in reports.layer_counts(lake).collect()}
+    assert counts == {"bronze": 1010, "silver": 956, "rejects": 54, "gold_fact": 956}
+    latest = reports.latest_quality(lake).collect()
+    assert [r.check_name for r in latest] == sorted(r.check_name for r in latest) and len(latest) == 10
+    dup = [r for r in latest if r.check_name == "duplicate_reading"][0]
+    assert (dup.checked_rows, dup.failed_rows, dup.pass_rate_pct) == (1010, 10, 99.0099)
+    val = reports.latest_validation(lake).collect()
+    assert len(val) == 4 and all(r.passed for r in val if r.run_id != "r3")
+    tl = reports.timeline(lake, pipeline.events_feed()).collect()
+    assert [r.calendar_date for r in tl] == sorted(r.calendar_date for r in tl)
+    rep = [json.loads(r.report) for r in reports.run_reports(lake).filter("run_id = 'r2'").collect()]
+    assert len(rep) == 1 and rep[0]["source_rows"] == 1010 and rep[0]["silver_rows"] == 956
+    assert rep[0]["failed_rows_by_check"]["duplicate_reading"] == 10 and rep[0]["reconciled"] is True
+
+
+def test_table_names_are_validated(spark):
+    lake = Lake(spark, "/nowhere")
+    with pytest.raises(ValueError):
+        lake.path("silver", "readings; DROP TABLE x")
+    with pytest.raises(ValueError):
+        lake.path("platinum", "readings")
+    assert lake.path("gold", "dim_date") == "/nowhere/gold/dim_date"

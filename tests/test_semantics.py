@@ -134,3 +134,18 @@ def test_session_zone_is_forced_to_utc(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_interval_lookup_shuffle_path_matches_broadcast(spark):
+    from telemetry_spark.model import events_feed
+
+    ts = ["2024-01-05 12:00:00", "2024-01-17 13:00:00", "2024-01-18 18:00:00", "2024-01-19 20:00:00", None]
+    readings = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "i int, s string").selectExpr(
+        "i", "CAST(s AS TIMESTAMP) AS event_ts")
+    dims = dim_failure_event(spark, events_feed())
+    wide = interval_lookup(readings, dims)
+    # no broadcast hint: an equi-join on the day (Spark may still broadcast a side its own
+    # statistics prove small, which is the point of not hinting beyond the bound)
+    narrow = interval_lookup(readings, dims, broadcast_max_rows=0)
+    assert sorted(wide.collect()) == sorted(narrow.collect())
+    assert [r.failure_event_id for r in narrow.orderBy("i").collect()] == [1, 3, 4, None, None]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from telemetry_spark.functions.rules import q, text
+from telemetry_spark.functions.rules import text
 
 
 def _value(v, dtype: T.DataType) -> str:

@@ -6,7 +6,6 @@ and the per-day KPIs and BI measures worked out by hand for the same rows.
 """
 
 import pytest
-from pyspark.sql import functions as F
 
 from telemetry_spark.model import compressor
 from telemetry_spark.operators import bi, gate, gold, quality

@@ -1,9 +1,7 @@
 """Edge semantics of the gate, the anomaly rules, the interval lookup and landing."""
 
-import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import MODEL, bronze
 from telemetry_spark.operators import gate

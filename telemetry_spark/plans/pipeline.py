@@ -30,6 +30,7 @@ from telemetry_spark.model import TelemetryModel, events_feed
 from telemetry_spark.operators import gate, gold, quality, validate
 from telemetry_spark.session import ensure_utc
 from telemetry_spark.sources import landing
+from telemetry_spark.sources.feed import spread
 from telemetry_spark.sources.store import Lake
 
 AUDIT_SCHEMA = T.StructType([
@@ -53,7 +54,12 @@ def silver_tables(lake: Lake) -> tuple[DataFrame, DataFrame]:
 
 def ingest_bronze(spark: SparkSession, lake: Lake, source, model: TelemetryModel, run_id: str,
                   expected_rows: int | None = None) -> int:
-    bronze = landing.land_csv(spark, source, model, run_id) if isinstance(source, str) else source
+    if isinstance(source, str):
+        # lineage is assigned per split first; then a source that arrived in fewer splits
+        # than cores (one non-splittable compressed file) is spread for the write
+        bronze = spread(landing.land_csv(spark, source, model, run_id), "_row_seq")
+    else:
+        bronze = source
     obs = Observation("bronze")
     lake.overwrite(bronze.observe(obs, F.count(F.lit(1)).alias("rows")), "bronze", "sensor_readings_raw")
     rows = int(obs.get["rows"])

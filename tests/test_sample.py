@@ -149,3 +149,21 @@ def test_run_report(sample):
     assert all(r[f"failed_{n}"] == 1 for n in model.rule_names)
     js = quality.report_json(quality.run_report(gated, fact, model), model).first().report
     assert '"failed_rows_by_check":{"invalid_reading_id":1' in js
+
+
+def test_pipeline_from_csv(spark, tmp_path):
+    from telemetry_spark.plans.pipeline import run_pipeline
+    from telemetry_spark.session import scratch_path
+
+    path = tmp_path / "landing" / "readings.csv"
+    path.parent.mkdir()
+    path.write_text(SAMPLE_CSV)
+    out = run_pipeline(spark, str(path.parent), scratch_path(spark, "sample-lake"), run_id="s1",
+                       model=compressor(), expected_rows=22)
+    assert (out["bronze_rows"], out["silver_rows"], out["reject_rows"]) == (22, 12, 10)
+    assert all(c["passed"] for c in out["checks"])
+    view = spark.table("powerbi_equipment_health").orderBy("calendar_date").collect()
+    assert [v.reading_count for v in view] == [8, 4] and view[0].equipment_name == "Metro train Air Production Unit"
+    with pytest.raises(RuntimeError, match="expected 23"):
+        run_pipeline(spark, str(path.parent), scratch_path(spark, "sample-lake"), run_id="s2",
+                     model=compressor(), expected_rows=23)

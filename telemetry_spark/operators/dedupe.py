@@ -14,9 +14,10 @@ all share (NULL, NULL) -- lands in one task.  Instead:
 2. Exact: rows whose key hash is a candidate (a broadcast left-semi join, no shuffle) are
    reduced by ``groupBy(key).agg(count, min(order))`` to keys seen more than once.
    Partial aggregation combines map-side, so a hot key costs one row per input partition
-   before the shuffle, never one task holding the group.  Both tables are written to the
-   shared checkpoint folder (lineage is cut; an executor loss cannot force a re-run of
-   the scan) and their sizes are observed on those same writes.
+   before the shuffle, never one task holding the group.  The candidate table is written
+   to the shared checkpoint folder (lineage is cut) and its size is observed on that same
+   write; it bounds the exact table, which therefore needs no write of its own unless
+   the candidates are too many to broadcast.
 3. If the duplicated-key table is at most ``broadcast_max_rows`` rows it is broadcast and
    joined map-side: the readings are never shuffled.
 4. Otherwise keys holding at least ``hot_min`` rows are broadcast (their number is at most
@@ -66,17 +67,20 @@ def _write_observed(df: DataFrame, name: str, metrics: list[str]) -> tuple[DataF
     return spark.read.schema(df.schema).parquet(path), obs.get
 
 
-def materialise_duplicated_keys(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...],
-                                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS):
-    """Write the duplicated-key table to the shared folder; returns (frame, keys, rows)."""
+def duplicate_candidates(df: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, int]:
+    """Key hashes seen more than once, written to the shared folder; (frame, count)."""
     hashes = df.selectExpr(f"{_key_hash(keys)} AS _h").groupBy("_h").agg(F.expr("count(1)").alias("_c")).where("_c > 1")
     cands, m = _write_observed(hashes, "duplicate-candidates", ["count(1) AS n"])
-    if int(m["n"]) == 0:
-        return cands.selectExpr(*[f"CAST(NULL AS LONG) AS `{k}`" for k in keys]).limit(0), 0, 0
-    if int(m["n"]) <= broadcast_max_rows:
-        narrowed = df.join(F.broadcast(cands.select("_h")), F.expr(f"{_key_hash(keys)} = _h"), "left_semi")
-    else:
-        narrowed = df  # too many candidates to broadcast: aggregate every row exactly
+    return cands.select("_h"), int(m["n"])
+
+
+def materialise_duplicated_keys(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...],
+                                candidates: DataFrame | None = None):
+    """Write the exact duplicated-key table to the shared folder; returns (frame, keys, rows).
+    ``candidates`` (broadcastable key hashes) narrows the rows aggregated."""
+    narrowed = df
+    if candidates is not None:
+        narrowed = df.join(F.broadcast(candidates), F.expr(f"{_key_hash(keys)} = _h"), "left_semi")
     dup, m = _write_observed(duplicated_keys(narrowed, keys, order), "duplicated-keys",
                              ["count(1) AS keys", "coalesce(sum(_n), 0) AS rows"])
     return dup, int(m["keys"]), int(m["rows"])
@@ -97,18 +101,28 @@ def flag_duplicates(
 ) -> DataFrame:
     """``df`` with a non-NULL boolean ``flag``: True for every row after the first of its key."""
     cols = [f"`{c}`" for c in df.columns]
-    dup, n_keys, n_rows = materialise_duplicated_keys(df, keys, order, broadcast_max_rows)
-    if n_keys == 0:
-        return df.selectExpr(*cols, f"false AS `{flag}`")
-
     rk = [f"_dk_{k}" for k in keys]
     mine = _order_sql(order)
 
-    if n_keys <= broadcast_max_rows:
+    def broadcast_join(dup: DataFrame) -> DataFrame:
         right = dup.selectExpr(*[f"`{k}` AS `{r}`" for k, r in zip(keys, rk)], "_first")
         joined = df.join(F.broadcast(right), F.expr(_null_safe(list(keys), rk)), "left")
         return joined.selectExpr(*cols, f"coalesce({mine} > _first, false) AS `{flag}`")
 
+    candidates, n_candidates = duplicate_candidates(df, keys)
+    if n_candidates == 0:
+        return df.selectExpr(*cols, f"false AS `{flag}`")
+    if n_candidates <= broadcast_max_rows:
+        # every duplicated key has a candidate hash, so the exact table has at most
+        # n_candidates rows: a proven bound, so it is broadcast straight from the
+        # aggregate over the candidate rows, without a second write
+        narrowed = df.join(F.broadcast(candidates), F.expr(f"{_key_hash(keys)} = _h"), "left_semi")
+        return broadcast_join(duplicated_keys(narrowed, keys, order))
+
+    dup, n_keys, n_rows = materialise_duplicated_keys(df, keys, order)
+    if n_keys <= broadcast_max_rows:
+        return broadcast_join(dup)
+
     # Too many duplicated keys to broadcast: split hot keys from the rest.  Hot keys are at
     # most n_rows / hot_min, which the bound below keeps within broadcast_max_rows.
     hot_min = max(hot_min, math.ceil(n_rows / broadcast_max_rows))

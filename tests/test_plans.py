@@ -33,9 +33,13 @@ def test_fact_is_built_without_shuffling_readings(spark):
 
 def test_gate_flags_duplicates_without_shuffling_readings(spark):
     plan = physical(QUERIES["quality_gate"](spark, SF_SMALL))
-    # the (measured, small) duplicated-key table is broadcast with null-safe keys
-    assert plan.count("BroadcastHashJoin") == 1 and "isnull" in plan
-    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    # the duplicated-key table (bounded by the measured candidate count) is broadcast with
+    # null-safe keys; the one aggregation Exchange sits inside that broadcast's build side
+    # (candidate rows only), printed after the readings' side of the tree
+    assert plan.count("BroadcastHashJoin") == 2 and "isnull" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") > plan.index("BroadcastExchange")
+    assert "LeftSemi" in plan
 
 
 def test_dashboard_broadcasts_both_dimensions(spark):

@@ -80,8 +80,14 @@ def build_silver(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id:
         F.count_if(F.col(gate.REASON) == "").alias("accepted_rows"),
         *[F.count_if(F.col(f"{gate.FLAGS}.{n}")).alias(n) for n in model.rule_names],
     )
-    lake.overwrite(observed.withColumn("_accepted", F.col(gate.REASON) == ""), "silver",
-                   "sensor_readings_gated", partition_by=("_accepted",))
+    # raw key strings are kept for rejects only (accepted Silver drops them anyway)
+    accepted = F.col(gate.REASON) == ""
+    stored = observed.withColumns({
+        gate.RAW_ID: F.when(~accepted, F.col(gate.RAW_ID)),
+        gate.RAW_TS: F.when(~accepted, F.col(gate.RAW_TS)),
+        "_accepted": accepted,
+    })
+    lake.overwrite(stored, "silver", "sensor_readings_gated", partition_by=("_accepted",))
     m = obs.get
     # one audit row per rule from the observed metrics (as many rows as the model has rules)
     audit = literal_rows(

@@ -167,3 +167,24 @@ def test_pipeline_from_csv(spark, tmp_path):
     with pytest.raises(RuntimeError, match="expected 23"):
         run_pipeline(spark, str(path.parent), scratch_path(spark, "sample-lake"), run_id="s2",
                      model=compressor(), expected_rows=23)
+
+
+def test_month_matrix_keeps_years_apart(spark):
+    rows = [("2020-12-31", 2020, 12, "December", 10, 50.0, 1, 0, 60.0, 5.0),
+            ("2021-12-01", 2021, 12, "December", 30, 90.0, 9, 2, 70.0, 6.0),
+            ("2021-12-02", 2021, 12, "December", 10, 10.0, 0, 0, 80.0, 7.0)]
+    view = spark.createDataFrame(rows, "calendar_date string, year int, month int, month_name string, "
+                                       "reading_count long, telemetry_coverage_pct double, anomaly_reading_count long, "
+                                       "known_failure_window_readings long, max_oil_temperature_c double, "
+                                       "max_motor_current_a double")
+    got = {(r.year, r.month): r for r in bi.month_matrix(view, compressor()).collect()}
+    assert set(got) == {(2020, 12), (2021, 12)}
+    dec21 = got[(2021, 12)]
+    assert dec21.total_readings == 40 and dec21.anomaly_readings == 9
+    assert dec21.telemetry_coverage_pct == pytest.approx((90 * 30 + 10 * 10) / 40)
+    m = bi.health_measures(view, compressor()).first()
+    assert m.health_status == "Critical" and m.anomaly_rate_pct == pytest.approx(10 / 50 * 100)
+    watch = bi.health_measures(view.filter("year = 2020"), compressor()).first()
+    assert watch.health_status == "Critical"  # 1 of 10 = 10 %
+    normal = bi.health_measures(view.filter("calendar_date = '2021-12-02'"), compressor()).first()
+    assert normal.health_status == "Normal" and normal.anomaly_rate_pct == 0.0

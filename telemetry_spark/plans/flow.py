@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from telemetry_spark.model import TelemetryModel, events_feed
 from telemetry_spark.operators import gate, gold
-from telemetry_spark.session import ensure_utc, scratch_path
+from telemetry_spark.session import app_id, ensure_utc, scratch_path
 from telemetry_spark.sources import feed as feed_source
 from telemetry_spark.sources import landing
 from telemetry_spark.sources.store import Lake
@@ -36,7 +36,7 @@ def lake_for(spark: SparkSession, sf_dir: str, model: TelemetryModel) -> Lake:
     from telemetry_spark.plans.pipeline import run_pipeline
 
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    key = (spark.sparkContext.applicationId, os.path.abspath(src),
+    key = (app_id(spark), os.path.abspath(src),
            os.path.getmtime(src) if os.path.exists(src) else 0.0, model)
     root = _LAKES.get(key)
     if root is None:

@@ -38,6 +38,14 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", UTC)
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id (also where the session exposes no SparkContext)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # sessions without a SparkContext (e.g. a remote client)
+        return spark.conf.get("spark.app.id", "") or str(id(spark))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -45,12 +53,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder of our own created and registered, so lineage can still be cut with
     ``DataFrame.checkpoint()`` and intermediate tables have somewhere durable to go.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on this session: the setting is the only source
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return current
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return current
+        return sc.getCheckpointDir() or current
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="telemetry-checkpoint-")

@@ -82,8 +82,11 @@ def spread(df: DataFrame, key: str = "event_id") -> DataFrame:
     """Hash-spread an input that arrives in fewer partitions than the cluster has cores
     (a single small file is one split).  Large inputs already arrive in many splits and
     are left alone.  Hashing a key keeps the placement deterministic on retry."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # no RDD view on this session: leave the layout to the source
         return df
     return df.repartition(cores, key)
 
@@ -115,10 +118,10 @@ def landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     includes the events file's modification time, so a changed input is landed again."""
     import os
 
-    from telemetry_spark.session import scratch_path
+    from telemetry_spark.session import app_id, scratch_path
 
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    key = (spark.sparkContext.applicationId, os.path.abspath(src), os.path.getmtime(src) if os.path.exists(src) else 0.0)
+    key = (app_id(spark), os.path.abspath(src), os.path.getmtime(src) if os.path.exists(src) else 0.0)
     path = _LANDED.get(key)
     if path is None:
         path = scratch_path(spark, "bronze-feed")

@@ -34,14 +34,14 @@ def _flag(e: Column, modulus: int) -> Column:
     return F.when(e % modulus == 0, F.lit("1")).otherwise(F.lit("0"))
 
 
-def feed_from_events(events: DataFrame) -> DataFrame:
+def feed_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     e = F.col("event_id")
     ts = F.col("ts").cast("timestamp")
     week = F.date_trunc("week", ts)
     copy = F.explode(
         F.when(e % 101 == 43, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     ).alias("_copy")
-    base = events.select("event_id", "ts", copy)
+    base = events.select("event_id", "ts", *keep, copy)
     return base.select(
         F.when(e % 197 == 11, F.lit("not-an-id")).otherwise(_s(e)).alias("index"),
         F.when(e % 211 == 13, F.lit("bad"))
@@ -71,6 +71,7 @@ def feed_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("run_"), F.date_format(week, "yyyyMMdd")).alias("_run_id"),
         F.lit(0).cast("long").alias("_block_start"),
         (e * 2 + F.col("_copy")).alias("_row_seq"),
+        *keep,
     )
 
 
@@ -91,20 +92,28 @@ def spread(df: DataFrame, key: str = "event_id") -> DataFrame:
     return df.repartition(cores, key)
 
 
-def feed(spark: SparkSession, sf_dir: str, replicate: int = 1) -> DataFrame:
+def feed(spark: SparkSession, sf_dir: str, replicate: int = 1, shift_ids: bool = True) -> DataFrame:
     """The Bronze-shaped reading feed for one scale directory (lazy).
 
-    ``replicate`` > 1 is a scale test: every event is repeated that many times with its
-    id shifted past the largest id (``explode`` of a sequence, no join), so keys stay
-    unique, every row is kept, and each day holds ``replicate`` times the readings."""
+    ``replicate`` > 1 is a scale test: every event is repeated that many times
+    (``explode`` of a sequence, no join) and every row is kept.  With ``shift_ids`` each
+    copy's id is shifted past the largest id, so keys stay unique and each day holds
+    ``replicate`` times the readings; without it every key is a group of ``replicate``
+    copies (a replayed feed): all but the first row of each key are duplicates."""
     ensure_utc(spark)
     events = read_events(spark, sf_dir)
-    if replicate > 1:
+    if replicate <= 1:
+        return feed_from_events(spread(events))
+    copies = events.select(
+        "event_id", "ts", F.explode(F.sequence(F.lit(0), F.lit(replicate - 1))).alias("_copy_no")
+    )
+    if shift_ids:
         span = events.agg(F.max("event_id")).first()[0] + 1
-        events = events.select(
-            "event_id", "ts", F.explode(F.sequence(F.lit(0), F.lit(replicate - 1))).alias("_copy_no")
-        ).select((F.col("event_id") + F.col("_copy_no") * F.lit(span)).alias("event_id"), "ts")
-    return feed_from_events(spread(events))
+        shifted = copies.select((F.col("event_id") + F.col("_copy_no") * F.lit(span)).alias("event_id"), "ts")
+        return feed_from_events(spread(shifted))
+    # same ids: the row sequence orders the copies of an event after one another
+    out = feed_from_events(spread(copies), keep=("_copy_no",))
+    return out.withColumn("_row_seq", F.col("_row_seq") * replicate + F.col("_copy_no")).drop("_copy_no")
 
 
 _LANDED: dict[tuple[str, str, float], str] = {}

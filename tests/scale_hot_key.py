@@ -1,7 +1,7 @@
 """Scale check (not collected by pytest): the gate over sf0.1 x 30 with and without one key
 holding a third of the rows.  Run: python tests/scale_hot_key.py"""
-import sys, time
-sys.path.insert(0, "/root/repo")
+import os, sys, time
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F
 from telemetry_spark.session import local_session, scratch_path
 from telemetry_spark.sources.feed import feed

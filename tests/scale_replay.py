@@ -1,7 +1,7 @@
 """Scale check (not collected by pytest): the pipeline over a feed replayed N times with the
 same ids.  Run: python tests/scale_replay.py /root/testdata/sf0.1 100"""
-import sys, time
-sys.path.insert(0, "/root/repo")
+import os, sys, time
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from telemetry_spark.session import local_session, scratch_path
 from telemetry_spark.plans.pipeline import run_pipeline
 from telemetry_spark.sources.feed import feed

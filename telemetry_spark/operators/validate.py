@@ -36,15 +36,18 @@ def layer_counts(bronze: DataFrame, silver: DataFrame, rejects: DataFrame, fact:
     return out
 
 
-def _tag(df: DataFrame, tag: str, by: tuple[str, ...]) -> DataFrame:
-    return df.select(*by, F.lit(tag).alias("_tag"))
+def _tag(df: DataFrame, tag: str, by: tuple[str, ...], stamp: str | None = None) -> DataFrame:
+    at = F.col(stamp) if stamp else F.lit(None).cast("timestamp")
+    return df.select(*by, F.lit(tag).alias("_tag"), at.alias("_at"))
 
 
 def check_counts(bronze: DataFrame, silver: DataFrame, rejects: DataFrame, fact: DataFrame,
-                 dates: DataFrame, keys: tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
-    """One row (per ``by`` group) with every count the checks need, from one aggregate."""
+                 dates: DataFrame, keys: tuple[str, ...], by: tuple[str, ...] = (),
+                 stamp: str | None = None) -> DataFrame:
+    """One row (per ``by`` group) with every count the checks need, from one aggregate;
+    with ``stamp``, also the latest value of that Bronze column as ``_at``."""
     tagged = (
-        _tag(bronze, "bronze", by)
+        _tag(bronze, "bronze", by, stamp)
         .unionByName(_tag(silver, "silver", by))
         .unionByName(_tag(rejects, "rejects", by))
         .unionByName(_tag(fact, "gold_fact", by))
@@ -52,6 +55,7 @@ def check_counts(bronze: DataFrame, silver: DataFrame, rejects: DataFrame, fact:
         .unionByName(_tag(dates, "dates", by))
     )
     aggs = [F.count_if(F.col("_tag") == t).alias(t) for t in ("bronze", "silver", "rejects", "gold_fact", "dup", "dates")]
+    aggs.append(F.max("_at").alias("_at"))
     return tagged.groupBy(*by).agg(*aggs) if by else tagged.agg(*aggs)
 
 
@@ -76,10 +80,8 @@ def validation_results(bronze, silver, rejects, fact, dates, keys, run_id: str,
 def validation_results_per_run(bronze, silver, rejects, fact, dates, keys) -> DataFrame:
     """Checks for every run found in the data (``_run_id``), stamped with the run's ingest
     time.  Every input frame must carry ``_run_id``; Bronze also ``_ingested_at``."""
-    counts = check_counts(bronze, silver, rejects, fact, dates, keys, by=("_run_id",))
-    stamps = bronze.groupBy("_run_id").agg(F.max("_ingested_at").alias("_at"))
-    # at most one row per run on each side: a small join of two aggregates
-    return checks_from_counts(counts.join(stamps, "_run_id"), F.col("_run_id"), F.col("_at"))
+    counts = check_counts(bronze, silver, rejects, fact, dates, keys, by=("_run_id",), stamp="_ingested_at")
+    return checks_from_counts(counts, F.col("_run_id"), F.col("_at"))
 
 
 def raise_on_failure(results: DataFrame) -> list[dict]:

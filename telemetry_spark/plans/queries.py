@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_spark.functions.rules import anomaly_reason
+from telemetry_spark.model import events_feed
 from telemetry_spark.operators import bi, gate, gold, quality, validate
 from telemetry_spark.operators.dedupe import flag_duplicates
 from telemetry_spark.operators.intervals import interval_lookup, model_day_rows
@@ -21,8 +22,9 @@ from telemetry_spark.plans.flow import CHECK_RUN_ID, CHECK_TIME, Flow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# BI selection used by `bi_filtered` (a fixed slicer state).
-BI_SELECTION = {"start_date": "2024-01-08", "end_date": "2024-01-21", "equipment_name": "Metro train Air Production Unit"}
+# BI selection used by `bi_filtered` (a fixed slicer state: two weeks of one equipment).
+BI_SELECTION = {"start_date": "2024-01-08", "end_date": "2024-01-21",
+                "equipment_name": events_feed().equipment.equipment_name}
 
 
 # ---- sources ------------------------------------------------------------------------------

@@ -10,6 +10,18 @@ from pyspark.sql import SparkSession
 
 UTC = "UTC"
 
+# Settings this package's plans are designed around on a large cluster (set them when the
+# session is built; they are not applied behind the user's back).
+RECOMMENDED_CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": UTC,
+    # spark.checkpoint.dir: a shared folder (object store or distributed filesystem)
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "telemetry_spark") -> SparkSession:
     """A local session configured the way the tests and the bench expect."""

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_spark.functions.rules import DUPLICATE_FLAG, flags_struct_sql, q, reason_sql, text
+from telemetry_spark.functions.rules import DUPLICATE_FLAG, flags_struct_sql, q, reason_sql
 from telemetry_spark.model import TelemetryModel
 from telemetry_spark.operators.dedupe import flag_duplicates
 from telemetry_spark.session import ensure_utc
@@ -23,7 +23,7 @@ FLAGS = "_flags"
 REASON = "rejection_reason"
 
 
-def typed_columns_sql(model: TelemetryModel, equipment_sql: str | None = None) -> list[str]:
+def typed_columns_sql(model: TelemetryModel) -> list[str]:
     id_src, ts_src = model.id_source, model.ts_source
     id_dst, ts_dst = model.columns[0][1], model.columns[1][1]
     return [
@@ -33,15 +33,16 @@ def typed_columns_sql(model: TelemetryModel, equipment_sql: str | None = None) -
         f"try_to_timestamp({q(ts_src)}) AS {q(ts_dst)}",
         *[f"try_cast({q(src)} AS DOUBLE) AS {q(dst)}" for src, dst in model.columns[2:]],
         *[q(c) for c in LINEAGE],
-        f"{equipment_sql or text(model.equipment.equipment_id)} AS equipment_id",
     ]
 
 
-def typed_projection(bronze: DataFrame, model: TelemetryModel, equipment_sql: str | None = None) -> DataFrame:
+def typed_projection(bronze: DataFrame, model: TelemetryModel, equipment: Column | None = None) -> DataFrame:
     """Raw key strings kept beside the typed key; sensors renamed to Silver names as double.
-    ``equipment_sql`` names the equipment per row (a fleet feed); default: the model's id."""
+    ``equipment`` names the equipment per row (a fleet feed); default: the model's id,
+    bound as a literal (never interpolated into SQL text)."""
     ensure_utc(bronze.sparkSession)
-    return bronze.selectExpr(*typed_columns_sql(model, equipment_sql))
+    eq = equipment if equipment is not None else F.lit(model.equipment.equipment_id)
+    return bronze.select(*[F.expr(e) for e in typed_columns_sql(model)], eq.alias("equipment_id"))
 
 
 def key_columns(model: TelemetryModel) -> tuple[str, str]:

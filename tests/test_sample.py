@@ -184,7 +184,12 @@ def test_month_matrix_keeps_years_apart(spark):
     assert dec21.telemetry_coverage_pct == pytest.approx((90 * 30 + 10 * 10) / 40)
     m = bi.health_measures(view, compressor()).first()
     assert m.health_status == "Critical" and m.anomaly_rate_pct == pytest.approx(10 / 50 * 100)
-    watch = bi.health_measures(view.filter("year = 2020"), compressor()).first()
-    assert watch.health_status == "Critical"  # 1 of 10 = 10 %
+    critical = bi.health_measures(view.filter("year = 2020"), compressor()).first()
+    assert critical.health_status == "Critical"  # 1 of 10 = 10 %
+    watch_view = spark.createDataFrame([(100, 50.0, 5, 0, 60.0, 5.0)], "reading_count long, "
+                                       "telemetry_coverage_pct double, anomaly_reading_count long, "
+                                       "known_failure_window_readings long, max_oil_temperature_c double, "
+                                       "max_motor_current_a double")
+    assert bi.health_measures(watch_view, compressor()).first().health_status == "Watch"  # 5 %
     normal = bi.health_measures(view.filter("calendar_date = '2021-12-02'"), compressor()).first()
     assert normal.health_status == "Normal" and normal.anomaly_rate_pct == 0.0

@@ -186,3 +186,65 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, lake_root: str, r
         "checks": checks,
         "lake": lake.root,
     }
+
+
+STAGES = ("bronze", "silver", "gold", "validate")
+
+
+def run_stage(spark: SparkSession, stage: str, lake_root: str, run_id: str, source: str | None = None,
+              model: TelemetryModel | None = None, expected_rows: int | None = None,
+              fact_layout: str = "range") -> dict:
+    """One stage of the run, as a separately scheduled task would run it: each stage reads
+    only what the previous stage stored, so the tasks can run (and retry) independently."""
+    ensure_utc(spark)
+    model = model or events_feed()
+    lake = Lake(spark, lake_root)
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    if stage == "bronze":
+        if not source:
+            raise ValueError("the bronze stage needs a source path")
+        return {"bronze_rows": ingest_bronze(spark, lake, source, model, run_id, expected_rows)}
+    if stage == "silver":
+        silver_rows, reject_rows = build_silver(spark, lake, model, run_id, now)
+        return {"silver_rows": silver_rows, "reject_rows": reject_rows}
+    if stage == "gold":
+        build_gold(spark, lake, model, fact_layout)
+        return {"gold": "built"}
+    if stage == "validate":
+        checks = validate_run(spark, lake, model, run_id, now)
+        write_run_report(lake, model, run_id, now)
+        return {"checks": checks}
+    raise ValueError(f"unknown stage {stage!r}; stages are {STAGES}")
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m telemetry_spark.plans.pipeline --lake ROOT --run-id ID [--stage S] [--source CSV]``"""
+    import argparse
+    import json
+
+    from telemetry_spark import model as models
+
+    p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    p.add_argument("--lake", required=True)
+    p.add_argument("--run-id", required=True)
+    p.add_argument("--source", help="CSV file or folder (bronze stage / full run)")
+    p.add_argument("--stage", choices=("all",) + STAGES, default="all")
+    p.add_argument("--model", choices=("compressor", "events_feed"), default="compressor")
+    p.add_argument("--expected-rows", type=int)
+    p.add_argument("--fact-layout", choices=("range", "local"), default="range")
+    p.add_argument("--master", help="only when not launched by spark-submit, e.g. local[8]")
+    a = p.parse_args(argv)
+    builder = SparkSession.builder.appName(f"telemetry-{a.stage}-{a.run_id}")
+    spark = (builder.master(a.master) if a.master else builder).getOrCreate()
+    model = getattr(models, a.model)()
+    if a.stage == "all":
+        if not a.source:
+            p.error("a full run needs --source")
+        out = run_pipeline(spark, a.source, a.lake, a.run_id, model, a.expected_rows, a.fact_layout)
+    else:
+        out = run_stage(spark, a.stage, a.lake, a.run_id, a.source, model, a.expected_rows, a.fact_layout)
+    print(json.dumps(out, default=str))
+
+
+if __name__ == "__main__":
+    main()

@@ -193,3 +193,20 @@ def test_month_matrix_keeps_years_apart(spark):
     assert bi.health_measures(watch_view, compressor()).first().health_status == "Watch"  # 5 %
     normal = bi.health_measures(view.filter("calendar_date = '2021-12-02'"), compressor()).first()
     assert normal.health_status == "Normal" and normal.anomaly_rate_pct == 0.0
+
+
+def test_stages_run_separately(spark, tmp_path):
+    from telemetry_spark.plans.pipeline import run_stage
+    from telemetry_spark.session import scratch_path
+
+    src = tmp_path / "readings.csv"
+    src.write_text(SAMPLE_CSV)
+    root = scratch_path(spark, "stage-lake")
+    m = compressor()
+    assert run_stage(spark, "bronze", root, "t1", str(src), m, expected_rows=22) == {"bronze_rows": 22}
+    assert run_stage(spark, "silver", root, "t1", model=m) == {"silver_rows": 12, "reject_rows": 10}
+    run_stage(spark, "gold", root, "t1", model=m)
+    checks = run_stage(spark, "validate", root, "t1", model=m)["checks"]
+    assert len(checks) == 4 and all(c["passed"] for c in checks)
+    with pytest.raises(ValueError):
+        run_stage(spark, "bronze", root, "t1", None, m)

@@ -33,6 +33,7 @@ FAILURE_SCHEMA = T.StructType([
 ])
 
 DASHBOARD_DATE_COLUMNS = ("calendar_date", "year", "month", "month_name", "week_of_year")
+MAX_BROADCAST_DAYS = 100_000  # ~270 years of calendar rows, a few MB
 DASHBOARD_EQUIPMENT_COLUMNS = ("equipment_name", "equipment_type")
 
 
@@ -114,7 +115,9 @@ def dashboard_view(daily: DataFrame, dates: DataFrame, equipment: DataFrame, mod
     """Daily KPIs with calendar and equipment attributes, keys hidden.  Both dimensions
     are broadcast: the date dimension is bounded by the days of the model's window and
     the equipment dimension by the equipment the model declares."""
-    assert window_days(model) <= 100_000, "date dimension too large to broadcast"
+    if window_days(model) > MAX_BROADCAST_DAYS:
+        raise ValueError(f"the model's window spans more than {MAX_BROADCAST_DAYS} days; "
+                         "the date dimension is no longer a bounded broadcast")
     d = F.broadcast(dates.select("date_key", *DASHBOARD_DATE_COLUMNS))
     e = F.broadcast(equipment.select("equipment_id", *DASHBOARD_EQUIPMENT_COLUMNS))
     measures = [c for c in daily.columns if c not in ("equipment_id", "date_key")]

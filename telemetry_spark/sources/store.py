@@ -35,7 +35,9 @@ class Lake:
                   max_records_per_file: int | None = None) -> str:
         """Full refresh; the stored schema is replaced by the frame's."""
         path = self.path(layer, name)
-        writer = df.write.format(self.fmt).mode("overwrite")
+        # a full refresh replaces every partition, whatever the session's overwrite mode:
+        # a run without rejects must not leave the previous run's rejects behind
+        writer = df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if max_records_per_file:

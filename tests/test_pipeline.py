@@ -102,3 +102,14 @@ def test_replayed_feed_gives_the_same_silver(spark):
     silver, _ = pipeline.silver_tables(Lake(spark, root))
     # the kept row of every key is its first copy
     assert silver.filter("_row_seq % 3 <> 0").count() == 0
+
+
+def test_full_refresh_replaces_every_partition(spark):
+    lake = Lake(spark, scratch_path(spark, "refresh"))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        lake.overwrite(spark.range(4).selectExpr("id", "id % 2 = 0 AS _accepted"), "silver", "t", ("_accepted",))
+        lake.overwrite(spark.range(2).selectExpr("id", "true AS _accepted"), "silver", "t", ("_accepted",))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    assert sorted(r.id for r in lake.read("silver", "t").collect()) == [0, 1]

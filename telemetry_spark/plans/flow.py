@@ -28,6 +28,7 @@ CHECK_RUN_ID = "feed_check"
 CHECK_TIME = "2024-02-05 00:00:00"
 
 _LAKES: dict[tuple, str] = {}
+_CSV_EXPORTS: dict[str, str] = {}
 
 
 def lake_for(spark: SparkSession, sf_dir: str, model: TelemetryModel) -> Lake:
@@ -101,15 +102,18 @@ class Flow:
     # ---- the landing source ------------------------------------------------------------
     @cached_property
     def csv_path(self) -> str:
-        """Bronze exported as a raw CSV file set: the leading id column carries the
-        unnamed-index header 'Unnamed: 0' and the other columns are in reverse order, so
-        landing must normalise the header and select by name."""
-        path = scratch_path(self.spark, "landing-csv")
-        cols = list(self.model.source_columns)
-        raw = self.bronze.select(
-            F.col(f"`{cols[0]}`").alias("Unnamed: 0"), *[F.col(f"`{c}`") for c in reversed(cols[1:])]
-        )
-        raw.write.option("header", "true").csv(path)
+        """Bronze exported as a raw CSV file set (once per lake): the leading id column
+        carries the unnamed-index header 'Unnamed: 0' and the other columns are in reverse
+        order, so landing must normalise the header and select by name."""
+        path = _CSV_EXPORTS.get(self.lake.root)
+        if path is None:
+            path = scratch_path(self.spark, "landing-csv")
+            cols = list(self.model.source_columns)
+            raw = self.bronze.select(
+                F.col(f"`{cols[0]}`").alias("Unnamed: 0"), *[F.col(f"`{c}`") for c in reversed(cols[1:])]
+            )
+            raw.write.option("header", "true").csv(path)
+            _CSV_EXPORTS[self.lake.root] = path
         return path
 
     @cached_property

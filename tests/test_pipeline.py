@@ -113,3 +113,16 @@ def test_full_refresh_replaces_every_partition(spark):
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     assert sorted(r.id for r in lake.read("silver", "t").collect()) == [0, 1]
+
+
+def test_report_from_observed_metrics_equals_recomputed(spark, lake_run):
+    import json
+
+    from telemetry_spark.plans import reports
+
+    root, _, _ = lake_run
+    lake = Lake(spark, root)
+    observed = json.loads(reports.run_reports(lake).filter("run_id = 'r1'").first().report)
+    pipeline.write_run_report(lake, pipeline.events_feed(), "recomputed", __import__("datetime").datetime(2024, 3, 1))
+    recomputed = json.loads(reports.run_reports(lake).filter("run_id = 'recomputed'").first().report)
+    assert observed == recomputed

@@ -139,6 +139,12 @@ def test_dashboard_and_bi(spark, sample):
     assert (m.peak_oil_temperature_c, m.peak_motor_current_a, m.health_status) == (58.0, 13.0, "Critical")
     one_day = bi.health_measures(bi.select_view(view, start_date="2020-02-01", end_date="2020-02-01"), model).first()
     assert one_day.total_readings == 8 and one_day.health_status == "Critical"
+    feb = bi.health_measures(bi.select_view(view, month=2, equipment_name=model.equipment.equipment_name), model)
+    assert feb.first().total_readings == 12
+    none = bi.health_measures(bi.select_view(view, month=3), model).first()
+    assert none.total_readings is None and none.telemetry_coverage_pct is None and none.health_status == "Normal"
+    trend = bi.trends(view).collect()
+    assert [t.calendar_date.isoformat() for t in trend] == ["2020-02-01", "2020-02-02"]
 
 
 def test_run_report(sample):

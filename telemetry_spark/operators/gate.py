@@ -53,9 +53,11 @@ def with_duplicate_flag(typed: DataFrame, model: TelemetryModel, **dedupe_option
     return flag_duplicates(typed, key_columns(model), ORDER_COLUMNS, flag=DUPLICATE_FLAG, **dedupe_options)
 
 
-def apply_gate(bronze: DataFrame, model: TelemetryModel, **dedupe_options) -> DataFrame:
-    """Typed rows + ``_flags`` (one boolean per rule) + ``rejection_reason`` ('' = accepted)."""
-    typed = typed_projection(bronze, model)
+def apply_gate(bronze: DataFrame, model: TelemetryModel, equipment: Column | None = None,
+               **dedupe_options) -> DataFrame:
+    """Typed rows + ``_flags`` (one boolean per rule) + ``rejection_reason`` ('' = accepted).
+    ``equipment``: a per-row equipment id for fleet feeds (default: the model's)."""
+    typed = typed_projection(bronze, model, equipment)
     flagged = with_duplicate_flag(typed, model, **dedupe_options)
     keep = [q(c) for c in typed.columns]
     with_flags = flagged.selectExpr(*keep, f"{flags_struct_sql(model)} AS {FLAGS}")

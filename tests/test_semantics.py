@@ -147,3 +147,16 @@ def test_interval_lookup_shuffle_path_matches_broadcast(spark):
     narrow = interval_lookup(readings, dims, broadcast_max_rows=0)
     assert sorted(wide.collect()) == sorted(narrow.collect())
     assert [r.failure_event_id for r in narrow.orderBy("i").collect()] == [1, 3, 4, None, None]
+
+
+def test_fleet_feed_keeps_equipment_apart(spark):
+    from pyspark.sql import functions as F
+
+    from telemetry_spark.operators.gold import daily_health
+
+    rows = [{"index": str(i), "_source_file": f"unit{i % 2}.csv"} for i in range(6)]
+    df = bronze(spark, rows)
+    gated = gate.apply_gate(df, MODEL, equipment=F.regexp_extract("_source_file", r"(unit\d)", 1))
+    daily = daily_health(fact_reading(gate.accepted(gated), MODEL), MODEL)
+    got = {r.equipment_id: r.reading_count for r in daily.collect()}
+    assert got == {"unit0": 3, "unit1": 3}

@@ -25,3 +25,15 @@ def test_entry_runs(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert "telemetry_coverage_pct" in df.columns and "equipment_id" not in df.columns
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "date": "DATE"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_column_types_match_oracle(spark, duck_small, name):
+    rel = duck_small.sql(ORACLE[name])
+    oracle_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in QUERIES[name](spark, SF_SMALL).dtypes}
+    assert spark_types == oracle_types

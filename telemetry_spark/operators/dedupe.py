@@ -98,8 +98,13 @@ def flag_duplicates(
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     hot_min: int = DEFAULT_HOT_MIN,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    input_rows: int | None = None,
 ) -> DataFrame:
-    """``df`` with a non-NULL boolean ``flag``: True for every row after the first of its key."""
+    """``df`` with a non-NULL boolean ``flag``: True for every row after the first of its key.
+
+    ``input_rows``, when known (observed on the write that produced ``df``, or a parquet
+    metadata count), bounds the duplicated-key table: within ``broadcast_max_rows`` it is
+    broadcast straight from its aggregate and the candidate pass is skipped."""
     cols = [f"`{c}`" for c in df.columns]
     rk = [f"_dk_{k}" for k in keys]
     mine = _order_sql(order)
@@ -109,6 +114,9 @@ def flag_duplicates(
         joined = df.join(F.broadcast(right), F.expr(_null_safe(list(keys), rk)), "left")
         return joined.selectExpr(*cols, f"coalesce({mine} > _first, false) AS `{flag}`")
 
+    if input_rows is not None and input_rows <= broadcast_max_rows:
+        return broadcast_join(duplicated_keys(df, keys, order))
+
     candidates, n_candidates = duplicate_candidates(df, keys)
     if n_candidates == 0:
         return df.selectExpr(*cols, f"false AS `{flag}`")

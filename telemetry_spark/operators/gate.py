@@ -56,7 +56,8 @@ def with_duplicate_flag(typed: DataFrame, model: TelemetryModel, **dedupe_option
 def apply_gate(bronze: DataFrame, model: TelemetryModel, equipment: Column | None = None,
                **dedupe_options) -> DataFrame:
     """Typed rows + ``_flags`` (one boolean per rule) + ``rejection_reason`` ('' = accepted).
-    ``equipment``: a per-row equipment id for fleet feeds (default: the model's)."""
+    ``equipment``: a per-row equipment id for fleet feeds (default: the model's).
+    ``dedupe_options`` go to :func:`flag_duplicates` (e.g. ``input_rows`` when known)."""
     typed = typed_projection(bronze, model, equipment)
     flagged = with_duplicate_flag(typed, model, **dedupe_options)
     keep = [q(c) for c in typed.columns]

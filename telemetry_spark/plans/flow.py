@@ -128,7 +128,7 @@ class Flow:
     @cached_property
     def gated(self) -> DataFrame:
         """The quality gate computed from stored Bronze."""
-        return gate.apply_gate(self.bronze, self.model)
+        return gate.apply_gate(self.bronze, self.model, input_rows=self.bronze.count())
 
     @cached_property
     def fact(self) -> DataFrame:

@@ -33,6 +33,7 @@ def brute(df):
 
 
 @pytest.mark.parametrize("options", [
+    {"input_rows": 3000},                                          # input within the bound
     {},                                                            # broadcast path
     {"broadcast_max_rows": 10, "hot_min": 50, "salt_buckets": 8},  # hot keys broadcast, rest salted shuffle
     {"broadcast_max_rows": 1, "hot_min": 10**9},                   # every key through the shuffle join

@@ -33,13 +33,24 @@ def test_fact_is_built_without_shuffling_readings(spark):
 
 def test_gate_flags_duplicates_without_shuffling_readings(spark):
     plan = physical(QUERIES["quality_gate"](spark, SF_SMALL))
-    # the duplicated-key table (bounded by the measured candidate count) is broadcast with
-    # null-safe keys; the one aggregation Exchange sits inside that broadcast's build side
-    # (candidate rows only), printed after the readings' side of the tree
-    assert plan.count("BroadcastHashJoin") == 2 and "isnull" in plan and "SortMergeJoin" not in plan
+    # the duplicated-key table (bounded by the input row count here) is broadcast with
+    # null-safe keys; the one aggregation Exchange sits inside that broadcast's build side,
+    # printed after the readings' side of the tree
+    assert plan.count("BroadcastHashJoin") == 1 and "isnull" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") > plan.index("BroadcastExchange")
+
+
+def test_gate_candidate_path_without_shuffling_readings(spark):
+    from telemetry_spark.model import events_feed
+    from telemetry_spark.operators import gate
+    from telemetry_spark.plans.flow import Flow
+
+    bronze = Flow(spark, SF_SMALL).bronze
+    plan = physical(gate.apply_gate(bronze, events_feed()))  # input size unknown: candidate pass
+    assert plan.count("BroadcastHashJoin") == 2 and "LeftSemi" in plan
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.index("Exchange hashpartitioning") > plan.index("BroadcastExchange")
-    assert "LeftSemi" in plan
 
 
 def test_dashboard_broadcasts_both_dimensions(spark):

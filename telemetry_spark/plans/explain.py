@@ -19,8 +19,9 @@ from telemetry_spark.session import local_session
 
 NOTES = {
     "quality_gate": "Bronze scan -> typed projection -> broadcast hash join (null-safe keys) with the exact "
-                    "duplicated-key table, whose build side aggregates only the rows whose key hash is a measured "
-                    "candidate (broadcast left-semi join). The readings' side has no Exchange.",
+                    "duplicated-key table, bounded here by the Bronze row count (for larger inputs the build side "
+                    "aggregates only rows whose key hash is a measured candidate). The readings' side has no "
+                    "Exchange.",
     "fact_reading": "Silver scan (accepted partition only) -> broadcast hash join with the day-bucketed interval "
                     "table -> array_min(transform(filter(...))). No Exchange of readings.",
     "daily_health": "Fact scan reads 9 columns -> partial aggregate -> Exchange of partial rows only -> final "

@@ -11,6 +11,7 @@ daily fact and dimensions.  Nothing is cached in memory; an executor loss re-rea
 from __future__ import annotations
 
 import os
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from telemetry_spark.sources.store import Lake
 CHECK_RUN_ID = "feed_check"
 CHECK_TIME = "2024-02-05 00:00:00"
 
+_LOCK = threading.RLock()
 _LAKES: dict[tuple, str] = {}
 _CSV_EXPORTS: dict[str, str] = {}
 
@@ -39,11 +41,12 @@ def lake_for(spark: SparkSession, sf_dir: str, model: TelemetryModel) -> Lake:
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     key = (app_id(spark), os.path.abspath(src),
            os.path.getmtime(src) if os.path.exists(src) else 0.0, model)
-    root = _LAKES.get(key)
-    if root is None:
-        root = scratch_path(spark, "lake")
-        run_pipeline(spark, feed_source.feed(spark, sf_dir), root, run_id=CHECK_RUN_ID, model=model)
-        _LAKES[key] = root
+    with _LOCK:  # queries issued from several threads build the lake once
+        root = _LAKES.get(key)
+        if root is None:
+            root = scratch_path(spark, "lake")
+            run_pipeline(spark, feed_source.feed(spark, sf_dir), root, run_id=CHECK_RUN_ID, model=model)
+            _LAKES[key] = root
     return Lake(spark, root)
 
 
@@ -105,15 +108,17 @@ class Flow:
         """Bronze exported as a raw CSV file set (once per lake): the leading id column
         carries the unnamed-index header 'Unnamed: 0' and the other columns are in reverse
         order, so landing must normalise the header and select by name."""
-        path = _CSV_EXPORTS.get(self.lake.root)
-        if path is None:
-            path = scratch_path(self.spark, "landing-csv")
-            cols = list(self.model.source_columns)
-            raw = self.bronze.select(
-                F.col(f"`{cols[0]}`").alias("Unnamed: 0"), *[F.col(f"`{c}`") for c in reversed(cols[1:])]
-            )
-            raw.write.option("header", "true").csv(path)
-            _CSV_EXPORTS[self.lake.root] = path
+        root = self.lake.root
+        with _LOCK:
+            path = _CSV_EXPORTS.get(root)
+            if path is None:
+                path = scratch_path(self.spark, "landing-csv")
+                cols = list(self.model.source_columns)
+                raw = self.bronze.select(
+                    F.col(f"`{cols[0]}`").alias("Unnamed: 0"), *[F.col(f"`{c}`") for c in reversed(cols[1:])]
+                )
+                raw.write.option("header", "true").csv(path)
+                _CSV_EXPORTS[root] = path
         return path
 
     @cached_property

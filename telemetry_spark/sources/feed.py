@@ -14,6 +14,8 @@ the events table, ``_block_start`` is 0 and ``_row_seq`` = 2 * event_id + copy.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,6 +118,7 @@ def feed(spark: SparkSession, sf_dir: str, replicate: int = 1, shift_ids: bool =
     return out.withColumn("_row_seq", F.col("_row_seq") * replicate + F.col("_copy_no")).drop("_copy_no")
 
 
+_LOCK = threading.Lock()
 _LANDED: dict[tuple[str, str, float], str] = {}
 
 
@@ -131,9 +134,10 @@ def landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     key = (app_id(spark), os.path.abspath(src), os.path.getmtime(src) if os.path.exists(src) else 0.0)
-    path = _LANDED.get(key)
-    if path is None:
-        path = scratch_path(spark, "bronze-feed")
-        feed(spark, sf_dir).write.parquet(path)
-        _LANDED[key] = path
+    with _LOCK:
+        path = _LANDED.get(key)
+        if path is None:
+            path = scratch_path(spark, "bronze-feed")
+            feed(spark, sf_dir).write.parquet(path)
+            _LANDED[key] = path
     return spark.read.parquet(path)

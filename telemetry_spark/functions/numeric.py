@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def round_half_up(value: Column, digits: int) -> Column:
-    """Round a double through decimal(28,10), half up, and return a double.
+def round_half_up_sql(value: str, digits: int) -> str:
+    """Round a double expression through decimal(28,10), half up, and return a double.
 
     Plain ``round(avg(x), n)`` on a double depends on the order partial sums were added
     in, so an exact tie such as 4.9375 can come out either way.  Snapping to 10 decimals
     first removes the summation noise, and the decimal round is exact.
     """
-    return F.round(value.cast("decimal(28,10)"), digits).cast("double")
-
-
-def round_half_up_sql(value: str, digits: int) -> str:
-    """SQL form of :func:`round_half_up`."""
     return f"CAST(round(CAST({value} AS DECIMAL(28,10)), {int(digits)}) AS DOUBLE)"

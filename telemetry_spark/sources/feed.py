@@ -14,8 +14,6 @@ the events table, ``_block_start`` is 0 and ``_row_seq`` = 2 * event_id + copy.
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,28 +114,3 @@ def feed(spark: SparkSession, sf_dir: str, replicate: int = 1, shift_ids: bool =
     # same ids: the row sequence orders the copies of an event after one another
     out = feed_from_events(spread(copies), keep=("_copy_no",))
     return out.withColumn("_row_seq", F.col("_row_seq") * replicate + F.col("_copy_no")).drop("_copy_no")
-
-
-_LOCK = threading.Lock()
-_LANDED: dict[tuple[str, str, float], str] = {}
-
-
-def landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed landed as a stored Bronze table under the shared checkpoint folder.
-
-    Bronze is written once per session and scale directory (as a landing job writes it
-    once per run); every later read is a plain parquet scan with column pruning.  The key
-    includes the events file's modification time, so a changed input is landed again."""
-    import os
-
-    from telemetry_spark.session import app_id, scratch_path
-
-    src = f"{sf_dir.rstrip('/')}/events.parquet"
-    key = (app_id(spark), os.path.abspath(src), os.path.getmtime(src) if os.path.exists(src) else 0.0)
-    with _LOCK:
-        path = _LANDED.get(key)
-        if path is None:
-            path = scratch_path(spark, "bronze-feed")
-            feed(spark, sf_dir).write.parquet(path)
-            _LANDED[key] = path
-    return spark.read.parquet(path)

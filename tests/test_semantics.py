@@ -121,6 +121,9 @@ def test_landing_check(spark):
     assert landing.landing_check(df, 2).first().passed
     assert not landing.landing_check(df, 3).first().passed
     assert landing.landing_check(df, df).first().asDict() == {"landed_rows": 2, "expected_rows": 2, "passed": True}
+    assert landing.assert_landed(landing.landing_check(df, 2)) == 2
+    with pytest.raises(RuntimeError, match="expected 3"):
+        landing.assert_landed(landing.landing_check(df, 3))
 
 
 def test_session_zone_is_forced_to_utc(spark):

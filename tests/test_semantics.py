@@ -163,3 +163,27 @@ def test_fleet_feed_keeps_equipment_apart(spark):
     daily = daily_health(fact_reading(gate.accepted(gated), MODEL), MODEL)
     got = {r.equipment_id: r.reading_count for r in daily.collect()}
     assert got == {"unit0": 3, "unit1": 3}
+
+
+def test_gate_fallback_paths_agree(spark):
+    """The whole gate on the salted-shuffle fallback equals the default broadcast path,
+    with one unparsable key holding a third of the rows."""
+    rows = []
+    for i in range(90):
+        if i % 3 == 0:
+            rows.append({"index": "bad-id", "timestamp": "bad"})       # the hot (NULL, NULL) key
+        elif i % 3 == 1:
+            rows.append({"index": str(i % 7)})                          # repeated keys
+        else:
+            rows.append({"index": str(1000 + i)})                       # unique keys
+    df = bronze(spark, rows)
+
+    def reasons(**opts):
+        g = gate.apply_gate(df, MODEL, **opts)
+        return [r.rejection_reason for r in g.orderBy("_row_seq").collect()]
+
+    default = reasons()
+    assert default == reasons(broadcast_max_rows=3, hot_min=5, salt_buckets=4)
+    assert default == reasons(broadcast_max_rows=1, hot_min=10**9)
+    assert default == reasons(input_rows=90)
+    assert sum("duplicate_reading" in r for r in default) == 29 + (30 - 7)

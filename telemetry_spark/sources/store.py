@@ -27,6 +27,9 @@ class Lake:
         self.root = root.rstrip("/")
         self.fmt = fmt
         self.compression = compression
+        # one DataFrame (and so one file listing) per table until that table is written
+        # again: on an object store a day-partitioned fact is a large listing
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, layer: str, name: str) -> str:
         if layer not in LAYERS:
@@ -46,11 +49,13 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         if max_records_per_file:
             writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+        self._frames.pop(path, None)
         writer.save(path)
         return path
 
     def append(self, df: DataFrame, layer: str, name: str) -> str:
         path = self.path(layer, name)
+        self._frames.pop(path, None)
         self._writer(df).mode("append").save(path)
         return path
 
@@ -59,7 +64,11 @@ class Lake:
         return writer.option("compression", self.compression) if self.compression else writer
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.path(layer, name))
+        path = self.path(layer, name)
+        frame = self._frames.get(path)
+        if frame is None:
+            frame = self._frames[path] = self.spark.read.format(self.fmt).load(path)
+        return frame
 
     def register(self, df: DataFrame, name: str) -> DataFrame:
         """Expose a frame (a stored table or a view definition) to SQL under ``name``."""

@@ -126,3 +126,14 @@ def test_report_from_observed_metrics_equals_recomputed(spark, lake_run):
     pipeline.write_run_report(lake, pipeline.events_feed(), "recomputed", __import__("datetime").datetime(2024, 3, 1))
     recomputed = json.loads(reports.run_reports(lake).filter("run_id = 'recomputed'").first().report)
     assert observed == recomputed
+
+
+def test_reads_see_every_write(spark):
+    lake = Lake(spark, scratch_path(spark, "reread"))
+    lake.overwrite(spark.range(3), "gold", "t")
+    assert lake.read("gold", "t").count() == 3
+    assert lake.read("gold", "t") is lake.read("gold", "t")  # one listing per table
+    lake.overwrite(spark.range(5), "gold", "t")
+    assert lake.read("gold", "t").count() == 5
+    lake.append(spark.range(2), "gold", "t")
+    assert lake.read("gold", "t").count() == 7

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +46,24 @@ def free_name(df: DataFrame, name: str) -> str:
 def quoted(name: str) -> Column:
     """A top-level column by its exact name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (a zip of its sources, served by Spark), so that their
+    Python workers can import it wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="package-"), "telemetry_spark.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)

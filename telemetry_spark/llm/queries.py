@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from telemetry_spark.llm import exact_dedup, sharding
+from telemetry_spark.llm import bpe, exact_dedup, packing, sharding, token_counts
 
 QUERIES = {
+    "op1_bpe": bpe.op1_bpe,
+    "op5_token_counts": token_counts.op5_token_counts,
     "op8_minimax_shards": sharding.op8_minimax_shards,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_harmonic_packing": packing.op10_harmonic_packing,
 }
 
 ORACLE_SQL = {

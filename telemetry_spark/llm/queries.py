@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from telemetry_spark.llm import bpe, exact_dedup, langid, packing, pii, sharding, token_counts
+from telemetry_spark.llm import bpe, exact_dedup, langid, near_dedup, packing, pii, sharding, token_counts
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
     "op2_language_id": langid.op2_language_id,
     "op3_personal_data": pii.op3_personal_data,
+    "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_token_counts": token_counts.op5_token_counts,
     "op8_minimax_shards": sharding.op8_minimax_shards,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,

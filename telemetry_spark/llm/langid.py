@@ -32,6 +32,7 @@ ORDERS = (5, 4, 3, 2, 1)
 BACKOFF = math.log(0.4)
 UNKNOWN = "und"
 REMEMBERED = 100_000
+LANG, SCORE = "lang_pred", "score"
 
 
 class Model:
@@ -122,17 +123,19 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """(columns of ``keep``, lang_pred, score) for every row.
+    """(columns of ``keep``, lang_pred, score) for every row; ``keep`` must not hold these names.
 
     ``und`` with score 0 if the text is null or has no letter, or the model knows no language.
     Repeated rows stay repeated; other columns are not read; an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*[quoted(c) for c in keep], quoted(text_col).cast("string").alias(free_name(docs, "_text")))
-    schema = T.StructType([*source.schema[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    own = text_col not in keep      # else the text comes once, in its place among the kept columns
+    source = docs.select(*[quoted(c) for c in keep], *([quoted(text_col).alias(free_name(docs, "_text"))] if own else []))
+    at = len(keep) if own else list(keep).index(text_col)
+    schema = T.StructType([*source.schema[:len(keep)], T.StructField(LANG, T.StringType()), T.StructField(SCORE, T.DoubleType())])
 
     def rows(model, *columns):
         for row in zip(*columns):
-            yield (*row[:-1], *model.predict(row[-1] or ""))
+            yield (*row[:len(keep)], *model.predict(row[at] or ""))
 
     return map_rows(source, rows, schema, setup=lambda: shared.value)
 

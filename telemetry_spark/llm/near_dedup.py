@@ -1,7 +1,7 @@
 """Near duplicates by MinHash, verified on full shingle sets.
 
 1. One pass over the texts gives each document's set of word shingles (64-bit hashes), its
-   size, a 128-bit digest of the whole set, and ``bands`` x ``rows`` universal-hash minima.
+   size, a 128-bit digest of the whole set, and universal-hash minima in bands of ``rows``.
    Documents with equal sets are one node, the smallest id, from here on: copies cost a row of
    an aggregation, never a pair.
 2. Nodes that share a band meet in a bucket.  A bucket gives its members only a link to its
@@ -15,13 +15,14 @@
    none among themselves, so only the others, in blocks, meet the blocks of all members.
 5. Connected components over the spanning edges.
 
-At the threshold a pair shares no band with probability (1 - 0.85^7)^40 = 2e-7; no bucket is
-capped and no pair that shares a band is lost.
+The number of bands follows from the threshold: a pair exactly at it shares no band with a
+probability of at most ``missed``.  No bucket is capped and no pair that shares a band is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -191,11 +192,13 @@ _DDL = "hub long, left_block long, right_block long, "
 
 class NearDuplicates:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, width: int = 5, threshold: int = 80,
-                 bands: int = 40, rows: int = 7, block: int = 256):
+                 rows: int = 7, missed: float = 1e-6, block: int = 256):
         self.docs, self.id_col, self.text_col = docs, id_col, text_col
-        self.shape = (width, bands, rows)
         self.threshold, self.block = threshold, block
         share = threshold / 100
+        # a pair at the threshold shares no band with at most this probability
+        bands = math.ceil(math.log(missed) / math.log1p(-(share ** rows)))
+        self.shape = (width, bands, rows)
         self.signature_share = share - 5 * (share * (1 - share) / (bands * rows)) ** 0.5
 
     def links_within(self, groups: DataFrame, signatures: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from telemetry_spark.llm import bpe, embedding_dedup, exact_dedup, langid, near_dedup, packing, pii, sharding, token_counts
+from telemetry_spark.llm import bpe, embedding_dedup, exact_dedup, langid, near_dedup, packing, pii, sharding, token_counts, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_personal_data": pii.op3_personal_data,
     "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_url_filter": url_filter.op6_url_filter,
     "op7_embedding_dedup": embedding_dedup.op7_embedding_dedup,
     "op8_minimax_shards": sharding.op8_minimax_shards,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
@@ -17,5 +18,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op6_url_filter": url_filter.oracle(),
     "op9_exact_dedup": exact_dedup.ORACLE,
 }

@@ -20,6 +20,7 @@ Decoding concatenates byte strings up the same kind of tree.
 from __future__ import annotations
 
 import base64
+import json
 import re
 from functools import lru_cache
 
@@ -37,12 +38,25 @@ STABLE = re.compile(rf"\S(?=[ \t-\r])|[{LETTER}](?=[{MARK}])")
 WINDOW = 32
 
 
+def file_ranks(vocabulary: str) -> dict[bytes, int]:
+    """The ranks of a vocabulary file: base64 pieces with ranks, or a tokenizer in JSON."""
+    if not vocabulary.endswith(".json"):
+        with open(vocabulary, "rb") as lines:
+            return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    with open(vocabulary, encoding="utf-8") as text:
+        pieces = json.load(text)["model"]["vocab"]
+    # these files write bytes as letters: printable ones of Latin-1 as themselves, the others
+    # in order from U+0100
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(sorted(set(range(256)) - set(own)))}
+    return {bytes(map(letters.__getitem__, piece)): rank for piece, rank in pieces.items()}
+
+
 class TreeBpe:
     def __init__(self, vocabulary: str, pattern: str, leaf_chars: int = 4096):
         import tiktoken
 
-        with open(vocabulary, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        ranks = file_ranks(vocabulary)
         self.leaf_chars = leaf_chars
         self.leaf = tiktoken.Encoding("leaf", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.bytes_of = [b""] * (max(ranks.values()) + 1)

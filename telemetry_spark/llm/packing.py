@@ -13,45 +13,48 @@ sequences whose length is a power of two, so that no sequence is padded at all.
 
 from __future__ import annotations
 
-import os
+import json
+import re
 import zlib
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetry_spark.llm.arrow_map import map_rows
+from telemetry_spark.llm.bpe import TreeBpe
 from telemetry_spark.llm.common import free_name, materialise, quoted, table
-from telemetry_spark.llm.units import OTHER_SPACE, SPACED, Units
 
 
 class IdBytes:
-    """Texts to ids, as little-endian unsigned 32-bit numbers in bytes."""
+    """Texts to ids, as little-endian unsigned 32-bit numbers in bytes.
 
-    def __init__(self, vocabulary: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    The merges are those of the tokenizer file, run by the tree encoder; special strings of the
+    file that stand in a text are its special ids, as the file's own library has it by default."""
 
-        library = Tokenizer.from_file(vocabulary)
-        library.no_truncation()
-        library.no_padding()
-        self.library = library
-        self.units = Units(self._whole)
+    def __init__(self, vocabulary: str, pattern: str):
+        with open(vocabulary, encoding="utf-8") as text:
+            added = json.load(text).get("added_tokens", [])
+        self.special = {t["content"]: t["id"].to_bytes(4, "little") for t in added}
+        self.splitter = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if added else None
+        self.tree = TreeBpe(vocabulary, pattern, leaf_chars=1 << 15)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(i.to_bytes(4, "little") for i in e.ids)
-                for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tree.encode(text), "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if OTHER_SPACE.search(text):
-            return self._whole([text])[0]
-        return b"".join(self.units.values_of(SPACED.findall(text)))
+        parts, done = [], 0
+        for m in self.splitter.finditer(text) if self.splitter else ():
+            parts += [self._plain(text[done:m.start()]), self.special[m.group()]]
+            done = m.end()
+        return b"".join([*parts, self._plain(text[done:])])
 
 
 @lru_cache(maxsize=2)
-def _encoder(vocabulary: str) -> IdBytes:
-    return IdBytes(vocabulary)
+def _encoder(vocabulary: str, pattern: str) -> IdBytes:
+    return IdBytes(vocabulary, pattern)
 
 
 def piece_lengths(tokens: int, capacity: int) -> list[int]:
@@ -60,7 +63,7 @@ def piece_lengths(tokens: int, capacity: int) -> list[int]:
     return [capacity] * (tokens // capacity) + [1 << b for b in reversed(range(capacity.bit_length())) if rest >> b & 1]
 
 
-def cut_documents(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 0, id_col: str = "doc_id",
+def cut_documents(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 1024, end_id: int = 0, id_col: str = "doc_id",
                   text_col: str = "text", with_ids: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens) for every piece of every document, with the
     piece's ids in ``ids`` (binary, little-endian unsigned 32-bit) if asked for."""
@@ -81,7 +84,7 @@ def cut_documents(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id
                 yield (key, start, length, zlib.crc32(piece), tokens, *([bytes(piece)] if with_ids else []), *more)
                 start += length
 
-    return map_rows(source, rows, T.StructType(fields), setup=lambda: _encoder(vocabulary))
+    return map_rows(source, rows, T.StructType(fields), setup=lambda: _encoder(vocabulary, pattern))
 
 
 def bins(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int]]:
@@ -123,7 +126,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 1024, lanes: int = 64, id_col
         F.expr("(_piece - _first) % _per * length").alias("offset"))
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 0, id_col: str = "doc_id",
+def pack_documents(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 1024, end_id: int = 0, id_col: str = "doc_id",
                    text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Every piece of every document with its place: (id, start, length, ids_crc32, doc_tokens,
     [ids,] sequence_id, offset).
@@ -133,11 +136,12 @@ def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_i
     ``capacity`` is a power of two."""
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
-    pieces, _ = materialise(cut_documents(docs, vocabulary, capacity, end_id, id_col, text_col, with_ids), "pieces")
+    pieces, _ = materialise(cut_documents(docs, vocabulary, pattern, capacity, end_id, id_col, text_col, with_ids), "pieces")
     return pack_pieces(pieces, capacity, id_col=id_col)
 
 
 def op10_harmonic_packing(spark, sf_dir):
     import public_tokenizers
 
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.PATTERN)

@@ -1,49 +1,31 @@
-"""Encodings of white-space separated units, remembered within bounds.
-
-The splitting patterns of the vocabularies used here never match across the start of a run
-of white space, so the units below are encoded alike alone and inside a text:
-
-* ``SPACED``: an optional single space with what follows it up to the next ASCII white space,
-  and runs of ASCII white space less the character that belongs to the next unit;
-* ``WORDS``: what stands between ASCII white space (for vocabularies that drop white space).
-
-``SPACED`` needs a text without other white space (``OTHER_SPACE``), which could join such a
-run; texts that have some are encoded whole.
-"""
+"""Values of units, remembered within bounds: what stands between ASCII white space is encoded
+alike alone and inside a text by vocabularies that drop white space and never match across it."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
 
-SPACED = re.compile(r" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 WORDS = re.compile(r"[^ \t-\r]+")
-# white space beyond ASCII, with what some libraries count as such
-OTHER_SPACE = re.compile("[" + "".join(map(chr, [
-    *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF,
-])) + "]")
 
 
-class Units(dict):
+class Units:
     """unit -> value; ``encode(list of units)`` gives the values of new ones.  At most about
     ``limit`` units are remembered, none longer than ``longest``."""
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = 250_000, longest: int = 64):
-        super().__init__()
+    def __init__(self, encode: Callable[[list[str]], list], limit: int = 400_000, longest: int = 64):
         self.encode, self.limit, self.longest = encode, limit, longest
+        self.known: dict[str, object] = {}
 
     def values_of(self, units: list[str]) -> list:
-        new = list(set(units).difference(self))
+        new = list(set(units).difference(self.known))
         long: dict[str, object] = {}
         if new:
-            if len(self) + len(new) > self.limit:
-                self.clear()
+            if len(self.known) + len(new) > self.limit:
+                self.known.clear()
                 new = list(set(units))
             for unit, value in zip(new, self.encode(new)):
-                if len(unit) <= self.longest:
-                    self[unit] = value
-                else:
-                    long[unit] = value
+                (self.known if len(unit) <= self.longest else long)[unit] = value
         if long:
-            return [long[u] if u in long else self[u] for u in units]
-        return list(map(self.__getitem__, units))
+            return [long[u] if u in long else self.known[u] for u in units]
+        return list(map(self.known.__getitem__, units))

@@ -1,0 +1,76 @@
+"""Documents with every odd case, and plain-Python versions of what the operators compute."""
+
+import random
+import re
+
+from pyspark.sql import types as T
+
+SCHEMA = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
+    T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
+    # names the operators use themselves
+    *[T.StructField(c, T.StringType()) for c in ("id", "content", "size", "shard", "_text", "lang_pred", "score", "component", "_kept_id")],
+])
+LONG = " ".join(f"w{i % 997} long{i % 13}" for i in range(15_000))
+BASE = "The quick brown fox jumps over the lazy dog near the river bank while seven old sailors sing quiet songs of home"
+TEXTS = [
+    (1, None), (2, ""), (3, " \t\n"), (4, "word"), (5, "Same text here"), (6, "same text here"), (7, "Same  text\there "),
+    (8, LONG), (9, LONG + " end"), (10, "naïve café — 漢字 😀 don't we'll"), (11, "word"), (12, "two words"),
+    (13, BASE), (14, BASE + " today"), (15, BASE.replace("seven", "eight")), (16, BASE), (16, BASE),
+    (17, "12345 !!! ..."), (18, "<|endoftext|> a<|startoftext|>b"), (None, "no id"), (None, None), (19, "x" * 70_000),
+    (20, " " * 5_000), (21, "write to a.b@mail.example.org or 10.0.0.1 call +1 (555) 010-1234 card 4111 1111 1111 1111"),
+]
+
+
+def documents(spark, texts=TEXTS):
+    rows = [(i, t, "en" if t and k % 3 else None, "s", len(t or "")) + ("clash",) * 9 for k, (i, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def no_documents(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def odd_texts(n=400, seed=5):
+    parts = ["a", "the", " ", "  ", "\n", "'s", "'", "re", "9", "12", "!", "é", "漢字", "。", "\xa0", "\u3000", "\x1c", "\t",
+             "<|endoftext|>", "e\u0301", "ñ", "_", "-", ".", "\r\n", "'ll", "A", "😀", "ﬁ", "\u2003", "Σ", "@", "+", "(5"]
+    draw = random.Random(seed)
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 90))) for _ in range(n)]
+    return texts + ["a" * 5000, "word " * 3000, " " * 5000, "漢字" * 3000, "x1" * 4000]
+
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingle_set(text, width):
+    words = WORDS.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    if len(words) < width:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i:i + width]) for i in range(len(words) - width + 1))
+
+
+def components(nodes, links):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    return {n: find(n) for n in nodes}
+
+
+def near_components(texts, width, percent):
+    """{id: component} by comparing all pairs."""
+    sets = {i: shingle_set(t, width) for i, t in texts if i is not None}
+    links = []
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b]:
+                both = len(sets[a] & sets[b])
+                if 100 * both >= percent * len(sets[a] | sets[b]):
+                    links.append((a, b))
+    return components(sets, links)

@@ -1,0 +1,152 @@
+"""The per-text kernels against the libraries and naive versions."""
+
+import re
+import struct
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+from cases import odd_texts
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from telemetry_spark.llm import pii
+from telemetry_spark.llm.bpe import TreeBpe, file_ranks
+from telemetry_spark.llm.packing import IdBytes, bins, piece_lengths
+from telemetry_spark.llm.sharding import Prefix, greedy_cuts, smallest_capacity
+from telemetry_spark.llm.token_counts import TokenCounter
+
+RANKS = P.path("byte_bpe_multi_50k.tiktoken")
+TREE = TreeBpe(RANKS, P.PATTERN, leaf_chars=7)
+WHOLE = tiktoken.Encoding("whole", pat_str=P.PATTERN, mergeable_ranks=file_ranks(RANKS), special_tokens={})
+WORD_FILE, BYTE_FILE = P.path("word_bpe_49k.json"), P.path("byte_bpe_50k.json")
+
+
+def test_tree_encodes_and_decodes_like_the_library():
+    for text in odd_texts():
+        ids = TREE.encode(text)
+        assert ids == WHOLE.encode_ordinary(text)
+        assert TREE.decode(ids) == text.encode()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(exclude_categories=("Cs",)), max_size=60))
+def test_tree_on_any_text(text):
+    assert TREE.encode(text) == WHOLE.encode_ordinary(text)
+
+
+def test_json_and_rank_files_agree():
+    assert file_ranks(BYTE_FILE) == file_ranks(P.path("byte_bpe_50k.tiktoken"))
+
+
+@pytest.mark.parametrize("chunk,overlap", [(40, 4), (7, 1), (16_384, 128)])
+def test_counts_are_the_library_s(chunk, overlap):
+    library, counter = Tokenizer.from_file(WORD_FILE), TokenCounter(WORD_FILE, chunk, overlap)
+    for text in odd_texts(150):
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_forgetting_units_changes_nothing():
+    counter = TokenCounter(WORD_FILE)
+    counter.units.limit = 3
+    assert [counter.count(t) for t in ("a b c d e f", "a b g", "h i j k l")] == [6, 3, 5]
+
+
+def test_id_bytes_are_the_library_s():
+    library, encoder = Tokenizer.from_file(BYTE_FILE), IdBytes(BYTE_FILE, P.PATTERN)
+    for text in odd_texts():
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
+
+
+NAIVE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def naive_spans(text):
+    out = []
+    for kind, pattern in NAIVE.items():
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m.group() if c.isdigit()]
+            doubled = [d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits[::-1])]
+            if kind == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == "card" and not (16 <= len(digits) <= 19 and sum(doubled) % 10 == 0):
+                continue
+            if kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            out.append((kind, m.start(), m.end()))
+    return out
+
+
+def base(text):
+    return [s[:3] for s in pii.find_spans(text) if s[0] in pii.BASE]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text(alphabet="0123456789.@-+ ()a_é", max_size=50))
+def test_base_spans_are_the_naive_ones(text):
+    assert base(text) == naive_spans(text)
+
+
+def test_base_spans_in_prose():
+    text = ("x a@b a@b.c.d@e.f 1.2.3.4.5.6.7.8 256.1.1.1 001.002.003.004 x 4111 1111 1111 1111 x 4111-1111-1111-1112 "
+            "+1 (555) 010-1234 +12 +1234567890123456 ")
+    assert base(text) == naive_spans(text) and len(base(text)) >= 6
+
+
+def test_added_spans_need_proof():
+    kinds = lambda text: [s[0] for s in pii.find_spans(text)]
+    assert kinds("my bank account GB82 WEST 1234 5698 7654 32 thanks") == ["iban"]
+    assert kinds("GB82 WEST 1234 5698 7654 33") == []
+    assert kinds("amex card 378282246310005") == ["card15"]
+    assert kinds("serial 378282246310005") == []
+    assert kinds("ssn 123-45-6789") == ["ssn"] and kinds("123-45-6789") == []
+
+
+def test_spans_of_long_runs_are_linear():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+" * 200_000, "1 " * 100_000):
+        pii.find_spans(text)
+
+
+def test_redaction():
+    text = "mail a@b.cd, ip 1.2.3.4."
+    assert pii.redacted(text, pii.find_spans(text)) == "mail <EMAIL>, ip <IP>."
+
+
+def test_pieces_and_bins():
+    assert piece_lengths(2500, 1024) == [1024, 1024, 256, 128, 64, 4]
+    runs = bins({1024: 2, 256: 7, 1: 1029}, 1024)
+    # 7 of 256: one full sequence, then two of them and one
+    assert [r for r in runs if r[0] == 256] == [(256, 0, 2, 4), (256, 4, 3, 2), (256, 6, 4, 1)]
+    assert sum(1 for r in runs if r[0] * r[3] & (r[0] * r[3] - 1)) == 0
+
+
+def brute_capacity(sizes, shards):
+    for capacity in range(1, sum(sizes) + 1):
+        used, held = 1, 0
+        for i, s in enumerate(sizes):
+            if s > capacity:
+                used += (held > 0) + (i + 1 < len(sizes))
+                held = 0
+            elif held + s > capacity:
+                used, held = used + 1, s
+            else:
+                held += s
+        if used <= shards:
+            return capacity
+    return 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=25), st.integers(1, 6))
+def test_smallest_capacity(sizes, shards):
+    prefixes = [Prefix(f"{i:03d}", s, True) for i, s in enumerate(sizes)]
+    capacity = smallest_capacity(prefixes, shards, divisible=False)
+    assert capacity == brute_capacity(sizes, shards)
+    assert len(greedy_cuts(prefixes, capacity, False)) < shards

@@ -13,7 +13,6 @@ Layout:
     functions/    rule, calendar, rounding and literal-table expressions
     operators/    gate, duplicate detection, interval lookup, gold, quality, validation, BI
     plans/        the end-to-end pipeline, the registered queries and their oracle SQL
-    streaming/    intentionally empty (the workload has no streams)
 """
 
 __version__ = "0.1.0"

@@ -49,7 +49,7 @@ class Rule:
 
 @dataclass(frozen=True)
 class AnomalyRule:
-    """An explainable operating-risk flag (strict comparisons).
+    """A named condition on one accepted reading (strict comparisons).
 
     ``kind``: ``above`` (col > threshold), ``abs_diff_above``
     (abs(columns[0] - columns[1]) > threshold) or ``equals`` (col = threshold).

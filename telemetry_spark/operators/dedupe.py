@@ -1,149 +1,71 @@
-"""Deterministic, skew-safe duplicate detection.
+"""Deterministic duplicate detection, one plan at every size.
 
 Semantics: rows sharing a key (NULLs compare equal, as in ``GROUP BY``) are ranked by a
 unique order key; the first row is kept and every later row is a duplicate.  This is
 ``row_number() OVER (PARTITION BY key ORDER BY order) > 1``.
 
-Plan.  A window would hash the whole table on the key and sort each key's rows in one
-task, so a hot key -- a replayed file, or every row whose key failed to parse, which
-all share (NULL, NULL) -- lands in one task.  Instead:
-
-1. Candidates: only a 64-bit hash of the key goes through a shuffle (``groupBy(hash)
-   .count()``), and hashes seen more than once are kept -- every duplicated key, plus
-   rare hash collisions.  Unique keys, the common case, never ship their order key.
-2. Exact: rows whose key hash is a candidate (a broadcast left-semi join, no shuffle) are
-   reduced by ``groupBy(key).agg(count, min(order))`` to keys seen more than once.
-   Partial aggregation combines map-side, so a hot key costs one row per input partition
-   before the shuffle, never one task holding the group.  The candidate table is written
-   to the shared checkpoint folder (lineage is cut) and its size is observed on that same
-   write; it bounds the exact table, which therefore needs no write of its own unless
-   the candidates are too many to broadcast.
-3. If the duplicated-key table is at most ``broadcast_max_rows`` rows it is broadcast and
-   joined map-side: the readings are never shuffled.
-4. Otherwise keys holding at least ``hot_min`` rows are broadcast (their number is at most
-   rows / hot_min, so that side is bounded), and the rest go through a shuffle join in
-   which rows of hot keys carry a salt, spreading them over ``salt_buckets`` partitions
-   instead of one.  Cold keys hold fewer than ``hot_min`` rows each.
+A window would hash the whole table on the key and sort each key's rows in one task, so a
+hot key -- a replayed file, or every row whose key failed to parse, which all share
+(NULL, NULL) -- lands in one task.  Instead:
+
+1. The order of a row is one fixed-width number: (file number, split offset, sequence) packed
+   into a decimal.  File numbers are the ranks of the distinct file names, a table of as many
+   rows as there are files.
+2. ``groupBy(key).agg(count, min(order))`` keeps the keys seen more than once.  Both are
+   fixed-width, so this is a hash aggregate whose map side combines: a hot key costs one row
+   per input partition before the shuffle.
+3. The readings are left-joined with those keys, without a hint: adaptive execution broadcasts
+   the table if its measured bytes allow it; beyond that it is a shuffle join in which the
+   partitions of a hot key are split (the other side has one row per key).
+
+Nothing runs while the plan is built.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemetry_spark.session import scratch_path
-
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-DEFAULT_HOT_MIN = 1_000_000
-DEFAULT_SALT_BUCKETS = 64
+ORDER = "_order"
+FILE_DIGITS, OFFSET_DIGITS, SEQUENCE_DIGITS = 7, 12, 19  # 38 in all, the widest decimal
 
 
-def _order_sql(order: tuple[str, ...]) -> str:
-    return "struct(" + ", ".join(f"`{c}`" for c in order) + ")"
+def with_order(df: DataFrame, order: tuple[str, str, str]) -> DataFrame:
+    """``df`` with its (file, split offset, sequence) as one decimal.  More than 10^7 files or a file
+    of more than 10^12 bytes raise instead of wrapping round."""
+    file, offset, sequence = order
+    names = df.select(F.col(f"`{file}`").alias("_name")).distinct()
+    numbers = names.select("_name", F.row_number().over(Window.orderBy("_name")).alias("_number"))
+    packed = (
+        f"cast(_number as decimal({FILE_DIGITS},0)) * 1{'0' * (OFFSET_DIGITS + SEQUENCE_DIGITS)}BD"
+        f" + cast(`{offset}` as decimal({OFFSET_DIGITS},0)) * 1{'0' * SEQUENCE_DIGITS}BD"
+        f" + cast(`{sequence}` as decimal({SEQUENCE_DIGITS},0))"
+    )
+    cols = [f"`{c}`" for c in df.columns]
+    return df.join(numbers, F.expr(f"`{file}` <=> _name")).selectExpr(*cols, f"cast({packed} as decimal(38,0)) AS {ORDER}")
 
 
-def duplicated_keys(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
-    """Keys with more than one row, their row count and their first order key (lazy)."""
+def duplicated_keys(ordered: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Keys with more than one row and the order of their first row."""
     return (
-        df.groupBy(*keys)
-        .agg(F.expr("count(1)").alias("_n"), F.expr(f"min({_order_sql(order)})").alias("_first"))
+        ordered.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(ORDER).alias("_first"))
         .where("_n > 1")
+        .drop("_n")
     )
 
 
-def _key_hash(keys: tuple[str, ...]) -> str:
-    return "xxhash64(" + ", ".join(f"`{k}`" for k in keys) + ")"
-
-
-def _write_observed(df: DataFrame, name: str, metrics: list[str]) -> tuple[DataFrame, dict]:
-    """Write ``df`` under the shared folder, observing ``metrics`` on the same pass."""
-    spark = df.sparkSession
-    obs = Observation(name)
-    path = scratch_path(spark, name)
-    df.observe(obs, *[F.expr(m) for m in metrics]).write.mode("overwrite").parquet(path)
-    # the schema is known: no inference pass over the written files
-    return spark.read.schema(df.schema).parquet(path), obs.get
-
-
-def duplicate_candidates(df: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, int]:
-    """Key hashes seen more than once, written to the shared folder; (frame, count)."""
-    hashes = df.selectExpr(f"{_key_hash(keys)} AS _h").groupBy("_h").agg(F.expr("count(1)").alias("_c")).where("_c > 1")
-    cands, m = _write_observed(hashes, "duplicate-candidates", ["count(1) AS n"])
-    return cands.select("_h"), int(m["n"])
-
-
-def materialise_duplicated_keys(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...],
-                                candidates: DataFrame | None = None):
-    """Write the exact duplicated-key table to the shared folder; returns (frame, keys, rows).
-    ``candidates`` (broadcastable key hashes) narrows the rows aggregated."""
-    narrowed = df
-    if candidates is not None:
-        narrowed = df.join(F.broadcast(candidates), F.expr(f"{_key_hash(keys)} = _h"), "left_semi")
-    dup, m = _write_observed(duplicated_keys(narrowed, keys, order), "duplicated-keys",
-                             ["count(1) AS keys", "coalesce(sum(_n), 0) AS rows"])
-    return dup, int(m["keys"]), int(m["rows"])
-
-
-def _null_safe(left: list[str], right: list[str]) -> str:
-    return " AND ".join(f"`{lk}` <=> `{rk}`" for lk, rk in zip(left, right))
-
-
-def flag_duplicates(
-    df: DataFrame,
-    keys: tuple[str, ...],
-    order: tuple[str, ...],
-    flag: str = "_is_duplicate",
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    hot_min: int = DEFAULT_HOT_MIN,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
-    input_rows: int | None = None,
-) -> DataFrame:
+def flag_duplicates(df: DataFrame, keys: tuple[str, ...], order: tuple[str, str, str], flag: str = "_is_duplicate",
+                    join_hint: str | None = None) -> DataFrame:
     """``df`` with a non-NULL boolean ``flag``: True for every row after the first of its key.
 
-    ``input_rows``, when known (observed on the write that produced ``df``, or a parquet
-    metadata count), bounds the duplicated-key table: within ``broadcast_max_rows`` it is
-    broadcast straight from its aggregate and the candidate pass is skipped."""
+    ``join_hint`` names a join strategy for the last step (``shuffle_merge`` to see the plan of
+    tables too large to broadcast); by default adaptive execution decides."""
+    ordered = with_order(df, order)
+    renamed = [f"_dk_{k}" for k in keys]
+    first = duplicated_keys(ordered, keys).withColumnsRenamed(dict(zip(keys, renamed)))
+    if join_hint:
+        first = first.hint(join_hint)
+    same = " AND ".join(f"`{k}` <=> `{r}`" for k, r in zip(keys, renamed))
     cols = [f"`{c}`" for c in df.columns]
-    rk = [f"_dk_{k}" for k in keys]
-    mine = _order_sql(order)
-
-    def broadcast_join(dup: DataFrame) -> DataFrame:
-        right = dup.selectExpr(*[f"`{k}` AS `{r}`" for k, r in zip(keys, rk)], "_first")
-        joined = df.join(F.broadcast(right), F.expr(_null_safe(list(keys), rk)), "left")
-        return joined.selectExpr(*cols, f"coalesce({mine} > _first, false) AS `{flag}`")
-
-    if input_rows is not None and input_rows <= broadcast_max_rows:
-        return broadcast_join(duplicated_keys(df, keys, order))
-
-    candidates, n_candidates = duplicate_candidates(df, keys)
-    if n_candidates == 0:
-        return df.selectExpr(*cols, f"false AS `{flag}`")
-    if n_candidates <= broadcast_max_rows:
-        # every duplicated key has a candidate hash, so the exact table has at most
-        # n_candidates rows: a proven bound, so it is broadcast straight from the
-        # aggregate over the candidate rows, without a second write
-        narrowed = df.join(F.broadcast(candidates), F.expr(f"{_key_hash(keys)} = _h"), "left_semi")
-        return broadcast_join(duplicated_keys(narrowed, keys, order))
-
-    dup, n_keys, n_rows = materialise_duplicated_keys(df, keys, order)
-    if n_keys <= broadcast_max_rows:
-        return broadcast_join(dup)
-
-    # Too many duplicated keys to broadcast: split hot keys from the rest.  Hot keys are at
-    # most n_rows / hot_min, which the bound below keeps within broadcast_max_rows.
-    hot_min = max(hot_min, math.ceil(n_rows / broadcast_max_rows))
-    hot = dup.where(f"_n >= {hot_min}").selectExpr(*[f"`{k}` AS `{r}_h`" for k, r in zip(keys, rk)],
-                                                   "_first AS _first_h")
-    cold = dup.where(f"_n < {hot_min}").selectExpr(*[f"`{k}` AS `{r}`" for k, r in zip(keys, rk)],
-                                                   "_first AS _first_c", "0 AS _salt_c")
-    with_hot = df.join(F.broadcast(hot), F.expr(_null_safe(list(keys), [f"{r}_h" for r in rk])), "left")
-    order_cols = ", ".join(f"`{c}`" for c in order)
-    # rows of hot keys get a salt from their (unique) order key, so the shuffle join below
-    # spreads each hot key over `salt_buckets` partitions; they need no partner there
-    salted = with_hot.selectExpr(
-        "*", f"CASE WHEN _first_h IS NOT NULL THEN pmod(xxhash64({order_cols}), {salt_buckets}) ELSE 0 END AS _salt"
-    )
-    joined = salted.join(cold, F.expr(_null_safe(list(keys), rk) + " AND _salt = _salt_c"), "left")
-    return joined.selectExpr(*cols, f"coalesce({mine} > coalesce(_first_h, _first_c), false) AS `{flag}`")
+    return ordered.join(first, F.expr(same), "left").selectExpr(*cols, f"coalesce({ORDER} > _first, false) AS `{flag}`")

@@ -21,6 +21,7 @@ ORDER_COLUMNS = ("_source_file", "_block_start", "_row_seq")
 LINEAGE = ("_source_file", "_ingested_at", "_run_id", "_block_start", "_row_seq")
 FLAGS = "_flags"
 REASON = "rejection_reason"
+REJECT_ONLY = (RAW_ID, RAW_TS, FLAGS, REASON)  # what accepted Silver does not carry
 
 
 def typed_columns_sql(model: TelemetryModel) -> list[str]:
@@ -36,13 +37,13 @@ def typed_columns_sql(model: TelemetryModel) -> list[str]:
     ]
 
 
-def typed_projection(bronze: DataFrame, model: TelemetryModel, equipment: Column | None = None) -> DataFrame:
-    """Raw key strings kept beside the typed key; sensors renamed to Silver names as double.
-    ``equipment`` names the equipment per row (a fleet feed); default: the model's id,
-    bound as a literal (never interpolated into SQL text)."""
+def typed_projection(bronze: DataFrame, model: TelemetryModel) -> DataFrame:
+    """Raw key strings kept beside the typed key; sensors renamed to Silver names as double;
+    the model's equipment id as a literal.  One model describes one unit: the duplicate key and
+    the equipment dimension know no other."""
     ensure_utc(bronze.sparkSession)
-    eq = equipment if equipment is not None else F.lit(model.equipment.equipment_id)
-    return bronze.select(*[F.expr(e) for e in typed_columns_sql(model)], eq.alias("equipment_id"))
+    unit = F.lit(model.equipment.equipment_id).alias("equipment_id")
+    return bronze.select(*[F.expr(e) for e in typed_columns_sql(model)], unit)
 
 
 def key_columns(model: TelemetryModel) -> tuple[str, str]:
@@ -53,12 +54,10 @@ def with_duplicate_flag(typed: DataFrame, model: TelemetryModel, **dedupe_option
     return flag_duplicates(typed, key_columns(model), ORDER_COLUMNS, flag=DUPLICATE_FLAG, **dedupe_options)
 
 
-def apply_gate(bronze: DataFrame, model: TelemetryModel, equipment: Column | None = None,
-               **dedupe_options) -> DataFrame:
+def apply_gate(bronze: DataFrame, model: TelemetryModel, **dedupe_options) -> DataFrame:
     """Typed rows + ``_flags`` (one boolean per rule) + ``rejection_reason`` ('' = accepted).
-    ``equipment``: a per-row equipment id for fleet feeds (default: the model's).
-    ``dedupe_options`` go to :func:`flag_duplicates` (e.g. ``input_rows`` when known)."""
-    typed = typed_projection(bronze, model, equipment)
+    ``dedupe_options`` go to :func:`flag_duplicates`."""
+    typed = typed_projection(bronze, model)
     flagged = with_duplicate_flag(typed, model, **dedupe_options)
     keep = [q(c) for c in typed.columns]
     with_flags = flagged.selectExpr(*keep, f"{flags_struct_sql(model)} AS {FLAGS}")
@@ -67,7 +66,7 @@ def apply_gate(bronze: DataFrame, model: TelemetryModel, equipment: Column | Non
 
 def accepted(gated: DataFrame) -> DataFrame:
     """Silver: rows no rule names, without raw keys, flags or reason."""
-    cols = [c for c in gated.columns if c not in (RAW_ID, RAW_TS, FLAGS, REASON)]
+    cols = [c for c in gated.columns if c not in REJECT_ONLY]
     return gated.where(f"{REASON} = ''").select(*cols)
 
 

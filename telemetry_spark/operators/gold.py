@@ -3,8 +3,6 @@ equipment-health fact and the dashboard view."""
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +12,7 @@ from telemetry_spark.functions.literal import literal_rows
 from telemetry_spark.functions.numeric import round_half_up_sql
 from telemetry_spark.functions.rules import anomaly_reason_sql, q
 from telemetry_spark.model import TelemetryModel
-from telemetry_spark.operators.intervals import interval_lookup, model_day_rows
+from telemetry_spark.operators.intervals import interval_lookup
 
 EQUIPMENT_SCHEMA = T.StructType([
     T.StructField("equipment_id", T.StringType(), False),
@@ -33,7 +31,6 @@ FAILURE_SCHEMA = T.StructType([
 ])
 
 DASHBOARD_DATE_COLUMNS = ("calendar_date", "year", "month", "month_name", "week_of_year")
-MAX_BROADCAST_DAYS = 100_000  # ~270 years of calendar rows, a few MB
 DASHBOARD_EQUIPMENT_COLUMNS = ("equipment_name", "equipment_type")
 
 
@@ -63,24 +60,21 @@ def dim_date(silver: DataFrame, ts_col: str = "event_ts") -> DataFrame:
     return days.selectExpr(*calendar_attributes_sql("_d"))
 
 
-def window_days(model: TelemetryModel) -> int:
-    """Upper bound on the distinct days of accepted readings: they all lie in the window."""
-    s = datetime.fromisoformat(model.window_start)
-    e = datetime.fromisoformat(model.window_end)
-    return (e.date() - s.date()).days + 1
+def dim_date_of_fact(fact: DataFrame) -> DataFrame:
+    """The same dimension from the day keys of the reading fact: of a fact laid out by day
+    only partition values are read, no column."""
+    days = fact.select("date_key").distinct().selectExpr("to_date(cast(date_key AS string), 'yyyyMMdd') AS _d")
+    return days.selectExpr(*calendar_attributes_sql("_d"))
 
 
 def fact_reading(silver: DataFrame, model: TelemetryModel, failures: DataFrame | None = None,
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Reading-grain fact: keys, sensors, failure interval id and anomaly reason.  Exactly
-    one row per Silver row; no shuffle of the readings.  ``keep`` carries extra Silver
-    columns through (e.g. the run id for per-run reconciliation)."""
-    spark = silver.sparkSession
+    one row per Silver row.  ``failures`` is the stored failure dimension (default: the
+    model's).  ``keep`` carries extra Silver columns through (e.g. the run id for per-run
+    reconciliation)."""
     if failures is None:
-        failures = dim_failure_event(spark, model)
-        bound = model_day_rows(model.intervals)
-    else:
-        bound = None
+        failures = dim_failure_event(silver.sparkSession, model)
     base = silver.selectExpr(
         "reading_id",
         "equipment_id",
@@ -91,7 +85,7 @@ def fact_reading(silver: DataFrame, model: TelemetryModel, failures: DataFrame |
         f"{anomaly_reason_sql(model)} AS anomaly_reason",
         *[q(c) for c in keep],
     )
-    return interval_lookup(base, failures, day_rows=bound)
+    return interval_lookup(base, failures)
 
 
 def daily_health(fact: DataFrame, model: TelemetryModel) -> DataFrame:
@@ -112,14 +106,10 @@ def daily_health(fact: DataFrame, model: TelemetryModel) -> DataFrame:
 
 
 def dashboard_view(daily: DataFrame, dates: DataFrame, equipment: DataFrame, model: TelemetryModel) -> DataFrame:
-    """Daily KPIs with calendar and equipment attributes, keys hidden.  Both dimensions
-    are broadcast: the date dimension is bounded by the days of the model's window and
-    the equipment dimension by the equipment the model declares."""
-    if window_days(model) > MAX_BROADCAST_DAYS:
-        raise ValueError(f"the model's window spans more than {MAX_BROADCAST_DAYS} days; "
-                         "the date dimension is no longer a bounded broadcast")
-    d = F.broadcast(dates.select("date_key", *DASHBOARD_DATE_COLUMNS))
-    e = F.broadcast(equipment.select("equipment_id", *DASHBOARD_EQUIPMENT_COLUMNS))
+    """Daily KPIs with calendar and equipment attributes, keys hidden.  Plain equi-joins: which
+    side is broadcast is decided on measured bytes."""
+    d = dates.select("date_key", *DASHBOARD_DATE_COLUMNS)
+    e = equipment.select("equipment_id", *DASHBOARD_EQUIPMENT_COLUMNS)
     measures = [c for c in daily.columns if c not in ("equipment_id", "date_key")]
     return (
         daily.join(d, "date_key")

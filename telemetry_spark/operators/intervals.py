@@ -9,9 +9,9 @@ day table on their own day -- an equi-join -- and pick ``array_min`` of the ids
 interval contains the time.  One day row per reading at most, so the join is
 row-preserving by construction.
 
-The day table has one row per (interval, day) at most.  Its size is checked: within
-``broadcast_max_rows`` it is broadcast and the readings are not shuffled at all; beyond
-it the lookup is a shuffle equi-join on the day, where adaptive execution splits a hot day.
+The join carries no hint: adaptive execution broadcasts the day table if its measured bytes
+allow it, and else shuffles on the day and splits a hot one (the day table has one row a day).
+A day's array holds the intervals that touch the day.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
 
 def interval_days(intervals: DataFrame, id_col: str = "failure_event_id", start: str = "start_ts",
                   end: str = "end_ts") -> DataFrame:
@@ -39,32 +37,15 @@ def interval_lookup(
     id_col: str = "failure_event_id",
     start: str = "start_ts",
     end: str = "end_ts",
-    day_rows: int | None = None,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    join_hint: str | None = None,
 ) -> DataFrame:
-    """``readings`` plus ``out_col``.  ``day_rows`` is a known bound on the (day, interval)
-    rows; when omitted it is counted (a job over the interval table only)."""
+    """``readings`` plus ``out_col``; every reading stays, also one without a time.
+    ``join_hint`` names a join strategy (``shuffle_merge``), by default adaptive execution decides."""
     days = interval_days(intervals, id_col, start, end)
-    if day_rows is None:
-        day_rows = days.count()
     by_day = days.groupBy("_day").agg(F.expr("collect_list(_iv)").alias("_ivs"))
-    if day_rows <= broadcast_max_rows:
-        by_day = F.broadcast(by_day)
+    if join_hint:
+        by_day = by_day.hint(join_hint)
     cols = [f"`{c}`" for c in readings.columns]
     joined = readings.join(by_day, F.expr(f"to_date(`{ts_col}`) = _day"), "left")
     hit = f"array_min(transform(filter(_ivs, iv -> `{ts_col}` BETWEEN iv.s AND iv.e), iv -> iv.id))"
     return joined.selectExpr(*cols, f"{hit} AS `{out_col}`")
-
-
-def model_day_rows(intervals) -> int:
-    """Exact (day, interval) row count of model-declared intervals, computed on the driver
-    from the literal list (no job)."""
-    from datetime import datetime
-
-    total = 0
-    for iv in intervals:
-        s = datetime.fromisoformat(iv.start_ts)
-        e = datetime.fromisoformat(iv.end_ts)
-        if s <= e:
-            total += (e.date() - s.date()).days + 1
-    return total

@@ -138,6 +138,7 @@ def run_report(gated: DataFrame, fact: DataFrame, model: TelemetryModel) -> Data
 
 def report_json(report: DataFrame, model: TelemetryModel) -> DataFrame:
     """The run report as one JSON string, failures nested by rule name."""
+    # The key names are those of the published report.
     return report.select(
         F.to_json(
             F.struct(

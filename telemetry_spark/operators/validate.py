@@ -89,5 +89,6 @@ def raise_on_failure(results: DataFrame) -> list[dict]:
     checks = [r.asDict() for r in results.collect()]
     failed = [c for c in checks if not c["passed"]]
     if failed:
-        raise RuntimeError(f"Pipeline acceptance checks failed: {failed}")
+        raise RuntimeError("not accepted: " + "; ".join(
+            f"{c['check_name']} (found {c['actual']}, expected {c['expected']})" for c in failed))
     return checks

@@ -10,7 +10,6 @@ daily fact and dimensions.  Nothing is cached in memory; an executor loss re-rea
 
 from __future__ import annotations
 
-import os
 import threading
 from functools import cached_property
 
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from telemetry_spark.model import TelemetryModel, events_feed
 from telemetry_spark.operators import gate, gold
-from telemetry_spark.session import app_id, ensure_utc, scratch_path
+from telemetry_spark.session import app_id, scratch_path, utc_session
 from telemetry_spark.sources import feed as feed_source
 from telemetry_spark.sources import landing
 from telemetry_spark.sources.store import Lake
@@ -31,16 +30,23 @@ CHECK_TIME = "2024-02-05 00:00:00"
 _LOCK = threading.RLock()
 _LAKES: dict[tuple, str] = {}
 _CSV_EXPORTS: dict[str, str] = {}
+_LANDED: dict[str, str] = {}
+PARTS = 4
+
+
+def _identity(spark: SparkSession, path: str) -> tuple:
+    """What tells one state of a table's files from another, wherever they are stored."""
+    files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    row = files.distinct().agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*files.columns)).alias("h")).first()
+    return path, row["n"], row["h"]
 
 
 def lake_for(spark: SparkSession, sf_dir: str, model: TelemetryModel) -> Lake:
-    """The lake of one pipeline run over ``sf_dir``, built once per session (the key
-    includes the events file's modification time, so changed input is run again)."""
+    """The lake of one pipeline run over ``sf_dir``, built once per session and state of its
+    events files (paths, lengths and modification times, as Spark lists them)."""
     from telemetry_spark.plans.pipeline import run_pipeline
 
-    src = f"{sf_dir.rstrip('/')}/events.parquet"
-    key = (app_id(spark), os.path.abspath(src),
-           os.path.getmtime(src) if os.path.exists(src) else 0.0, model)
+    key = (app_id(spark), _identity(spark, f"{sf_dir.rstrip('/')}/events.parquet"), model)
     with _LOCK:  # queries issued from several threads build the lake once
         root = _LAKES.get(key)
         if root is None:
@@ -52,8 +58,7 @@ def lake_for(spark: SparkSession, sf_dir: str, model: TelemetryModel) -> Lake:
 
 class Flow:
     def __init__(self, spark: SparkSession, sf_dir: str, model: TelemetryModel | None = None):
-        ensure_utc(spark)
-        self.spark = spark
+        self.spark = utc_session(spark)
         self.sf_dir = sf_dir
         self.model = model or events_feed()
 
@@ -105,25 +110,42 @@ class Flow:
     # ---- the landing source ------------------------------------------------------------
     @cached_property
     def csv_path(self) -> str:
-        """Bronze exported as a raw CSV file set (once per lake): the leading id column
-        carries the unnamed-index header 'Unnamed: 0' and the other columns are in reverse
-        order, so landing must normalise the header and select by name."""
+        """The feed exported as raw CSV (once per lake), in ``PARTS`` folders by event: rows in
+        order of their sequence, other header orders in the odd parts, and the id column under the
+        header 'Unnamed: 0', so landing must name it and select by name."""
         root = self.lake.root
         with _LOCK:
             path = _CSV_EXPORTS.get(root)
             if path is None:
                 path = scratch_path(self.spark, "landing-csv")
-                cols = list(self.model.source_columns)
-                raw = self.bronze.select(
-                    F.col(f"`{cols[0]}`").alias("Unnamed: 0"), *[F.col(f"`{c}`") for c in reversed(cols[1:])]
-                )
-                raw.write.option("header", "true").csv(path)
+                first, *rest = self.model.source_columns
+                rows = feed_source.feed(self.spark, self.sf_dir)
+                for part in range(PARTS):
+                    order = rest if part % 2 else rest[::-1]
+                    mine = rows.where(F.expr(f"_row_seq div 2 % {PARTS} = {part}")).repartition(1).sortWithinPartitions("_row_seq")
+                    raw = mine.select(F.col(f"`{first}`").alias("Unnamed: 0"), *[F.col(f"`{c}`") for c in order])
+                    raw.write.option("header", "true").csv(f"{path}/part{part}")
                 _CSV_EXPORTS[root] = path
         return path
 
     @cached_property
     def landed(self) -> DataFrame:
-        return landing.land_csv(self.spark, self.csv_path, self.model, run_id=CHECK_RUN_ID)
+        layouts = landing.header_layouts(self.spark, f"{self.csv_path}/*")
+        return landing.land_csv(self.spark, layouts, self.model, run_id=CHECK_RUN_ID)
+
+    @cached_property
+    def landed_lake(self) -> Lake:
+        """The lake of a run from the CSV files."""
+        with _LOCK:
+            root = _LANDED.get(self.lake.root)
+            if root is None:
+                from telemetry_spark.plans.pipeline import run_pipeline
+
+                root = scratch_path(self.spark, "landed-lake")
+                layouts = landing.header_layouts(self.spark, f"{self.csv_path}/*")
+                run_pipeline(self.spark, layouts, root, run_id=CHECK_RUN_ID, model=self.model)
+                _LANDED[self.lake.root] = root
+        return Lake(self.spark, root)
 
     # ---- operators, each from its stored input -----------------------------------------
     @cached_property
@@ -133,12 +155,12 @@ class Flow:
     @cached_property
     def gated(self) -> DataFrame:
         """The quality gate computed from stored Bronze."""
-        return gate.apply_gate(self.bronze, self.model, input_rows=self.bronze.count())
+        return gate.apply_gate(self.bronze, self.model)
 
     @cached_property
     def fact(self) -> DataFrame:
         """The reading fact computed from stored Silver."""
-        return gold.fact_reading(self.silver, self.model, failures=None)
+        return gold.fact_reading(self.silver, self.model, self.failures)
 
     @cached_property
     def daily(self) -> DataFrame:

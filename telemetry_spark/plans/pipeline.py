@@ -10,11 +10,11 @@ Counts ride on the writes as ``Observation`` metrics instead of extra count jobs
   every rule's failure count are observed on that write and become the audit rows.
   Silver and rejects are the two partitions (pruned at read time), so they can never
   disagree with each other;
-* Gold: the reading fact is range-partitioned on (date_key, equipment_id, event_ts) --
-  a hot day is spread over many tasks -- sorted within partitions and laid out by
-  ``date_key`` for partition pruning;
-* validation: one job computes every count; results are appended to the audit store,
-  and only then does a failed check raise.
+* Gold: the reading fact is rebalanced on its day -- adaptive execution splits a hot day and
+  merges small ones, without a sampling pass -- sorted within partitions and laid out by
+  ``date_key`` for partition pruning; the date dimension comes from the fact's days;
+* validation: the run report is stored first; one job computes every count; results are
+  appended to the audit store, and only then does a failed check of this attempt raise.
 """
 
 from __future__ import annotations
@@ -27,13 +27,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetry_spark.functions.literal import literal_rows
-from telemetry_spark.model import TelemetryModel, events_feed
+from telemetry_spark.model import TelemetryModel, compressor
 from telemetry_spark.operators import gate, gold, quality, validate
 from telemetry_spark.session import ensure_utc
 from telemetry_spark.sources import landing
-from telemetry_spark.sources.feed import spread
 from telemetry_spark.sources.store import Lake
 
+STORED = (
+    ("bronze", "sensor_readings_raw"), ("gold", "dim_equipment"), ("gold", "dim_date"), ("gold", "dim_failure_event"),
+    ("gold", "fact_sensor_reading"), ("gold", "fact_daily_equipment_health"), ("audit", "quality_check_results"),
+    ("audit", "pipeline_validation_results"), ("audit", "run_reports"),
+)
+
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("check_name", T.StringType()),
@@ -46,41 +51,32 @@ AUDIT_SCHEMA = T.StructType([
 def silver_tables(lake: Lake) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejects) read from the one partitioned Silver dataset."""
     stored = lake.read("silver", "sensor_readings_gated")
-    # partition values come back as strings; a predicate on the partition column prunes files
-    is_accepted = F.col("_accepted").cast("string") == F.lit("true")
-    accepted = gate.accepted(stored.filter(is_accepted).drop("_accepted"))
-    rejects = gate.rejected(stored.filter(~is_accepted).drop("_accepted"))
-    return accepted, rejects
+    # the partition decides: no file of the other side is opened, and the reason is not read
+    accepted, rejects = stored.filter("_accepted"), stored.filter("NOT _accepted")
+    keep = [c for c in stored.columns if c != "_accepted"]
+    return (accepted.select(*[c for c in keep if c not in gate.REJECT_ONLY]),
+            rejects.select(*[c for c in keep if c != gate.FLAGS]))
 
 
 def ingest_bronze(spark: SparkSession, lake: Lake, source, model: TelemetryModel, run_id: str,
-                  expected_rows: int | None = None) -> int:
-    if isinstance(source, str):
-        # lineage is assigned per split first; then a source that arrived in fewer splits
-        # than cores (one non-splittable compressed file) is spread for the write
-        bronze = spread(landing.land_csv(spark, source, model, run_id), "_row_seq")
-    else:
-        bronze = source
+                  expected_rows: int | None = None, partitions: int | None = None) -> int:
+    """``source``: a CSV path, groups of CSV files with a header each, or a Bronze-shaped frame.
+    ``partitions``: deal the landed rows over so many tasks for the write (for a source that
+    arrives in few splits, as one compressed file does); lineage is assigned before."""
+    bronze = source if isinstance(source, DataFrame) else landing.land_csv(spark, source, model, run_id)
+    if partitions:
+        bronze = bronze.repartition(partitions, "_row_seq")
     obs = Observation("bronze")
     lake.overwrite(bronze.observe(obs, F.count(F.lit(1)).alias("rows")), "bronze", "sensor_readings_raw")
-    rows = int(obs.get["rows"])
-    if rows <= 0:
-        raise RuntimeError("Bronze ingestion produced no rows")
-    if expected_rows is not None and rows != expected_rows:
-        raise RuntimeError(f"Bronze landed {rows} rows, expected {expected_rows}")
-    return rows
+    return landing.require_rows(int(obs.get["rows"]), expected_rows)
 
 
 def build_silver(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id: str,
-                 checked_at: datetime, bronze_rows: int | None = None) -> dict:
+                 checked_at: datetime) -> dict:
     """Gate stored Bronze into the partitioned Silver dataset and append the audit rows;
-    returns the metrics observed on the write (checked and accepted rows, rule counts).
-    ``bronze_rows`` (observed when Bronze was written; else a parquet metadata count)
-    lets a small run skip the duplicate-candidate pass."""
-    bronze = lake.read("bronze", "sensor_readings_raw")
-    if bronze_rows is None:
-        bronze_rows = bronze.count()  # footer row counts, no data read
-    gated = gate.apply_gate(bronze, model, input_rows=bronze_rows)
+    returns the metrics observed on the write (checked and accepted rows, rule counts) after
+    comparing them with the row counts of what is stored."""
+    gated = gate.apply_gate(lake.read("bronze", "sensor_readings_raw"), model)
     obs = Observation("quality")
     observed = gated.observe(
         obs,
@@ -97,6 +93,7 @@ def build_silver(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id:
     })
     lake.overwrite(stored, "silver", "sensor_readings_gated", partition_by=("_accepted",))
     m = obs.get
+    require_stored(lake, int(m["accepted_rows"]), int(m["checked_rows"] - m["accepted_rows"]))
     # one audit row per rule from the observed metrics (as many rows as the model has rules)
     audit = literal_rows(
         spark, [(run_id, n, int(m["checked_rows"]), int(m[n]), checked_at) for n in model.rule_names], AUDIT_SCHEMA
@@ -105,21 +102,27 @@ def build_silver(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id:
     return {k: int(v) for k, v in m.items()}
 
 
-def build_gold(spark: SparkSession, lake: Lake, model: TelemetryModel, fact_layout: str = "range") -> dict:
+def require_stored(lake: Lake, accepted: int, rejected: int) -> None:
+    """The two sides of Silver hold as many rows as were observed on the write (footer counts)."""
+    stored = tuple(df.count() for df in silver_tables(lake))
+    if stored != (accepted, rejected):
+        raise RuntimeError(f"Silver holds {stored} accepted and rejected rows, ({accepted}, {rejected}) were written")
+
+
+def build_gold(spark: SparkSession, lake: Lake, model: TelemetryModel, fact_layout: str = "rebalance") -> dict:
     """Dimensions, the reading fact laid out by day, and the daily KPI fact.
 
-    ``fact_layout``: ``range`` range-partitions the fact on (date_key, equipment_id,
-    event_ts) before the day-partitioned write -- one shuffle, compact sorted files, a
-    hot day spread over many tasks.  ``local`` skips the shuffle and sorts within each
-    task; right for feeds that land in time order (each task then spans a day or two),
-    wrong for unordered feeds (every task would write a file into every day)."""
+    ``fact_layout``: ``rebalance`` gathers the days before the day-partitioned write -- one
+    shuffle and no sampling pass; adaptive execution splits a hot day over many tasks and merges
+    small days.  ``local`` skips the shuffle and sorts within each task; right for feeds that land
+    in time order (each task then spans a day or two), wrong for unordered feeds (every task
+    would write a file into every day)."""
     silver, _ = silver_tables(lake)
     lake.overwrite(gold.dim_equipment(spark, model), "gold", "dim_equipment")
     lake.overwrite(gold.dim_failure_event(spark, model), "gold", "dim_failure_event")
-    lake.overwrite(gold.dim_date(silver), "gold", "dim_date")
-    fact = gold.fact_reading(silver, model, failures=None)
-    if fact_layout == "range":
-        fact = fact.repartitionByRange("date_key", "equipment_id", "event_ts")
+    fact = gold.fact_reading(silver, model, lake.read("gold", "dim_failure_event"))
+    if fact_layout == "rebalance":
+        fact = fact.hint("rebalance", "date_key")
     elif fact_layout != "local":
         raise ValueError(f"unknown fact layout {fact_layout!r}")
     laid_out = fact.sortWithinPartitions("date_key", "equipment_id", "event_ts")
@@ -128,9 +131,9 @@ def build_gold(spark: SparkSession, lake: Lake, model: TelemetryModel, fact_layo
                                 F.count_if(F.col("anomaly_reason") != "").alias("anomaly_rows"))
     lake.overwrite(laid_out, "gold", "fact_sensor_reading", partition_by=("date_key",))
     metrics = {k: int(v) for k, v in obs.get.items()}
+    lake.overwrite(gold.dim_date_of_fact(lake.read("gold", "fact_sensor_reading")), "gold", "dim_date")
     daily = gold.daily_health(lake.read("gold", "fact_sensor_reading"), model)
     lake.overwrite(daily, "gold", "fact_daily_equipment_health")
-    register_views(lake, model)
     return metrics
 
 
@@ -145,13 +148,32 @@ def dashboard(lake: Lake, model: TelemetryModel) -> DataFrame:
 
 
 def register_views(lake: Lake, model: TelemetryModel) -> None:
+    """Every table of the lake by name for this session: ``<lake>_<layer>_<table>``."""
     silver, rejects = silver_tables(lake)
-    lake.register(silver, "sensor_readings")
-    lake.register(rejects, "sensor_readings_rejects")
-    for name in ("dim_equipment", "dim_date", "dim_failure_event", "fact_sensor_reading",
-                 "fact_daily_equipment_health"):
-        lake.register(lake.read("gold", name), name)
-    lake.register(dashboard(lake, model), "powerbi_equipment_health")
+    lake.register(silver, "silver", "sensor_readings")
+    lake.register(rejects, "silver", "sensor_readings_rejects")
+    for layer, name in STORED:
+        lake.register(lake.read(layer, name), layer, name)
+    lake.register(dashboard(lake, model), "gold", "powerbi_equipment_health")
+
+
+def publish(lake: Lake, model: TelemetryModel) -> None:
+    """Every table and the views over them in the session's catalog, as ``<lake>_<layer>.<table>``;
+    they outlast the session where the catalog does."""
+    for layer, name in STORED:
+        lake.publish(layer, name)
+    gated = lake.publish("silver", "sensor_readings_gated")
+    silver, rejects = silver_tables(lake)
+    names = lambda columns, of: ", ".join(f"{of}.`{c}`" for c in columns)
+    lake.publish_view("silver", "sensor_readings", f"SELECT {names(silver.columns, 'g')} FROM {gated} g WHERE _accepted")
+    lake.publish_view("silver", "sensor_readings_rejects",
+                      f"SELECT {names(rejects.columns, 'g')} FROM {gated} g WHERE NOT _accepted")
+    measures = [c for c in lake.read("gold", "fact_daily_equipment_health").columns if c not in ("equipment_id", "date_key")]
+    tables = {n: f"{lake.name}_gold.{n}" for n in ("fact_daily_equipment_health", "dim_date", "dim_equipment")}
+    lake.publish_view("gold", "powerbi_equipment_health",
+                      f"SELECT {names(gold.DASHBOARD_DATE_COLUMNS, 'calendar')}, {names(gold.DASHBOARD_EQUIPMENT_COLUMNS, 'unit')}, "
+                      f"{names(measures, 'health')} FROM {tables['fact_daily_equipment_health']} health "
+                      f"JOIN {tables['dim_date']} calendar USING (date_key) JOIN {tables['dim_equipment']} unit USING (equipment_id)")
 
 
 def validate_run(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id: str,
@@ -163,7 +185,10 @@ def validate_run(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id:
         gate.key_columns(model), run_id, checked_at.strftime("%Y-%m-%d %H:%M:%S.%f"),
     )
     lake.append(results, "audit", "pipeline_validation_results")
-    stored = lake.read("audit", "pipeline_validation_results").filter(F.col("run_id") == run_id)
+    # the checks of this attempt: an earlier one of the run may have stored failures
+    stored = lake.read("audit", "pipeline_validation_results").filter(
+        (F.col("run_id") == run_id) & (F.col("checked_at") == F.lit(checked_at)))
+    register_views(lake, model)
     return validate.raise_on_failure(stored)
 
 
@@ -198,10 +223,11 @@ def write_run_report(lake: Lake, model: TelemetryModel, run_id: str, checked_at:
 
 def run_pipeline(spark: SparkSession, source: str | DataFrame, lake_root: str, run_id: str,
                  model: TelemetryModel | None = None, expected_rows: int | None = None,
-                 fact_layout: str = "range") -> dict:
-    """Run every stage in order.  ``source`` is a CSV path or a Bronze-shaped frame."""
+                 fact_layout: str = "rebalance", partitions: int | None = None) -> dict:
+    """Run every stage in order.  ``source`` is a CSV path, groups of CSV files with a header each, or a
+    Bronze-shaped frame; ``model`` defaults to the published contract."""
     ensure_utc(spark)
-    model = model or events_feed()
+    model = model or compressor()
     lake = Lake(spark, lake_root)
     checked_at = datetime.now(timezone.utc).replace(tzinfo=None)
     seconds: dict[str, float] = {}
@@ -213,16 +239,16 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, lake_root: str, r
         seconds[stage] = round(now - clock, 3)
         clock = now
 
-    bronze_rows = ingest_bronze(spark, lake, source, model, run_id, expected_rows)
+    bronze_rows = ingest_bronze(spark, lake, source, model, run_id, expected_rows, partitions)
     lap("bronze")
-    silver_metrics = build_silver(spark, lake, model, run_id, checked_at, bronze_rows)
+    silver_metrics = build_silver(spark, lake, model, run_id, checked_at)
     silver_rows = silver_metrics["accepted_rows"]
     reject_rows = silver_metrics["checked_rows"] - silver_rows
     lap("silver")
     gold_metrics = build_gold(spark, lake, model, fact_layout)
     lap("gold")
-    checks = validate_run(spark, lake, model, run_id, checked_at)
     write_run_report(lake, model, run_id, checked_at, {**silver_metrics, **gold_metrics})
+    checks = validate_run(spark, lake, model, run_id, checked_at)
     lap("validate")
     return {
         "stage_seconds": seconds,
@@ -240,26 +266,25 @@ STAGES = ("bronze", "silver", "gold", "validate")
 
 def run_stage(spark: SparkSession, stage: str, lake_root: str, run_id: str, source: str | None = None,
               model: TelemetryModel | None = None, expected_rows: int | None = None,
-              fact_layout: str = "range") -> dict:
+              fact_layout: str = "rebalance", partitions: int | None = None) -> dict:
     """One stage of the run, as a separately scheduled task would run it: each stage reads
     only what the previous stage stored, so the tasks can run (and retry) independently."""
     ensure_utc(spark)
-    model = model or events_feed()
+    model = model or compressor()
     lake = Lake(spark, lake_root)
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     if stage == "bronze":
         if not source:
             raise ValueError("the bronze stage needs a source path")
-        return {"bronze_rows": ingest_bronze(spark, lake, source, model, run_id, expected_rows)}
+        return {"bronze_rows": ingest_bronze(spark, lake, source, model, run_id, expected_rows, partitions)}
     if stage == "silver":
         m = build_silver(spark, lake, model, run_id, now)
         return {"silver_rows": m["accepted_rows"], "reject_rows": m["checked_rows"] - m["accepted_rows"]}
     if stage == "gold":
         return build_gold(spark, lake, model, fact_layout)
     if stage == "validate":
-        checks = validate_run(spark, lake, model, run_id, now)
         write_run_report(lake, model, run_id, now)
-        return {"checks": checks}
+        return {"checks": validate_run(spark, lake, model, run_id, now)}
     raise ValueError(f"unknown stage {stage!r}; stages are {STAGES}")
 
 
@@ -277,7 +302,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--stage", choices=("all",) + STAGES, default="all")
     p.add_argument("--model", choices=("compressor", "events_feed"), default="compressor")
     p.add_argument("--expected-rows", type=int)
-    p.add_argument("--fact-layout", choices=("range", "local"), default="range")
+    p.add_argument("--fact-layout", choices=("rebalance", "local"), default="rebalance")
+    p.add_argument("--partitions", type=int, help="deal the landed rows over so many tasks")
+    p.add_argument("--publish", action="store_true", help="name the tables and views in the session's catalog")
     p.add_argument("--master", help="only when not launched by spark-submit, e.g. local[8]")
     a = p.parse_args(argv)
     builder = SparkSession.builder.appName(f"telemetry-{a.stage}-{a.run_id}")
@@ -286,9 +313,11 @@ def main(argv: list[str] | None = None) -> None:
     if a.stage == "all":
         if not a.source:
             p.error("a full run needs --source")
-        out = run_pipeline(spark, a.source, a.lake, a.run_id, model, a.expected_rows, a.fact_layout)
+        out = run_pipeline(spark, a.source, a.lake, a.run_id, model, a.expected_rows, a.fact_layout, a.partitions)
     else:
-        out = run_stage(spark, a.stage, a.lake, a.run_id, a.source, model, a.expected_rows, a.fact_layout)
+        out = run_stage(spark, a.stage, a.lake, a.run_id, a.source, model, a.expected_rows, a.fact_layout, a.partitions)
+    if a.publish:
+        publish(Lake(spark, a.lake), model)
     print(json.dumps(out, default=str))
 
 

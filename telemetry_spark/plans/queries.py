@@ -9,15 +9,16 @@ the table.  Column names match the SQL in :mod:`telemetry_spark.plans.oracle` on
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telemetry_spark.functions.rules import anomaly_reason
 from telemetry_spark.model import events_feed
 from telemetry_spark.operators import bi, gate, gold, quality, validate
 from telemetry_spark.operators.dedupe import flag_duplicates
-from telemetry_spark.operators.intervals import interval_lookup, model_day_rows
+from telemetry_spark.operators.intervals import interval_lookup
 from telemetry_spark.plans.flow import CHECK_RUN_ID, CHECK_TIME, Flow
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,14 +35,24 @@ def bronze_scan(spark, sf):
 
 
 def bronze_lineage(spark, sf):
+    """Where the lineage of a run from CSV says each stored Bronze row stood: its file's part and
+    its place in that file, with the gate's verdict on copies (the first in file order stays)."""
     f = Flow(spark, sf)
-    return f.landed.select(
-        F.col("index"),
-        F.col("timestamp"),
-        F.col("_run_id"),
-        F.col("_source_file").endswith(".csv").alias("source_is_csv"),
-        F.col("_ingested_at").isNotNull().alias("has_ingest_time"),
-    )
+    gated = f.landed_lake.read("silver", "sensor_readings_gated")
+    in_file = Window.partitionBy("_source_file").orderBy("_block_start", "_row_seq")
+    bronze = f.landed_lake.read("bronze", "sensor_readings_raw").select(
+        "_row_seq", "index", "timestamp", "_run_id",
+        F.regexp_extract("_source_file", r"/part(\d+)/[^/]+\.csv$", 1).cast("int").alias("part"),
+        F.row_number().over(in_file).alias("place"))
+    verdict = gated.select("_row_seq", F.col("_flags.duplicate_reading").alias("is_copy"))
+    return bronze.join(verdict, "_row_seq").drop("_row_seq")
+
+
+def landing_mixed_headers(spark, sf):
+    """A folder whose files have two header orders, landed by name."""
+    f = Flow(spark, sf)
+    return f.landed.select(*[F.col(f"`{c}`") for c in f.model.source_columns],
+                           F.regexp_extract("_source_file", r"/part(\d+)/", 1).cast("int").alias("part"))
 
 
 def landing_expectation(spark, sf):
@@ -63,6 +74,15 @@ def dedupe_rank(spark, sf):
     return flagged.select(gate.RAW_ID, gate.RAW_TS, "reading_id", "event_ts", "_row_seq", "is_duplicate")
 
 
+def dedupe_shuffle(spark, sf):
+    """The same with the duplicated keys joined by a shuffle, as for tables too large to broadcast."""
+    f = Flow(spark, sf)
+    keyed = f.typed.select(gate.RAW_ID, gate.RAW_TS, "reading_id", "event_ts", *gate.ORDER_COLUMNS)
+    flagged = flag_duplicates(keyed, gate.key_columns(f.model), gate.ORDER_COLUMNS, flag="is_duplicate",
+                              join_hint="shuffle_merge")
+    return flagged.select(gate.RAW_ID, gate.RAW_TS, "reading_id", "event_ts", "_row_seq", "is_duplicate")
+
+
 def rule_flags(spark, sf):
     f = Flow(spark, sf)
     return f.gated.select("_row_seq", *gate.flag_columns(f.model))
@@ -142,10 +162,15 @@ def dim_failure_event(spark, sf):
 
 
 def failure_lookup(spark, sf):
-    """Interval lookup for every typed reading with a parsed time (accepted or not)."""
+    """Interval lookup for every typed reading, accepted or not, with or without a time."""
     f = Flow(spark, sf)
-    readings = f.typed.filter(F.col("event_ts").isNotNull()).select("_row_seq", "event_ts")
-    return interval_lookup(readings, f.failures, day_rows=model_day_rows(f.model.intervals))
+    return interval_lookup(f.typed.select("_row_seq", "event_ts"), f.failures)
+
+
+def failure_lookup_shuffle(spark, sf):
+    """The same joined by a shuffle on the day."""
+    f = Flow(spark, sf)
+    return interval_lookup(f.typed.select("_row_seq", "event_ts"), f.failures, join_hint="shuffle_merge")
 
 
 def anomaly_reasons(spark, sf):
@@ -194,7 +219,7 @@ def validation_results(spark, sf):
 def latest_validation(spark, sf):
     """Checks of every weekly run in the feed, then the latest row per check."""
     f = Flow(spark, sf)
-    fact = gold.fact_reading(f.silver, f.model, keep=("_run_id",))
+    fact = gold.fact_reading(f.silver, f.model, f.failures, keep=("_run_id",))
     dates = f.silver.select("_run_id", F.to_date("event_ts").alias("_d")).distinct()
     per_run = validate.validation_results_per_run(
         f.bronze, f.silver, f.rejects, fact, dates, gate.key_columns(f.model)
@@ -202,6 +227,17 @@ def latest_validation(spark, sf):
     return quality.latest_per(per_run).orderBy("check_name")
 
 
+def validation_empty(spark, sf):
+    """The checks of a run all of whose readings lie outside the model's window."""
+    f = Flow(spark, sf)
+    late = replace(f.model, window_start="2030-01-01 00:00:00", window_end="2031-01-01 00:00:00")
+    gated = gate.apply_gate(f.bronze, late)
+    silver = gate.accepted(gated)
+    fact = gold.fact_reading(silver, late, f.failures)
+    return validate.validation_results(f.bronze, silver, gate.rejected(gated), fact, gold.dim_date_of_fact(fact),
+                                       gate.key_columns(late), CHECK_RUN_ID, CHECK_TIME)
+
+
 # ---- BI -----------------------------------------------------------------------------------
 def bi_measures(spark, sf):
     f = Flow(spark, sf)
@@ -226,8 +262,10 @@ QUERIES: dict[str, Query] = {
     "bronze_scan": bronze_scan,
     "bronze_lineage": bronze_lineage,
     "landing_expectation": landing_expectation,
+    "landing_mixed_headers": landing_mixed_headers,
     "silver_typed": silver_typed,
     "dedupe_rank": dedupe_rank,
+    "dedupe_shuffle": dedupe_shuffle,
     "rule_flags": rule_flags,
     "quality_gate": quality_gate,
     "silver_accepted": silver_accepted,
@@ -242,6 +280,7 @@ QUERIES: dict[str, Query] = {
     "dim_equipment": dim_equipment,
     "dim_failure_event": dim_failure_event,
     "failure_lookup": failure_lookup,
+    "failure_lookup_shuffle": failure_lookup_shuffle,
     "anomaly_reasons": anomaly_reasons,
     "fact_reading": fact_reading,
     "daily_health": daily_health,
@@ -251,6 +290,7 @@ QUERIES: dict[str, Query] = {
     "layer_counts": layer_counts,
     "validation_results": validation_results,
     "latest_validation": latest_validation,
+    "validation_empty": validation_empty,
     "bi_measures": bi_measures,
     "bi_monthly": bi_monthly,
     "bi_filtered": bi_filtered,

@@ -43,11 +43,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "Zulu", "Etc/Zulu", "UCT", "Universal", "+00:00", "GMT+0", "GMT0"}
+
+
+def is_utc(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.session.timeZone") in UTC_NAMES
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Event times are parsed in the session zone; a zone with daylight-saving jumps merges
-    distinct wall-clock readings into one instant.  The contract is UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != UTC:
-        spark.conf.set("spark.sql.session.timeZone", UTC)
+    distinct wall-clock readings into one instant, so the contract is UTC.  The caller's
+    session is theirs: it is checked, never changed."""
+    if not is_utc(spark):
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; readings are parsed in UTC only "
+                         "(set it when the session is built, or use utc_session)")
+
+
+def utc_session(spark: SparkSession) -> SparkSession:
+    """``spark`` if its zone is UTC, else a session beside it (same cluster) whose zone is."""
+    if is_utc(spark):
+        return spark
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", UTC)
+    return own
 
 
 def app_id(spark: SparkSession) -> str:

@@ -79,22 +79,13 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def spread(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """Hash-spread an input that arrives in fewer partitions than the cluster has cores
-    (a single small file is one split).  Large inputs already arrive in many splits and
-    are left alone.  Hashing a key keeps the placement deterministic on retry."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # no RDD view on this session: leave the layout to the source
-        return df
-    return df.repartition(cores, key)
-
-
-def feed(spark: SparkSession, sf_dir: str, replicate: int = 1, shift_ids: bool = True) -> DataFrame:
+def feed(spark: SparkSession, sf_dir: str, replicate: int = 1, shift_ids: bool = True,
+         partitions: int | None = None) -> DataFrame:
     """The Bronze-shaped reading feed for one scale directory (lazy).
 
+    ``partitions``: deal the events over so many tasks by id first (a single small file is one
+    split); by default the layout is the source's.
+
     ``replicate`` > 1 is a scale test: every event is repeated that many times
     (``explode`` of a sequence, no join) and every row is kept.  With ``shift_ids`` each
     copy's id is shifted past the largest id, so keys stay unique and each day holds
@@ -102,6 +93,7 @@ def feed(spark: SparkSession, sf_dir: str, replicate: int = 1, shift_ids: bool =
     copies (a replayed feed): all but the first row of each key are duplicates."""
     ensure_utc(spark)
     events = read_events(spark, sf_dir)
+    spread = lambda df: df.repartition(partitions, "event_id") if partitions else df
     if replicate <= 1:
         return feed_from_events(spread(events))
     copies = events.select(

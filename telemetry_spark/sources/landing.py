@@ -2,10 +2,13 @@
 
 * header on, no schema inference, single-line records: every field stays a string and
   no extra pass over the data is spent inferring types;
-* the unnamed leading index column some exports carry ("", "_c0", "Unnamed: 0") is
-  renamed to the contract's id column, unless that column already exists;
+* the unnamed leading index column some exports carry ("", "_c0", "Unnamed: 0") takes the
+  contract's id name, unless that column already exists;
+* columns are selected by name, so extra columns are dropped and order does not matter.  Spark
+  maps the files of one read by position, from the header of the first, so a file whose header
+  differs from its neighbours' is an error; :func:`header_layouts` groups the files of a folder
+  by header, and each group is then a read of its own;
 * missing contract columns are an error raised on the driver before any job runs;
-* columns are selected by name, so extra columns are dropped and order does not matter;
 * lineage: source file, the byte offset of the split, ingest time, run id and a row
   sequence.  (source file, split offset, row sequence) is the file order of a row, which
   the duplicate rule uses to keep the first copy deterministically.  The sequence is
@@ -22,35 +25,39 @@ from telemetry_spark.model import TelemetryModel
 LINEAGE_COLUMNS = ("_source_file", "_ingested_at", "_run_id", "_block_start", "_row_seq")
 
 
-def read_csv_strings(spark: SparkSession, source_path: str) -> DataFrame:
-    if not source_path or not source_path.strip():
-        raise ValueError("source_path must name a file or folder of CSV readings")
-    return (
-        spark.read.format("csv")
-        .option("header", "true")
-        .option("inferSchema", "false")
-        .option("multiLine", "false")
-        .load(source_path)
-    )
+def read_csv_strings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    wanted = [paths] if isinstance(paths, str) else paths
+    if not wanted or not all(p and p.strip() for p in wanted):
+        raise ValueError("name a file or folder of CSV readings")
+    reader = spark.read.format("csv").options(header="true", inferSchema="false", multiLine="false", enforceSchema="false")
+    return reader.load(wanted)
 
 
-def normalise_header(frame: DataFrame, model: TelemetryModel) -> DataFrame:
-    first = frame.columns[0]
-    if first in model.index_aliases and model.id_source not in frame.columns:
-        frame = frame.withColumnRenamed(first, model.id_source)
-    return frame
+def header_layouts(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files below ``path``, grouped by header.  One line of each file is read, from the
+    driver: for landing folders of many files with one header, name the folder instead."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(read_csv_strings(spark, path).inputFiles()):
+        groups.setdefault(tuple(read_csv_strings(spark, file).columns), []).append(file)
+    return list(groups.values())
 
 
-def require_columns(frame: DataFrame, model: TelemetryModel) -> None:
-    missing = sorted(set(model.source_columns) - set(frame.columns))
-    if missing:
-        raise ValueError(f"Source is missing required columns: {missing}")
+def contract_columns(frame: DataFrame, model: TelemetryModel) -> dict[str, str]:
+    """Contract name -> the frame's name of that column."""
+    here = {name: name for name in frame.columns}
+    if frame.columns[0] in model.index_aliases:
+        here.setdefault(model.id_source, frame.columns[0])
+    lacking = [name for name in model.source_columns if name not in here]
+    if lacking:
+        files = frame.inputFiles()
+        raise ValueError(f"{files[0] if files else 'the source'} has no column {', '.join(lacking)}")
+    return {name: here[name] for name in model.source_columns}
 
 
 def with_lineage(frame: DataFrame, model: TelemetryModel, run_id: str) -> DataFrame:
     """Contract columns by name plus lineage."""
     return frame.select(
-        *[F.col(f"`{c}`") for c in model.source_columns],
+        *[F.col(f"`{here}`").alias(name) for name, here in contract_columns(frame, model).items()],
         F.col("_metadata.file_path").alias("_source_file"),
         F.current_timestamp().alias("_ingested_at"),
         F.lit(str(run_id)).alias("_run_id"),
@@ -59,11 +66,16 @@ def with_lineage(frame: DataFrame, model: TelemetryModel, run_id: str) -> DataFr
     )
 
 
-def land_csv(spark: SparkSession, source_path: str, model: TelemetryModel, run_id: str) -> DataFrame:
-    """The Bronze frame of a CSV source (lazy; nothing is read beyond the header)."""
-    frame = normalise_header(read_csv_strings(spark, source_path), model)
-    require_columns(frame, model)
-    return with_lineage(frame, model, run_id)
+def land_csv(spark: SparkSession, source: str | list[list[str]], model: TelemetryModel, run_id: str) -> DataFrame:
+    """The Bronze frame of a CSV file or folder, or of several groups of files with a header
+    each (lazy; nothing is read beyond the headers)."""
+    groups = [source] if isinstance(source, str) else source
+    landed = [with_lineage(read_csv_strings(spark, group), model, run_id) for group in groups]
+    out = landed[0]
+    for more in landed[1:]:
+        out = out.unionByName(more)
+    # one numbering over all groups; the groups' own numbers would repeat
+    return out.withColumn("_row_seq", F.monotonically_increasing_id()) if landed[1:] else out
 
 
 def landing_check(bronze: DataFrame, expected_rows: DataFrame | int | None = None) -> DataFrame:
@@ -94,10 +106,12 @@ def landing_check(bronze: DataFrame, expected_rows: DataFrame | int | None = Non
 def assert_landed(check: DataFrame) -> int:
     """Raise unless the landing check passed; returns the landed row count."""
     row = check.first()
-    if row["landed_rows"] <= 0:
-        raise RuntimeError("Bronze ingestion produced no rows")
-    if not row["passed"]:
-        raise RuntimeError(
-            f"Bronze landed {row['landed_rows']} rows, expected {row['expected_rows']}"
-        )
-    return row["landed_rows"]
+    return require_rows(row["landed_rows"], row["expected_rows"])
+
+
+def require_rows(landed: int, expected: int | None = None) -> int:
+    if not landed:
+        raise RuntimeError("the source holds no readings: Bronze would be empty")
+    if expected is not None and landed != expected:
+        raise RuntimeError(f"the source was announced with {expected} readings, {landed} were landed")
+    return landed

@@ -2,7 +2,10 @@
 
 * full refresh (``overwrite``), optionally laid out by partition columns;
 * append-only audit tables (``append``);
-* views: a DataFrame registered under its table name for SQL users.
+* the schema of a table is stored beside it, so a table without rows (whose partitioned write
+  leaves no file) reads as an empty table;
+* names for SQL users: session views that carry the lake's name, and, where the session has a
+  catalog, external tables and stored views in it.
 
 Plain files in a configurable format (parquet by default); no catalog is required, and
 the root should be a shared filesystem or object store on a cluster.
@@ -10,32 +13,42 @@ the root should be a shared filesystem or object store on a cluster.
 
 from __future__ import annotations
 
-import re
+import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 LAYERS = ("bronze", "silver", "gold", "audit")
-_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+SCHEMAS = "_schemas"
+
+
+def sql_name(text: str) -> str:
+    """``text`` with what SQL names cannot hold unquoted as underscores."""
+    return "".join(c if c.isascii() and (c.isalnum() or c == "_") else "_" for c in text)
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", compression: str | None = "zstd"):
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", compression: str | None = "zstd",
+                 name: str | None = None):
         """``compression``: the file codec for every layer (zstd stores the all-string
         Bronze and the wide Silver markedly smaller than the default snappy); ``None``
-        keeps the session default."""
+        keeps the session default.  ``name``: what SQL names of its tables begin with (default: the
+        last part of the root)."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
         self.compression = compression
+        self.name = sql_name(name or self.root.rpartition("/")[2])
         # one DataFrame (and so one file listing) per table until that table is written
         # again: on an object store a day-partitioned fact is a large listing
         self._frames: dict[str, DataFrame] = {}
+        self._layout: dict[str, tuple[T.StructType, tuple[str, ...]]] = {}
 
     def path(self, layer: str, name: str) -> str:
         if layer not in LAYERS:
-            raise ValueError(f"Unknown layer: {layer}")
-        if not _NAME.fullmatch(name):
-            raise ValueError(f"Invalid table name {name!r}; use letters, numbers and underscores only")
+            raise ValueError(f"a lake has the layers {', '.join(LAYERS)}, not {layer}")
+        if name != sql_name(name) or not name or name[0].isdigit():
+            raise ValueError(f"{name!r} cannot name a table: ASCII letters, digits and _ only, no digit first")
         return f"{self.root}/{layer}/{name}"
 
     def overwrite(self, df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...] = (),
@@ -51,26 +64,79 @@ class Lake:
             writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
         self._frames.pop(path, None)
         writer.save(path)
+        self._keep_schema(path, df.schema, partition_by)
         return path
 
     def append(self, df: DataFrame, layer: str, name: str) -> str:
         path = self.path(layer, name)
         self._frames.pop(path, None)
         self._writer(df).mode("append").save(path)
+        if path not in self._layout:
+            self._keep_schema(path, df.schema, ())
         return path
 
     def _writer(self, df: DataFrame):
         writer = df.write.format(self.fmt)
         return writer.option("compression", self.compression) if self.compression else writer
 
+    def _schema_path(self, path: str) -> str:
+        return f"{self.root}/{SCHEMAS}{path[len(self.root):]}"
+
+    def _keep_schema(self, path: str, schema: T.StructType, partition_by: tuple[str, ...]) -> None:
+        # readers put partition columns last
+        fields = sorted(schema.fields, key=lambda f: partition_by.index(f.name) if f.name in partition_by else -1)
+        kept = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+        if self._layout.get(path) != (kept, partition_by):
+            text = json.dumps({"schema": kept.jsonValue(), "partition_by": partition_by})
+            self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(self._schema_path(path))
+            self._layout[path] = (kept, partition_by)
+
+    def layout(self, layer: str, name: str) -> tuple[T.StructType, tuple[str, ...]]:
+        """The stored schema and partition columns of a table."""
+        path = self.path(layer, name)
+        if path not in self._layout:
+            kept = json.loads(self.spark.read.text(self._schema_path(path)).first()[0])
+            self._layout[path] = (T.StructType.fromJson(kept["schema"]), tuple(kept["partition_by"]))
+        return self._layout[path]
+
     def read(self, layer: str, name: str) -> DataFrame:
         path = self.path(layer, name)
         frame = self._frames.get(path)
         if frame is None:
-            frame = self._frames[path] = self.spark.read.format(self.fmt).load(path)
+            schema, _ = self.layout(layer, name)
+            frame = self._frames[path] = self.spark.read.schema(schema).format(self.fmt).load(path)
         return frame
 
-    def register(self, df: DataFrame, name: str) -> DataFrame:
-        """Expose a frame (a stored table or a view definition) to SQL under ``name``."""
-        df.createOrReplaceTempView(name)
-        return df
+    def register(self, df: DataFrame, layer: str, name: str) -> str:
+        """Expose a frame to SQL for this session, as ``<lake>_<layer>_<name>``."""
+        self.path(layer, name)
+        view = f"{self.name}_{layer}_{name}"
+        df.createOrReplaceTempView(view)
+        return view
+
+    def publish(self, layer: str, name: str) -> str:
+        """Register a stored table in the session's catalog, as ``<lake>_<layer>.<name>``."""
+        database, (schema, partition_by) = self._database(layer), self.layout(layer, name)
+        table = f"{database}.{name}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING {self.fmt}{parts} LOCATION {_literal(self.path(layer, name))}")
+        if partition_by:
+            self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        return table
+
+    def publish_view(self, layer: str, name: str, query: str) -> str:
+        """Store a view over published tables in the session's catalog."""
+        view = f"{self._database(layer)}.{name}"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
+        return view
+
+    def _database(self, layer: str) -> str:
+        database = f"{self.name}_{layer}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {_literal(f'{self.root}/_catalog/{layer}')}")
+        return database
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -33,10 +33,9 @@ def brute(df):
 
 
 @pytest.mark.parametrize("options", [
-    {"input_rows": 3000},                                          # input within the bound
-    {},                                                            # broadcast path
-    {"broadcast_max_rows": 10, "hot_min": 50, "salt_buckets": 8},  # hot keys broadcast, rest salted shuffle
-    {"broadcast_max_rows": 1, "hot_min": 10**9},                   # every key through the shuffle join
+    {},
+    {"join_hint": "shuffle_merge"},
+    {"join_hint": "broadcast"},
 ])
 def test_matches_row_number(spark, rows, options):
     got = {r.s: r.d for r in flag_duplicates(rows, KEYS, ORDER, flag="d", **options).select("s", "d").collect()}
@@ -47,3 +46,16 @@ def test_matches_row_number(spark, rows, options):
 def test_no_duplicates(spark):
     df = spark.createDataFrame([(1, 1, "a", 0, 1), (2, 1, "a", 0, 2)], "k1 long, k2 long, f string, b long, s long")
     assert [r.d for r in flag_duplicates(df, KEYS, ORDER, flag="d").collect()] == [False, False]
+
+
+def test_order_is_fixed_width_and_lazy(spark):
+    data = [(1, 1, "b", 10**12 - 1, 2**63 - 1), (1, 1, "a", 0, 5), (1, 1, "a", 0, 4), (1, 1, None, 0, 9)]
+    df = spark.createDataFrame(data, "k1 long, k2 long, f string, b long, s long")
+    flagged = flag_duplicates(df, KEYS, ORDER, flag="d")
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "min(_order" in plan
+    assert {(r.f, r.s): r.d for r in flagged.collect()} == {("b", 2**63 - 1): True, ("a", 5): True, ("a", 4): True, (None, 9): False}
+    # decimals of the declared widths hold every order; a longer offset is an error
+    wide = spark.createDataFrame([(1, 1, "a", 10**12, 1)], "k1 long, k2 long, f string, b long, s long")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        flag_duplicates(wide, KEYS, ORDER, flag="d").collect()

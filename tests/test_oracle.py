@@ -5,13 +5,15 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_compare import compare
+from telemetry_spark.plans.oracle import oracle_sql
+from telemetry_spark.plans.queries import QUERIES
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+ORACLE = oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

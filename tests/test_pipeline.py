@@ -4,17 +4,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from telemetry_spark.model import events_feed
 from telemetry_spark.plans import pipeline
 from telemetry_spark.session import scratch_path
 from telemetry_spark.sources.feed import feed
 from telemetry_spark.sources.store import Lake
 
+MODEL = events_feed()
+
 
 @pytest.fixture(scope="module")
 def lake_run(spark):
     root = scratch_path(spark, "test-lake")
-    first = pipeline.run_pipeline(spark, feed(spark, SF_SMALL), root, run_id="r1")
-    second = pipeline.run_pipeline(spark, feed(spark, SF_SMALL), root, run_id="r2")
+    first = pipeline.run_pipeline(spark, feed(spark, SF_SMALL), root, run_id="r1", model=MODEL)
+    second = pipeline.run_pipeline(spark, feed(spark, SF_SMALL), root, run_id="r2", model=MODEL)
     return root, first, second
 
 
@@ -34,7 +37,21 @@ def test_layers_and_views(spark, lake_run):
     # laid out by day: a filter on the day prunes partitions
     one_day = fact.filter(F.col("date_key") == 20240105)
     assert "PartitionFilters: [isnotnull(date_key" in one_day._jdf.queryExecution().executedPlan().toString()
-    assert spark.table("powerbi_equipment_health").count() == lake.read("gold", "fact_daily_equipment_health").count()
+    assert spark.table(f"{lake.name}_gold_powerbi_equipment_health").count() == lake.read("gold", "fact_daily_equipment_health").count()
+
+
+def test_fact_write_reads_silver_once(spark, lake_run):
+    """No sampling pass before the layout, and Silver counts read no reason text."""
+    root, _, _ = lake_run
+    silver, _ = pipeline.silver_tables(Lake(spark, root))
+    plan = silver.groupBy().count()._jdf.queryExecution().executedPlan().toString()
+    assert "rejection_reason" not in plan
+    from telemetry_spark.operators import gold
+
+    laid_out = gold.fact_reading(silver, MODEL).hint("rebalance", "date_key").sortWithinPartitions("date_key")
+    plan = laid_out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert plan.count("FileScan parquet") == 1
 
 
 def test_audit_tables_append(spark, lake_run):
@@ -58,7 +75,7 @@ def test_failed_check_is_stored_then_raised(spark, lake_run):
     import datetime
 
     with pytest.raises(RuntimeError, match="gold_fact_matches_silver"):
-        pipeline.validate_run(spark, lake_broken, pipeline.events_feed(), "r3", datetime.datetime(2024, 2, 1))
+        pipeline.validate_run(spark, lake_broken, MODEL, "r3", datetime.datetime(2024, 2, 1))
     stored = lake.read("audit", "pipeline_validation_results").filter("run_id = 'r3'")
     assert stored.count() == 4 and stored.filter("NOT passed").count() == 1
 
@@ -78,7 +95,7 @@ def test_portfolio_reports_over_stored_tables(spark, lake_run):
     assert (dup.checked_rows, dup.failed_rows, dup.pass_rate_pct) == (1010, 10, 99.0099)
     val = reports.latest_validation(lake).collect()
     assert len(val) == 4 and all(r.passed for r in val if r.run_id != "r3")
-    tl = reports.timeline(lake, pipeline.events_feed()).collect()
+    tl = reports.timeline(lake, MODEL).collect()
     assert [r.calendar_date for r in tl] == sorted(r.calendar_date for r in tl)
     rep = [json.loads(r.report) for r in reports.run_reports(lake).filter("run_id = 'r2'").collect()]
     assert len(rep) == 1 and rep[0]["source_rows"] == 1010 and rep[0]["silver_rows"] == 956
@@ -97,7 +114,7 @@ def test_table_names_are_validated(spark):
 def test_replayed_feed_gives_the_same_silver(spark):
     """Every key a group of 3 copies: Silver equals the unreplayed feed's, rows all kept."""
     root = scratch_path(spark, "test-replay")
-    out = pipeline.run_pipeline(spark, feed(spark, SF_SMALL, replicate=3, shift_ids=False), root, run_id="x3")
+    out = pipeline.run_pipeline(spark, feed(spark, SF_SMALL, replicate=3, shift_ids=False), root, run_id="x3", model=MODEL)
     assert (out["bronze_rows"], out["silver_rows"], out["reject_rows"]) == (3030, 956, 2074)
     silver, _ = pipeline.silver_tables(Lake(spark, root))
     # the kept row of every key is its first copy
@@ -123,7 +140,7 @@ def test_report_from_observed_metrics_equals_recomputed(spark, lake_run):
     root, _, _ = lake_run
     lake = Lake(spark, root)
     observed = json.loads(reports.run_reports(lake).filter("run_id = 'r1'").first().report)
-    pipeline.write_run_report(lake, pipeline.events_feed(), "recomputed", __import__("datetime").datetime(2024, 3, 1))
+    pipeline.write_run_report(lake, MODEL, "recomputed", __import__("datetime").datetime(2024, 3, 1))
     recomputed = json.loads(reports.run_reports(lake).filter("run_id = 'recomputed'").first().report)
     assert observed == recomputed
 
@@ -137,3 +154,90 @@ def test_reads_see_every_write(spark):
     assert lake.read("gold", "t").count() == 5
     lake.append(spark.range(2), "gold", "t")
     assert lake.read("gold", "t").count() == 7
+
+
+def test_all_rejected_run_stores_its_checks_and_report_then_fails(spark):
+    """Readings of 2024 under a contract of 2020: nothing is accepted."""
+    from telemetry_spark.model import compressor
+
+    root = scratch_path(spark, "all-rejected")
+    with pytest.raises(RuntimeError, match="gold_dimensions_are_populated"):
+        pipeline.run_pipeline(spark, feed(spark, SF_SMALL), root, run_id="none")  # the published contract by default
+    lake = Lake(spark, root)
+    silver, rejects = pipeline.silver_tables(lake)
+    assert (silver.count(), rejects.count()) == (0, 1010)
+    checks = {r.check_name: r.passed for r in lake.read("audit", "pipeline_validation_results").collect()}
+    assert len(checks) == 4 and [n for n, p in checks.items() if not p] == ["gold_dimensions_are_populated"]
+    assert lake.read("audit", "run_reports").count() == 1
+    assert lake.read("gold", "fact_sensor_reading").count() == lake.read("gold", "dim_date").count() == 0
+    assert pipeline.dashboard(lake, compressor()).count() == 0
+
+
+def test_a_retried_validation_judges_its_own_attempt(spark):
+    root = scratch_path(spark, "retry")
+    for stage in ("bronze", "silver", "gold"):
+        source = feed(spark, SF_SMALL) if stage == "bronze" else None
+        pipeline.run_stage(spark, stage, root, "t", source, MODEL)
+    lake = Lake(spark, root)
+    fact = lake.read("gold", "fact_sensor_reading")
+    whole, short = fact.collect(), fact.limit(10).collect()
+    lake.overwrite(spark.createDataFrame(short, fact.schema), "gold", "fact_sensor_reading", ("date_key",))
+    with pytest.raises(RuntimeError, match="gold_fact_matches_silver"):
+        pipeline.run_stage(spark, "validate", root, "t", model=MODEL)
+    lake.overwrite(spark.createDataFrame(whole, fact.schema), "gold", "fact_sensor_reading", ("date_key",))
+    checks = pipeline.run_stage(spark, "validate", root, "t", model=MODEL)["checks"]
+    assert len(checks) == 4 and all(c["passed"] for c in checks)
+
+
+def test_empty_and_partitioned_tables_keep_their_schema(spark):
+    root = scratch_path(spark, "empty")
+    Lake(spark, root).overwrite(spark.range(0).selectExpr("id", "id % 2 = 0 AS even", "'x' AS s"), "silver", "t", ("even",))
+    again = Lake(spark, root).read("silver", "t")
+    assert again.dtypes == [("id", "bigint"), ("s", "string"), ("even", "boolean")] and again.count() == 0
+
+
+REPORTS = (
+    "SELECT 'bronze' AS layer, count(*) AS n FROM {b}sensor_readings_raw UNION ALL SELECT 'silver', count(*) FROM {s}sensor_readings "
+    "UNION ALL SELECT 'rejects', count(*) FROM {s}sensor_readings_rejects "
+    "UNION ALL SELECT 'fact', count(*) FROM {g}fact_sensor_reading",
+    "SELECT check_name, max_by(failed_rows, checked_at) AS failed FROM {a}quality_check_results GROUP BY check_name",
+    "SELECT check_name, max_by(passed, checked_at) AS passed FROM {a}pipeline_validation_results GROUP BY check_name",
+    "SELECT calendar_date, telemetry_coverage_pct FROM {g}powerbi_equipment_health ORDER BY calendar_date",
+)
+
+
+@pytest.mark.parametrize("style", ["session views", "catalog"])
+def test_reports_as_sql_while_another_lake_is_open(spark, style):
+    lakes = []
+    for k, days in enumerate((30, 5)):
+        root = scratch_path(spark, f"named{k}")
+        source = feed(spark, SF_SMALL).where(f"_row_seq < {2 * days * 20}")
+        pipeline.run_pipeline(spark, source, root, run_id="n", model=MODEL)
+        lakes.append(Lake(spark, root, name=f"plant{k}{style[0]}"))
+    for lake in lakes:
+        pipeline.publish(lake, MODEL) if style == "catalog" else pipeline.register_views(lake, MODEL)
+    found = []
+    for lake in lakes:
+        dot = "." if style == "catalog" else "_"
+        names = {layer[0]: f"{lake.name}_{layer}{dot}" for layer in ("bronze", "silver", "gold", "audit")}
+        counts, failed, passed, days = [spark.sql(q.format(**names)).collect() for q in REPORTS]
+        by_layer = {r.layer: r.n for r in counts}
+        assert by_layer["bronze"] == by_layer["silver"] + by_layer["rejects"] and by_layer["fact"] == by_layer["silver"]
+        assert len(failed) == 10 and len(passed) == 4 and all(r.passed for r in passed)
+        assert [r[0] for r in days] == sorted(r[0] for r in days) and days
+        found.append(by_layer["bronze"])
+    assert found[0] > found[1]
+
+
+def test_changed_input_is_run_again(spark, tmp_path):
+    from telemetry_spark.plans.flow import lake_for
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    target = str(tmp_path / "events.parquet")
+    events.limit(300).write.parquet(target)
+    first = lake_for(spark, f"file://{tmp_path}", MODEL)
+    assert lake_for(spark, f"file://{tmp_path}", MODEL).root == first.root
+    events.limit(200).write.mode("overwrite").parquet(target)
+    second = lake_for(spark, f"file://{tmp_path}", MODEL)
+    assert second.root != first.root
+    assert second.read("bronze", "sensor_readings_raw").count() < first.read("bronze", "sensor_readings_raw").count()

@@ -2,10 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from telemetry_spark.plans.queries import QUERIES as ALL
 
-QUERIES = entry.queries()
+SHUFFLED = {"dedupe_shuffle", "failure_lookup_shuffle"}  # made to show the plan without broadcasts
+QUERIES = {k: v for k, v in ALL.items() if k not in SHUFFLED}
 
 
 def scan_columns(line: str) -> str:
@@ -26,31 +27,36 @@ def test_no_python_udf_no_cartesian(spark, name):
 
 def test_fact_is_built_without_shuffling_readings(spark):
     plan = physical(QUERIES["fact_reading"](spark, SF_SMALL))
-    # the interval day table is broadcast; the readings are never repartitioned
-    assert plan.count("BroadcastHashJoin") == 1
-    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+    # the interval day table is broadcast (the one exchange sits inside its build side); the
+    # readings are never repartitioned
+    assert plan.count("BroadcastHashJoin") == 1 and "Exchange rangepartitioning" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") > plan.index("BroadcastExchange")
 
 
 def test_gate_flags_duplicates_without_shuffling_readings(spark):
     plan = physical(QUERIES["quality_gate"](spark, SF_SMALL))
-    # the duplicated-key table (bounded by the input row count here) is broadcast with
-    # null-safe keys; the one aggregation Exchange sits inside that broadcast's build side,
-    # printed after the readings' side of the tree
-    assert plan.count("BroadcastHashJoin") == 1 and "isnull" in plan and "SortMergeJoin" not in plan
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.index("Exchange hashpartitioning") > plan.index("BroadcastExchange")
+    # file numbers (twice) and the duplicated keys are broadcast; the exchanges sit inside their
+    # build sides, and the smallest order is a hash aggregate
+    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan and "SortAggregate" not in plan
 
 
-def test_gate_candidate_path_without_shuffling_readings(spark):
+@pytest.mark.parametrize("name", sorted(SHUFFLED))
+def test_the_plan_beyond_broadcasts(spark, name):
+    plan = physical(ALL[name](spark, SF_SMALL))
+    assert plan.count("SortMergeJoin") == 1 and "SortAggregate" not in plan and "CartesianProduct" not in plan
+
+
+def test_building_a_gate_runs_nothing(spark):
     from telemetry_spark.model import events_feed
     from telemetry_spark.operators import gate
     from telemetry_spark.plans.flow import Flow
 
     bronze = Flow(spark, SF_SMALL).bronze
-    plan = physical(gate.apply_gate(bronze, events_feed()))  # input size unknown: candidate pass
-    assert plan.count("BroadcastHashJoin") == 2 and "LeftSemi" in plan
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.index("Exchange hashpartitioning") > plan.index("BroadcastExchange")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    gate.apply_gate(bronze, events_feed())
+    assert len(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_dashboard_broadcasts_both_dimensions(spark):

@@ -20,8 +20,8 @@ def test_valid_row_has_no_reason(spark):
 
 
 def test_several_failures_are_all_named_in_rule_order(spark):
-    row = {"index": "x", "timestamp": "bad", "TP2": "99", "Oil_temperature": "200", "Motor_current": "70",
-           "COMP": "2", "Caudal_impulses": "-1"}
+    row = {"index": "1e3", "timestamp": "noon", "Reservoirs": "-2.01", "Oil_temperature": "-30.5", "Motor_current": "50.25",
+           "Towers": "0.5", "Caudal_impulses": "-0.1"}
     assert reasons(spark, [row]) == [
         "invalid_reading_id; invalid_timestamp; pressure_out_of_range; oil_temperature_out_of_range; "
         "motor_current_out_of_range; invalid_binary_signal; negative_caudal_impulses"
@@ -75,9 +75,9 @@ def test_first_row_is_by_file_then_sequence(spark):
 
 
 def test_anomaly_reasons(spark):
-    rows = [{"index": "1", "Oil_temperature": "101", "Motor_current": "13", "TP3": "8", "Reservoirs": "5", "LPS": "1"},
+    rows = [{"index": "1", "Oil_temperature": "140.5", "Motor_current": "12.01", "TP3": "3", "Reservoirs": "4.75", "LPS": "1"},
             {"index": "2", "Oil_temperature": "100", "Motor_current": "12", "TP3": "8", "Reservoirs": "6.5"},
-            {"index": "3", "Oil_level": "1"}]
+            {"index": "3", "Oil_level": "1", "Motor_current": "2"}]
     silver = gate.accepted(gate.apply_gate(bronze(spark, rows), MODEL))
     got = [r.anomaly_reason for r in fact_reading(silver, MODEL).orderBy("reading_id").collect()]
     assert got == ["high_oil_temperature; high_motor_current; reservoir_pressure_mismatch; low_pressure_switch_active",
@@ -110,7 +110,7 @@ def test_header_normalisation_and_contract_checks(spark, tmp_path):
 
     q = tmp_path / "b.csv"
     q.write_text("index,TP2\n1,2\n")
-    with pytest.raises(ValueError, match=r"missing required columns: \['COMP', 'Caudal_impulses'"):
+    with pytest.raises(ValueError, match=r"b\.csv has no column timestamp, TP3"):
         landing.land_csv(spark, str(q), MODEL, "r1")
     with pytest.raises(ValueError):
         landing.land_csv(spark, "  ", MODEL, "r1")
@@ -122,17 +122,20 @@ def test_landing_check(spark):
     assert not landing.landing_check(df, 3).first().passed
     assert landing.landing_check(df, df).first().asDict() == {"landed_rows": 2, "expected_rows": 2, "passed": True}
     assert landing.assert_landed(landing.landing_check(df, 2)) == 2
-    with pytest.raises(RuntimeError, match="expected 3"):
+    with pytest.raises(RuntimeError, match="announced with 3 readings, 2"):
         landing.assert_landed(landing.landing_check(df, 3))
 
 
-def test_session_zone_is_forced_to_utc(spark):
-    from telemetry_spark.session import ensure_utc
+def test_another_session_zone_is_refused_and_left_alone(spark):
+    from telemetry_spark.session import ensure_utc, utc_session
 
+    assert utc_session(spark) is spark
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     try:
-        ensure_utc(spark)
-        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        with pytest.raises(ValueError, match="Europe/Berlin"):
+            ensure_utc(spark)
+        assert utc_session(spark).conf.get("spark.sql.session.timeZone") == "UTC"
+        assert spark.conf.get("spark.sql.session.timeZone") == "Europe/Berlin"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -145,29 +148,29 @@ def test_interval_lookup_shuffle_path_matches_broadcast(spark):
         "i", "CAST(s AS TIMESTAMP) AS event_ts")
     dims = dim_failure_event(spark, events_feed())
     wide = interval_lookup(readings, dims)
-    # no broadcast hint: an equi-join on the day (Spark may still broadcast a side its own
-    # statistics prove small, which is the point of not hinting beyond the bound)
-    narrow = interval_lookup(readings, dims, broadcast_max_rows=0)
+    narrow = interval_lookup(readings, dims, join_hint="shuffle_merge")
+    assert "SortMergeJoin" in narrow._jdf.queryExecution().executedPlan().toString()
     assert sorted(wide.collect()) == sorted(narrow.collect())
     assert [r.failure_event_id for r in narrow.orderBy("i").collect()] == [1, 3, 4, None, None]
 
 
-def test_fleet_feed_keeps_equipment_apart(spark):
-    from pyspark.sql import functions as F
+def test_mixed_headers_are_an_error_or_landed_by_name(spark, tmp_path):
+    names = list(MODEL.source_columns)
+    value = {c: str(i + 1) for i, c in enumerate(names)}
+    for file, order in (("a.csv", names), ("b.csv", names[::-1]), ("c.csv", names)):
+        (tmp_path / file).write_text(",".join(order) + "\n" + ",".join(value[c] for c in order) + "\n")
+    with pytest.raises(Exception, match="header"):
+        landing.land_csv(spark, str(tmp_path), MODEL, "r").collect()
+    layouts = landing.header_layouts(spark, str(tmp_path))
+    assert [len(g) for g in layouts] == [2, 1]
+    rows = landing.land_csv(spark, layouts, MODEL, "r").collect()
+    assert [{c: r[c] for c in names} for r in rows] == [value] * 3
+    assert len({r["_row_seq"] for r in rows}) == 3
 
-    from telemetry_spark.operators.gold import daily_health
 
-    rows = [{"index": str(i), "_source_file": f"unit{i % 2}.csv"} for i in range(6)]
-    df = bronze(spark, rows)
-    gated = gate.apply_gate(df, MODEL, equipment=F.regexp_extract("_source_file", r"(unit\d)", 1))
-    daily = daily_health(fact_reading(gate.accepted(gated), MODEL), MODEL)
-    got = {r.equipment_id: r.reading_count for r in daily.collect()}
-    assert got == {"unit0": 3, "unit1": 3}
-
-
-def test_gate_fallback_paths_agree(spark):
-    """The whole gate on the salted-shuffle fallback equals the default broadcast path,
-    with one unparsable key holding a third of the rows."""
+def test_gate_join_strategies_agree(spark):
+    """The whole gate with a shuffle join equals the default, with one unparsable key holding a
+    third of the rows."""
     rows = []
     for i in range(90):
         if i % 3 == 0:
@@ -183,7 +186,5 @@ def test_gate_fallback_paths_agree(spark):
         return [r.rejection_reason for r in g.orderBy("_row_seq").collect()]
 
     default = reasons()
-    assert default == reasons(broadcast_max_rows=3, hot_min=5, salt_buckets=4)
-    assert default == reasons(broadcast_max_rows=1, hot_min=10**9)
-    assert default == reasons(input_rows=90)
+    assert default == reasons(join_hint="shuffle_merge")
     assert sum("duplicate_reading" in r for r in default) == 29 + (30 - 7)

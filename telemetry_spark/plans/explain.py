@@ -11,23 +11,20 @@ from __future__ import annotations
 import re
 import sys
 
-from telemetry_spark.model import events_feed
-from telemetry_spark.operators import dedupe, gate
-from telemetry_spark.plans.flow import Flow
 from telemetry_spark.plans.queries import QUERIES
 from telemetry_spark.session import local_session
 
 NOTES = {
-    "quality_gate": "Bronze scan -> typed projection -> broadcast hash join (null-safe keys) with the exact "
-                    "duplicated-key table, bounded here by the Bronze row count (for larger inputs the build side "
-                    "aggregates only rows whose key hash is a measured candidate). The readings' side has no "
-                    "Exchange.",
-    "fact_reading": "Silver scan (accepted partition only) -> broadcast hash join with the day-bucketed interval "
+    "quality_gate": "Bronze scan -> typed projection -> file numbers -> left join (null-safe keys) with the keys seen "
+                    "twice. Their first order is a hash aggregate. No join is hinted: here all build sides are "
+                    "small enough to broadcast, so the readings have no Exchange.",
+    "dedupe_shuffle": "The duplicate rule where the duplicated keys are too many to broadcast: one shuffle of the "
+                      "readings, in which adaptive execution splits a hot key.",
+    "fact_reading": "Silver scan (accepted partition only) -> join with the day-bucketed interval "
                     "table -> array_min(transform(filter(...))). No Exchange of readings.",
     "daily_health": "Fact scan reads 9 columns -> partial aggregate -> Exchange of partial rows only -> final "
                     "aggregate. Coverage and rate keep the published decimal arithmetic.",
-    "dashboard_view": "Daily fact with broadcast date and equipment dimensions (bounded by the model's window and "
-                      "equipment).",
+    "dashboard_view": "Daily fact joined with the date and equipment dimensions, small enough here to broadcast.",
     "quality_summary": "One aggregate of count_if over the flags struct per run, then unpivot to long form.",
     "latest_quality": "max_by(struct, checked_at) per check (a partial aggregate, no window sort).",
     "validation_results": "Every count of the four checks from one aggregate over a tagged union of the layers.",
@@ -48,13 +45,6 @@ def main(sf_dir: str = "/root/testdata/sf0.01") -> None:
         df = QUERIES[name](spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         print(f"## {name}\n\n{note}\n\n```\n{_clean(plan).rstrip()}\n```\n")
-    f = Flow(spark, sf_dir, events_feed())
-    typed = f.typed
-    keys = gate.key_columns(f.model)
-    hashes = typed.selectExpr(f"{dedupe._key_hash(keys)} AS _h").groupBy("_h").count().where("count > 1")
-    plan = hashes._jdf.queryExecution().executedPlan().toString()
-    print("## duplicate candidates (first phase of the duplicate rule)\n\nOnly the 64-bit key hash is "
-          "shuffled; partial aggregation first.\n\n```\n" + _clean(plan).rstrip() + "\n```\n")
     spark.stop()
 
 

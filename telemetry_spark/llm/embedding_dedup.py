@@ -190,6 +190,7 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec
     sizes = dealt.groupBy("label", "width", "cell").agg(
         F.ceil(F.sum((~F.col("visitor")).cast("long")) / F.lit(block)).alias("resident_blocks"),
         F.ceil(F.sum(F.col("visitor").cast("long")) / F.lit(block)).alias("visitor_blocks")).where("resident_blocks > 0")
+    sizes, _ = materialise(sizes, "cell-sizes")   # so that the join can split a hot cell
     cells = dealt.join(sizes, ["label", "width", "cell"])
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))

@@ -62,6 +62,8 @@ def host_templates(shapes: DataFrame, depth: int, variable: int, share: float) -
         literal = kids.join(nodes.where(F.col("children") >= variable), ["host", "template"]).where(F.col("pages") >= share * F.col("total"))
         nodes = nodes.where(F.col("children") >= variable).select("host", "template", F.lit(True).alias("varies"))
         literal = literal.select("host", "template", "segment", F.lit(True).alias("kept"))
+        nodes, _ = materialise(nodes, "url-nodes")        # so that the joins can split a hot host
+        literal, _ = materialise(literal, "url-literals")
         tree = tree.join(nodes, ["host", "template"], "left").join(literal, ["host", "template", "segment"], "left")
         named = F.when(F.col("varies") & F.col("kept").isNull(), F.lit("*")).otherwise(F.col("segment"))
         tree = tree.select(

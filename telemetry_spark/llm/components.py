@@ -4,7 +4,9 @@ Large-star links every larger neighbour of a node to the smallest node of its ne
 small-star every smaller neighbour and the node itself; both keep the components, and together
 they end in stars around each component's smallest node.  A hot node costs an aggregation with
 map-side combining (its minimum) and a join that adaptive execution can split; no neighbourhood
-is ever gathered.  Every half round is written to the shared folder, which cuts the lineage."""
+is ever gathered.  The minima are written before they are joined: a join whose side is a fresh
+aggregate on the same key keeps that key in one task, one over a stored table can be split.
+Every half round is written to the shared folder too, which cuts the lineage."""
 
 from __future__ import annotations
 
@@ -25,11 +27,12 @@ def _store(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
 def large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least, _ = materialise(least, "least")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least, _ = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 

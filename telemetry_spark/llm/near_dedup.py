@@ -220,7 +220,9 @@ class NearDuplicates:
         nodes, _ = materialise(nodes, "nodes")
         banded = signed.select("set_id", "id", "bands").join(nodes, ["set_id", "id"]).select("id", F.explode("bands").alias("band"))
         hubs = banded.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last")
-        members = banded.join(hubs.select("band", "hub"), "band").where("id <> hub").select("hub", "id").distinct()
+        # stored first: a join with a fresh aggregate on its key could not split a hot band
+        hubs, _ = materialise(hubs.select("band", "hub"), "bands")
+        members = banded.join(hubs, "band").where("id <> hub").select("hub", "id").distinct()
         members, _ = materialise(members, "members")
         counts = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / F.lit(self.block)).alias("blocks"))
         counts, seen = materialise(counts, "hubs", {"most": F.max("blocks")})

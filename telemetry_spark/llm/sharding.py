@@ -5,7 +5,8 @@ shard is a contiguous range of that order.  A document's shard then follows from
 digest and the ``shards - 1`` cuts, without a join, and a group is never split.
 
 The smallest feasible capacity is found by binary search; a capacity is checked greedily:
-walk the groups, close a shard when the next group would exceed the capacity.  A group
+walk the groups, close a shard when the next group would exceed the capacity.  The shards are
+then cut within that capacity, each as near to an even share as the rest allows.  A group
 larger than the capacity stands alone in its shard (nothing can make its shard smaller, and the other
 shards still come out even).  The walk needs running sums, which are kept hierarchically
 so that neither the driver nor a task ever holds all groups: the order is summed by digest
@@ -29,6 +30,8 @@ shards leave shards empty.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,6 +105,34 @@ def greedy_cuts(prefixes: list[Prefix], capacity: int, divisible: bool) -> list[
     return cuts
 
 
+def even_cuts(prefixes: list[Prefix], capacity: int, shards: int) -> list[int]:
+    """Starts of the shards after the first, no shard above the capacity (but for a lone group
+    that is larger): each ends as near as it can to an even share of what is left, as long as
+    the rest still fits into the shards left."""
+    n = len(prefixes)
+    sizes = [p.size for p in prefixes]
+    before = [0, *accumulate(sizes)]
+    reach, end = [0] * n, n          # the furthest end of a shard that starts here
+    needed, giants = [0] * (n + 1), [0] * (n + 1)
+    rest = [0] * (n + 1)             # sizes to come, without groups that stand alone
+    for i in range(n - 1, -1, -1):
+        while end > i + 1 and before[end] - before[i] > capacity:
+            end -= 1
+        reach[i] = end
+        needed[i] = 1 + needed[end]
+        alone = sizes[i] > capacity
+        giants[i], rest[i] = giants[i + 1] + alone, rest[i + 1] + (0 if alone else sizes[i])
+    cuts, at, left = [], 0, shards
+    while at < n and left > 1:
+        share = rest[at] / max(1, left - giants[at])
+        ends = [j for j in range(at + 1, reach[at] + 1) if needed[j] <= left - 1]
+        at = min(ends, key=lambda j: abs(before[j] - before[at] - share))
+        left -= 1
+        if at < n:
+            cuts.append(at)
+    return cuts
+
+
 def smallest_capacity(prefixes: list[Prefix], shards: int, divisible: bool) -> int:
     lo, hi = 0, max(1, sum(p.size for p in prefixes))   # lo is infeasible, hi feasible
     while hi - lo > 1:
@@ -124,7 +155,7 @@ def find_cuts(rows: DataFrame, shards: int) -> list[str]:
         high = smallest_capacity(prefixes, shards, divisible=False)
         if digits >= FULL or low >= high and all(
                 prefixes[i].single for i, used in greedy_cuts(prefixes, high, True) if used):
-            return [prefixes[i].key for i, _ in greedy_cuts(prefixes, high, False)]
+            return [prefixes[i].key for i in even_cuts(prefixes, high, shards)]
         # a cut of any capacity in low..high lies between the same cut of both ends
         first, last = (greedy_cuts(prefixes, c, True) for c in (low, high))
         inside: set[int] = set()
@@ -133,7 +164,7 @@ def find_cuts(rows: DataFrame, shards: int) -> list[str]:
             inside.update(range(max(0, a - 1), min(b, len(prefixes) - 1) + 1))
         coarse = [prefixes[i].key for i in sorted(inside) if not prefixes[i].single and len(prefixes[i].key) == digits]
         if not coarse:
-            return [prefixes[i].key for i, _ in greedy_cuts(prefixes, high, False)]
+            return [prefixes[i].key for i in even_cuts(prefixes, high, shards)]
         digits += DIGITS
         finer = _summed(rows, digits, coarse)
         gone = set(coarse)

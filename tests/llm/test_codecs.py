@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from telemetry_spark.llm import pii
 from telemetry_spark.llm.bpe import TreeBpe, file_ranks
 from telemetry_spark.llm.packing import IdBytes, bins, piece_lengths
-from telemetry_spark.llm.sharding import Prefix, greedy_cuts, smallest_capacity
+from telemetry_spark.llm.sharding import Prefix, even_cuts, greedy_cuts, smallest_capacity
 from telemetry_spark.llm.token_counts import TokenCounter
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -150,3 +150,15 @@ def test_smallest_capacity(sizes, shards):
     capacity = smallest_capacity(prefixes, shards, divisible=False)
     assert capacity == brute_capacity(sizes, shards)
     assert len(greedy_cuts(prefixes, capacity, False)) < shards
+    starts = [0, *even_cuts(prefixes, capacity, shards), len(sizes)]
+    assert len(starts) <= shards + 1 and starts == sorted(set(starts))
+    for a, b in zip(starts, starts[1:]):
+        assert sum(sizes[a:b]) <= capacity or b == a + 1
+
+
+def test_even_cuts_are_even():
+    prefixes = [Prefix(f"{i:04d}", 10 + i % 7, True) for i in range(1000)] + [Prefix("x", 9000, True)]
+    capacity = smallest_capacity(prefixes, 24, divisible=False)
+    starts = [0, *even_cuts(prefixes, capacity, 24), 1001]
+    held = [sum(p.size for p in prefixes[a:b]) for a, b in zip(starts, starts[1:])]
+    assert len(held) == 24 and held[-1] == 9000 and max(held[:-1]) - min(held[:-1]) <= 20

@@ -20,12 +20,12 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetry_spark.llm.arrow_map import map_rows
-from telemetry_spark.llm.common import free_name, quoted, table
+from telemetry_spark.llm.common import free_name, materialise, quoted, table
 
 WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
@@ -95,10 +95,23 @@ def _log_table(rows, langs: list[str], floor: float) -> dict[str, np.ndarray]:
 
 
 def _frequent(pairs: DataFrame, limit: int) -> list[tuple[str, str, int]]:
-    """The ``limit`` most frequent keys of each language, ties by key."""
-    counted = pairs.groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key")))
-    return [(r["key"], r["lang"], r["n"]) for r in ranked.where(F.col("rank") <= limit).select("key", "lang", "n").collect()]
+    """The most frequent keys of each language, at most ``limit``: those above the least count
+    that leaves so few.  The counts' histogram gives it, so no language is ever sorted in one task."""
+    counted, _ = materialise(pairs.groupBy("lang", "key").agg(F.sum("n").alias("n")), "counted")
+    histogram = counted.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("keys")).collect()
+    least: dict[str, int] = {}
+    for lang in {r["lang"] for r in histogram}:
+        kept = 0
+        for n, keys in sorted(((r["n"], r["keys"]) for r in histogram if r["lang"] == lang), reverse=True):
+            kept += keys
+            if kept > limit:
+                break
+            least[lang] = n
+    if not least:
+        return []
+    bounds = counted.sparkSession.createDataFrame(list(least.items()), "lang string, least long")
+    chosen = counted.join(F.broadcast(bounds), "lang").where("n >= least")
+    return sorted((r["key"], r["lang"], r["n"]) for r in chosen.select("key", "lang", "n").collect())
 
 
 def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", train_docs: int = 8_000,

@@ -31,7 +31,7 @@ WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
 BACKOFF = math.log(0.4)
 UNKNOWN = "und"
-REMEMBERED = 100_000
+REMEMBERED = 30_000
 LANG, SCORE = "lang_pred", "score"
 
 

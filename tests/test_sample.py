@@ -160,6 +160,7 @@ def test_run_report(sample):
 def test_pipeline_from_csv(spark, tmp_path):
     from telemetry_spark.plans.pipeline import run_pipeline
     from telemetry_spark.session import scratch_path
+    from telemetry_spark.sources.store import Lake
 
     path = tmp_path / "landing" / "readings.csv"
     path.parent.mkdir()
@@ -168,9 +169,9 @@ def test_pipeline_from_csv(spark, tmp_path):
                        model=compressor(), expected_rows=22)
     assert (out["bronze_rows"], out["silver_rows"], out["reject_rows"]) == (22, 12, 10)
     assert all(c["passed"] for c in out["checks"])
-    view = spark.table("powerbi_equipment_health").orderBy("calendar_date").collect()
+    view = spark.table(f"{Lake(spark, out['lake']).name}_gold_powerbi_equipment_health").orderBy("calendar_date").collect()
     assert [v.reading_count for v in view] == [8, 4] and view[0].equipment_name == "Metro train Air Production Unit"
-    with pytest.raises(RuntimeError, match="expected 23"):
+    with pytest.raises(RuntimeError, match="announced with 23 readings, 22"):
         run_pipeline(spark, str(path.parent), scratch_path(spark, "sample-lake"), run_id="s2",
                      model=compressor(), expected_rows=23)
 

@@ -2,8 +2,8 @@
 
 * full refresh (``overwrite``), optionally laid out by partition columns;
 * append-only audit tables (``append``);
-* the schema of a table is stored beside it, so a table without rows (whose partitioned write
-  leaves no file) reads as an empty table;
+* the schema of a partitioned table is stored beside it, so one without rows (whose write
+  leaves no file) reads as an empty table; other writes always leave a file;
 * names for SQL users: session views that carry the lake's name, and, where the session has a
   catalog, external tables and stored views in it.
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -86,17 +87,23 @@ class Lake:
         # readers put partition columns last
         fields = sorted(schema.fields, key=lambda f: partition_by.index(f.name) if f.name in partition_by else -1)
         kept = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-        if self._layout.get(path) != (kept, partition_by):
+        if partition_by and self._layout.get(path) != (kept, partition_by):
             text = json.dumps({"schema": kept.jsonValue(), "partition_by": partition_by})
             self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(self._schema_path(path))
-            self._layout[path] = (kept, partition_by)
+        self._layout[path] = (kept, partition_by)
 
     def layout(self, layer: str, name: str) -> tuple[T.StructType, tuple[str, ...]]:
-        """The stored schema and partition columns of a table."""
+        """The schema and partition columns of a table: as written here, as stored, or, of a table
+        that was never partitioned, as its files have it."""
         path = self.path(layer, name)
         if path not in self._layout:
-            kept = json.loads(self.spark.read.text(self._schema_path(path)).first()[0])
-            self._layout[path] = (T.StructType.fromJson(kept["schema"]), tuple(kept["partition_by"]))
+            try:
+                kept = json.loads(self.spark.read.text(self._schema_path(path)).first()[0])
+                self._layout[path] = (T.StructType.fromJson(kept["schema"]), tuple(kept["partition_by"]))
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                self._layout[path] = (self.spark.read.format(self.fmt).load(path).schema, ())
         return self._layout[path]
 
     def read(self, layer: str, name: str) -> DataFrame:

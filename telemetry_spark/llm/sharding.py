@@ -10,14 +10,15 @@ then cut within that capacity, each as near to an even share as the rest allows.
 larger than the capacity stands alone in its shard (nothing can make its shard smaller, and the other
 shards still come out even).  The walk needs running sums, which are kept hierarchically
 so that neither the driver nor a task ever holds all groups: the order is summed by digest
-prefix, 4096 ways; only prefixes inside which some cut of a still possible capacity can fall
-are divided further, by the next three hexadecimal digits.  What reaches the driver is
-bounded by shards x 4096 rows a level, whatever the number of documents.
+prefix, 4096 ways, and only some prefixes are divided further.
 
-While prefixes hold several groups, the search runs twice: with every prefix as one
+First come prefixes of several groups above an even share (fewer than ``shards``), until a
+group that large is a prefix of its own.  Then the search runs twice: with every prefix as one
 indivisible group (upper bound: contiguous pieces of groups can only do better) and with
-prefixes that can be cut anywhere (lower bound).  It ends when every prefix at a cut is one
-group, where both are exact.
+prefixes that can be cut anywhere (lower bound).  ``PROBES`` capacities between the bounds are
+walked, and the prefixes their cuts enter are divided.  When no cut enters one, the bounds have
+met.  One collection so never brings the driver more than shards x 4096 rows, whatever the
+number of documents and however large a group is.
 
 Slots are gapless from 0 in each shard: documents fall into ``lanes`` by a hash of their id,
 lanes are offset by counts, and inside a lane the order is the id, so that a shard with one
@@ -39,7 +40,8 @@ from telemetry_spark.llm.common import materialise, quoted, table
 
 OVERHEAD = 8
 DIGITS = 3          # hexadecimal digits a level: 4096 prefixes
-FULL = 64           # hexadecimal digits of a SHA-256
+PROBES = 16         # capacities walked at once; their cuts enter at most PROBES x (shards - 1) prefixes
+FINER = 2           # digits more for those, so that PROBES x 16 ** FINER = 4096
 
 
 def sized_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -62,17 +64,23 @@ class Prefix:
         self.key, self.size, self.single = key, size, single
 
 
-def _summed(rows: DataFrame, digits: int, within: list[str]) -> list[Prefix]:
-    """Prefixes of ``digits`` digits, below the given parents, in order."""
-    if within:
-        parent = len(within[0])
+def _summed(rows: DataFrame, digits: int, within: list[str], shards: int) -> list[Prefix]:
+    """The prefixes ``digits`` digits longer than the given ones, which are disjoint, in order."""
+    most = shards * 16 ** DIGITS
+    assert len(within) * 16 ** digits <= most
+    if within == [""]:
+        rows = rows.withColumn("parent", F.lit(""))
+    else:
         wanted = rows.sparkSession.createDataFrame([(k,) for k in within], "parent string")
-        rows = rows.withColumn("parent", F.substring("digest", 1, parent)).join(F.broadcast(wanted), "parent", "left_semi")
+        lengths = sorted({len(k) for k in within})
+        starts = F.array(*[F.substring("digest", 1, n) for n in lengths])
+        rows = rows.withColumn("parent", F.explode(starts)).join(F.broadcast(wanted), "parent", "left_semi")
     found = (
-        rows.groupBy(F.substring("digest", 1, digits).alias("key"))
+        rows.groupBy(F.col("digest").substr(F.lit(1), F.length("parent") + digits).alias("key"))
         .agg(F.sum("size").alias("size"), (F.min("digest") == F.max("digest")).alias("single"))
-        .collect()  # at most 4096 rows for each parent
+        .collect()  # at most 16 ** digits rows for each parent
     )
+    assert len(found) <= most
     return sorted((Prefix(r["key"], int(r["size"]), bool(r["single"])) for r in found), key=lambda p: p.key)
 
 
@@ -146,29 +154,23 @@ def smallest_capacity(prefixes: list[Prefix], shards: int, divisible: bool) -> i
 
 def find_cuts(rows: DataFrame, shards: int) -> list[str]:
     """At most ``shards - 1`` digest prefixes, in order; shard k begins at cut k."""
-    prefixes = _summed(rows, DIGITS, [])
+    prefixes = _summed(rows, DIGITS, [""], shards)
     if not prefixes:
         return []
-    digits = DIGITS
+    total = sum(p.size for p in prefixes)
     while True:
-        low = smallest_capacity(prefixes, shards, divisible=True)
-        high = smallest_capacity(prefixes, shards, divisible=False)
-        if digits >= FULL or low >= high and all(
-                prefixes[i].single for i, used in greedy_cuts(prefixes, high, True) if used):
+        inside = {i for i, p in enumerate(prefixes) if not p.single and p.size * shards > total}
+        digits = DIGITS
+        if not inside:
+            low = smallest_capacity(prefixes, shards, divisible=True)
+            high = smallest_capacity(prefixes, shards, divisible=False)
+            probes = {low + (high - low) * j // PROBES for j in range(PROBES)}
+            inside = {i for c in probes for i, used in greedy_cuts(prefixes, c, True) if used and not prefixes[i].single}
+            digits = FINER
+        if not inside:      # the walk at ``low`` cuts no prefix, so ``high`` is the same
             return [prefixes[i].key for i in even_cuts(prefixes, high, shards)]
-        # a cut of any capacity in low..high lies between the same cut of both ends
-        first, last = (greedy_cuts(prefixes, c, True) for c in (low, high))
-        inside: set[int] = set()
-        for k, (a, _) in enumerate(first):
-            b = last[k][0] if k < len(last) else len(prefixes) - 1
-            inside.update(range(max(0, a - 1), min(b, len(prefixes) - 1) + 1))
-        coarse = [prefixes[i].key for i in sorted(inside) if not prefixes[i].single and len(prefixes[i].key) == digits]
-        if not coarse:
-            return [prefixes[i].key for i in even_cuts(prefixes, high, shards)]
-        digits += DIGITS
-        finer = _summed(rows, digits, coarse)
-        gone = set(coarse)
-        prefixes = sorted([p for p in prefixes if p.key not in gone] + finer, key=lambda p: p.key)
+        finer = _summed(rows, digits, [prefixes[i].key for i in sorted(inside)], shards)
+        prefixes = sorted([p for i, p in enumerate(prefixes) if i not in inside] + finer, key=lambda p: p.key)
 
 
 def shard_of(digest: Column, cuts: list[str]) -> Column:

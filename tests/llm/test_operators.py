@@ -132,6 +132,30 @@ def test_shards_are_the_smallest_possible(spark):
     assert max(held.values()) == max(best, max(sizes.values()))
 
 
+@pytest.mark.parametrize("hot", [0, 0.04, 0.3, 0.5, 0.99])
+def test_cuts_beside_a_hot_group_take_few_rows(spark, hot, monkeypatch):
+    from telemetry_spark.llm.sharding import Prefix, greedy_cuts, smallest_capacity
+
+    n, shards = 60_000, 4
+    heavy = int(n * 50 * hot / (1 - hot))
+    frame = spark.range(n).selectExpr("sha2(cast(id as string), 256) as digest", "30 + id % 41 as size")
+    if hot:
+        frame = frame.unionByName(spark.range(100).selectExpr("sha2('hot', 256) as digest", f"cast({heavy // 100} as long) as size"))
+    collected, summed = [], sharding._summed
+    monkeypatch.setattr(sharding, "_summed", lambda *a: collected.append(summed(*a)) or collected[-1])
+    cuts = sharding.find_cuts(frame, shards)
+    assert max(map(len, collected)) <= shards * 4096
+    groups = [Prefix(r["digest"], r["size"], True) for r in frame.groupBy("digest").agg({"size": "sum"})
+              .toDF("digest", "size").orderBy("digest").collect()]
+    best = smallest_capacity(groups, shards, divisible=False)
+    held = {}
+    for g in groups:
+        k = sum(c <= g.key for c in cuts)
+        held.setdefault(k, []).append(g.size)
+    assert len(held) <= shards and len(greedy_cuts(groups, best, False)) < shards
+    assert all(sum(h) <= best or len(h) == 1 for h in held.values())
+
+
 def test_packing(spark):
     library = Tokenizer.from_file(BYTE_FILE)
     got = packing.pack_documents(documents(spark), BYTE_FILE, P.PATTERN, capacity=64, with_ids=True).collect()

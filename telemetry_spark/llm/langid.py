@@ -7,10 +7,13 @@ has seen counts alike for all.  The language with the highest sum wins; the scor
 of the probability when the mean evidence a word, not the sum, is compared, so that a long text
 does not turn a slight lead into certainty.
 
-The model is fitted on a documented, bounded sample: the ids whose hash is smallest, about
-``train_docs`` of the labelled rows.  Counting runs in Spark; what is kept, and broadcast, is at
-most ``words`` words and ``ngrams`` n-grams a language, the most frequent ones.  Every word of
-every text is scored.
+The model is fitted on a documented, bounded sample of each language: the rows whose hash is
+smallest, all of a language with at most ``lang_docs`` rows and about as many or more of any
+other; as long as ``train_docs`` rows in all allow it, smaller languages come whole and the
+others share what is left evenly.  So a language is learned however large the table is.  Counting
+runs in Spark; what is kept, and broadcast, is at most ``words`` words and ``ngrams`` n-grams a
+language, the most frequent ones, of equally frequent ones those whose hash is smallest.  Every
+word of every text is scored.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ ORDERS = (5, 4, 3, 2, 1)
 BACKOFF = math.log(0.4)
 UNKNOWN = "und"
 REMEMBERED = 30_000
+BUCKETS = 4096
+PLACES = 2**40
 LANG, SCORE = "lang_pred", "score"
 
 
@@ -95,33 +100,76 @@ def _log_table(rows, langs: list[str], floor: float) -> dict[str, np.ndarray]:
 
 
 def _frequent(pairs: DataFrame, limit: int) -> list[tuple[str, str, int]]:
-    """The most frequent keys of each language, at most ``limit``: those above the least count
-    that leaves so few.  The counts' histogram gives it, so no language is ever sorted in one task."""
+    """The most frequent keys of each language, at most ``limit``: those above a least count and,
+    of the keys that come just so often, as many as there is room for, by their hash.  Histograms
+    of the counts and of the hashes give the bounds, so no language is ever sorted in one task."""
     counted, _ = materialise(pairs.groupBy("lang", "key").agg(F.sum("n").alias("n")), "counted")
     histogram = counted.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("keys")).collect()
+    tied: dict[str, tuple[int, int]] = {}       # the count at which the limit is crossed, and the room there
     least: dict[str, int] = {}
-    for lang in {r["lang"] for r in histogram}:
-        kept = 0
-        for n, keys in sorted(((r["n"], r["keys"]) for r in histogram if r["lang"] == lang), reverse=True):
-            kept += keys
-            if kept > limit:
+    by_lang: dict[str, list[tuple[int, int]]] = {}
+    for r in histogram:
+        by_lang.setdefault(r["lang"], []).append((r["n"], r["keys"]))
+    for lang, counts in by_lang.items():
+        room = limit
+        for n, keys in sorted(counts, reverse=True):
+            if keys > room:
+                tied[lang] = n, room
                 break
+            room -= keys
             least[lang] = n
+    spark = counted.sparkSession
+    found = _above(counted, least)
+    crossing = {lang: n for lang, (n, room) in tied.items() if room}
+    if crossing:
+        bounds = spark.createDataFrame(list(crossing.items()), "lang string, tie long")
+        ties = counted.join(F.broadcast(bounds), "lang").where("n = tie").select(
+            "lang", "key", "n", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).alias("bucket"))
+        last: dict[str, int] = {}
+        room = {lang: tied[lang][1] for lang in crossing}
+        for r in sorted(ties.groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("keys")).collect()):
+            if room[r["lang"]] > 0:
+                last[r["lang"]] = r["bucket"]
+                room[r["lang"]] -= r["keys"]
+        ends = spark.createDataFrame(list(last.items()), "lang string, last long")
+        inside: dict[str, list[tuple[int, str, int]]] = {}
+        for r in ties.join(F.broadcast(ends), "lang").where("bucket <= last").collect():    # the room and a bucket at most
+            inside.setdefault(r["lang"], []).append((r["bucket"], r["key"], r["n"]))
+        found += [(key, lang, n) for lang, keys in inside.items() for _, key, n in sorted(keys)[:tied[lang][1]]]
+    return sorted(found)
+
+
+def _above(counted: DataFrame, least: dict[str, int]) -> list[tuple[str, str, int]]:
     if not least:
         return []
     bounds = counted.sparkSession.createDataFrame(list(least.items()), "lang string, least long")
     chosen = counted.join(F.broadcast(bounds), "lang").where("n >= least")
-    return sorted((r["key"], r["lang"], r["n"]) for r in chosen.select("key", "lang", "n").collect())
+    return [(r["key"], r["lang"], r["n"]) for r in chosen.select("key", "lang", "n").collect()]
+
+
+def _rows_each(counts: list[int], total: int, least: int) -> int:
+    """The largest number of rows a language that leaves about ``total`` rows, but at least ``least``."""
+    left = total
+    for k, n in enumerate(sorted(counts)):
+        if n * (len(counts) - k) > left:
+            return max(least, left // (len(counts) - k))
+        left -= n
+    return max([least, *counts])
 
 
 def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", train_docs: int = 8_000,
-        words: int = 30_000, ngrams: int = 30_000) -> Model:
+        words: int = 30_000, ngrams: int = 30_000, lang_docs: int = 1_000) -> Model:
     """A model of the rows of ``train`` with a language and a text."""
     rows = train.select(quoted(id_col).alias("id"), quoted(lang_col).cast("string").alias("lang"),
                         quoted(text_col).cast("string").alias("text")).where("lang is not null and text is not null")
-    share = min(1.0, train_docs / max(1, rows.select("id").count()))
-    place = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000))
-    sample = rows.where(place < int(share * 1_000_000) + 1) if share < 1 else rows
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    each = _rows_each(list(counts.values()), train_docs, lang_docs)
+    large = [(lang, each * PLACES // n) for lang, n in counts.items() if n > each]
+    sample = rows
+    if large:       # the text tells rows apart whose id is null or repeats
+        bounds = rows.sparkSession.createDataFrame(large, "lang string, bound long")
+        place = F.pmod(F.xxhash64("id", "text", F.lit(7)), F.lit(PLACES))
+        sample = rows.join(F.broadcast(bounds), "lang", "left").where((F.col("bound").isNull()) | (place <= F.col("bound")))
     spoken = sample.select("lang", F.explode(F.expr(r"regexp_extract_all(lower(text), '\\p{L}+', 0)")).alias("key"))
     by_word = spoken.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n"))
     # n-grams of the distinct words, weighted by how often the words come

@@ -200,6 +200,31 @@ def test_language_id(spark):
     assert langid.identify(no_documents(spark), model).collect() == []
 
 
+def test_rare_languages_of_a_large_table_are_learned(spark):
+    en, el = "the house and the garden of the king number", "το σπίτι και ο κήπος του βασιλιά"
+    texts = [(i, f"{en} w{i}") for i in range(2_500)] + [(3_000 + i, el) for i in range(3)]
+    train = documents(spark, texts).drop("lang").selectExpr("*", "if(doc_id < 3000, 'en', 'el') as lang")
+    model = langid.fit(train, train_docs=20)
+    assert model.langs == ["el", "en"]
+    got = langid.identify(documents(spark, [(1, "ο κήπος"), (2, "the garden")]).drop("lang_pred", "score"), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "el", 2: "en"}
+
+
+def test_languages_share_the_sample():
+    assert langid._rows_each([10, 10, 10], 30, 5) == 10 and langid._rows_each([100, 10, 3], 33, 5) == 20
+    assert langid._rows_each([100, 100, 3], 33, 5) == 15 and langid._rows_each([100] * 10, 33, 5) == 5
+    assert langid._rows_each([], 33, 5) == 5
+
+
+def test_frequent_keys_fill_the_limit(spark):
+    pairs = spark.createDataFrame([("a", "top", 5)] + [("a", f"k{i}", 1) for i in range(50)]
+                                  + [("b", f"k{i}", 2) for i in range(4)], "lang string, key string, n long")
+    got = langid._frequent(pairs, 10)
+    assert sorted(lang for _, lang, _ in got) == ["a"] * 10 + ["b"] * 4 and ("top", "a", 5) in got
+    assert got == langid._frequent(pairs.repartition(5), 10)
+    assert len(langid._frequent(pairs, 1)) == 2
+
+
 def brute_links(rows, cosine):
     good = {}
     for k, (i, v, label) in enumerate(rows):

@@ -1,5 +1,7 @@
 """The registered queries on the sf0.001 tables, and the pipeline stage by stage."""
 
+import zlib
+
 import corpus_pipeline
 import pytest
 from cases import documents, near_components, no_documents
@@ -85,6 +87,18 @@ def test_pipeline_of_odd_and_no_documents(spark):
     assert {13, 8, None} <= left and 16 not in left and 9 not in left and none.collect() == []
 
 
+def test_pipeline_keeps_labelled_documents_without_evidence(spark):
+    from pyspark.sql import functions as F
+
+    # held-out ids, so that the model has no Georgian; a word's start says nothing for either language
+    rare = [i for i in range(100, 130) if zlib.crc32(str(i).encode()) % 4 == 2]
+    texts = [(i, ("the cat sat", "der hut lag")[i % 2]) for i in range(40)] + [(i, "სახლი ბაღი") for i in [*rare, 200]]
+    lang = F.expr("case when doc_id < 100 then element_at(array('en', 'de'), cast(doc_id % 2 as int) + 1) when doc_id < 200 then 'ka' end")
+    docs = documents(spark, texts).withColumn("lang", lang)
+    left = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_id(spark, docs, SF_SMALL).collect()}
+    assert left == {**{i: ("en", "de")[i % 2] for i in range(40)}, **{i: "ka" for i in rare}}
+
+
 def test_held_out_share(spark):
     from pyspark.sql import functions as F
 

@@ -4,7 +4,9 @@ Kinds, in order: email, ip, card, phone (the base kinds), then iban, card15 and
 method adds.  Base spans that pass their check always stay; added kinds need a score of
 ``threshold``:
 
-* iban: country, two check digits, 11 to 30 more characters; confirmed by mod 97;
+* iban: country, two check digits, 11 to 30 more characters, single spaces between them allowed;
+  it ends at a word boundary, at the country's own length where that is registered; confirmed
+  by mod 97;
 * card15: 13 to 15 digits confirmed by Luhn; only with a card word nearby;
 * ssn: ddd-dd-dddd outside the ranges never issued; only with an identity word nearby.
 
@@ -38,7 +40,15 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]++((?:\.[0-9]++){3})?+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b")
+IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+BOUNDARY = re.compile(r"(?<!\x20)\b")
+VALUES = {ord("A") + i: str(10 + i) for i in range(26)}     # of letters in mod 97
+# characters of an IBAN by country (ISO 13616 registry)
+IBAN_LENGTH = {c: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in countries.split()}
 SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 
 # weight of the bare pattern, and words that speak for a kind
@@ -67,7 +77,7 @@ def luhn(digits: list[int]) -> bool:
 
 def mod97(iban: str) -> bool:
     turned = iban[4:] + iban[:4]
-    return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
+    return int(turned.translate(VALUES)) % 97 == 1
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -83,6 +93,24 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """What follows an IBAN may look like more of it, so that every end at a word boundary is
+    tried, the longest first; after a confirmed one the scan goes on behind it."""
+    m = IBAN.search(text)
+    while m:
+        start, done = m.start(), m.start() + 1
+        length = IBAN_LENGTH.get(text[start:start + 2])
+        for end in range(m.end(), start + 14, -1):
+            if not BOUNDARY.match(text, end):
+                continue
+            found = text[start:end].replace(" ", "")
+            if len(found) >= 15 and length in (None, len(found)) and mod97(found):
+                yield start, end
+                done = end
+                break
+        m = IBAN.search(text, done)
+
+
 def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """(kind, start, end, whether a checksum confirms it)."""
     for start, end in emails(text):
@@ -97,10 +125,8 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     for m in PHONE.finditer(text):
         if 8 <= len(digits_of(m.group())) <= 15:
             yield "phone", m.start(), m.end(), False
-    for m in IBAN.finditer(text):
-        found = m.group()
-        if mod97(found.replace(" ", "")):
-            yield "iban", m.start(), m.end(), True
+    for start, end in ibans(text):
+        yield "iban", start, end, True
     for m in SSN.finditer(text):
         area, group, serial = m.groups()
         if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":

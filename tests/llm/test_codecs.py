@@ -109,6 +109,16 @@ def test_added_spans_need_proof():
     assert kinds("ssn 123-45-6789") == ["ssn"] and kinds("123-45-6789") == []
 
 
+def test_ibans_end_before_what_follows():
+    ibans = lambda text: [text[s[1]:s[2]] for s in pii.find_spans(text) if s[0] == "iban"]
+    assert ibans("DE89 3704 0044 0532 0130 00 BIC COBADEFF") == ["DE89 3704 0044 0532 0130 00"]
+    assert ibans("DE89370400440532013000 EUR 15") == ["DE89370400440532013000"]
+    assert ibans("GB82 WEST 1234 5698 7654 32 I") == ["GB82 WEST 1234 5698 7654 32"]
+    both = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]
+    assert ibans("AB12 " + " ".join(both)) == both
+    assert ibans("DE89370400440532013000X") == [] == ibans("DE89 3704 0044 0532 0130 01 BIC COBADEFF")
+
+
 def test_spans_of_long_runs_are_linear():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+" * 200_000, "1 " * 100_000):
         pii.find_spans(text)

@@ -11,7 +11,7 @@ different contents never merge:
 3. global: the at most ``salts`` salt winners of each content meet.
 
 A third of all rows with one text thus costs one row per task, then ``salts`` rows.  The
-winner is carried as one fixed-width number (length, then reversed id), so that every stage
+winner is carried as one fixed-width number (length, whether there is an id, reversed id), so that every stage
 is a hash aggregation with constant-size state.  The decision returns to the documents
 through a join on SHA-256, MD5 and length of the content; only these narrow columns are
 shuffled there, and adaptive execution splits a hot digest (the document side has one row
@@ -19,7 +19,9 @@ per document and the other one row per content).
 
 Defined results: a null text counts as empty and all empty texts are one group; rows that
 repeat an id with an equal text share the decision; an empty table gives no rows; columns
-other than id and text are not read.  Ids are integers; a null id loses ties.
+other than id and text are not read.  Ids are integers; a null id loses ties, but the longest
+text stays even if its id is null: then ``keep_id`` is null and the group's rows without an id
+are kept.
 """
 
 from __future__ import annotations
@@ -50,20 +52,19 @@ def content_winners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per distinct content: its digests, the id that stays and the group's size."""
     rows = _keyed(docs, id_col, text_col).select(
         "sha", "md5", "n_bytes", "content",
-        # longest text first, then the smallest id; ids are mapped to 0 .. 2^64 - 1
-        F.expr(f"cast(cast(points as decimal(10,0)) * {2 * ID_SPAN}BD + ({ID_SPAN - 1}BD - coalesce(id, {ID_SPAN - 1}))"
+        # longest text first, then the smallest id: 2^64 .. 2^65 - 1, none is 0
+        F.expr(f"cast(cast(points as decimal(10,0)) * {4 * ID_SPAN}BD + coalesce({3 * ID_SPAN - 1}BD - id, 0BD)"
                " as decimal(38,0))").alias("rank"),
-        F.col("id").isNotNull().alias("has_id"),
         F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"),
     )
     content = ["sha", "md5", "n_bytes", "content"]
     salted = rows.groupBy(*content, "salt").agg(
-        F.max("rank").alias("rank"), F.max("has_id").alias("has_id"), F.count(F.lit(1)).alias("rows"))
+        F.max("rank").alias("rank"), F.count(F.lit(1)).alias("rows"))
     merged = salted.groupBy(*content).agg(
-        F.max("rank").alias("rank"), F.max("has_id").alias("has_id"), F.sum("rows").alias("group_size"))
+        F.max("rank").alias("rank"), F.sum("rows").alias("group_size"))
     return merged.select(
         "sha", "md5", "n_bytes", "group_size",
-        F.expr(f"if(has_id, cast({ID_SPAN - 1}BD - rank % {2 * ID_SPAN}BD as bigint), null)").alias("keep_id"),
+        F.expr(f"if(rank % {4 * ID_SPAN}BD = 0BD, null, cast({3 * ID_SPAN - 1}BD - rank % {4 * ID_SPAN}BD as bigint))").alias("keep_id"),
     )
 
 

@@ -68,6 +68,14 @@ def test_exact_dedup_of_extreme_ids(spark):
     assert got == {-2**63: -2**63, 2**63 - 1: -2**63, 0: 0, -1: 0, 5: -5, -5: -5}
 
 
+def test_exact_dedup_of_a_longest_text_without_id(spark):
+    texts = [(None, "a b"), (5, "ab"), (None, "c"), (6, "c"), (2**63 - 1, "d"), (None, "d"), (7, "e f"), (None, "ef")]
+    got = exact_dedup.exact_dedup(documents(spark, texts)).collect()
+    assert pairs((r["doc_id"], r["keep_id"], r["kept"]) for r in got) == pairs([
+        (None, None, True), (5, None, False), (None, 6, False), (6, 6, True), (2**63 - 1, 2**63 - 1, True),
+        (None, 2**63 - 1, False), (7, 7, True), (None, 7, False)])
+
+
 @pytest.mark.parametrize("width,percent", [(3, 85), (5, 80)])
 def test_near_duplicates(spark, width, percent):
     got = near_dedup.near_duplicates(documents(spark), width=width, threshold=percent).collect()

@@ -12,6 +12,7 @@ method adds.  Base spans that pass their check always stay; added kinds need a s
 
 The score starts from the kind's own weight, gains for a confirming checksum and for a word of
 the kind's context within ``CONTEXT`` characters, and loses for a word that speaks against it.
+Without a word of their context, kinds of ``WORDED`` are dropped whatever their score.
 
 All scans are linear in the text: a run of characters that cannot start a match is consumed as a
 whole (possessive quantifiers), and e-mail addresses are found from their ``@``.
@@ -63,6 +64,7 @@ FOR = {
     "ssn": re.compile(r"(?i)\b(?:ssn|social security|tax id)\b"),
 }
 AGAINST = re.compile(r"(?i)\b(?:version|build|isbn|serial|order no|sku)\b")
+WORDED = ("card15",)    # a checksum alone proves nothing: IMEIs pass it, and one in ten of all numbers
 CONFIRMED, NEARBY, OPPOSED = 0.5, 0.3, 0.2
 THRESHOLD = 0.6
 
@@ -133,8 +135,12 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
             yield "ssn", m.start(), m.end(), False
 
 
+def _around(text: str, start: int, end: int) -> str:
+    return text[max(0, start - CONTEXT):start] + " " + text[end:end + CONTEXT]
+
+
 def scored(text: str, kind: str, start: int, end: int, confirmed: bool) -> float:
-    around = text[max(0, start - CONTEXT):start] + " " + text[end:end + CONTEXT]
+    around = _around(text, start, end)
     score = WEIGHT[kind] + CONFIRMED * confirmed
     score += NEARBY * bool(FOR[kind].search(around)) - OPPOSED * bool(AGAINST.search(around))
     return min(1.0, max(0.0, round(score, 3)))
@@ -142,7 +148,8 @@ def scored(text: str, kind: str, start: int, end: int, confirmed: bool) -> float
 
 def find_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) in order of kind, then start; ends are exclusive."""
-    found = [(k, s, e, scored(text, k, s, e, c)) for k, s, e, c in proposals(text)]
+    found = [(k, s, e, scored(text, k, s, e, c)) for k, s, e, c in proposals(text)
+             if k not in WORDED or FOR[k].search(_around(text, s, e))]
     base = sorted((f[1], f[2]) for f in found if f[0] in BASE)
     keep = [f for f in found if f[0] in BASE or f[3] >= threshold and _clear(base, f[1], f[2])]
     return sorted(keep, key=lambda f: (KINDS.index(f[0]), f[1]))

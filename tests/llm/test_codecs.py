@@ -109,6 +109,12 @@ def test_added_spans_need_proof():
     assert kinds("ssn 123-45-6789") == ["ssn"] and kinds("123-45-6789") == []
 
 
+def test_card15_needs_a_card_word():
+    kinds = lambda text, *a: [s[0] for s in pii.find_spans(text, *a)]
+    assert kinds("378282246310005") == [] == kinds("device 490154203237518 seen", 0.0)
+    assert kinds("paid by credit 378282246310005") == ["card15"] and kinds("4111 1111 1111 1111") == ["card"]
+
+
 def test_ibans_end_before_what_follows():
     ibans = lambda text: [text[s[1]:s[2]] for s in pii.find_spans(text) if s[0] == "iban"]
     assert ibans("DE89 3704 0044 0532 0130 00 BIC COBADEFF") == ["DE89 3704 0044 0532 0130 00"]

@@ -22,6 +22,9 @@ CONTRACT = {
     "op8_": "doc_id:bigint size:bigint text_crc32:bigint law:string shard:int slot:bigint grown_shard:int",
     "op9_": "doc_id:bigint keep_id:bigint group_size:bigint kept:boolean text_sha256:string",
     "op10_": "doc_id:bigint start:bigint length:bigint ids_crc32:bigint doc_tokens:bigint sequence_id:bigint offset:bigint",
+    "op11_": "query_id:bigint rank:int vec_id:bigint score:double",
+    "op12_": "vec_id:bigint cluster:int distance:bigint cluster_inertia:bigint inertia:bigint centroid_sha256:string",
+    "op13_": "vec_id:bigint component:int n:bigint deviation:bigint whitened:double explained:double identity_error:double",
 }
 
 
@@ -30,10 +33,14 @@ def test_query_returns_the_contract_s_columns(spark, name):
     found = QUERIES[name](spark, SF_SMALL)
     want = dict(c.split(":") for c in CONTRACT[name[:name.index("_") + 1]].split())
     assert want.items() <= dict(found.dtypes).items()
-    source = {"op6_": ("pages", "page_id"), "op7_": ("embeddings", "vec_id")}.get(name[:4], ("documents", "doc_id"))
+    vectors = ("embeddings", "vec_id")
+    source = {"op6": ("pages", "page_id"), "op7": vectors, "op11": vectors, "op12": vectors, "op13": vectors}.get(
+        name.split("_")[0], ("documents", "doc_id"))
     ids = spark.read.parquet(f"{SF_SMALL}/{source[0]}.parquet").select(source[1])
     got = found.select(source[1])
-    if name.startswith("op10_"):
+    if name.startswith("op11_"):
+        got, ids = found.select("query_id"), ids.where("vec_id % 100 = 0")
+    if name.startswith(("op10_", "op11_", "op13_")):
         got = got.distinct()
     assert got.exceptAll(ids).count() == 0 and got.count() == ids.count()
 

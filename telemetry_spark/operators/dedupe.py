@@ -8,9 +8,10 @@ A window would hash the whole table on the key and sort each key's rows in one t
 hot key -- a replayed file, or every row whose key failed to parse, which all share
 (NULL, NULL) -- lands in one task.  Instead:
 
-1. The order of a row is one fixed-width number: (file number, split offset, sequence) packed
-   into a decimal.  File numbers are the ranks of the distinct file names, a table of as many
-   rows as there are files.
+1. The order of a row is one fixed-width number, a decimal of two longs: where its split starts in
+   all landed files laid end to end, and its sequence.  Bronze stores both, so the order costs
+   nothing.  Of rows that only know (file name, split offset, sequence) the file names are ranked
+   first, a table of one row a file that one task orders, and the rows are scanned twice more.
 2. ``groupBy(key).agg(count, min(order))`` keeps the keys seen more than once.  Both are
    fixed-width, so this is a hash aggregate whose map side combines: a hot key costs one row
    per input partition before the shuffle.
@@ -30,18 +31,24 @@ ORDER = "_order"
 FILE_DIGITS, OFFSET_DIGITS, SEQUENCE_DIGITS = 7, 12, 19  # 38 in all, the widest decimal
 
 
-def with_order(df: DataFrame, order: tuple[str, str, str]) -> DataFrame:
-    """``df`` with its (file, split offset, sequence) as one decimal.  More than 10^7 files or a file
-    of more than 10^12 bytes raise instead of wrapping round."""
+def with_order(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """``df`` with its place as one decimal: (position, sequence), any two longs from 0 on, or (file
+    name, split offset, sequence), of which more than 10^7 files or an offset of 10^12 and more
+    raise instead of wrapping round."""
+    cols = [f"`{c}`" for c in df.columns]
+    number = lambda c, digits: f"cast({c} as decimal({digits},0))"
+    if len(order) == 2:
+        position, sequence = order
+        packed = f"{number(f'`{position}`', 19)} * 1{'0' * 19}BD + {number(f'`{sequence}`', 19)}"
+        return df.selectExpr(*cols, f"cast({packed} as decimal(38,0)) AS {ORDER}")
     file, offset, sequence = order
     names = df.select(F.col(f"`{file}`").alias("_name")).distinct()
     numbers = names.select("_name", F.row_number().over(Window.orderBy("_name")).alias("_number"))
     packed = (
-        f"cast(_number as decimal({FILE_DIGITS},0)) * 1{'0' * (OFFSET_DIGITS + SEQUENCE_DIGITS)}BD"
-        f" + cast(`{offset}` as decimal({OFFSET_DIGITS},0)) * 1{'0' * SEQUENCE_DIGITS}BD"
-        f" + cast(`{sequence}` as decimal({SEQUENCE_DIGITS},0))"
+        f"{number('_number', FILE_DIGITS)} * 1{'0' * (OFFSET_DIGITS + SEQUENCE_DIGITS)}BD"
+        f" + {number(f'`{offset}`', OFFSET_DIGITS)} * 1{'0' * SEQUENCE_DIGITS}BD"
+        f" + {number(f'`{sequence}`', SEQUENCE_DIGITS)}"
     )
-    cols = [f"`{c}`" for c in df.columns]
     return df.join(numbers, F.expr(f"`{file}` <=> _name")).selectExpr(*cols, f"cast({packed} as decimal(38,0)) AS {ORDER}")
 
 
@@ -55,7 +62,7 @@ def duplicated_keys(ordered: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     )
 
 
-def flag_duplicates(df: DataFrame, keys: tuple[str, ...], order: tuple[str, str, str], flag: str = "_is_duplicate",
+def flag_duplicates(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], flag: str = "_is_duplicate",
                     join_hint: str | None = None) -> DataFrame:
     """``df`` with a non-NULL boolean ``flag``: True for every row after the first of its key.
 

@@ -4,6 +4,9 @@ Typing uses ``try_cast`` / ``try_to_timestamp``: an unparsable value becomes NUL
 matching rule names the row, instead of the ANSI cast raising for the whole job.  Every
 rule is a native boolean (one struct field per rule); the rejection reason is derived
 from those flags, so rule counts never have to re-split reason text.
+
+A line that did not fit its header (``_raw_line``, where landing keeps it) is rejected as
+``ragged_line``, before the reasons the rules find in its missing fields.
 """
 
 from __future__ import annotations
@@ -11,17 +14,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_spark.functions.rules import DUPLICATE_FLAG, flags_struct_sql, q, reason_sql
+from telemetry_spark.functions.rules import DUPLICATE_FLAG, REASON_SEPARATOR, flags_struct_sql, q, reason_sql, text
 from telemetry_spark.model import TelemetryModel
 from telemetry_spark.operators.dedupe import flag_duplicates
 from telemetry_spark.session import ensure_utc
+from telemetry_spark.sources.landing import RAW_LINE
 
 RAW_ID, RAW_TS = "raw_reading_id", "raw_timestamp"
+POSITION = "_position"
 ORDER_COLUMNS = ("_source_file", "_block_start", "_row_seq")
+RAGGED = "ragged_line"
 LINEAGE = ("_source_file", "_ingested_at", "_run_id", "_block_start", "_row_seq")
 FLAGS = "_flags"
 REASON = "rejection_reason"
-REJECT_ONLY = (RAW_ID, RAW_TS, FLAGS, REASON)  # what accepted Silver does not carry
+REJECT_ONLY = (RAW_ID, RAW_TS, FLAGS, REASON, RAW_LINE)  # what accepted Silver does not carry
 
 
 def typed_columns_sql(model: TelemetryModel) -> list[str]:
@@ -40,10 +46,17 @@ def typed_columns_sql(model: TelemetryModel) -> list[str]:
 def typed_projection(bronze: DataFrame, model: TelemetryModel) -> DataFrame:
     """Raw key strings kept beside the typed key; sensors renamed to Silver names as double;
     the model's equipment id as a literal.  One model describes one unit: the duplicate key and
-    the equipment dimension know no other."""
+    the equipment dimension know no other.  ``_position`` and ``_raw_line`` come along where Bronze
+    has them."""
     ensure_utc(bronze.sparkSession)
     unit = F.lit(model.equipment.equipment_id).alias("equipment_id")
-    return bronze.select(*[F.expr(e) for e in typed_columns_sql(model)], unit)
+    landed = [c for c in (RAW_LINE, POSITION) if c in bronze.columns]
+    return bronze.select(*[F.expr(e) for e in typed_columns_sql(model)], unit, *landed)
+
+
+def order_columns(typed: DataFrame) -> tuple[str, ...]:
+    """What the file order of a row is read from."""
+    return (POSITION, ORDER_COLUMNS[-1]) if POSITION in typed.columns else ORDER_COLUMNS
 
 
 def key_columns(model: TelemetryModel) -> tuple[str, str]:
@@ -51,17 +64,25 @@ def key_columns(model: TelemetryModel) -> tuple[str, str]:
 
 
 def with_duplicate_flag(typed: DataFrame, model: TelemetryModel, **dedupe_options) -> DataFrame:
-    return flag_duplicates(typed, key_columns(model), ORDER_COLUMNS, flag=DUPLICATE_FLAG, **dedupe_options)
+    return flag_duplicates(typed, key_columns(model), order_columns(typed), flag=DUPLICATE_FLAG, **dedupe_options)
 
 
 def apply_gate(bronze: DataFrame, model: TelemetryModel, **dedupe_options) -> DataFrame:
     """Typed rows + ``_flags`` (one boolean per rule) + ``rejection_reason`` ('' = accepted).
     ``dedupe_options`` go to :func:`flag_duplicates`."""
     typed = typed_projection(bronze, model)
-    flagged = with_duplicate_flag(typed, model, **dedupe_options)
-    keep = [q(c) for c in typed.columns]
+    return judged(with_duplicate_flag(typed, model, **dedupe_options), model)
+
+
+def judged(flagged: DataFrame, model: TelemetryModel) -> DataFrame:
+    """Typed rows with their duplicate flag -> the gate's columns."""
+    keep = [q(c) for c in flagged.columns if c not in (DUPLICATE_FLAG, POSITION)]
     with_flags = flagged.selectExpr(*keep, f"{flags_struct_sql(model)} AS {FLAGS}")
-    return with_flags.selectExpr(*keep, FLAGS, f"{reason_sql(model.rule_names, FLAGS + '.')} AS {REASON}")
+    reason = reason_sql(model.rule_names, FLAGS + ".")
+    if RAW_LINE in flagged.columns:
+        ragged = f"CASE WHEN {RAW_LINE} IS NOT NULL THEN {text(RAGGED)} END"
+        reason = f"concat_ws({text(REASON_SEPARATOR)}, {ragged}, nullif({reason}, ''))"
+    return with_flags.selectExpr(*keep, FLAGS, f"{reason} AS {REASON}")
 
 
 def accepted(gated: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ daily fact and dimensions.  Nothing is cached in memory; an executor loss re-rea
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from telemetry_spark.model import TelemetryModel, events_feed
 from telemetry_spark.operators import gate, gold
 from telemetry_spark.session import app_id, scratch_path, utc_session
 from telemetry_spark.sources import feed as feed_source
-from telemetry_spark.sources import landing
+from telemetry_spark.sources import files, landing
 from telemetry_spark.sources.store import Lake
 
 # Fixed audit stamps for single-run results that are compared across engines.
@@ -28,32 +29,31 @@ CHECK_RUN_ID = "feed_check"
 CHECK_TIME = "2024-02-05 00:00:00"
 
 _LOCK = threading.RLock()
-_LAKES: dict[tuple, str] = {}
-_CSV_EXPORTS: dict[str, str] = {}
-_LANDED: dict[str, str] = {}
+_LAKES: dict[tuple, Lake] = {}
+_BUILT: dict[tuple[str, str], object] = {}     # (lake, what) -> made once
 PARTS = 4
 
 
-def _identity(spark: SparkSession, path: str) -> tuple:
-    """What tells one state of a table's files from another, wherever they are stored."""
-    files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-    row = files.distinct().agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*files.columns)).alias("h")).first()
-    return path, row["n"], row["h"]
-
-
 def lake_for(spark: SparkSession, sf_dir: str, model: TelemetryModel) -> Lake:
     """The lake of one pipeline run over ``sf_dir``, built once per session and state of its
-    events files (paths, lengths and modification times, as Spark lists them)."""
+    events files (their listing, no job)."""
     from telemetry_spark.plans.pipeline import run_pipeline
 
-    key = (app_id(spark), _identity(spark, f"{sf_dir.rstrip('/')}/events.parquet"), model)
+    key = (app_id(spark), files.identity(spark, f"{sf_dir.rstrip('/')}/events.parquet"), model)
     with _LOCK:  # queries issued from several threads build the lake once
-        root = _LAKES.get(key)
-        if root is None:
+        lake = _LAKES.get(key)
+        if lake is None:
             root = scratch_path(spark, "lake")
             run_pipeline(spark, feed_source.feed(spark, sf_dir), root, run_id=CHECK_RUN_ID, model=model)
-            _LAKES[key] = root
-    return Lake(spark, root)
+            lake = _LAKES[key] = Lake(spark, root)
+    return lake
+
+
+def _once(lake: Lake, what: str, make: Callable[[], object]):
+    with _LOCK:
+        if (lake.root, what) not in _BUILT:
+            _BUILT[lake.root, what] = make()
+        return _BUILT[lake.root, what]
 
 
 class Flow:
@@ -108,44 +108,64 @@ class Flow:
         return self.lake.read("gold", "dim_failure_event")
 
     # ---- the landing source ------------------------------------------------------------
+    def _export(self) -> str:
+        path = scratch_path(self.spark, "landing-csv")
+        first, *rest = self.model.source_columns
+        rows = feed_source.feed(self.spark, self.sf_dir)
+        orders = (("Unnamed: 0", rest[::-1]), ("Unnamed: 0", rest), (first, rest[5:] + rest[:5]), ("Unnamed: 0", rest))
+        for part, (name, order) in enumerate(orders):
+            mine = rows.where(F.expr(f"_row_seq div 2 % {PARTS} = {part}")).repartitionByRange("_row_seq")
+            columns = [F.col(f"`{first}`").alias(name), *[F.col(f"`{c}`") for c in order]]
+            raw = mine.sortWithinPartitions("_row_seq").select(*columns)
+            raw.write.option("header", "true").csv(f"{path}/part{part}")
+        return f"{path}/*"
+
     @cached_property
     def csv_path(self) -> str:
-        """The feed exported as raw CSV (once per lake), in ``PARTS`` folders by event: rows in
-        order of their sequence, other header orders in the odd parts, and the id column under the
-        header 'Unnamed: 0', so landing must name it and select by name."""
-        root = self.lake.root
-        with _LOCK:
-            path = _CSV_EXPORTS.get(root)
-            if path is None:
-                path = scratch_path(self.spark, "landing-csv")
-                first, *rest = self.model.source_columns
-                rows = feed_source.feed(self.spark, self.sf_dir)
-                for part in range(PARTS):
-                    order = rest if part % 2 else rest[::-1]
-                    mine = rows.where(F.expr(f"_row_seq div 2 % {PARTS} = {part}")).repartition(1).sortWithinPartitions("_row_seq")
-                    raw = mine.select(F.col(f"`{first}`").alias("Unnamed: 0"), *[F.col(f"`{c}`") for c in order])
-                    raw.write.option("header", "true").csv(f"{path}/part{part}")
-                _CSV_EXPORTS[root] = path
-        return path
+        """The feed exported as raw CSV (once per lake), in ``PARTS`` folders by event, each in as many
+        files as adaptive execution makes of its bytes: rows in the order of their sequence, three
+        header orders, and in three folders the id column under the header 'Unnamed: 0', so landing
+        must name it and select by name."""
+        return _once(self.lake, "csv", self._export)
 
     @cached_property
     def landed(self) -> DataFrame:
-        layouts = landing.header_layouts(self.spark, f"{self.csv_path}/*")
-        return landing.land_csv(self.spark, layouts, self.model, run_id=CHECK_RUN_ID)
+        lake = self.landed_lake
+        catalog = lake.read("bronze", "landing_headers")
+        width = _once(lake, "width", lambda: landing.catalog_width(catalog, self.model))
+        return landing.land_by_name(self.spark, self.csv_path, self.model, CHECK_RUN_ID, catalog, width)
+
+    def _land(self) -> Lake:
+        from telemetry_spark.plans.pipeline import run_pipeline
+
+        root = scratch_path(self.spark, "landed-lake")
+        run_pipeline(self.spark, self.csv_path, root, run_id=CHECK_RUN_ID, model=self.model, by_name=True)
+        return Lake(self.spark, root)
 
     @cached_property
     def landed_lake(self) -> Lake:
         """The lake of a run from the CSV files."""
-        with _LOCK:
-            root = _LANDED.get(self.lake.root)
-            if root is None:
-                from telemetry_spark.plans.pipeline import run_pipeline
-
-                root = scratch_path(self.spark, "landed-lake")
-                layouts = landing.header_layouts(self.spark, f"{self.csv_path}/*")
-                run_pipeline(self.spark, layouts, root, run_id=CHECK_RUN_ID, model=self.model)
-                _LANDED[self.lake.root] = root
-        return Lake(self.spark, root)
+        return _once(self.lake, "landed", self._land)
+
+    def _ragged_export(self) -> DataFrame:
+        """The feed as CSV in which lines have lost their last field (event id 7 mod 97) or have one
+        too many (5 mod 97)."""
+        path = scratch_path(self.spark, "ragged-csv")
+        names = self.model.source_columns
+        rows = feed_source.feed(self.spark, self.sf_dir).withColumn("_e", F.expr("_row_seq div 2"))
+        whole = ", ".join(f"coalesce(`{c}`, '')" for c in names)
+        short = ", ".join(f"coalesce(`{c}`, '')" for c in names[:-1])
+        line = f"CASE _e % 97 WHEN 7 THEN concat_ws(',', {short}) WHEN 5 THEN concat_ws(',', {whole}, 'spare') ELSE concat_ws(',', {whole}) END"
+        lines = rows.repartitionByRange("_row_seq").sortWithinPartitions("_row_seq").select(F.expr(line).alias(",".join(names)))
+        lines.write.options(header="true", quote="\u0000", sep="\u0001").csv(path)
+        lake = Lake(self.spark, scratch_path(self.spark, "ragged-lake"))
+        lake.overwrite(landing.header_catalog(self.spark, path, self.model), "bronze", "landing_headers")
+        catalog = lake.read("bronze", "landing_headers")
+        return landing.land_by_name(self.spark, path, self.model, CHECK_RUN_ID, catalog)
+
+    @cached_property
+    def ragged(self) -> DataFrame:
+        return _once(self.lake, "ragged", self._ragged_export)
 
     # ---- operators, each from its stored input -----------------------------------------
     @cached_property

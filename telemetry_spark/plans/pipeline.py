@@ -13,8 +13,12 @@ Counts ride on the writes as ``Observation`` metrics instead of extra count jobs
 * Gold: the reading fact is rebalanced on its day -- adaptive execution splits a hot day and
   merges small ones, without a sampling pass -- sorted within partitions and laid out by
   ``date_key`` for partition pruning; the date dimension comes from the fact's days;
-* validation: the run report is stored first; one job computes every count; results are
-  appended to the audit store, and only then does a failed check of this attempt raise.
+* validation: the run report is stored first; one job computes every count; results go to the
+  audit store, and only then does a failed check of this attempt raise.
+
+Audit tables are partitioned by run, and a stage that is tried again replaces its run's rows.  Every
+stage is entered in the run's ledger (:mod:`.ledger`); ``resume`` starts at the first stage whose
+input changed or that did not end.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from pyspark.sql import types as T
 from telemetry_spark.functions.literal import literal_rows
 from telemetry_spark.model import TelemetryModel, compressor
 from telemetry_spark.operators import gate, gold, quality, validate
+from telemetry_spark.plans.ledger import Ledger, fingerprint, source_state
 from telemetry_spark.session import ensure_utc
 from telemetry_spark.sources import landing
 from telemetry_spark.sources.store import Lake
@@ -39,6 +44,15 @@ STORED = (
     ("audit", "pipeline_validation_results"), ("audit", "run_reports"),
 )
 
+# what each stage leaves: (layer, table), all of them refreshed as a whole
+LEFT = {
+    "bronze": (("bronze", "sensor_readings_raw"),),
+    "silver": (("silver", "sensor_readings_gated"),),
+    "gold": tuple(t for t in STORED if t[0] == "gold"),
+    "validate": (),
+}
+BY_RUN = ("run_id",)
+
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("check_name", T.StringType()),
@@ -59,11 +73,18 @@ def silver_tables(lake: Lake) -> tuple[DataFrame, DataFrame]:
 
 
 def ingest_bronze(spark: SparkSession, lake: Lake, source, model: TelemetryModel, run_id: str,
-                  expected_rows: int | None = None, partitions: int | None = None) -> int:
-    """``source``: a CSV path, groups of CSV files with a header each, or a Bronze-shaped frame.
-    ``partitions``: deal the landed rows over so many tasks for the write (for a source that
-    arrives in few splits, as one compressed file does); lineage is assigned before."""
-    bronze = source if isinstance(source, DataFrame) else landing.land_csv(spark, source, model, run_id)
+                  expected_rows: int | None = None, partitions: int | None = None, by_name: bool = False) -> int:
+    """``source``: a CSV path or a Bronze-shaped frame.  ``by_name``: the files of the path may have a
+    header each; their headers are stored beside Bronze.  ``partitions``: deal the landed rows over so
+    many tasks for the write (for a source that arrives in few splits, as one compressed file does);
+    lineage is assigned before."""
+    if isinstance(source, DataFrame):
+        bronze = source
+    elif by_name:
+        lake.overwrite(landing.header_catalog(spark, source, model), "bronze", "landing_headers")
+        bronze = landing.land_by_name(spark, source, model, run_id, lake.read("bronze", "landing_headers"))
+    else:
+        bronze = landing.land_csv(spark, source, model, run_id)
     if partitions:
         bronze = bronze.repartition(partitions, "_row_seq")
     obs = Observation("bronze")
@@ -73,7 +94,7 @@ def ingest_bronze(spark: SparkSession, lake: Lake, source, model: TelemetryModel
 
 def build_silver(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id: str,
                  checked_at: datetime) -> dict:
-    """Gate stored Bronze into the partitioned Silver dataset and append the audit rows;
+    """Gate stored Bronze into the partitioned Silver dataset and store the run's audit rows;
     returns the metrics observed on the write (checked and accepted rows, rule counts) after
     comparing them with the row counts of what is stored."""
     gated = gate.apply_gate(lake.read("bronze", "sensor_readings_raw"), model)
@@ -98,7 +119,7 @@ def build_silver(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id:
     audit = literal_rows(
         spark, [(run_id, n, int(m["checked_rows"]), int(m[n]), checked_at) for n in model.rule_names], AUDIT_SCHEMA
     ).selectExpr("*", "checked_rows - failed_rows AS passed_rows")
-    lake.append(audit, "audit", "quality_check_results")
+    lake.replace_partitions(audit, "audit", "quality_check_results", BY_RUN)
     return {k: int(v) for k, v in m.items()}
 
 
@@ -184,7 +205,7 @@ def validate_run(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id:
         lake.read("gold", "fact_sensor_reading"), lake.read("gold", "dim_date"),
         gate.key_columns(model), run_id, checked_at.strftime("%Y-%m-%d %H:%M:%S.%f"),
     )
-    lake.append(results, "audit", "pipeline_validation_results")
+    lake.replace_partitions(results, "audit", "pipeline_validation_results", BY_RUN)
     # the checks of this attempt: an earlier one of the run may have stored failures
     stored = lake.read("audit", "pipeline_validation_results").filter(
         (F.col("run_id") == run_id) & (F.col("checked_at") == F.lit(checked_at)))
@@ -194,7 +215,7 @@ def validate_run(spark: SparkSession, lake: Lake, model: TelemetryModel, run_id:
 
 def write_run_report(lake: Lake, model: TelemetryModel, run_id: str, checked_at: datetime,
                      metrics: dict | None = None) -> None:
-    """Append the run report (counts, failures by rule, anomaly rows, pass rate) as one
+    """Store the run report (counts, failures by rule, anomaly rows, pass rate) as one
     JSON row.  Within a full run the numbers are the metrics observed on the Silver and
     fact writes (no extra pass); a separately scheduled task recomputes them with one
     aggregate over the stored gated Silver and reading fact."""
@@ -217,19 +238,60 @@ def write_run_report(lake: Lake, model: TelemetryModel, run_id: str, checked_at:
         report = literal_rows(lake.spark, [row], schema)
     js = quality.report_json(report, model)
     # run id and time are bound as literals, never interpolated into SQL text
-    lake.append(js.select(F.lit(run_id).alias("run_id"), F.lit(checked_at).alias("checked_at"), "report"),
-                "audit", "run_reports")
+    lake.replace_partitions(js.select(F.lit(run_id).alias("run_id"), F.lit(checked_at).alias("checked_at"), "report"),
+                            "audit", "run_reports", BY_RUN)
+
+
+STAGES = ("bronze", "silver", "gold", "validate")
+
+
+class Run:
+    """The stages of one run over a lake, each entered in the run's ledger."""
+
+    def __init__(self, spark: SparkSession, lake: Lake, run_id: str, model: TelemetryModel, resume: bool = False):
+        ensure_utc(spark)
+        if not run_id:
+            raise ValueError("a run needs an id")
+        self.spark, self.lake, self.run_id, self.model = spark, lake, run_id, model
+        self.at = datetime.now(timezone.utc).replace(tzinfo=None)
+        self.ledger = Ledger(lake, run_id, resume)
+
+    def _stage(self, name: str, reads: tuple, work) -> dict:
+        return self.ledger.stage(name, fingerprint(self.model, *reads), LEFT[name], work)
+
+    def _from(self, *stages: str) -> tuple:
+        return tuple(folder for s in stages for folder in self.ledger.folders(LEFT[s]))
+
+    def bronze(self, source: str | DataFrame, expected_rows: int | None = None, partitions: int | None = None,
+               by_name: bool = False) -> dict:
+        return self._stage("bronze", (source_state(self.lake, source), expected_rows, partitions, by_name), lambda: {
+            "bronze_rows": ingest_bronze(self.spark, self.lake, source, self.model, self.run_id, expected_rows, partitions, by_name)})
+
+    def silver(self) -> dict:
+        return self._stage("silver", self._from("bronze"),
+                           lambda: build_silver(self.spark, self.lake, self.model, self.run_id, self.at))
+
+    def gold(self, fact_layout: str = "rebalance") -> dict:
+        return self._stage("gold", (*self._from("silver"), fact_layout),
+                           lambda: build_gold(self.spark, self.lake, self.model, fact_layout))
+
+    def validate(self, metrics: dict | None = None) -> dict:
+        def work() -> dict:
+            write_run_report(self.lake, self.model, self.run_id, self.at, metrics)
+            return {"checks": validate_run(self.spark, self.lake, self.model, self.run_id, self.at)}
+
+        return self._stage("validate", self._from("bronze", "silver", "gold"), work)
 
 
 def run_pipeline(spark: SparkSession, source: str | DataFrame, lake_root: str, run_id: str,
                  model: TelemetryModel | None = None, expected_rows: int | None = None,
-                 fact_layout: str = "rebalance", partitions: int | None = None) -> dict:
-    """Run every stage in order.  ``source`` is a CSV path, groups of CSV files with a header each, or a
-    Bronze-shaped frame; ``model`` defaults to the published contract."""
-    ensure_utc(spark)
-    model = model or compressor()
+                 fact_layout: str = "rebalance", partitions: int | None = None, by_name: bool = False,
+                 resume: bool = False) -> dict:
+    """Run every stage in order.  ``source`` is a CSV path (``by_name``: of files with a header each) or
+    a Bronze-shaped frame; ``model`` defaults to the published contract; ``resume`` takes over the
+    stages of an earlier attempt of this run that ended and whose input is unchanged."""
     lake = Lake(spark, lake_root)
-    checked_at = datetime.now(timezone.utc).replace(tzinfo=None)
+    run = Run(spark, lake, run_id, model or compressor(), resume)
     seconds: dict[str, float] = {}
     clock = time.perf_counter()
 
@@ -239,52 +301,45 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, lake_root: str, r
         seconds[stage] = round(now - clock, 3)
         clock = now
 
-    bronze_rows = ingest_bronze(spark, lake, source, model, run_id, expected_rows, partitions)
+    bronze = run.bronze(source, expected_rows, partitions, by_name)
     lap("bronze")
-    silver_metrics = build_silver(spark, lake, model, run_id, checked_at)
-    silver_rows = silver_metrics["accepted_rows"]
-    reject_rows = silver_metrics["checked_rows"] - silver_rows
+    silver = run.silver()
     lap("silver")
-    gold_metrics = build_gold(spark, lake, model, fact_layout)
+    gold_metrics = run.gold(fact_layout)
     lap("gold")
-    write_run_report(lake, model, run_id, checked_at, {**silver_metrics, **gold_metrics})
-    checks = validate_run(spark, lake, model, run_id, checked_at)
+    checks = run.validate({**silver, **gold_metrics})["checks"]
+    if "validate" in run.ledger.reused:
+        register_views(lake, run.model)
     lap("validate")
     return {
         "stage_seconds": seconds,
         "run_id": run_id,
-        "bronze_rows": bronze_rows,
-        "silver_rows": silver_rows,
-        "reject_rows": reject_rows,
+        "bronze_rows": bronze["bronze_rows"],
+        "silver_rows": silver["accepted_rows"],
+        "reject_rows": silver["checked_rows"] - silver["accepted_rows"],
         "checks": checks,
+        "reused": run.ledger.reused,
         "lake": lake.root,
     }
 
 
-STAGES = ("bronze", "silver", "gold", "validate")
-
-
 def run_stage(spark: SparkSession, stage: str, lake_root: str, run_id: str, source: str | None = None,
               model: TelemetryModel | None = None, expected_rows: int | None = None,
-              fact_layout: str = "rebalance", partitions: int | None = None) -> dict:
+              fact_layout: str = "rebalance", partitions: int | None = None, by_name: bool = False) -> dict:
     """One stage of the run, as a separately scheduled task would run it: each stage reads
     only what the previous stage stored, so the tasks can run (and retry) independently."""
-    ensure_utc(spark)
-    model = model or compressor()
-    lake = Lake(spark, lake_root)
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    run = Run(spark, Lake(spark, lake_root), run_id, model or compressor())
     if stage == "bronze":
         if not source:
             raise ValueError("the bronze stage needs a source path")
-        return {"bronze_rows": ingest_bronze(spark, lake, source, model, run_id, expected_rows, partitions)}
+        return run.bronze(source, expected_rows, partitions, by_name)
     if stage == "silver":
-        m = build_silver(spark, lake, model, run_id, now)
+        m = run.silver()
         return {"silver_rows": m["accepted_rows"], "reject_rows": m["checked_rows"] - m["accepted_rows"]}
     if stage == "gold":
-        return build_gold(spark, lake, model, fact_layout)
+        return run.gold(fact_layout)
     if stage == "validate":
-        write_run_report(lake, model, run_id, now)
-        return {"checks": validate_run(spark, lake, model, run_id, now)}
+        return run.validate()
     raise ValueError(f"unknown stage {stage!r}; stages are {STAGES}")
 
 
@@ -304,6 +359,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--expected-rows", type=int)
     p.add_argument("--fact-layout", choices=("rebalance", "local"), default="rebalance")
     p.add_argument("--partitions", type=int, help="deal the landed rows over so many tasks")
+    p.add_argument("--by-name", action="store_true", help="the files of the source have a header each")
+    p.add_argument("--resume", action="store_true", help="take over stages of this run that ended, if their input is unchanged")
     p.add_argument("--publish", action="store_true", help="name the tables and views in the session's catalog")
     p.add_argument("--master", help="only when not launched by spark-submit, e.g. local[8]")
     a = p.parse_args(argv)
@@ -313,9 +370,11 @@ def main(argv: list[str] | None = None) -> None:
     if a.stage == "all":
         if not a.source:
             p.error("a full run needs --source")
-        out = run_pipeline(spark, a.source, a.lake, a.run_id, model, a.expected_rows, a.fact_layout, a.partitions)
+        out = run_pipeline(spark, a.source, a.lake, a.run_id, model, a.expected_rows, a.fact_layout, a.partitions,
+                           a.by_name, a.resume)
     else:
-        out = run_stage(spark, a.stage, a.lake, a.run_id, a.source, model, a.expected_rows, a.fact_layout, a.partitions)
+        out = run_stage(spark, a.stage, a.lake, a.run_id, a.source, model, a.expected_rows, a.fact_layout,
+                        a.partitions, a.by_name)
     if a.publish:
         publish(Lake(spark, a.lake), model)
     print(json.dumps(out, default=str))

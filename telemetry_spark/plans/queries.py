@@ -35,17 +35,40 @@ def bronze_scan(spark, sf):
 
 
 def bronze_lineage(spark, sf):
-    """Where the lineage of a run from CSV says each stored Bronze row stood: its file's part and
-    its place in that file, with the gate's verdict on copies (the first in file order stays)."""
+    """Where the lineage of a run from CSV says each stored Bronze row stood: its folder's part and
+    its place in it, with the gate's verdict on copies (the first in file order stays).  A place is
+    the rows of the earlier splits plus the row's number in its own; only splits are ordered."""
     f = Flow(spark, sf)
+    part = F.regexp_extract("_source_file", r"/part(\d+)/[^/]+\.csv$", 1).cast("int").alias("part")
+    bronze = f.landed_lake.read("bronze", "sensor_readings_raw").select("_row_seq", "index", "timestamp", "_run_id", "_position", part)
+    splits = bronze.groupBy("part", "_position").agg(F.min("_row_seq").alias("_least"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("part").orderBy("_position").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(F.col("_position").alias("_split"), "_least", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    placed = bronze.join(splits, F.col("_position") == F.col("_split")).withColumn(
+        "place", (F.col("_before") + F.col("_row_seq") - F.col("_least") + 1).cast("int"))
     gated = f.landed_lake.read("silver", "sensor_readings_gated")
-    in_file = Window.partitionBy("_source_file").orderBy("_block_start", "_row_seq")
-    bronze = f.landed_lake.read("bronze", "sensor_readings_raw").select(
-        "_row_seq", "index", "timestamp", "_run_id",
-        F.regexp_extract("_source_file", r"/part(\d+)/[^/]+\.csv$", 1).cast("int").alias("part"),
-        F.row_number().over(in_file).alias("place"))
     verdict = gated.select("_row_seq", F.col("_flags.duplicate_reading").alias("is_copy"))
-    return bronze.join(verdict, "_row_seq").drop("_row_seq")
+    return placed.join(verdict, "_row_seq").select("index", "timestamp", "_run_id", "part", "place", "is_copy")
+
+
+def landing_header_catalog(spark, sf):
+    """The headers of the landed files as their catalog has them, with the readings landed under each
+    and the sum of their ids."""
+    f = Flow(spark, sf)
+    catalog = f.landed_lake.read("bronze", "landing_headers")
+    files = catalog.where("_header is not null").select(
+        "_file", "_header", F.array_join(F.col("_places").cast("array<string>"), " ").alias("places"))
+    landed = f.landed_lake.read("bronze", "sensor_readings_raw")
+    return landed.join(files, landed["_source_file"] == files["_file"]).groupBy(
+        F.regexp_extract("_file", r"/part(\d+)/", 1).cast("int").alias("part"), F.col("_header").alias("header"), "places").agg(
+        F.count(F.lit(1)).alias("readings"), F.sum(F.expr("try_cast(`index` AS bigint)")).alias("id_sum"))
+
+
+def landing_ragged(spark, sf):
+    """What the gate says of every reading of a landing with lines of too many or too few fields."""
+    f = Flow(spark, sf)
+    gated = gate.apply_gate(f.ragged, f.model)
+    return gated.select(gate.RAW_ID, gate.RAW_TS, gate.RAW_LINE, gate.REASON)
 
 
 def landing_mixed_headers(spark, sf):
@@ -64,21 +87,23 @@ def landing_expectation(spark, sf):
 
 # ---- gate ---------------------------------------------------------------------------------
 def silver_typed(spark, sf):
-    return Flow(spark, sf).typed
+    return Flow(spark, sf).typed.drop(gate.POSITION)
 
 
 def dedupe_rank(spark, sf):
     f = Flow(spark, sf)
-    keyed = f.typed.select(gate.RAW_ID, gate.RAW_TS, "reading_id", "event_ts", *gate.ORDER_COLUMNS)
-    flagged = flag_duplicates(keyed, gate.key_columns(f.model), gate.ORDER_COLUMNS, flag="is_duplicate")
+    order = gate.order_columns(f.typed)
+    keyed = f.typed.select(gate.RAW_ID, gate.RAW_TS, "reading_id", "event_ts", *order)
+    flagged = flag_duplicates(keyed, gate.key_columns(f.model), order, flag="is_duplicate")
     return flagged.select(gate.RAW_ID, gate.RAW_TS, "reading_id", "event_ts", "_row_seq", "is_duplicate")
 
 
 def dedupe_shuffle(spark, sf):
     """The same with the duplicated keys joined by a shuffle, as for tables too large to broadcast."""
     f = Flow(spark, sf)
-    keyed = f.typed.select(gate.RAW_ID, gate.RAW_TS, "reading_id", "event_ts", *gate.ORDER_COLUMNS)
-    flagged = flag_duplicates(keyed, gate.key_columns(f.model), gate.ORDER_COLUMNS, flag="is_duplicate",
+    order = gate.order_columns(f.typed)
+    keyed = f.typed.select(gate.RAW_ID, gate.RAW_TS, "reading_id", "event_ts", *order)
+    flagged = flag_duplicates(keyed, gate.key_columns(f.model), order, flag="is_duplicate",
                               join_hint="shuffle_merge")
     return flagged.select(gate.RAW_ID, gate.RAW_TS, "reading_id", "event_ts", "_row_seq", "is_duplicate")
 
@@ -263,6 +288,8 @@ QUERIES: dict[str, Query] = {
     "bronze_lineage": bronze_lineage,
     "landing_expectation": landing_expectation,
     "landing_mixed_headers": landing_mixed_headers,
+    "landing_header_catalog": landing_header_catalog,
+    "landing_ragged": landing_ragged,
     "silver_typed": silver_typed,
     "dedupe_rank": dedupe_rank,
     "dedupe_shuffle": dedupe_shuffle,

@@ -9,7 +9,7 @@ every quality rule fires at every scale.  All rows are kept; nothing is filtered
 
 Lineage columns model a weekly landing job: ``_run_id`` and ``_ingested_at`` name the
 week the event arrived in (the batch lands at the end of its week), ``_source_file`` is
-the events table, ``_block_start`` is 0 and ``_row_seq`` = 2 * event_id + copy.
+the events table, ``_block_start`` and ``_position`` are 0 and ``_row_seq`` = 2 * event_id + copy.
 """
 
 from __future__ import annotations
@@ -70,6 +70,7 @@ def feed_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
         (week + F.expr("INTERVAL 7 DAYS")).alias("_ingested_at"),
         F.concat(F.lit("run_"), F.date_format(week, "yyyyMMdd")).alias("_run_id"),
         F.lit(0).cast("long").alias("_block_start"),
+        F.lit(0).cast("long").alias("_position"),
         (e * 2 + F.col("_copy")).alias("_row_seq"),
         *keep,
     )

@@ -1,9 +1,14 @@
 """Layered table storage over a base folder: ``<root>/<layer>/<name>``.
 
-* full refresh (``overwrite``), optionally laid out by partition columns;
-* append-only audit tables (``append``);
-* the schema of a partitioned table is stored beside it, so one without rows (whose write
-  leaves no file) reads as an empty table; other writes always leave a file;
+* full refresh (``overwrite``), optionally laid out by partition columns: every refresh writes a
+  folder of its own, and one small file then names the new folder, the schema and the partition
+  columns.  A write that fails leaves the old table as it was, a reader finds the old table or the
+  new one, and the replaced folder goes with the next refresh, so that plans that read it can end;
+* partitions replaced one by one (``replace_partitions``): what a repeated attempt writes takes the
+  place of what it wrote before;
+* append (``append``);
+* a table's schema is stored with its name, so one without rows reads as an empty table, and
+  reading one runs no job;
 * names for SQL users: session views that carry the lake's name, and, where the session has a
   catalog, external tables and stored views in it.
 
@@ -14,13 +19,35 @@ the root should be a shared filesystem or object store on a cluster.
 from __future__ import annotations
 
 import json
+import uuid
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from telemetry_spark.sources import files
+
 LAYERS = ("bronze", "silver", "gold", "audit")
-SCHEMAS = "_schemas"
+TABLES = "_tables"
+
+
+@dataclass(frozen=True)
+class Table:
+    """What a lake knows of a table: ``folder`` is where its files are, ``replaced`` where they were."""
+
+    schema: T.StructType
+    partition_by: tuple[str, ...] = ()
+    folder: str = ""
+    replaced: str = ""
+
+    def to_json(self) -> str:
+        return json.dumps({"schema": self.schema.jsonValue(), "partition_by": self.partition_by,
+                           "folder": self.folder, "replaced": self.replaced})
+
+    @staticmethod
+    def from_json(text: str) -> Table:
+        kept = json.loads(text)
+        return Table(T.StructType.fromJson(kept["schema"]), tuple(kept["partition_by"]), kept["folder"], kept["replaced"])
 
 
 def sql_name(text: str) -> str:
@@ -43,7 +70,7 @@ class Lake:
         # one DataFrame (and so one file listing) per table until that table is written
         # again: on an object store a day-partitioned fact is a large listing
         self._frames: dict[str, DataFrame] = {}
-        self._layout: dict[str, tuple[T.StructType, tuple[str, ...]]] = {}
+        self._tables: dict[str, Table] = {}
 
     def path(self, layer: str, name: str) -> str:
         if layer not in LAYERS:
@@ -54,64 +81,82 @@ class Lake:
 
     def overwrite(self, df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...] = (),
                   max_records_per_file: int | None = None) -> str:
-        """Full refresh; the stored schema is replaced by the frame's."""
+        """Full refresh; the stored schema is replaced by the frame's.  Returns the new folder."""
         path = self.path(layer, name)
-        # a full refresh replaces every partition, whatever the session's overwrite mode:
-        # a run without rejects must not leave the previous run's rejects behind
-        writer = self._writer(df).mode("overwrite").option("partitionOverwriteMode", "static")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
+        before = self._find(layer, name)
+        folder = f"v-{uuid.uuid4().hex}"
+        writer = self._writer(df, partition_by)
         if max_records_per_file:
             writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-        self._frames.pop(path, None)
-        writer.save(path)
-        self._keep_schema(path, df.schema, partition_by)
-        return path
+        writer.mode("error").save(f"{path}/{folder}")
+        self._switch(layer, name, Table(_readers_schema(df.schema, partition_by), tuple(partition_by), folder,
+                                        before.folder if before else ""))
+        if before and before.replaced:
+            files.remove(self.spark, f"{path}/{before.replaced}")
+        return f"{path}/{folder}"
 
     def append(self, df: DataFrame, layer: str, name: str) -> str:
-        path = self.path(layer, name)
+        return self._add(df, layer, name, (), "append", "static")
+
+    def replace_partitions(self, df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...]) -> str:
+        """The partitions that ``df`` has rows of are replaced by them, the others keep their files."""
+        return self._add(df, layer, name, tuple(partition_by), "overwrite", "dynamic")
+
+    def _add(self, df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...], mode: str, overwrite: str) -> str:
+        path, table = self.path(layer, name), self._find(layer, name)
+        if table is None:
+            table = Table(_readers_schema(df.schema, partition_by), partition_by, "v-0")
+        elif table.partition_by != partition_by:
+            raise ValueError(f"{layer}.{name} is partitioned by {table.partition_by}, not by {partition_by}")
         self._frames.pop(path, None)
-        self._writer(df).mode("append").save(path)
-        if path not in self._layout:
-            self._keep_schema(path, df.schema, ())
-        return path
+        self._writer(df, partition_by).option("partitionOverwriteMode", overwrite).mode(mode).save(f"{path}/{table.folder}")
+        if self._tables.get(path) != table:
+            self._switch(layer, name, table)
+        return f"{path}/{table.folder}"
 
-    def _writer(self, df: DataFrame):
+    def _writer(self, df: DataFrame, partition_by: tuple[str, ...] = ()):
         writer = df.write.format(self.fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         return writer.option("compression", self.compression) if self.compression else writer
 
-    def _schema_path(self, path: str) -> str:
-        return f"{self.root}/{SCHEMAS}{path[len(self.root):]}"
-
-    def _keep_schema(self, path: str, schema: T.StructType, partition_by: tuple[str, ...]) -> None:
-        # readers put partition columns last
-        fields = sorted(schema.fields, key=lambda f: partition_by.index(f.name) if f.name in partition_by else -1)
-        kept = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-        if partition_by and self._layout.get(path) != (kept, partition_by):
-            text = json.dumps({"schema": kept.jsonValue(), "partition_by": partition_by})
-            self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(self._schema_path(path))
-        self._layout[path] = (kept, partition_by)
-
-    def layout(self, layer: str, name: str) -> tuple[T.StructType, tuple[str, ...]]:
-        """The schema and partition columns of a table: as written here, as stored, or, of a table
-        that was never partitioned, as its files have it."""
+    def _entry(self, layer: str, name: str) -> str:
+        return f"{self.root}/{TABLES}/{self.path(layer, name)[len(self.root) + 1:]}.json"
+
+    def _switch(self, layer: str, name: str, table: Table) -> None:
+        files.write_text(self.spark, self._entry(layer, name), table.to_json())
         path = self.path(layer, name)
-        if path not in self._layout:
-            try:
-                kept = json.loads(self.spark.read.text(self._schema_path(path)).first()[0])
-                self._layout[path] = (T.StructType.fromJson(kept["schema"]), tuple(kept["partition_by"]))
-            except AnalysisException as missing:
-                if missing.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                self._layout[path] = (self.spark.read.format(self.fmt).load(path).schema, ())
-        return self._layout[path]
+        self._frames.pop(path, None)
+        self._tables[path] = table
+
+    def _find(self, layer: str, name: str) -> Table | None:
+        path = self.path(layer, name)
+        if path not in self._tables:
+            text = files.read_text(self.spark, self._entry(layer, name))
+            if text is None:
+                return None
+            self._tables[path] = Table.from_json(text)
+        return self._tables[path]
+
+    def table(self, layer: str, name: str) -> Table:
+        found = self._find(layer, name)
+        if found is None:
+            raise ValueError(f"the lake {self.root} has no table {layer}.{name}")
+        return found
+
+    def has(self, layer: str, name: str) -> bool:
+        return self._find(layer, name) is not None
+
+    def location(self, layer: str, name: str) -> str:
+        """The folder a table's files are in at present."""
+        return f"{self.path(layer, name)}/{self.table(layer, name).folder}"
 
     def read(self, layer: str, name: str) -> DataFrame:
         path = self.path(layer, name)
         frame = self._frames.get(path)
         if frame is None:
-            schema, _ = self.layout(layer, name)
-            frame = self._frames[path] = self.spark.read.schema(schema).format(self.fmt).load(path)
+            reader = self.spark.read.schema(self.table(layer, name).schema).format(self.fmt)
+            frame = self._frames[path] = reader.load(self.location(layer, name))
         return frame
 
     def register(self, df: DataFrame, layer: str, name: str) -> str:
@@ -123,12 +168,12 @@ class Lake:
 
     def publish(self, layer: str, name: str) -> str:
         """Register a stored table in the session's catalog, as ``<lake>_<layer>.<name>``."""
-        database, (schema, partition_by) = self._database(layer), self.layout(layer, name)
-        table = f"{database}.{name}"
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        database, kept = self._database(layer), self.table(layer, name)
+        table, partition_by = f"{database}.{name}", kept.partition_by
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
         parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING {self.fmt}{parts} LOCATION {_literal(self.path(layer, name))}")
+        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING {self.fmt}{parts} LOCATION {_literal(self.location(layer, name))}")
         if partition_by:
             self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         return table
@@ -145,5 +190,11 @@ class Lake:
         return database
 
 
+def _readers_schema(schema: T.StructType, partition_by: tuple[str, ...]) -> T.StructType:
+    """Readers put partition columns last, and files hold nullable columns."""
+    fields = sorted(schema.fields, key=lambda f: partition_by.index(f.name) if f.name in partition_by else -1)
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+
+
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -43,6 +43,16 @@ def test_matches_row_number(spark, rows, options):
     assert len(got) == rows.count()
 
 
+@pytest.mark.parametrize("options", [{}, {"join_hint": "shuffle_merge"}])
+def test_position_and_sequence_match_row_number(spark, rows, options):
+    at = rows.selectExpr("*", "9000000000000000000L + cast(substr(f, 5) AS long) * 1000000000000L + b AS p")
+    flagged = flag_duplicates(at, KEYS, ("p", "s"), flag="d", **options)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortAggregate" not in plan
+    w = Window.partitionBy(*KEYS).orderBy("p", "s")
+    assert {r.s: r.d for r in flagged.collect()} == {r.s: r.d for r in at.select("s", (F.row_number().over(w) > 1).alias("d")).collect()}
+
+
 def test_no_duplicates(spark):
     df = spark.createDataFrame([(1, 1, "a", 0, 1), (2, 1, "a", 0, 2)], "k1 long, k2 long, f string, b long, s long")
     assert [r.d for r in flag_duplicates(df, KEYS, ORDER, flag="d").collect()] == [False, False]

@@ -196,6 +196,75 @@ def test_empty_and_partitioned_tables_keep_their_schema(spark):
     assert again.dtypes == [("id", "bigint"), ("s", "string"), ("even", "boolean")] and again.count() == 0
 
 
+def test_a_failed_write_leaves_the_old_table_whole(spark):
+    root = scratch_path(spark, "half")
+    lake = Lake(spark, root)
+    lake.overwrite(spark.range(100), "gold", "t")
+    lake.overwrite(spark.range(100).selectExpr("id", "id % 2 AS half"), "gold", "p", ("half",))
+    reading = lake.read("gold", "t")        # a plan made before the refresh
+    breaks = spark.range(0, 1000, 1, 8).selectExpr("IF(id = 999, raise_error('lost'), id) AS id")
+    for name, frame, by in (("t", breaks, ()), ("p", breaks.selectExpr("id", "id % 2 AS half"), ("half",))):
+        with pytest.raises(Exception, match="lost"):
+            lake.overwrite(frame, "gold", name, by)
+        for here in (lake, Lake(spark, root)):
+            assert here.read("gold", name).count() == 100 and here.read("gold", name).agg(F.sum("id")).first()[0] == 4950
+    lake.overwrite(spark.range(7), "gold", "t")
+    assert lake.read("gold", "t").count() == 7 and reading.count() == 100      # until the next refresh
+    lake.overwrite(spark.range(8), "gold", "t")
+    with pytest.raises(Exception, match="FAILED_READ_FILE|FILE_NOT_EXIST|not exist"):
+        reading.count()
+
+
+def test_a_stage_run_twice_leaves_one_set_of_audit_rows(spark):
+    root = scratch_path(spark, "twice")
+    for run in ("a", "b"):
+        pipeline.run_stage(spark, "bronze", root, run, feed(spark, SF_SMALL), MODEL)
+        for _ in range(2):
+            pipeline.run_stage(spark, "silver", root, run, model=MODEL)
+        pipeline.run_stage(spark, "gold", root, run, model=MODEL)
+        for _ in range(2):
+            pipeline.run_stage(spark, "validate", root, run, model=MODEL)
+    lake = Lake(spark, root)
+    for name, rows in (("quality_check_results", 10), ("pipeline_validation_results", 4), ("run_reports", 1)):
+        counts = {r["run_id"]: r["count"] for r in lake.read("audit", name).groupBy("run_id").count().collect()}
+        assert counts == {"a": rows, "b": rows}, name
+    with pytest.raises(ValueError, match="needs an id"):
+        pipeline.run_stage(spark, "silver", root, "", model=MODEL)
+
+
+def test_a_resumed_run_starts_where_the_last_attempt_broke(spark, monkeypatch, tmp_path):
+    from telemetry_spark.operators import gold as gold_operators
+
+    source = str(tmp_path / "in")
+    columns = [F.col(f"`{c}`") for c in MODEL.source_columns]
+    feed(spark, SF_SMALL).select(*columns).write.options(header="true").csv(source)
+    root = scratch_path(spark, "resumed")
+    run = lambda **more: pipeline.run_pipeline(spark, source, root, "r", MODEL, by_name=True, **more)
+    kept = gold_operators.daily_health
+
+    def broken(*_):
+        raise RuntimeError("gold broke")
+
+    monkeypatch.setattr(gold_operators, "daily_health", broken)
+    with pytest.raises(RuntimeError, match="gold broke"):
+        run()
+    monkeypatch.setattr(gold_operators, "daily_health", kept)
+    tables = (("bronze", "sensor_readings_raw"), ("silver", "sensor_readings_gated"))
+    before = [sorted(Lake(spark, root).read(*t).inputFiles()) for t in tables]
+    out = run(resume=True)
+    assert out["reused"] == ["bronze", "silver"] and (out["bronze_rows"], out["silver_rows"]) == (1010, 956)
+    assert [sorted(Lake(spark, root).read(*t).inputFiles()) for t in tables] == before
+    again = run(resume=True)
+    assert again["reused"] == ["bronze", "silver", "gold", "validate"] and len(again["checks"]) == 4
+    assert spark.table(f"{Lake(spark, root).name}_gold_dim_date").count() > 0
+    # another input: everything follows from it
+    feed(spark, SF_SMALL).limit(50).select(*columns).write.mode("append").options(header="true").csv(source)
+    changed = run(resume=True)
+    assert changed["reused"] == [] and changed["bronze_rows"] == 1060
+    assert run()["reused"] == []          # a run that is not resumed does everything
+    assert Lake(spark, root).read("audit", "quality_check_results").count() == 10
+
+
 REPORTS = (
     "SELECT 'bronze' AS layer, count(*) AS n FROM {b}sensor_readings_raw UNION ALL SELECT 'silver', count(*) FROM {s}sensor_readings "
     "UNION ALL SELECT 'rejects', count(*) FROM {s}sensor_readings_rejects "

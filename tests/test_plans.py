@@ -36,9 +36,10 @@ def test_fact_is_built_without_shuffling_readings(spark):
 
 def test_gate_flags_duplicates_without_shuffling_readings(spark):
     plan = physical(QUERIES["quality_gate"](spark, SF_SMALL))
-    # file numbers (twice) and the duplicated keys are broadcast; the exchanges sit inside their
-    # build sides, and the smallest order is a hash aggregate
-    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan and "SortAggregate" not in plan
+    # the duplicated keys are broadcast; the exchange sits inside their build side, the smallest order
+    # is a hash aggregate, and Bronze is scanned for the keys and for the rows only
+    assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan and "SortAggregate" not in plan
+    assert plan.count("FileScan parquet") == 2 and "Window" not in plan
 
 
 @pytest.mark.parametrize("name", sorted(SHUFFLED))
@@ -47,16 +48,16 @@ def test_the_plan_beyond_broadcasts(spark, name):
     assert plan.count("SortMergeJoin") == 1 and "SortAggregate" not in plan and "CartesianProduct" not in plan
 
 
-def test_building_a_gate_runs_nothing(spark):
-    from telemetry_spark.model import events_feed
-    from telemetry_spark.operators import gate
-    from telemetry_spark.plans.flow import Flow
-
-    bronze = Flow(spark, SF_SMALL).bronze
-    tracker = spark.sparkContext.statusTracker()
-    before = len(tracker.getJobIdsForGroup(None))
-    gate.apply_gate(bronze, events_feed())
-    assert len(tracker.getJobIdsForGroup(None)) == before
+@pytest.mark.parametrize("name", sorted(ALL))
+def test_building_a_query_runs_nothing(spark, name):
+    ALL[name](spark, SF_SMALL)      # the lake is there
+    context = spark.sparkContext
+    context.setJobGroup(f"building {name}", "")
+    try:
+        ALL[name](spark, SF_SMALL)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert not context.statusTracker().getJobIdsForGroup(f"building {name}")
 
 
 def test_dashboard_broadcasts_both_dimensions(spark):

@@ -161,13 +161,88 @@ def test_mixed_headers_are_an_error_or_landed_by_name(spark, tmp_path):
         (tmp_path / file).write_text(",".join(order) + "\n" + ",".join(value[c] for c in order) + "\n")
     with pytest.raises(Exception, match="header"):
         landing.land_csv(spark, str(tmp_path), MODEL, "r").collect()
-    layouts = landing.header_layouts(spark, str(tmp_path))
-    assert [len(g) for g in layouts] == [2, 1]
-    rows = landing.land_csv(spark, layouts, MODEL, "r").collect()
+    catalog = landing.header_catalog(spark, str(tmp_path), MODEL)
+    rows = landing.land_by_name(spark, str(tmp_path), MODEL, "r", catalog).collect()
     assert [{c: r[c] for c in names} for r in rows] == [value] * 3
     assert len({r["_row_seq"] for r in rows}) == 3
 
 
+def test_ragged_lines_keep_their_text_and_are_rejected(spark, tmp_path):
+    names = list(MODEL.source_columns)
+    good = ",".join(["1", "2020-06-15 12:00:00"] + ["1"] * 15)
+    files = {"a.csv": (names, [good, good + ",9", good[:-2], "", good.replace("1,2020", '"1",2020')]),
+             "b.csv": (["Unnamed: 0", *names[1:], "extra"], [good, good + ',"x,y"', good + ",x,y"])}
+    for file, (header, lines) in files.items():
+        (tmp_path / file).write_text("\n".join([",".join(header), *lines]) + "\n")
+    by_name = landing.land_by_name(spark, str(tmp_path), MODEL, "r", landing.header_catalog(spark, str(tmp_path), MODEL))
+    ragged = sorted(r[0] for r in by_name.where("_raw_line is not null").select("_raw_line").collect())
+    assert ragged == sorted([good + ",9", good[:-2], good, good + ",x,y"])
+    assert by_name.where("_raw_line is null").count() == 3 and by_name.where("_raw_line is not null and TP2 is not null").count() == 0
+    for file, want in (("a.csv", 2), ("b.csv", 2)):
+        one = landing.land_csv(spark, str(tmp_path / file), MODEL, "r").collect()
+        assert sum(r["_raw_line"] is not None for r in one) == want
+    gated = gate.apply_gate(by_name, MODEL)
+    assert {r.rejection_reason.split("; ")[0] for r in gate.rejected(gated).where("_raw_line is not null").collect()} == {"ragged_line"}
+    assert gate.accepted(gated).count() == 1 and "_raw_line" not in gate.accepted(gated).columns
+
+
+def test_a_file_without_the_columns_is_named_and_an_empty_one_is_none(spark, tmp_path):
+    names = ",".join(MODEL.source_columns)
+    (tmp_path / "a.csv").write_text(names + "\n" + ",".join(["1"] * 17) + "\n")
+    (tmp_path / "b.csv").write_text("")
+    land = lambda: landing.land_by_name(spark, str(tmp_path), MODEL, "r", landing.header_catalog(spark, str(tmp_path), MODEL))
+    assert land().count() == 1
+    (tmp_path / "c.csv").write_text("index,TP2\n1,2\n")
+    with pytest.raises(ValueError, match=r"c\.csv has no column timestamp, TP3"):
+        land()
+    (tmp_path / "c.csv").write_text(names.replace("index", "id") + "\n")
+    with pytest.raises(ValueError, match=r"c\.csv has no column index"):
+        land()
+
+
+def jobs_of(spark, work):
+    """(result, Spark jobs that ``work`` ran)."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "counted")
+    before = len(context.statusTracker().getJobIdsForGroup("counted"))
+    try:
+        return work(), len(context.statusTracker().getJobIdsForGroup("counted")) - before
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_two_thousand_files_land_with_as_many_jobs_as_three(spark, tmp_path):
+    from telemetry_spark.sources.store import Lake
+
+    names = list(MODEL.source_columns)
+    orders = (names, names[::-1], ["Unnamed: 0", *names[5:], *names[1:5]])
+
+    def folder(name, files):
+        (tmp_path / name).mkdir()
+        for i in range(files):
+            order = orders[i % 3]
+            value = {c: f"{i}.{k}" for k, c in enumerate(names)} | {"Unnamed: 0": f"{i}.0"}
+            (tmp_path / name / f"f{i:05}.csv").write_text(",".join(order) + "\n" + ",".join(value[c] for c in order) + "\n")
+        return str(tmp_path / name)
+
+    def land(path):
+        lake = Lake(spark, str(tmp_path / f"lake-{files}"))
+        lake.overwrite(landing.header_catalog(spark, path, MODEL), "bronze", "landing_headers")
+        lake.overwrite(landing.land_by_name(spark, path, MODEL, "r", lake.read("bronze", "landing_headers")), "bronze", "readings")
+        return lake.read("bronze", "readings")
+
+    used = {}
+    for files in (3, 2000):
+        path = folder(f"landing-{files}", files)
+        rows, used[files] = jobs_of(spark, lambda path=path: land(path))
+        assert rows.count() == files
+        first = [names[0], names[-1]]
+        assert {(r[0], r[1]) for r in rows.select(*first).collect()} == {(f"{i}.0", f"{i}.16") for i in range(files)}
+        assert rows.select("_position").distinct().count() == files
+    # both list their files with one job more beyond 32 paths at most
+    assert used[2000] <= used[3] + 6, used
+
+
 def test_gate_join_strategies_agree(spark):
     """The whole gate with a shuffle join equals the default, with one unparsable key holding a
     third of the rows."""

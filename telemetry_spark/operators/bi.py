@@ -72,6 +72,19 @@ def select_view(view: DataFrame, start_date: str | None = None, end_date: str |
     return view.filter(cond)
 
 
+DRILLDOWN_COLUMNS = ("reading_id", "event_ts", "calendar_date", "day_name", "equipment_name", "anomaly_reason", "failure_event_id")
+
+
+def drilldown(fact: DataFrame, dates: DataFrame, equipment: DataFrame, weekend: bool | None = None, **slicers) -> DataFrame:
+    """The readings behind a selection of :func:`select_view` (and of weekends or working days).  The
+    slicers select days of the date dimension, and only those days' partitions of the fact are opened."""
+    days = select_view(dates, **{k: v for k, v in slicers.items() if k != "equipment_name"})
+    if weekend is not None:
+        days = days.filter(F.col("is_weekend") == F.lit(weekend))
+    units = select_view(equipment, equipment_name=slicers.get("equipment_name"))
+    return fact.join(days, "date_key").join(units, "equipment_id").select(*DRILLDOWN_COLUMNS)
+
+
 def month_matrix(view: DataFrame, model: TelemetryModel) -> DataFrame:
     """Readings, coverage, anomalies and failure-window readings per month; the year is
     part of the key so the same month of two years never merges."""

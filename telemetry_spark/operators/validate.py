@@ -24,6 +24,26 @@ def duplicate_key_count(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("duplicate_keys"))
 
 
+def suspect_blocks(df: DataFrame, id_col: str) -> DataFrame:
+    """Blocks of 32,768 ids (``bitmap_bucket_number``) with fewer distinct ids than rows.  A task
+    sends one bitmap of 4 KB for each block it has rows of, so rows that lie by id cost about a bit
+    of shuffle an id."""
+    block, bit = f"bitmap_bucket_number(`{id_col}`)", f"bitmap_bit_position(`{id_col}`)"
+    return df.where(f"`{id_col}` IS NOT NULL").selectExpr(f"{block} AS _block", f"{bit} AS _bit").groupBy("_block").agg(
+        F.expr("bitmap_count(bitmap_construct_agg(_bit))").alias("_ids"), F.count(F.lit(1)).alias("_rows")
+    ).where("_ids < _rows").select("_block")
+
+
+def duplicate_keys_by_bitmap(df: DataFrame, keys: tuple[str, ...], suspects: DataFrame) -> DataFrame:
+    """:func:`duplicate_keys` where the first key alone tells most rows apart.  ``suspects`` are the
+    stored :func:`suspect_blocks` of that key: a key that occurs twice has its id in one of them, or no
+    id.  Only those rows are grouped, so a clean table moves bitmaps instead of keys.  (Stored, so that
+    the join is planned by their measured bytes, eight a block.)"""
+    block = F.expr(f"bitmap_bucket_number(`{keys[0]}`)")
+    doubtful = df.select(*keys).where(F.col(keys[0]).isNotNull()).join(suspects, block == F.col("_block"), "left_semi")
+    return duplicate_keys(doubtful.unionByName(df.select(*keys).where(F.col(keys[0]).isNull())), keys)
+
+
 def layer_counts(bronze: DataFrame, silver: DataFrame, rejects: DataFrame, fact: DataFrame) -> DataFrame:
     """(layer, rows) for the four layers, duplicates kept (UNION ALL of four counts)."""
     parts = [

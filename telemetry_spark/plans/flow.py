@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_spark.model import TelemetryModel, events_feed
-from telemetry_spark.operators import gate, gold
+from telemetry_spark.operators import gate, gold, key_index
+from telemetry_spark.plans.incremental import Increments
 from telemetry_spark.session import app_id, scratch_path, utc_session
 from telemetry_spark.sources import feed as feed_source
 from telemetry_spark.sources import files, landing
@@ -167,6 +168,35 @@ class Flow:
     def ragged(self) -> DataFrame:
         return _once(self.lake, "ragged", self._ragged_export)
 
+    # ---- batches -------------------------------------------------------------------------
+    def _first_batch(self) -> tuple[Increments, str, list[tuple[int, int]]]:
+        split = self.bronze.agg(F.expr("max(_row_seq) div 2")).first()[0]
+        late = f"_row_seq % 2 = 1 OR _row_seq >= {split}"
+        taken = Increments(self.spark, Lake(self.spark, scratch_path(self.spark, "batches")), self.model)
+        taken.take(self.bronze.where(f"NOT ({late})"), "b1")
+        second = gate.typed_projection(self.bronze.where(late), self.model)
+        return taken, late, key_index.touched(key_index.placed(second, self.model, taken.buckets))
+
+    @cached_property
+    def batches(self) -> tuple[Increments, DataFrame, list[tuple[int, int]]]:
+        """The batches after the first was taken up (the originals of the first half of the feed), the
+        Bronze rows of the second (the rest and every copy), and its days and buckets."""
+        taken, late, pairs = _once(self.lake, "first-batch", self._first_batch)
+        return taken, self.bronze.where(late), pairs
+
+    def _both_batches(self) -> Increments:
+        """A lake of its own, so that the other keeps its state."""
+        taken = Increments(self.spark, Lake(self.spark, scratch_path(self.spark, "both-batches")), self.model)
+        _, second, _ = self.batches
+        late = _once(self.lake, "first-batch", self._first_batch)[1]
+        taken.take(self.bronze.where(f"NOT ({late})"), "b1")
+        taken.take(second, "b2")
+        return taken
+
+    @cached_property
+    def both_batches(self) -> Increments:
+        return _once(self.lake, "both-batches", self._both_batches)
+
     # ---- operators, each from its stored input -----------------------------------------
     @cached_property
     def typed(self) -> DataFrame:

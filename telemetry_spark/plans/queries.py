@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 
 from telemetry_spark.functions.rules import anomaly_reason
 from telemetry_spark.model import events_feed
-from telemetry_spark.operators import bi, gate, gold, quality, validate
+from telemetry_spark.operators import bi, gate, gold, quality, states, validate
 from telemetry_spark.operators.dedupe import flag_duplicates
 from telemetry_spark.operators.intervals import interval_lookup
+from telemetry_spark.operators.segments import interval_segments, segment_lookup
+from telemetry_spark.plans import incremental
 from telemetry_spark.plans.flow import CHECK_RUN_ID, CHECK_TIME, Flow
+from telemetry_spark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +111,15 @@ def dedupe_shuffle(spark, sf):
     return flagged.select(gate.RAW_ID, gate.RAW_TS, "reading_id", "event_ts", "_row_seq", "is_duplicate")
 
 
+def dedupe_incremental(spark, sf):
+    """The duplicate rule over two batches, the second judged by the key index the first left."""
+    f = Flow(spark, sf)
+    taken, second, pairs = f.batches
+    flag = F.col("_flags.duplicate_reading").alias("is_duplicate")
+    first = taken.lake.read(*incremental.ROWS).select("_row_seq", "batch", flag)
+    return first.unionByName(taken.gated(second, "b2", pairs).select("_row_seq", F.lit("b2").alias("batch"), flag))
+
+
 def rule_flags(spark, sf):
     f = Flow(spark, sf)
     return f.gated.select("_row_seq", *gate.flag_columns(f.model))
@@ -198,6 +210,17 @@ def failure_lookup_shuffle(spark, sf):
     return interval_lookup(f.typed.select("_row_seq", "event_ts"), f.failures, join_hint="shuffle_merge")
 
 
+def failure_lookup_segments(spark, sf):
+    """The lowest interval at every reading's time, of one interval a reading with id and time: most
+    of them overlap, and some end before they start."""
+    f = Flow(spark, sf)
+    intervals = f.typed.where("reading_id IS NOT NULL").selectExpr(
+        "CAST(reading_id * 7919 % 1000003 AS INT) AS interval_id", "event_ts AS start_ts",
+        "event_ts + make_dt_interval(0, 0, 0, (reading_id * 31 % 5000 - 60) * 60) AS end_ts")
+    found = interval_segments(intervals, "interval_id")
+    return segment_lookup(f.typed.select("_row_seq", "event_ts"), found, out_col="interval_id")
+
+
 def anomaly_reasons(spark, sf):
     f = Flow(spark, sf)
     return f.silver.select("reading_id", "event_ts", anomaly_reason(f.model).alias("anomaly_reason"))
@@ -211,6 +234,13 @@ def daily_health(spark, sf):
     return Flow(spark, sf).daily
 
 
+def daily_health_incremental(spark, sf):
+    """The daily KPIs of the states that two batches left."""
+    f = Flow(spark, sf)
+    stored = f.both_batches.lake.read(*incremental.STATES)
+    return states.health_of(states.merged(stored, f.model), f.model)
+
+
 def dashboard_view(spark, sf):
     return Flow(spark, sf).view
 
@@ -229,6 +259,20 @@ def duplicate_keys(spark, sf):
     return before.unionByName(after)
 
 
+def key_uniqueness_bitmap(spark, sf):
+    """The same by bitmaps over the ids.  In two phases: the blocks of ids that need an exact count
+    are stored first, so building this query runs jobs."""
+    f = Flow(spark, sf)
+    keys, parts = gate.key_columns(f.model), []
+    for layer, rows in (("bronze", f.typed), ("silver", f.silver)):
+        where = scratch_path(f.spark, f"suspects-{layer}")
+        validate.suspect_blocks(rows, keys[0]).write.parquet(where)
+        suspects = f.spark.read.schema("_block long").parquet(where)
+        found = validate.duplicate_keys_by_bitmap(rows, keys, suspects)
+        parts.append(found.agg(F.count(F.lit(1)).alias("duplicate_keys")).select(F.lit(layer).alias("layer"), "duplicate_keys"))
+    return parts[0].unionByName(parts[1])
+
+
 def layer_counts(spark, sf):
     f = Flow(spark, sf)
     return validate.layer_counts(f.bronze, f.silver, f.rejects, f.stored_fact)
@@ -279,6 +323,11 @@ def bi_filtered(spark, sf):
     return bi.health_measures(bi.select_view(f.view, **BI_SELECTION), f.model)
 
 
+def bi_drilldown(spark, sf):
+    f = Flow(spark, sf)
+    return bi.drilldown(f.stored_fact, f.dates, f.equipment, weekend=False, **BI_SELECTION)
+
+
 def bi_trends(spark, sf):
     return bi.trends(Flow(spark, sf).view)
 
@@ -293,6 +342,7 @@ QUERIES: dict[str, Query] = {
     "silver_typed": silver_typed,
     "dedupe_rank": dedupe_rank,
     "dedupe_shuffle": dedupe_shuffle,
+    "dedupe_incremental": dedupe_incremental,
     "rule_flags": rule_flags,
     "quality_gate": quality_gate,
     "silver_accepted": silver_accepted,
@@ -308,12 +358,15 @@ QUERIES: dict[str, Query] = {
     "dim_failure_event": dim_failure_event,
     "failure_lookup": failure_lookup,
     "failure_lookup_shuffle": failure_lookup_shuffle,
+    "failure_lookup_segments": failure_lookup_segments,
     "anomaly_reasons": anomaly_reasons,
     "fact_reading": fact_reading,
     "daily_health": daily_health,
+    "daily_health_incremental": daily_health_incremental,
     "dashboard_view": dashboard_view,
     "dashboard_timeline": dashboard_timeline,
     "duplicate_keys": duplicate_keys,
+    "key_uniqueness_bitmap": key_uniqueness_bitmap,
     "layer_counts": layer_counts,
     "validation_results": validation_results,
     "latest_validation": latest_validation,
@@ -321,5 +374,6 @@ QUERIES: dict[str, Query] = {
     "bi_measures": bi_measures,
     "bi_monthly": bi_monthly,
     "bi_filtered": bi_filtered,
+    "bi_drilldown": bi_drilldown,
     "bi_trends": bi_trends,
 }

@@ -31,6 +31,11 @@ LAYERS = ("bronze", "silver", "gold", "audit")
 TABLES = "_tables"
 
 
+def safe_value(text: str) -> str:
+    """``text`` with what a partition folder would escape as underscores."""
+    return "".join(c if c.isascii() and (c.isalnum() or c in "_-") else "_" for c in text)
+
+
 @dataclass(frozen=True)
 class Table:
     """What a lake knows of a table: ``folder`` is where its files are, ``replaced`` where they were."""
@@ -114,6 +119,15 @@ class Lake:
             self._switch(layer, name, table)
         return f"{path}/{table.folder}"
 
+    def drop_partition(self, layer: str, name: str, value: str) -> None:
+        """Remove the partition that ``value`` names in the table's first partition column, if it is there."""
+        if value != safe_value(value):
+            raise ValueError(f"{value!r} cannot name a partition: ASCII letters, digits, _ and - only")
+        if self.has(layer, name):
+            path, column = self.path(layer, name), self.table(layer, name).partition_by[0]
+            self._frames.pop(path, None)
+            files.remove(self.spark, f"{self.location(layer, name)}/{column}={value}")
+
     def _writer(self, df: DataFrame, partition_by: tuple[str, ...] = ()):
         writer = df.write.format(self.fmt)
         if partition_by:

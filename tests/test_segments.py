@@ -1,0 +1,65 @@
+"""Disjoint segments against every interval compared with every reading."""
+
+import datetime as dt
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from telemetry_spark.operators.segments import interval_segments, segment_lookup
+
+START = dt.datetime(2024, 1, 1)
+
+
+def intervals(spark, rows):
+    return spark.createDataFrame(rows, "failure_event_id int, start_ts timestamp, end_ts timestamp")
+
+
+def lowest(rows, at):
+    return min((i for i, s, e in rows if i is not None and s is not None and e is not None and at is not None and s <= at <= e), default=None)
+
+
+@pytest.mark.parametrize("seed, bucket", [(1, 3600), (2, 60), (3, 86_400)])
+def test_every_reading_gets_the_lowest_interval(spark, seed, bucket):
+    draw = random.Random(seed)
+    at = lambda: START + dt.timedelta(seconds=draw.randrange(-90_000, 200_000), microseconds=draw.choice([0, 0, 1, 999_999]))
+    rows = [(draw.randrange(60), at(), at()) for _ in range(60)] + [(3, START, START), (70, dt.datetime(1969, 12, 31) if bucket > 60 else START - dt.timedelta(40), START),
+                                                                  (80, None, START), (81, START, None)]
+    times = [at() for _ in range(300)] + [t + dt.timedelta(microseconds=d) for _, s, e in rows for t in (s, e) if t for d in (-1, 0, 1)]
+    times += [None, dt.datetime(1969, 6, 1), dt.datetime(2050, 1, 1)]
+    readings = spark.createDataFrame(list(enumerate(times)), "i int, event_ts timestamp")
+    segments = interval_segments(intervals(spark, rows), bucket_seconds=bucket)
+    got = segment_lookup(readings, segments, bucket_seconds=bucket).collect()
+    assert {r["i"]: r["failure_event_id"] for r in got} == {i: lowest(rows, t) for i, t in enumerate(times)} and len(got) == len(times)
+    found = sorted((r["begins"], r["ends"]) for r in segments.collect())
+    assert all(a < b for a, b in found) and all(x[1] <= y[0] for x, y in zip(found, found[1:]))      # disjoint
+
+
+def test_no_intervals(spark):
+    readings = spark.createDataFrame([(1, START)], "i int, event_ts timestamp")
+    for rows in ([], [(1, START, START - dt.timedelta(1))]):
+        segments = interval_segments(intervals(spark, rows))
+        assert segments.count() == 0 and segment_lookup(readings, segments).collect()[0]["failure_event_id"] is None
+
+
+def test_a_hundred_thousand_overlapping_intervals(spark):
+    n, minute = 100_000, 60_000_000
+    ids = F.expr("CAST(id * 7919 % 1000003 AS INT)")
+    begin = F.expr("timestamp_micros(1704067200000000 + (id * 37 % 40000) * 60000000)")
+    many = spark.range(n).select(ids.alias("failure_event_id"), begin.alias("start_ts"), F.expr("id * 53 % 3000").alias("m")).selectExpr(
+        "failure_event_id", "start_ts", "start_ts + make_dt_interval(0, 0, m, 0) AS end_ts")
+    readings = spark.range(40_000).selectExpr("id AS i", "timestamp_micros(1704067200000000 + id * 71000000) AS event_ts")
+    segments = interval_segments(many)
+    plan = segments._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    got = segment_lookup(readings, segments).orderBy("i").collect()
+    k = np.arange(n, dtype=np.int64)
+    start = k * 37 % 40_000 * minute
+    order = np.argsort(k * 7919 % 1_000_003)
+    ident, start, end = (k * 7919 % 1_000_003)[order], start[order], (start + k * 53 % 3000 * minute)[order]
+    for i in range(0, 40_000, 97):
+        t = i * 71_000_000
+        hit = (start <= t) & (t <= end)
+        assert got[i]["failure_event_id"] == (int(ident[hit.argmax()]) if hit.any() else None)
+    assert len(got) == 40_000

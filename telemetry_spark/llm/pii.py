@@ -5,14 +5,15 @@ method adds.  Base spans that pass their check always stay; added kinds need a s
 ``threshold``:
 
 * iban: country, two check digits, 11 to 30 more characters, single spaces between them allowed;
-  it ends at a word boundary, at the country's own length where that is registered; confirmed
-  by mod 97;
+  it ends at a word boundary, at the country's own length; confirmed by mod 97; with a country code
+  that has no registered length only with an account word nearby;
 * card15: 13 to 15 digits confirmed by Luhn; only with a card word nearby;
 * ssn: ddd-dd-dddd outside the ranges never issued; only with an identity word nearby.
 
 The score starts from the kind's own weight, gains for a confirming checksum and for a word of
 the kind's context within ``CONTEXT`` characters, and loses for a word that speaks against it.
-Without a word of their context, kinds of ``WORDED`` are dropped whatever their score.
+Without a word of their context, kinds of ``WORDED`` are dropped whatever their score.  An added span
+that shares a character with a base one is dropped; added spans may share characters.
 
 All scans are linear in the text: a run of characters that cannot start a match is consumed as a
 whole (possessive quantifiers), and e-mail addresses are found from their ``@``.
@@ -23,6 +24,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -149,16 +151,22 @@ def scored(text: str, kind: str, start: int, end: int, confirmed: bool) -> float
 def find_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) in order of kind, then start; ends are exclusive."""
     found = [(k, s, e, scored(text, k, s, e, c)) for k, s, e, c in proposals(text)
-             if k not in WORDED or FOR[k].search(_around(text, s, e))]
+             if not _needs_word(text, k, s) or FOR[k].search(_around(text, s, e))]
     base = sorted((f[1], f[2]) for f in found if f[0] in BASE)
-    keep = [f for f in found if f[0] in BASE or f[3] >= threshold and _clear(base, f[1], f[2])]
+    starts, reach = [s for s, _ in base], list(accumulate((e for _, e in base), max))
+    keep = [f for f in found if f[0] in BASE or f[3] >= threshold and _clear(starts, reach, f[1], f[2])]
     return sorted(keep, key=lambda f: (KINDS.index(f[0]), f[1]))
 
 
-def _clear(spans: list[tuple[int, int]], start: int, end: int) -> bool:
-    """An added span must not lie on a base one."""
-    i = bisect_left(spans, (end, 0))
-    return not any(e > start for _, e in spans[max(0, i - 8):i])
+def _needs_word(text: str, kind: str, start: int) -> bool:
+    return kind in WORDED or kind == "iban" and text[start:start + 2] not in IBAN_LENGTH
+
+
+def _clear(starts: list[int], reach: list[int], start: int, end: int) -> bool:
+    """An added span must not lie on a base one: of those that start before its end, the furthest
+    ``reach`` decides."""
+    before = bisect_left(starts, end)
+    return not before or reach[before - 1] <= start
 
 
 def redacted(text: str, spans: list[tuple[str, int, int, float]]) -> str:
@@ -178,8 +186,9 @@ SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, spans) for every row: an array of (kind, start, end, score) in code points.
 
-    A null or empty text has no spans; repeated rows stay repeated; other columns are not read;
-    an empty table gives no rows."""
+    A null or empty text has no spans; a text may be of any length, all scans are linear; a null id
+    stays null; repeated rows stay repeated; other columns are not read; an empty table gives no rows.
+    Spans of one kind never overlap, spans of two base kinds may."""
     kind = docs.select(quoted(id_col)).schema[0].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("spans", T.ArrayType(SPAN))])
 
@@ -191,8 +200,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def redact(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with the spans in its text replaced by their kinds, other columns unchanged (a
-    null text stays null)."""
+    """``docs`` with the spans in its text replaced by their kinds, other columns unchanged.
+
+    A null text stays null, an empty one empty; texts may be of any length; of overlapping spans the
+    one that starts first (of those the longest) gives the kind; repeated rows stay repeated; an
+    empty table gives no rows."""
     at = docs.columns.index(text_col)
 
     def rows(_, *columns):

@@ -6,9 +6,10 @@ ones.  The tree of a host is built from its paths:
 
 1. digits and long hexadecimal runs become ``*``, and equal shapes of a host are counted once, so
    what follows works on shapes, not on pages;
-2. from the root down to ``depth``, a node with at least ``variable`` children keeps those that
-   hold a ``share`` of its pages by themselves, and its other children become one ``*``; deeper
-   segments become one ``**``;
+2. from the root down, a node with at least ``variable`` children keeps those that hold a ``share``
+   of its pages by themselves, and its other children become one ``*``; a level is one step over all
+   hosts, a branch with one shape left is finished as it stands, and the descent ends where no
+   branch goes on;
 3. the templates below one parent are merged where their labelled block rates are alike (within
    1.96 standard errors of the rate of all of them; a template without labels is like any other),
    the others stand alone;
@@ -21,7 +22,8 @@ split it.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, which no rule
 fits, and gets the method's verdict for the empty host; repeated rows are judged alike; with no
-labelled URL everything is allowed; an empty table gives no rows; other columns are not read.
+labelled URL everything is allowed; a purity of just one half is allowed; URLs may be of any length
+and depth; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -51,29 +53,34 @@ def fitting_rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return best, verdict
 
 
-def host_templates(shapes: DataFrame, depth: int, variable: int, share: float) -> DataFrame:
+def host_templates(shapes: DataFrame, variable: int, share: float) -> DataFrame:
     """(host, shape, n, labelled, blocked) with ``parent`` and ``template``."""
-    tree = shapes.withColumn("segments", F.split("shape", "/")).withColumn("parent", F.lit("")).withColumn("template", F.lit(""))
-    for level in range(1, depth + 1):
-        deeper = F.size("segments") > level
-        tree = tree.withColumn("segment", F.when(deeper, F.element_at("segments", level + 1)))
-        kids = tree.where("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("pages"))
-        nodes = kids.groupBy("host", "template").agg(F.count(F.lit(1)).alias("children"), F.sum("pages").alias("total"))
-        literal = kids.join(nodes.where(F.col("children") >= variable), ["host", "template"]).where(F.col("pages") >= share * F.col("total"))
-        nodes = nodes.where(F.col("children") >= variable).select("host", "template", F.lit(True).alias("varies"))
-        literal = literal.select("host", "template", "segment", F.lit(True).alias("kept"))
-        nodes, _ = materialise(nodes, "url-nodes")        # so that the joins can split a hot host
-        literal, _ = materialise(literal, "url-literals")
-        tree = tree.join(nodes, ["host", "template"], "left").join(literal, ["host", "template", "segment"], "left")
-        named = F.when(F.col("varies") & F.col("kept").isNull(), F.lit("*")).otherwise(F.col("segment"))
-        tree = tree.select(
-            "host", "shape", "n", "labelled", "blocked", "segments",
-            F.when(F.col("segment").isNull(), F.col("parent")).otherwise(F.col("template")).alias("parent"),
-            F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), named)).alias("template"))
-    below = F.size("segments") > depth + 1
-    return tree.select("host", "shape", "n", "labelled", "blocked",
-                       F.when(below, F.col("template")).otherwise(F.col("parent")).alias("parent"),
-                       F.when(below, F.concat("template", F.lit("/**"))).otherwise(F.col("template")).alias("template"))
+    kept = ["host", "shape", "n", "labelled", "blocked"]
+    rows = shapes.withColumn("segments", F.split("shape", "/")).withColumns({"parent": F.lit(""), "template": F.lit("")})
+    done = rows.where(F.size("segments") == 1).select(*kept, "parent", "template")
+    going, level, more = rows.where(F.size("segments") > 1), 1, True
+    while more:
+        segment = F.element_at("segments", level + 1)
+        kids = going.groupBy("host", "template", segment.alias("segment")).agg(F.sum("n").alias("pages"), F.count(F.lit(1)).alias("shapes"))
+        kids, _ = materialise(kids, "url-kids")       # stored, so that the joins can split a hot host
+        nodes = kids.groupBy("host", "template").agg(
+            F.count(F.lit(1)).alias("children"), F.sum("pages").alias("total"), F.sum("shapes").alias("inside"))
+        varies = (F.col("children") >= variable) & (F.col("pages") < share * F.col("total"))
+        named = kids.join(nodes, ["host", "template"]).select(
+            "host", "template", "segment", F.when(varies, F.lit("*")).otherwise(F.col("segment")).alias("named"),
+            (F.col("inside") == 1).alias("alone"))
+        named, _ = materialise(named, "url-nodes")
+        below = going.withColumn("segment", segment).join(named, ["host", "template", "segment"])
+        last = F.size("segments") == level + 1
+        rest = lambda ends: F.concat_ws("/", "template", F.array_join(F.slice("segments", level + 1, F.size("segments") - ends), "/"))
+        below = below.select(
+            *kept, "segments", (F.col("alone") | last).alias("ended"),
+            F.when(F.col("alone") & ~last, rest(level + 1)).otherwise(F.col("template")).alias("parent"),
+            F.when(F.col("alone"), rest(level)).otherwise(F.concat("template", F.lit("/"), "named")).alias("template"))
+        below, seen = materialise(below, "url-level", {"more": F.count_if(~F.col("ended"))})
+        done = done.unionByName(below.where("ended").select(*kept, "parent", "template"))
+        going, level, more = below.where("not ended").drop("ended"), level + 1, seen["more"]
+    return done
 
 
 def judged_templates(tree: DataFrame, weight: float) -> DataFrame:
@@ -92,7 +99,7 @@ def judged_templates(tree: DataFrame, weight: float) -> DataFrame:
         "host", "template", ((F.col("all_blocked") + weight * prior) / (F.col("all_labelled") + weight)).alias("purity"))
 
 
-def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", depth: int = 3,
+def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url",
                variable: int = 20, share: float = 0.05, weight: float = 4.0) -> DataFrame:
     """(id, host, path, rule, verdict, template, purity) for every row of ``pages``."""
     url = quoted(url_col).cast("string")
@@ -103,7 +110,7 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     shapes = rows.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("n"), F.count("ruled").alias("labelled"), F.count_if(F.col("ruled") == "block").alias("blocked"))
     shapes, _ = materialise(shapes, "url-shapes")
-    tree, _ = materialise(host_templates(shapes, depth, variable, share), "url-templates")
+    tree, _ = materialise(host_templates(shapes, variable, share), "url-templates")
     found = tree.select("host", "shape", "template").join(judged_templates(tree, weight), ["host", "template"])
     method = F.when(F.col("purity") > 0.5, F.lit("block")).otherwise(F.lit("allow"))
     return rows.join(found, ["host", "shape"]).select(
@@ -114,24 +121,11 @@ def op6_url_filter(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages")).drop("purity")
 
 
-def oracle(depth: int = 3, variable: int = 20, share: float = 0.05, weight: float = 4.0) -> str:
-    """The same judgement in DuckDB: rules as a table, the tree by window functions."""
+def oracle(variable: int = 20, share: float = 0.05, weight: float = 4.0) -> str:
+    """The same judgement in DuckDB: rules as a table, the tree by recursion over window functions."""
     values = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in RULES)
-    levels = []
-    for k in range(1, depth + 1):
-        levels.append(f"""
-k{k} AS (SELECT *, CASE WHEN len(seg) > {k} THEN seg[{k + 1}] END AS s FROM t{k - 1}),
-c{k} AS (SELECT host, template, s, sum(n) AS pages, count(*) OVER (PARTITION BY host, template) AS children,
-           sum(sum(n)) OVER (PARTITION BY host, template) AS total
-         FROM k{k} WHERE s IS NOT NULL GROUP BY host, template, s),
-t{k} AS (SELECT k.host, k.shape, k.n, k.labelled, k.blocked, k.seg,
-           CASE WHEN k.s IS NULL THEN k.parent ELSE k.template END AS parent,
-           CASE WHEN k.s IS NULL THEN k.template
-                WHEN c.children >= {variable} AND c.pages < {share} * c.total THEN k.template || '/*'
-                ELSE k.template || '/' || k.s END AS template
-         FROM k{k} k LEFT JOIN c{k} c ON k.host = c.host AND k.template = c.template AND k.s = c.s),""")
     return rf"""
-WITH rules(verdict, rule, h, p) AS (VALUES {values}),
+WITH RECURSIVE rules(verdict, rule, h, p) AS (VALUES {values}),
 u AS (SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
              coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
 hit AS (SELECT DISTINCT host, path, first_value(rule) OVER w AS rule, first_value(verdict) OVER w AS ruled
@@ -139,12 +133,16 @@ hit AS (SELECT DISTINCT host, path, first_value(rule) OVER w AS rule, first_valu
         WINDOW w AS (PARTITION BY host, path ORDER BY length(rule) DESC)),
 r AS (SELECT u.page_id, u.host, u.path, hit.rule, hit.ruled, regexp_replace(u.path, '{VARYING}', '*', 'g') AS shape
       FROM u LEFT JOIN hit ON u.host = hit.host AND u.path = hit.path),
-t0 AS (SELECT host, shape, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (WHERE ruled = 'block') AS blocked,
-              string_split(shape, '/') AS seg, '' AS parent, '' AS template FROM r GROUP BY host, shape),
-{''.join(levels)}
-tree AS (SELECT host, shape, labelled, blocked,
-                CASE WHEN len(seg) > {depth + 1} THEN template ELSE parent END AS parent,
-                CASE WHEN len(seg) > {depth + 1} THEN template || '/**' ELSE template END AS template FROM t{depth}),
+t AS (
+  SELECT host, shape, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (WHERE ruled = 'block') AS blocked,
+         string_split(shape, '/') AS seg, 1 AS level, '' AS parent, '' AS template FROM r GROUP BY host, shape
+  UNION ALL
+  SELECT host, shape, n, labelled, blocked, seg, level + 1, template,
+         template || '/' || CASE WHEN children >= {variable} AND pages < {share} * total THEN '*' ELSE s END
+  FROM (SELECT *, count(DISTINCT s) OVER (PARTITION BY host, template) AS children, sum(n) OVER (PARTITION BY host, template, s) AS pages,
+               sum(n) OVER (PARTITION BY host, template) AS total
+        FROM (SELECT *, seg[level + 1] AS s FROM t WHERE len(seg) > level))),
+tree AS (SELECT host, shape, labelled, blocked, parent, template FROM t WHERE len(seg) = level),
 leaf AS (SELECT host, parent, template, sum(labelled) AS l, sum(blocked) AS b FROM tree GROUP BY ALL),
 prior AS (SELECT coalesce(sum(b) / nullif(sum(l), 0), 0) AS q FROM leaf),
 pool AS (SELECT *, sum(l) OVER w AS pl, sum(b) OVER w AS pb FROM leaf WINDOW w AS (PARTITION BY host, parent)),

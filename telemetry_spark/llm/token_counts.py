@@ -1,16 +1,21 @@
 """Token counts of documents by overlap resynchronisation.
 
-A document longer than a chunk is encoded in chunks that overlap, each giving the offsets
-at which its units start and their token counts.  Two neighbouring chunks are spliced at a
-common start in their overlap that follows white space in both: the vocabulary's splitter
-drops white space and never matches across it, and its normaliser maps white space to white
-space, so the tokens on either side of such a place are those of the whole text.  The unit a
-chunk begins in the middle of, and the one it ends in, are therefore never counted from that
-chunk.  Where an overlap has no such place (a very long word), it is widened, and if it fills the
-chunk the chunk is made longer, up to the whole text.
-
-Special strings inside texts are handled as the library does by default: units holding one are
-encoded by the library like any other.
+A document longer than a chunk is encoded by the library in overlapping chunks, each giving the ids
+of its tokens and their offsets in the document.  Two neighbouring chunks are spliced at the first
+place of their overlap that is a proven stable boundary of both:
+
+* a token starts there in either encoding, and white space stands before it: the vocabulary's
+  splitter drops white space and never matches across it, and its normaliser maps white space to
+  white space and composes nothing with it, so the tokens on either side are those of the whole text;
+* from there on, the next ``agree`` tokens have the same offsets and ids in both, so neither the cut
+  at the end of the one chunk nor the one at the start of the other has reached it.
+
+Tokens before the place are counted from the first chunk, the others from the second.  Where an
+overlap holds no such place (a very long word), it is widened, and where it fills the chunk the
+chunk is made longer, up to the whole text.  A document that fits a chunk needs no splice: its words
+are counted from a bounded memory of what the library made of them.
+
+Special strings inside texts are handled as the library does by default.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from __future__ import annotations
 import os
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,45 +33,64 @@ from telemetry_spark.llm.common import quoted, table
 from telemetry_spark.llm.units import WORDS, Units
 
 
+SPACE = " \t\n\x0b\x0c\r"
+
+
 class TokenCounter:
-    def __init__(self, vocabulary: str, chunk: int = 16_384, overlap: int = 128):
+    def __init__(self, vocabulary: str, chunk: int = 16_384, overlap: int = 128, agree: int = 8):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_file(vocabulary)
-        library.no_truncation()
-        library.no_padding()
-        self.units = Units(lambda new: [len(e.ids) for e in library.encode_batch_fast(new, add_special_tokens=False)])
-        self.chunk, self.overlap = chunk, overlap
-
-    def encode_chunk(self, text: str, start: int, end: int) -> tuple[list[int], list[int]]:
-        """Offsets and token counts of the units in text[start:end]."""
-        found = [(m.start(), m.group()) for m in WORDS.finditer(text, start, end)]
-        return [at for at, _ in found], self.units.values_of([unit for _, unit in found])
+        self.library = Tokenizer.from_file(vocabulary)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.units = Units(lambda new: [len(e.ids) for e in self.library.encode_batch_fast(new, add_special_tokens=False)])
+        self.chunk, self.overlap, self.agree = chunk, overlap, agree
+        self.widened = self.lengthened = 0      # how often an alignment failed
+
+    def encode_chunk(self, text: str, start: int, end: int) -> np.ndarray:
+        """(start, end, id) of the tokens of text[start:end], offsets in the whole text."""
+        found = self.library.encode(text[start:end], add_special_tokens=False)
+        out = np.empty((len(found.ids), 3), np.int64)
+        if len(out):
+            out[:, :2] = found.offsets
+            out[:, :2] += start
+            out[:, 2] = found.ids
+        return out
+
+    def splice(self, text: str, first: np.ndarray, second: np.ndarray, since: int) -> int | None:
+        """The first stable boundary of both encodings after ``since``."""
+        common = np.intersect1d(first[:, 0], second[:, 0])
+        for place in common[common > since].tolist():
+            if text[place - 1] not in SPACE:
+                continue
+            a, b = np.searchsorted(first[:, 0], place), np.searchsorted(second[:, 0], place)
+            run = min(self.agree, len(first) - a, len(second) - b)
+            if (first[a:a + run] == second[b:b + run]).all():
+                return place
+        return None
 
     def count(self, text: str) -> int:
         if len(text) <= self.chunk:
             return sum(self.units.values_of(WORDS.findall(text)))
-        total, begin, end = 0, 0, self.chunk     # units that start before ``begin`` are counted
-        starts, counts = self.encode_chunk(text, begin, end)
+        total, begin, end = 0, 0, self.chunk     # tokens that start before ``begin`` are counted
+        tokens = self.encode_chunk(text, begin, end)
         while end < len(text):
             overlap, place = self.overlap, None
             while place is None and end - overlap > begin:
-                second = end - overlap
-                later, sizes = self.encode_chunk(text, second, min(len(text), second + self.chunk + overlap))
-                # the first unit of the later chunk may be the rest of a word
-                common = {at for at in starts if at > second}.intersection(later[1:])
-                place = min(common, default=None)
+                since, until = end - overlap, min(len(text), end + self.chunk)
+                later = self.encode_chunk(text, since, until)
+                place = self.splice(text, tokens, later, since)
                 overlap *= 2
+                self.widened += place is None
             if place is None:
-                end = min(len(text), end + self.chunk)
-                starts, counts = self.encode_chunk(text, begin, end)
+                self.lengthened += 1
+                end = min(len(text), 2 * end - begin)
+                tokens = self.encode_chunk(text, begin, end)
                 continue
-            total += sum(n for at, n in zip(starts, counts) if at < place)
-            end = min(len(text), second + self.chunk + overlap // 2)
-            first = later.index(place)
-            begin, starts, counts = place, later[first:], sizes[first:]
-        return total + sum(counts)
+            total += int((tokens[:, 0] < place).sum())
+            tokens, begin, end = later[later[:, 0] >= place], place, until
+        return total + len(tokens)
 
 
 @lru_cache(maxsize=2)
@@ -78,8 +103,10 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     """(id, n_bytes, n_tokens) for every row.
 
     ``vocabulary`` is a tokenizer file that every executor can open.  A null or empty text has
-    no tokens; repeated rows stay repeated; other columns are not read; an empty table gives
-    no rows.  Memory is bounded by one batch of texts and the remembered units."""
+    no tokens; texts may be of any length; a null id stays null; repeated rows stay repeated; other
+    columns are not read; an empty table gives no rows.  Memory is bounded by one batch of texts,
+    what the library makes of a chunk (of a longer stretch only where white space is that rare) and
+    the remembered units."""
     kind = docs.select(quoted(id_col)).schema[0].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_tokens", T.LongType())])

@@ -47,6 +47,37 @@ def test_counts_are_the_library_s(chunk, overlap):
         assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_overlaps_are_widened_where_nothing_aligns():
+    library, counter = Tokenizer.from_file(WORD_FILE), TokenCounter(WORD_FILE, 100, 10)
+    count = lambda text: len(library.encode(text, add_special_tokens=False).ids)
+    plain = "the cat sat on the mat and slept " * 40
+    assert counter.count(plain) == count(plain) and counter.lengthened == 0
+    before = counter.widened
+    word = "ab cd " * 14 + "xyzzy" * 16 + " cd ef" * 60       # a word across the first overlap
+    assert counter.count(word) == count(word) and counter.widened > before and counter.lengthened == 0
+    endless = "a b " + "q7" * 400 + " c d e" * 50              # one longer than a chunk
+    assert counter.count(endless) == count(endless) and counter.lengthened > 0
+
+
+def test_a_boundary_needs_white_space_and_the_same_tokens():
+    counter = TokenCounter(WORD_FILE, 100, 10, agree=3)
+    text = "one two three four five six seven"
+    whole, rest = counter.encode_chunk(text, 0, len(text)), counter.encode_chunk(text, 5, len(text))
+    assert counter.splice(text, whole, rest, 5) == 8 == text.index("three")     # not the rest of "two"
+    other = rest.copy()
+    other[1, 2] += 1                                                              # another id for "three"
+    assert counter.splice(text, whole, other, 5) == text.index("four")
+    assert counter.splice("x" * 40, counter.encode_chunk("x" * 40, 0, 40), counter.encode_chunk("x" * 40, 9, 40), 9) is None
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_long_texts_are_counted_like_the_library(seed):
+    library, counter = Tokenizer.from_file(WORD_FILE), TokenCounter(WORD_FILE, 300, 16)
+    for text in odd_texts(60, seed):
+        text = text * (1 + 2000 // (len(text) + 1))
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+
+
 def test_forgetting_units_changes_nothing():
     counter = TokenCounter(WORD_FILE)
     counter.units.limit = 3

@@ -2,18 +2,19 @@
 
 1. One pass over the texts gives each document's set of word shingles (64-bit hashes), its
    size, a 128-bit digest of the whole set, and universal-hash minima in bands of ``rows``.
-   Documents with equal sets are one node, the smallest id, from here on: copies cost a row of
-   an aggregation, never a pair.
+   Equal sets are one node from here on, whatever ids they have: copies cost a row of an
+   aggregation, never a pair.  An id that comes with several texts links their nodes.
 2. Nodes that share a band meet in a bucket.  A bucket gives its members only a link to its
    smallest node, the hub; what shared a bucket is in one hub's group.  A hub's group is dealt
-   into blocks of about ``block`` members, the hub in each.
+   into blocks of about ``block`` members, fewer where their sets are large (``block_bytes``), the
+   hub in each.
 3. In a block, pairs whose signatures agree in ``SIGNATURE`` of all places (five standard
    deviations under the threshold) are candidates; only then are full sets fetched, and a pair is
    checked on them unless its documents are already linked through others.  A block returns a
    spanning forest, so the output is linear in its members.
 4. Groups of several blocks need pairs between blocks too.  Members already linked to the hub need
    none among themselves, so only the others, in blocks, meet the blocks of all members.
-5. Connected components over the spanning edges.
+5. Connected components over the spanning edges; a component is named by its smallest id.
 
 The number of bands follows from the threshold: a pair exactly at it shares no band with a
 probability of at most ``missed``.  No bucket is capped and no pair that shares a band is lost.
@@ -96,35 +97,42 @@ class Shingler:
 
 
 def _signed(docs, id_col, text_col, width, bands, rows) -> DataFrame:
-    """(id, n_shingles, set_id, signature, bands); an empty text has no set and no signature."""
+    """(row, id, n_shingles, set_id, signature, bands); an empty text has no set and no signature.
+    ``row`` numbers the rows; it holds once this is stored."""
     schema = T.StructType([
-        T.StructField("id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_id", T.BinaryType()),
+        T.StructField("row", T.LongType()), T.StructField("id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_id", T.BinaryType()),
         T.StructField("signature", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
-    def sign(shingler, keys, texts):
-        for key, text in zip(keys, texts):
+    def sign(shingler, at, keys, texts):
+        for row, key, text in zip(at, keys, texts):
             found = shingler.shingles(text or "")
             if len(found):
                 least = shingler.signature(found)
-                yield (key, len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(),
-                       least.astype(np.uint16).tobytes(), shingler.band_keys(least))
+                yield row, key, len(found), _digest(found), least.astype(np.uint16).tobytes(), shingler.band_keys(least)
             else:
-                yield key, 0, None, None, None
+                yield row, key, 0, None, None, None
 
-    return map_rows(docs.select(quoted(id_col).cast("long"), quoted(text_col).cast("string")), sign, schema,
-                    setup=lambda: Shingler(width, bands, rows))
+    numbered = docs.select(F.monotonically_increasing_id(), quoted(id_col).cast("long"), quoted(text_col).cast("string"))
+    return map_rows(numbered, sign, schema, setup=lambda: Shingler(width, bands, rows))
+
+
+def _digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
 def _sets(docs, id_col, text_col, wanted: DataFrame, width, bands, rows) -> DataFrame:
-    """(id, shingles) of the wanted documents, from their texts."""
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingles", T.BinaryType())])
+    """(set_id, shingles) of the documents with a wanted id, from their texts."""
+    schema = T.StructType([T.StructField("set_id", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
     texts = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
+    ids = wanted.select(F.col("least").alias("wanted")).distinct()
 
-    def shingle(shingler, keys, texts):
-        for key, text in zip(keys, texts):
-            yield key, shingler.shingles(text or "").tobytes()
+    def shingle(shingler, texts):
+        for text in texts:
+            found = shingler.shingles(text or "")
+            yield _digest(found), found.tobytes()
 
-    return map_rows(texts.join(wanted, "id", "left_semi"), shingle, schema, setup=lambda: Shingler(width, bands, rows))
+    chosen = texts.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+    return map_rows(chosen, shingle, schema, setup=lambda: Shingler(width, bands, rows))
 
 
 def _candidates(least_share: float):
@@ -192,48 +200,59 @@ _DDL = "hub long, left_block long, right_block long, "
 
 class NearDuplicates:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, width: int = 5, threshold: int = 80,
-                 rows: int = 7, missed: float = 1e-6, block: int = 256):
+                 rows: int = 7, missed: float = 1e-6, block: int = 256, block_bytes: int = 64 << 20):
         self.docs, self.id_col, self.text_col = docs, id_col, text_col
-        self.threshold, self.block = threshold, block
+        self.threshold, self.block, self.block_bytes = threshold, block, block_bytes
         share = threshold / 100
         # a pair at the threshold shares no band with at most this probability
         bands = math.ceil(math.log(missed) / math.log1p(-(share ** rows)))
         self.shape = (width, bands, rows)
         self.signature_share = share - 5 * (share * (1 - share) / (bands * rows)) ** 0.5
 
-    def links_within(self, groups: DataFrame, signatures: DataFrame) -> DataFrame:
-        """Spanning edges (a, b) of every group (hub, left_block, right_block, id)."""
+    def links_within(self, groups: DataFrame, signatures: DataFrame, nodes: DataFrame, repeated: bool) -> DataFrame:
+        """Spanning edges (a, b) of every group (hub, left_block, right_block, id of a node)."""
         ship_package(groups.sparkSession)
         signed = groups.join(signatures, "id")
         close = signed.groupBy(*GROUP).applyInArrow(
             _candidates(self.signature_share), _DDL + "id long, partners array<long>")
         close, _ = materialise(close, "close-pairs")
-        sets = _sets(self.docs, self.id_col, self.text_col, close.select("id").distinct(), *self.shape)
-        # a repeated id gives its set more than once; one is enough
+        wanted = nodes.join(close.select("id").distinct(), "id", "left_semi").select("id", "set_id", "least")
+        sets = _sets(self.docs, self.id_col, self.text_col, wanted, *self.shape)
+        sets = sets.join(wanted.select("id", "set_id"), "set_id").select("id", "shingles")
+        if repeated:        # a repeated row gives its set more than once
+            sets = sets.dropDuplicates(["id"])
         full = close.join(sets, "id")
         return materialise(full.groupBy(*GROUP).applyInArrow(_verified(self.threshold), _DDL + "a long, b long"), "links")[0]
 
     def run(self) -> DataFrame:
         """(id, n_shingles, component) for every row of the documents."""
         signed, _ = materialise(_signed(self.docs, self.id_col, self.text_col, *self.shape), "signed")
-        nodes = signed.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("id"))
+        # a node is the first row with its set, and carries the smallest id of all of them
+        nodes = signed.where("set_id is not null").groupBy("set_id").agg(F.min("row").alias("id"), F.min("id").alias("least"))
         nodes, _ = materialise(nodes, "nodes")
-        banded = signed.select("set_id", "id", "bands").join(nodes, ["set_id", "id"]).select("id", F.explode("bands").alias("band"))
+        rows = signed.where("set_id is not null").select(F.col("id").alias("doc"), "n_shingles", "set_id").join(nodes, "set_id")
+        rows, _ = materialise(rows.select("doc", "n_shingles", F.col("id").alias("node")), "rows")
+        texts_of = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("first"), F.max("node").alias("last"))
+        several, found = materialise(texts_of.where("rows > 1"), "repeated-ids", {"n": F.count(F.lit(1))})
+        repeated = found["n"] > 0
+        first_rows = signed.withColumnRenamed("id", "doc").withColumnRenamed("row", "id").join(nodes.select("id"), "id", "left_semi")
+        banded = first_rows.select("id", "n_shingles", F.explode("bands").alias("band"))
         hubs = banded.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last")
         # stored first: a join with a fresh aggregate on its key could not split a hot band
         hubs, _ = materialise(hubs.select("band", "hub"), "bands")
-        members = banded.join(hubs, "band").where("id <> hub").select("hub", "id").distinct()
+        members = banded.join(hubs, "band").where("id <> hub").select("hub", "id", "n_shingles").distinct()
         members, _ = materialise(members, "members")
-        counts = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / F.lit(self.block)).alias("blocks"))
-        counts, seen = materialise(counts, "hubs", {"most": F.max("blocks")})
+        size = F.greatest(F.count(F.lit(1)) / F.lit(self.block), 8 * F.sum("n_shingles") / F.lit(self.block_bytes))
+        counts, seen = materialise(members.groupBy("hub").agg(F.ceil(size).alias("blocks")), "hubs", {"most": F.max("blocks")})
+        members = members.drop("n_shingles")
         block_of = lambda salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col("blocks"))
         dealt = members.join(counts, "hub").withColumn("left_block", block_of(1))
         hub_rows = counts.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("left_block"),
                                  F.col("hub").alias("id"))
         first = dealt.select("hub", "left_block", "id").union(hub_rows).select(
             "hub", "left_block", F.lit(-1).cast("long").alias("right_block"), "id")
-        signatures = signed.select("id", "signature").where("signature is not null").join(nodes.select("id"), "id", "left_semi")
-        edges = self.links_within(first, signatures)
+        signatures = first_rows.select("id", "signature")
+        edges = self.links_within(first, signatures, nodes, repeated)
         if (seen["most"] or 0) > 1:
             # members of several blocks that are not linked to their hub meet all members
             large = dealt.where("blocks > 1")
@@ -252,13 +271,18 @@ class NearDuplicates:
             right = large.select("hub", "id", F.col("left_block").alias("right_block")).join(far, "hub").select(
                 "hub", "id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("far_blocks") - 1)).alias("left_block"), "right_block")
             crossing = left.select("hub", "left_block", "right_block", "id").union(right.select("hub", "left_block", "right_block", "id"))
-            edges = edges.union(self.links_within(crossing, signatures))
+            edges = edges.union(self.links_within(crossing, signatures, nodes, repeated))
+        edges = edges.select("a", "b")
+        if repeated:
+            same = rows.join(several.where("doc is not null and first <> last"), "doc").where("node <> first")
+            edges = edges.union(same.select(F.col("node").alias("a"), F.col("first").alias("b")))
         component = connected_components(edges, "a", "b")
-        of_set = nodes.join(component, nodes["id"] == component["node"], "left").select(
-            "set_id", F.coalesce("component", "id").alias("component"))
-        with_set = signed.where("set_id is not null").select("id", "n_shingles", "set_id").join(of_set, "set_id")
-        return with_set.select("id", "n_shingles", "component").union(
-            signed.where("set_id is null").select("id", "n_shingles", F.col("id").alias("component")))
+        of_node = nodes.join(component, nodes["id"] == component["node"], "left").select(
+            nodes["id"].alias("at"), "least", F.coalesce("component", nodes["id"]).alias("inside"))
+        named, _ = materialise(of_node.groupBy("inside").agg(F.min("least").alias("component")), "components")
+        of_node, _ = materialise(of_node.join(named, "inside").select("at", "component"), "node-components")
+        in_sets = rows.join(of_node, F.col("node") == F.col("at")).select(F.col("doc").alias("id"), "n_shingles", "component")
+        return in_sets.union(signed.where("set_id is null").select("id", "n_shingles", F.col("id").alias("component")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 80,
@@ -268,8 +292,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Documents are linked when 100 * intersection >= threshold * union of their sets of distinct
     ``width``-word shingles (A-Z lower-cased, words between ASCII white space; a shorter text is
     one shingle).  A null, empty or blank text has an empty set and is linked with nothing.
-    Repeated rows share a component; ids are integers and a null id is its own, null component;
-    other columns are not read; an empty table gives no rows.  Texts may be of any length."""
+    Repeated rows share a component, and an id that comes with several texts joins what each of them
+    is linked with.  Ids are integers; a row without one is in the component of the ids its text is
+    linked with, null if there are none.  Equal similarities are no ties: every link counts.  Other
+    columns are not read; an empty table gives no rows.  Texts may be of any length; the largest two
+    sets of a block are in one task's memory."""
     found = NearDuplicates(docs, id_col, text_col, width, threshold, **shape).run()
     return found.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"),
                         F.col("id").eqNullSafe(F.col("component")).alias("kept"))

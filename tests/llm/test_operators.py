@@ -294,3 +294,37 @@ def test_url_templates(spark):
     got = url_filter.judge_urls(frame, rules).collect()
     assert {r["template"] for r in got} == {"/spam/*", "/news/*"}
     assert all(r["verdict"] == ("block" if "/spam/" in r["path"] else "allow") for r in got)
+
+
+def near(spark, texts, **options):
+    got = near_dedup.near_duplicates(documents(spark, texts), width=3, threshold=85, **options).collect()
+    assert len(got) == len(texts)
+    return got
+
+
+def test_near_duplicates_of_repeated_ids_with_other_texts(spark):
+    words = [f"w{i}" for i in range(60)]
+    v = [f"v{i}" for i in range(60)]
+    w, w2, u, u2 = " ".join(words), " ".join(words[:-1] + ["end"]), " ".join(v), " ".join(v[:-1] + ["end"])
+    got = near(spark, [(1, w), (2, w2), (2, u), (3, u2), (4, "alone " + " ".join(words[::-1]))])
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 4)]
+    # without an id: the component of what the text is linked with, which need not have one
+    got = near(spark, [(None, w), (5, w2), (None, u), (None, u2), (None, ""), (7, "a b"), (7, "a b"), (7, None)])
+    assert pairs((r["doc_id"], r["component_id"], r["kept"]) for r in got) == pairs(
+        [(None, 5, False), (5, 5, True), (None, None, True), (None, None, True), (None, None, True), (7, 7, True), (7, 7, True), (7, 7, True)])
+
+
+@pytest.mark.parametrize("options", [{"block": 4}, {"block_bytes": 2000}, {}])
+def test_near_duplicates_in_blocks_of_any_size(spark, options):
+    import random
+
+    draw = random.Random(3)
+    base = [f"t{i}" for i in range(40)]
+    texts = []
+    for i in range(150):       # pages of one template, linked and not
+        page = list(base)
+        for _ in range(draw.choice([0, 1, 1, 2, 3])):
+            page[draw.randrange(40)] = f"x{draw.randrange(30)}"
+        texts.append((i, " ".join(page)))
+    got = {r["doc_id"]: r["component_id"] for r in near(spark, texts, **options)}
+    assert got == near_components(texts, 3, 85) and 5 < len(set(got.values())) < 145

@@ -120,19 +120,25 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def _sets(docs, id_col, text_col, wanted: DataFrame, width, bands, rows) -> DataFrame:
-    """(set_id, shingles) of the documents with a wanted id, from their texts."""
-    schema = T.StructType([T.StructField("set_id", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
-    texts = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
-    ids = wanted.select(F.col("least").alias("wanted")).distinct()
-
-    def shingle(shingler, texts):
-        for text in texts:
+def _sets(docs, id_col, text_col, wanted: DataFrame, repeated: bool, width, bands, rows) -> DataFrame:
+    """(key, shingles) of the ``wanted`` nodes (id, set_id, least), from the texts of their documents.
+
+    Where ids are unique the key is the document's.  Else a document of a wanted id may have any set,
+    and the key is the set's digest; a repeated row gives its set more than once, and one is kept."""
+    schema = T.StructType([T.StructField("key", T.BinaryType() if repeated else T.LongType()), T.StructField("shingles", T.BinaryType())])
+    texts = docs.select(quoted(id_col).cast("long").alias("doc"), quoted(text_col).cast("string").alias("text"))
+    ids = wanted.select("least").distinct()
+
+    def shingle(shingler, keys, texts):
+        for key, text in zip(keys, texts):
             found = shingler.shingles(text or "")
-            yield _digest(found), found.tobytes()
+            yield _digest(found) if repeated else key, found.tobytes()
 
-    chosen = texts.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-    return map_rows(chosen, shingle, schema, setup=lambda: Shingler(width, bands, rows))
+    chosen = texts.join(ids, F.col("doc").eqNullSafe(F.col("least")), "left_semi")
+    found = map_rows(chosen, shingle, schema, setup=lambda: Shingler(width, bands, rows))
+    if not repeated:
+        return found
+    return found.join(wanted.select(F.col("set_id").alias("key")), "key", "left_semi").dropDuplicates(["key"])
 
 
 def _candidates(least_share: float):
@@ -217,11 +223,9 @@ class NearDuplicates:
             _candidates(self.signature_share), _DDL + "id long, partners array<long>")
         close, _ = materialise(close, "close-pairs")
         wanted = nodes.join(close.select("id").distinct(), "id", "left_semi").select("id", "set_id", "least")
-        sets = _sets(self.docs, self.id_col, self.text_col, wanted, *self.shape)
-        sets = sets.join(wanted.select("id", "set_id"), "set_id").select("id", "shingles")
-        if repeated:        # a repeated row gives its set more than once
-            sets = sets.dropDuplicates(["id"])
-        full = close.join(sets, "id")
+        sets = _sets(self.docs, self.id_col, self.text_col, wanted, repeated, *self.shape)
+        keyed = close.join(wanted.select("id", F.col("set_id" if repeated else "least").alias("of")), "id")
+        full = keyed.join(sets, F.col("of").eqNullSafe(F.col("key"))).drop("of", "key")
         return materialise(full.groupBy(*GROUP).applyInArrow(_verified(self.threshold), _DDL + "a long, b long"), "links")[0]
 
     def run(self) -> DataFrame:

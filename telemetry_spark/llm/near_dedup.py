@@ -121,13 +121,13 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def _sets(docs, id_col, text_col, wanted: DataFrame, repeated: bool, width, bands, rows) -> DataFrame:
-    """(key, shingles) of the ``wanted`` nodes (id, set_id, least), from the texts of their documents.
+    """(key, shingles) of the ``wanted`` nodes (id, least, and set_id if repeated), from the texts of their documents.
 
     Where ids are unique the key is the document's.  Else a document of a wanted id may have any set,
     and the key is the set's digest; a repeated row gives its set more than once, and one is kept."""
     schema = T.StructType([T.StructField("key", T.BinaryType() if repeated else T.LongType()), T.StructField("shingles", T.BinaryType())])
     texts = docs.select(quoted(id_col).cast("long").alias("doc"), quoted(text_col).cast("string").alias("text"))
-    ids = wanted.select("least").distinct()
+    ids = wanted.select("least").distinct() if repeated else wanted.select("least")
 
     def shingle(shingler, keys, texts):
         for key, text in zip(keys, texts):
@@ -222,7 +222,9 @@ class NearDuplicates:
         close = signed.groupBy(*GROUP).applyInArrow(
             _candidates(self.signature_share), _DDL + "id long, partners array<long>")
         close, _ = materialise(close, "close-pairs")
-        wanted = nodes.join(close.select("id").distinct(), "id", "left_semi").select("id", "set_id", "least")
+        wanted = nodes.join(close.select("id").distinct(), "id", "left_semi")
+        # stored, so that joins with it are planned by its own bytes
+        wanted, _ = materialise(wanted.select("id", "least", *(["set_id"] if repeated else [])), "wanted")
         sets = _sets(self.docs, self.id_col, self.text_col, wanted, repeated, *self.shape)
         keyed = close.join(wanted.select("id", F.col("set_id" if repeated else "least").alias("of")), "id")
         full = keyed.join(sets, F.col("of").eqNullSafe(F.col("key"))).drop("of", "key")

@@ -225,14 +225,13 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec
     exact = "array<float>" if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else "array<double>"
     rows = vectors.select(quoted(id_col).cast("long").alias("id"), label.alias("label"),
                           quoted(vector_col).cast(exact).alias("vector"))
-    rows = rows.withColumn("good", F.expr(f"id is not null and label is not null and {usable('vector')}"))
-    nodes = rows.where("good").groupBy("label", "vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
+    good = F.expr(f"id is not null and label is not null and {usable('vector')}")
+    nodes = rows.where(good).groupBy("label", "vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
     nodes, seen = materialise(
         nodes.select(F.monotonically_increasing_id().alias("node"), "id", "label", F.size("vector").alias("width"), "vector", "weight"),
         "vectors", {"n": F.count(F.lit(1)), "width": F.max("width")})
-    alone = rows.where("not good").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     if not seen["n"]:
-        return _shown(alone, id_col)
+        return _shown(rows.select("id", F.lit(0).alias("n_links"), F.col("id").alias("component")), id_col)
     # the smallest level with 4^level cells of ``residents`` nodes
     level = F.greatest(F.lit(0), F.ceil(F.log2(F.col("nodes") / F.lit(residents)) / 2)).cast("int")
     labels, most = materialise(nodes.groupBy("label", "width").agg(F.count(F.lit(1)).alias("nodes")).withColumn("level", level),
@@ -266,8 +265,11 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec
         nodes.select("node", "id", "label", "vector", "weight").join(links.join(least, "tree").select("node", "links", "component"), "node", "left")
         .select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
                 F.coalesce("component", "id").alias("component")))
-    found = rows.where("good").join(settled, ["label", "vector"]).select("id", "n_links", "component")
-    return _shown(found.union(alone), id_col)
+    # rows that are in no node keep to themselves
+    found = rows.join(settled, ["label", "vector"], "left").select(
+        "id", F.expr("if(id is null, 0, coalesce(n_links, 0))").alias("n_links"),
+        F.expr("if(id is null, null, coalesce(component, id))").alias("component"))
+    return _shown(found, id_col)
 
 
 def _shown(found: DataFrame, id_col: str) -> DataFrame:

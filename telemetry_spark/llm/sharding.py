@@ -20,7 +20,7 @@ walked, and the prefixes their cuts enter are divided.  When no cut enters one,
 met.  One collection so never brings the driver more than shards x 4096 rows, whatever the
 number of documents and however large a group is.
 
-Slots are gapless from 0 in each shard: documents fall into ``lanes`` by a hash of their id,
+Slots are gapless from 0 in each shard: documents fall into lanes (as many as the table needs) by a hash of their id,
 lanes are offset by counts, and inside a lane the order is the id, so that a shard with one
 huge group is numbered by many tasks.
 
@@ -31,6 +31,7 @@ shards leave shards empty.
 
 from __future__ import annotations
 
+import math
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -179,9 +180,14 @@ def shard_of(digest: Column, cuts: list[str]) -> Column:
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text",
-                    lanes: int = 256) -> DataFrame:
-    """(id, size, text_crc32, shard, slot) for every document."""
-    rows, _ = materialise(sized_documents(docs, id_col, text_col), "shard-sizes")
+                    lane_rows: int = 4_000_000) -> DataFrame:
+    """(id, size, text_crc32, shard, slot) for every document.
+
+    A null text counts as empty; texts may be of any length; equal texts stay together; slots follow
+    the id within a lane of about ``lane_rows`` rows, ties (repeated rows) in any order; a null id is a row like any
+    other; other columns are not read; an empty table gives no rows."""
+    rows, seen = materialise(sized_documents(docs, id_col, text_col), "shard-sizes", {"n": F.count(F.lit(1))})
+    lanes = max(256, math.ceil(seen["n"] / lane_rows))     # a single shard may hold most rows
     cuts = find_cuts(rows, shards)
     dealt = rows.select(
         "id", "size", "text_crc32", shard_of(F.col("digest"), cuts).cast("int").alias("shard"),
@@ -193,7 +199,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", t
     starts = counts.select("shard", "lane", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("shard", "lane").orderBy("id", "text_crc32", "size")
     numbered = dealt.withColumn("position", F.row_number().over(inside))
-    return numbered.join(F.broadcast(starts), ["shard", "lane"]).select(
+    return numbered.join(starts, ["shard", "lane"]).select(
         F.col("id").alias(id_col), "size", "text_crc32", "shard", (F.col("start") + F.col("position") - 1).alias("slot"))
 
 

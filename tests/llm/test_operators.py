@@ -123,6 +123,15 @@ def test_shards(spark):
     assert sharding.shard_documents(no_documents(spark)).collect() == []
 
 
+def test_slots_are_gapless_in_many_lanes(spark):
+    texts = [(i % 700, f"text {i % 90}" if i % 3 else "hot") for i in range(1500)]
+    found = sharding.shard_documents(documents(spark, texts), shards=3, lane_rows=2).collect()
+    for s in range(3):
+        slots = sorted(r["slot"] for r in found if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+    assert len(found) == 1500
+
+
 def test_shards_are_the_smallest_possible(spark):
     from telemetry_spark.llm.sharding import Prefix, smallest_capacity
 

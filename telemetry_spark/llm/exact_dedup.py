@@ -29,7 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_spark.llm.common import WHITESPACE, quoted, table
+from telemetry_spark.llm.common import WHITESPACE, free_name, materialise, quoted, table
+from telemetry_spark.llm.rows import first_rows, shared_ids, with_id_in
 
 ID_SPAN = 2**63
 
@@ -79,6 +80,37 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def surviving_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 8) -> DataFrame:
+    """One row of ``docs`` for each content, with all its columns: the longest original text, then the
+    smallest id (none comes last), then the first by its columns.
+
+    A winner whose id is on no other row is chosen by its id, so copies are dropped before texts are
+    compared again.  Ids that several rows share, and rows without one, are told apart by content: of
+    rows repeated with their id one stays, and an id that wins with one text keeps no other by it.
+    Null texts count as empty, and all empty texts are one content; no rows give no rows; columns of
+    any name stay as they are."""
+    winners, _ = materialise(content_winners(docs, id_col, text_col, salts), "contents")
+    shared, several = shared_ids(docs, id_col)
+    alone = with_id_in(winners, "keep_id", shared, "left_anti")
+    kept = with_id_in(docs, id_col, alone.select("keep_id"))
+    if not several:
+        return kept
+    mark = {c: free_name(docs, f"_{c}") for c in ("sha", "md5", "n_bytes", "points", "content", "winner")}
+    text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
+    digests = [mark["sha"], mark["md5"], mark["n_bytes"]]
+    rows = with_id_in(docs, id_col, shared).withColumn(mark["content"], normalised(text))
+    rows = rows.select(*[quoted(c) for c in docs.columns], F.length(text).alias(mark["points"]),
+                       F.sha2(mark["content"], 256).alias(mark["sha"]), F.md5(mark["content"]).alias(mark["md5"]),
+                       F.octet_length(mark["content"]).alias(mark["n_bytes"]))
+    longest = first_rows(rows, [*map(quoted, digests), quoted(id_col)], [quoted(mark["points"]).desc(), quoted(text_col)])
+    won = winners.select(F.col("sha").alias(mark["sha"]), F.col("md5").alias(mark["md5"]),
+                         F.col("n_bytes").alias(mark["n_bytes"]), F.col("keep_id").alias(mark["winner"]))
+    same = quoted(id_col).cast("long").eqNullSafe(won[mark["winner"]])
+    for c in digests:
+        same = same & (longest[c] == won[c])
+    return kept.unionByName(longest.join(won, same, "left_semi").select(*[quoted(c) for c in docs.columns]))
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 

@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetry_spark.llm.arrow_map import map_rows
-from telemetry_spark.llm.common import materialise, quoted, ship_package, table
+from telemetry_spark.llm.common import free_name, materialise, quoted, ship_package, table
 from telemetry_spark.llm.components import connected_components
+from telemetry_spark.llm.rows import first_rows, shared_ids, with_id_in
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 REMEMBERED = 100_000
@@ -308,5 +309,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
+def surviving_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **shape) -> DataFrame:
+    """One row of ``docs`` of each group of linked texts, with all its columns: the smallest id, none last.
+
+    Unlike in ``near_duplicates``, an id that several rows share links none of them: their texts, and
+    those of rows without an id, are documents each by itself.  Of rows of one id and one text the
+    first by its columns stays.  Ties of ids go to the smaller SHA-256 of the text; a null text is
+    an empty one; an empty or blank text is linked with nothing and stays; no rows give no rows."""
+    shared, several = shared_ids(docs, id_col)
+    if not several:
+        found = near_duplicates(docs, id_col, text_col, **shape)
+        return with_id_in(docs, id_col, found.where("kept").select(quoted(id_col)))
+    top = docs.agg(F.max(quoted(id_col).cast("long"))).first()[0]
+    if top is not None and top >= 2**62:      # no room for numbers above the ids: all rows are numbered
+        shared, top = docs.select(quoted(id_col).cast("long").alias("_shared")).distinct(), None
+    number, digest, own = (free_name(docs, c) for c in ("_number", "_digest", "_own"))
+    rows = with_id_in(docs, id_col, shared).withColumn(digest, F.sha2(F.coalesce(quoted(text_col).cast("string"), F.lit("")), 256))
+    rows = first_rows(rows, [quoted(id_col), quoted(digest)], []).withColumn(own, quoted(id_col).cast("long"))
+    start = max(top if top is not None else -1, -1) + 1
+    numbers, _ = materialise(rows.select(quoted(own), quoted(digest)).distinct().withColumn(
+        number, F.monotonically_increasing_id() + F.lit(start).cast("long")), "numbers")
+    same = rows[own].eqNullSafe(numbers[own]) & (rows[digest] == numbers[digest])
+    columns = [quoted(c) for c in docs.columns]
+    numbered = rows.join(numbers.select(own, digest, number), same).select(*columns, quoted(number))
+    alone = with_id_in(docs, id_col, shared, "left_anti").select(*columns, quoted(id_col).cast("long").alias(number))
+    whole = alone.unionByName(numbered)
+    found = near_duplicates(whole.select(quoted(number).alias("number"), quoted(text_col).alias("text")), "number", "text", **shape)
+    told = numbers.select(quoted(number).alias("at"), quoted(own).alias("id"), quoted(digest).alias("digest"), F.lit(True).alias("told"))
+    named = found.join(told, F.col("number") == F.col("at"), "left").select(
+        "number", "component_id", F.when(F.col("told"), F.col("id")).otherwise(F.col("number")).alias("id"), "digest")
+    least = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest", "number")).alias("least"))
+    least, _ = materialise(least.select(F.col("least.number").alias("number")), "survivors")
+    return with_id_in(whole, number, least).drop(number)
+
+
 def op4_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold=85)

@@ -1,0 +1,103 @@
+"""The rows that duplicate removal leaves, by brute force: shared ids, no ids, repeated rows."""
+
+import hashlib
+import random
+import re
+
+import corpus_pipeline
+import pytest
+from cases import BASE, SCHEMA, components, documents, no_documents, shingle_set
+from conftest import SF_SMALL
+
+from telemetry_spark.llm import exact_dedup, near_dedup
+
+WORDS = BASE.split()
+
+
+def some_rows(seed, high=0):
+    """Copies, near copies, blanks, ids shared by different texts, repeated rows, rows without an id."""
+    draw = random.Random(seed)
+    texts = [None, "", "  ", "one", "two words"]
+    for k in range(6):
+        words = [*WORDS[k:], *(f"x{k}{i}" for i in range(12))]
+        texts += [" ".join(words), "  ".join(words), " ".join([*words, "tail"]), " ".join(words[:-2])]
+    rows = [(draw.choice([None, *range(12), *range(20, 40)]), draw.choice(texts)) for _ in range(70)]
+    rows = [(i if i is None else i + high, t) for i, t in rows]
+    return rows + draw.choices(rows, k=15)
+
+
+def key(i):
+    return (i is None, i or 0)
+
+
+def left_exactly(rows):
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), *key(i), t or "", i))
+    return sorted(((i, t) for group in groups.values() for *_, t, i in [min(group)]), key=str)
+
+
+def left_nearly(rows, width, percent):
+    rows = sorted({(i, t or "") for i, t in rows}, key=str)
+    sets = [shingle_set(t, width) for _, t in rows]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    groups = {}
+    for n, root in components(range(len(rows)), links).items():
+        i, t = rows[n]
+        groups.setdefault(root, []).append((*key(i), hashlib.sha256(t.encode()).hexdigest(), t, i))
+    return sorted(((i, t) for group in groups.values() for *_, t, i in [min(group)]), key=str)
+
+
+def pairs(found):
+    return [(r["doc_id"], r["text"] or "") for r in found.select("doc_id", "text").collect()]
+
+
+def as_docs(spark, rows):
+    return spark.createDataFrame([(i, t, *[None] * (len(SCHEMA) - 2)) for i, t in rows], SCHEMA)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_exact_survivors(spark, seed):
+    rows = some_rows(seed)
+    found = exact_dedup.surviving_rows(as_docs(spark, rows))
+    assert found.schema.names == SCHEMA.names
+    assert sorted(pairs(found), key=str) == left_exactly(rows)
+
+
+@pytest.mark.parametrize("seed, high", [(0, 0), (1, 0), (2, 2**62), (3, -(2**63))])
+def test_near_survivors(spark, seed, high):
+    rows = some_rows(seed, high)
+    found = near_dedup.surviving_rows(as_docs(spark, rows), width=3, threshold=85)
+    assert found.schema.names == SCHEMA.names
+    assert sorted(pairs(found), key=str) == left_nearly(rows, 3, 85)
+
+
+def test_ids_of_their_own(spark):
+    rows = [(k, t) for k, (_, t) in enumerate(some_rows(4)) if (t or "").strip()]
+    docs = as_docs(spark, rows)
+    assert sorted(pairs(exact_dedup.surviving_rows(docs)), key=str) == left_exactly(rows)
+    assert sorted(pairs(near_dedup.surviving_rows(docs)), key=str) == left_nearly(rows, 5, 80)
+
+
+def test_no_rows(spark):
+    for left in (exact_dedup.surviving_rows, near_dedup.surviving_rows):
+        assert left(no_documents(spark)).collect() == []
+
+
+def test_a_third_of_the_rows_without_an_id(spark):
+    docs = spark.range(900).selectExpr(
+        "if(id % 3 = 0, null, id) as doc_id", f"if(id % 3 = 0, '{BASE}', concat('t', id, ' {BASE}')) as text", "'s' as source")
+    assert exact_dedup.surviving_rows(docs).count() == 601
+    near = pairs(near_dedup.surviving_rows(docs))
+    assert near == [(1, f"t1 {BASE}")]
+
+
+def test_pipeline_leaves_repeated_rows_once(spark):
+    odd = documents(spark)
+    stages = dict(corpus_pipeline.STAGES)
+    once = stages["exact_dedup"](spark, odd, SF_SMALL)
+    ids = [r["doc_id"] for r in once.collect()]
+    assert len(ids) == len({i for i in ids}) and 16 not in ids
+    near = [r["doc_id"] for r in stages["near_dedup"](spark, odd, SF_SMALL).collect()]
+    assert 13 in near and 16 not in near and 14 not in near

@@ -7,7 +7,8 @@ number of intervals may hold any instant:
    most two a level, and each node keeps the lowest id that covers it: a partial aggregate.
 2. The lowest id at an instant is the lowest among the node that holds it at each level.  It is asked
    for at every instant where it can change -- where an interval starts or has just ended -- by an
-   equi-join on (level, number).
+   equi-join on (level, number).  From level ``COARSE`` on it is asked for once for all instants of a
+   node of that level: they share the nodes above, and a few keys there would hold all instants.
 3. Instants are ordered within a time bucket, and the buckets that hold any among each other (one row
    a bucket): a segment ends where the next begins, neighbours with the same id become one.
 4. Segments are cut at the buckets' ends.
@@ -16,6 +17,10 @@ Segments are disjoint and never longer than a bucket, so a reading joins on its
 segment at most: the lookup preserves rows.  Nothing gathers the intervals of a day, and the work
 grows with the intervals (times the levels) and the time they cover (in buckets), not with how often
 they overlap.
+
+Joins are shuffled: nodes, buckets and segments are exploded from a few columns of the intervals' files,
+whose size says nothing of theirs, so a plan that went by it would gather them on the driver to
+broadcast them.
 """
 
 from __future__ import annotations
@@ -24,6 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LEVELS = 60      # 2^59 microseconds are 18,000 years
+COARSE = 32      # 2^32 microseconds are 72 minutes
+SHUFFLED = "shuffle_merge"
 HOUR = 3_600
 
 
@@ -47,8 +54,14 @@ def interval_segments(intervals: DataFrame, id_col: str = "failure_event_id", st
     bucket = lambda at: f"({at} - pmod({at}, {width}L)) div {width}L"
     instants = intervals.where(f"`{start}` <= `{end}`").selectExpr(
         f"explode(array(unix_micros(`{start}`), unix_micros(`{end}`) + 1)) AS at").distinct()
-    asked = instants.selectExpr("at", f"explode(sequence(0, {LEVELS - 1})) AS level").selectExpr("at", "level", "shiftright(at, level) AS number")
-    hit = asked.join(_nodes(intervals, id_col, start, end), ["level", "number"]).select("at", "id")
+    nodes = _nodes(intervals, id_col, start, end)
+    asked = instants.selectExpr("at", f"explode(sequence(0, {COARSE - 1})) AS level").selectExpr("at", "level", "shiftright(at, level) AS number")
+    hit = asked.join(nodes.where(f"level < {COARSE}").hint(SHUFFLED), ["level", "number"]).select("at", "id")
+    cells = instants.selectExpr("at", f"shiftright(at, {COARSE}) AS cell")
+    above = cells.select("cell").distinct().selectExpr("cell", f"explode(sequence({COARSE}, {LEVELS - 1})) AS level").selectExpr(
+        "cell", "level", f"shiftright(cell, level - {COARSE}) AS number")
+    covered = above.join(nodes.where(f"level >= {COARSE}").hint(SHUFFLED), ["level", "number"]).groupBy("cell").agg(F.min("id").alias("id"))
+    hit = hit.unionByName(cells.join(covered.hint(SHUFFLED), "cell").select("at", "id"))
     none = F.lit(None).cast(dict(intervals.dtypes)[id_col]).alias("id")      # where an interval ends and no other goes on
     lowest = hit.unionByName(instants.select("at", none)).groupBy("at").agg(F.min("id").alias("id"))
     lowest = lowest.selectExpr("at", "id", f"{bucket('at')} AS home")
@@ -57,7 +70,7 @@ def interval_segments(intervals: DataFrame, id_col: str = "failure_event_id", st
     order = Window.partitionBy("home").orderBy("at")
     changes = lowest.select("*", F.lag("id").over(order).alias("before"), F.row_number().over(order).alias("place")).where(
         "place = 1 OR NOT id <=> before")
-    spans = changes.join(following, "home").select(
+    spans = changes.join(following.hint(SHUFFLED), "home").select(
         F.col("at").alias("begins"), F.coalesce(F.lead("at").over(order), "next").alias("ends"), "id").where("id IS NOT NULL")
     cut = spans.selectExpr("begins", "ends", "id", f"explode(sequence({bucket('begins')}, {bucket('ends - 1')})) AS bucket")
     return cut.selectExpr("bucket", f"greatest(begins, bucket * {width}L) AS begins", f"least(ends, (bucket + 1) * {width}L) AS ends", "id")
@@ -70,5 +83,5 @@ def segment_lookup(readings: DataFrame, segments: DataFrame, ts_col: str = "even
     cols = [f"`{c}`" for c in readings.columns]
     at = readings.selectExpr(*cols, f"unix_micros(`{ts_col}`) AS _at").selectExpr(
         *cols, "_at", f"(_at - pmod(_at, {width}L)) div {width}L AS _bucket")
-    found = segments.select(F.col("bucket").alias("_of"), "begins", "ends", F.col("id").alias("_id"))
+    found = segments.select(F.col("bucket").alias("_of"), "begins", "ends", F.col("id").alias("_id")).hint(SHUFFLED)
     return at.join(found, F.expr("_bucket = _of AND _at >= begins AND _at < ends"), "left").selectExpr(*cols, f"_id AS `{out_col}`")

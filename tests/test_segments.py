@@ -63,3 +63,29 @@ def test_a_hundred_thousand_overlapping_intervals(spark):
         hit = (start <= t) & (t <= end)
         assert got[i]["failure_event_id"] == (int(ident[hit.argmax()]) if hit.any() else None)
     assert len(got) == 40_000
+
+
+def test_exploded_tables_are_not_gathered_on_the_driver(spark, tmp_path):
+    """Intervals in a file so small that its size alone would let its joins broadcast."""
+    made = spark.range(20_000).selectExpr("CAST(id AS INT) AS failure_event_id", "timestamp_micros(1704067200000000 + id * 60000001) AS start_ts",
+                                          "timestamp_micros(1704067200000000 + id * 60000001 + id * 53 % 3000 * 60000000) AS end_ts")
+    made.coalesce(1).write.parquet(f"{tmp_path}/intervals")
+    stored = spark.read.parquet(f"{tmp_path}/intervals")
+    segments = interval_segments(stored)
+    found = segment_lookup(stored.selectExpr("failure_event_id AS i", "start_ts AS event_ts"), segments)
+    assert found.where("failure_event_id IS NULL OR failure_event_id > i").count() == 0
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "BroadcastExchange" not in plan.toString() and "BroadcastNestedLoopJoin" not in plan.toString()
+
+
+def test_instants_of_a_cell_share_its_coarse_nodes(spark):
+    """Intervals longer and shorter than a coarse node, at its edges, and a lower id above a higher one."""
+    node = 1 << 32
+    edge = (1_704_067_200_000_000 >> 32 << 32) - 1_704_067_200_000_000
+    at = lambda micros: START + dt.timedelta(microseconds=micros)
+    rows = [(5, at(edge - 3 * node), at(edge + 9 * node - 1)), (7, at(edge), at(edge + node - 1)), (2, at(edge + 2 * node), at(edge + 3 * node)),
+            (9, at(edge + 20 * node), at(edge + 20 * node)), (1, at(edge + 4 * node + 5), at(edge + 4 * node + 6))]
+    times = [t + dt.timedelta(microseconds=d) for _, s, e in rows for t in (s, e) for d in (-1, 0, 1)]
+    readings = spark.createDataFrame(list(enumerate(times)), "i int, event_ts timestamp")
+    got = segment_lookup(readings, interval_segments(intervals(spark, rows))).collect()
+    assert {r["i"]: r["failure_event_id"] for r in got} == {i: lowest(rows, t) for i, t in enumerate(times)}

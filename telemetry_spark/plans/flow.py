@@ -169,28 +169,33 @@ class Flow:
         return _once(self.lake, "ragged", self._ragged_export)
 
     # ---- batches -------------------------------------------------------------------------
-    def _first_batch(self) -> tuple[Increments, str, list[tuple[int, int]]]:
+    def _late(self) -> str:
         split = self.bronze.agg(F.expr("max(_row_seq) div 2")).first()[0]
-        late = f"_row_seq % 2 = 1 OR _row_seq >= {split}"
+        return f"_row_seq % 2 = 1 OR _row_seq >= {split}"
+
+    @cached_property
+    def late(self) -> str:
+        """Which Bronze rows are the second batch: the second half of the feed and every copy."""
+        return _once(self.lake, "late", self._late)
+
+    def _first_batch(self) -> tuple[Increments, list[tuple[int, int]]]:
         taken = Increments(self.spark, Lake(self.spark, scratch_path(self.spark, "batches")), self.model)
-        taken.take(self.bronze.where(f"NOT ({late})"), "b1")
-        second = gate.typed_projection(self.bronze.where(late), self.model)
-        return taken, late, key_index.touched(key_index.placed(second, self.model, taken.buckets))
+        taken.take(self.bronze.where(f"NOT ({self.late})"), "b1")
+        second = gate.typed_projection(self.bronze.where(self.late), self.model)
+        return taken, key_index.touched(key_index.placed(second, self.model, taken.buckets))
 
     @cached_property
     def batches(self) -> tuple[Increments, DataFrame, list[tuple[int, int]]]:
         """The batches after the first was taken up (the originals of the first half of the feed), the
         Bronze rows of the second (the rest and every copy), and its days and buckets."""
-        taken, late, pairs = _once(self.lake, "first-batch", self._first_batch)
-        return taken, self.bronze.where(late), pairs
+        taken, pairs = _once(self.lake, "first-batch", self._first_batch)
+        return taken, self.bronze.where(self.late), pairs
 
     def _both_batches(self) -> Increments:
-        """A lake of its own, so that the other keeps its state."""
+        """A lake of its own, so that the other keeps its state; the other need not be there."""
         taken = Increments(self.spark, Lake(self.spark, scratch_path(self.spark, "both-batches")), self.model)
-        _, second, _ = self.batches
-        late = _once(self.lake, "first-batch", self._first_batch)[1]
-        taken.take(self.bronze.where(f"NOT ({late})"), "b1")
-        taken.take(second, "b2")
+        taken.take(self.bronze.where(f"NOT ({self.late})"), "b1")
+        taken.take(self.bronze.where(self.late), "b2")
         return taken
 
     @cached_property

@@ -51,7 +51,9 @@ class Increments:
         mine = lake.read(*ROWS).where(F.col(key_index.BATCH) == name)
         keyed = mine.select("*", F.col(f"{gate.FLAGS}.{DUPLICATE_RULE}").alias(DUPLICATE_FLAG))
         lake.drop_partition(*INDEX, name)
-        lake.replace_partitions(key_index.new_keys(keyed, name, model), *INDEX, key_index.PARTITIONS)
+        # gathered by day and bucket: else every task writes a file into each of them
+        keys = key_index.new_keys(keyed, name, model).hint("rebalance", key_index.DAY, key_index.BUCKET)
+        lake.replace_partitions(keys, *INDEX, key_index.PARTITIONS)
 
         before = self._days(name)
         lake.drop_partition(*STATES, name)

@@ -132,3 +132,30 @@ def test_states_merge_in_any_order(spark):
     merged = states.merged(parts[2].unionByName(parts[0]).unionByName(parts[1]), MODEL)
     got = states.health_of(merged, MODEL)
     assert got.dtypes == whole.dtypes and got.exceptAll(whole).count() == whole.exceptAll(got).count() == 0
+
+
+def test_the_index_s_files_do_not_multiply_with_the_tasks(spark):
+    """A day and bucket of a batch is one file, however many tasks read the batch."""
+    rows = feed(spark, SF_SMALL).repartition(12)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "16k")
+    try:
+        taken = increments(spark, "files")
+        taken.take(rows, "b1")
+        assert taken.lake.read(*incremental.ROWS).rdd.getNumPartitions() >= 12
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    index = taken.lake.read(*incremental.INDEX)
+    assert len(index.inputFiles()) == index.select(key_index.DAY, key_index.BUCKET).distinct().count() > 30
+
+
+def test_both_batches_are_taken_up_once(spark, monkeypatch):
+    from telemetry_spark.plans import flow
+
+    names, take = [], Increments.take
+    monkeypatch.setattr(Increments, "take", lambda self, batch, name: names.append(name) or take(self, batch, name))
+    monkeypatch.setattr(flow, "_BUILT", {})
+    found = flow.Flow(spark, SF_SMALL).both_batches.lake.read(*incremental.STATES)
+    assert names == ["b1", "b2"] and {r["batch"] for r in found.select("batch").distinct().collect()} == {"b1", "b2"}

@@ -5,11 +5,13 @@ that is written as Parquet and read again as the next one's ``docs``.  All but t
 the columns of documents:
 
 1. language_id: drops documents without a letter, and of the unlabelled ones those whose evidence
-   favours no language; fills in the language of unlabelled ones;
+   favours no language; fills in the language of unlabelled ones, and where the evidence is decisive
+   for another of the learned languages it takes the place of the label;
 2. exact_dedup: of texts equal but for white space one stays;
 3. near_dedup: of linked documents (five-word shingles, 0.8) the one with the smallest id stays;
 4. pii: personal data is replaced by its kind;
-5. packing: what is left as pieces of full sequences.
+5. packing: what is left as pieces of full sequences, each of documents of one language (as the
+   first stage left it; the 200 largest, the others and rows without one share theirs).
 
 The duplicate stages choose rows, not ids: of rows repeated with their id one stays, rows that share
 an id with different texts are documents each by itself, and so is a row without an id (of equal
@@ -29,6 +31,7 @@ from telemetry_spark.llm import langid, near_dedup, packing, pii
 from telemetry_spark.llm.common import free_name, materialise, quoted, table
 
 EDGE = 1.05    # times the share that evidence for no language in particular would give
+DECISIVE = 0.75    # the share from which it outweighs the label
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +43,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     least = min(1.0, EDGE / max(1, len(model.langs)))
     favoured = (F.col(langid.LANG) != langid.UNKNOWN) & (F.col(langid.SCORE) >= least)
     kept = found.where(favoured | F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    filled = kept.withColumn("lang", F.coalesce("lang", langid.LANG))
+    decisive = favoured & (F.col(langid.SCORE) >= DECISIVE) & F.col("lang").isin(model.langs)
+    filled = kept.withColumn("lang", F.when(F.col("lang").isNull() | decisive, F.col(langid.LANG)).otherwise(F.col("lang")))
     return filled.select(*[quoted(renamed.get(c, c)).alias(c) for c in columns])
 
 
@@ -59,7 +63,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, by="lang")
 
 
 STAGES = [

@@ -9,6 +9,8 @@ lanes of the class plus the place inside the lane, lanes being a hash of documen
 
 The last, unfilled bin of a class is split by the binary digits of its number of pieces into
 sequences whose length is a power of two, so that no sequence is padded at all.
+
+Sequences may be kept to one group of documents each (a language): every group has classes of its own.
 """
 
 from __future__ import annotations
@@ -102,24 +104,52 @@ def bins(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return runs
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = 1024, lanes: int = 64, id_col: str = "doc_id") -> DataFrame:
-    """``pieces`` (a stored table) with sequence_id and offset."""
-    dealt = pieces.withColumn("_lane", F.pmod(F.xxhash64(quoted(id_col), "start"), F.lit(lanes)).cast("int"))
-    counts = dealt.groupBy("length", "_lane").agg(F.count(F.lit(1)).alias("_n"))  # classes x lanes rows
-    found = counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()        # classes
+def grouped_bins(counts: dict[tuple[int, int], int], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """(group, length, first piece, first sequence, pieces a sequence) of the runs of every group, one
+    group's sequences after another's, from the number of pieces of each group and length."""
+    found, sequence = [], 0
+    for group in sorted({g for g, _ in counts}):
+        own = {length: n for (g, length), n in counts.items() if g == group}
+        runs = bins(own, capacity)
+        found += [(group, length, first, sequence + at, per) for length, first, at, per in runs]
+        length, first, at, per = runs[-1]
+        sequence += at + (own[length] - first) // per
+    return found
+
+
+def _with_group(pieces: DataFrame, by: str | None, groups: int) -> DataFrame:
+    """``pieces`` with ``_group``: the place of its value among the ``groups`` that have most ids."""
+    if by is None:
+        return pieces.withColumn("_group", F.lit(0))
+    named = pieces.withColumn("_name", quoted(by).cast("string"))
+    sizes = named.where("_name is not null").groupBy("_name").agg(F.sum("length").alias("ids"))
+    largest = [r["_name"] for r in sizes.orderBy(F.desc("ids"), "_name").limit(groups).collect()]
+    places = pieces.sparkSession.createDataFrame([(n, i) for i, n in enumerate(largest)], "_name string, _group int")
+    return named.join(F.broadcast(places), "_name", "left").withColumn("_group", F.coalesce("_group", F.lit(groups))).drop("_name")
+
+
+def pack_pieces(pieces: DataFrame, capacity: int = 1024, lanes: int = 64, id_col: str = "doc_id", by: str | None = None,
+                groups: int = 200) -> DataFrame:
+    """``pieces`` (a stored table) with sequence_id and offset.  A sequence holds pieces of one value of
+    ``by`` only; pieces without a value, and those of further values than the ``groups`` largest, share theirs."""
+    dealt = _with_group(pieces, by, groups).withColumn("_lane", F.pmod(F.xxhash64(quoted(id_col), "start"), F.lit(lanes)).cast("int"))
+    kind = ["_group", "length"]
+    counts = dealt.groupBy(*kind, "_lane").agg(F.count(F.lit(1)).alias("_n"))  # groups x classes x lanes rows
+    found = counts.groupBy(*kind).agg(F.sum("_n").alias("n")).collect()        # groups x classes
     runs = pieces.sparkSession.createDataFrame(
-        bins({r["length"]: r["n"] for r in found}, capacity), "length long, _first long, _sequence long, _per long")
-    before = Window.partitionBy("length").orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("length", "_lane", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("length", "_lane").orderBy(quoted(id_col), "start", "ids_crc32")
-    after = Window.partitionBy("length").orderBy("_first")
+        grouped_bins({(r["_group"], r["length"]): r["n"] for r in found}, capacity),
+        "_group int, length long, _first long, _sequence long, _per long")
+    before = Window.partitionBy(*kind).orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*kind, "_lane", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*kind, "_lane").orderBy(quoted(id_col), "start", "ids_crc32")
+    after = Window.partitionBy(*kind).orderBy("_first")
     placed = (
         dealt.withColumn("_place", F.row_number().over(inside) - 1)
-        .join(F.broadcast(starts), ["length", "_lane"])
+        .join(F.broadcast(starts), [*kind, "_lane"])
         .withColumn("_piece", F.col("_start") + F.col("_place"))
     )
     ranged = runs.withColumn("_next", F.coalesce(F.lead("_first").over(after), F.lit(2**62)))
-    joined = placed.join(F.broadcast(ranged), ["length"]).where("_piece >= _first AND _piece < _next")
+    joined = placed.join(F.broadcast(ranged), kind).where("_piece >= _first AND _piece < _next")
     return joined.select(
         *[quoted(c) for c in pieces.columns],
         F.expr("_sequence + (_piece - _first) div _per").alias("sequence_id"),
@@ -127,17 +157,19 @@ def pack_pieces(pieces: DataFrame, capacity: int = 1024, lanes: int = 64, id_col
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 1024, end_id: int = 0, id_col: str = "doc_id",
-                   text_col: str = "text", with_ids: bool = False) -> DataFrame:
+                   text_col: str = "text", with_ids: bool = False, by: str | None = None) -> DataFrame:
     """Every piece of every document with its place: (id, start, length, ids_crc32, doc_tokens,
-    [ids,] sequence_id, offset).
+    [ids,] [``by``,] sequence_id, offset).  With ``by`` a sequence holds documents of one value of that
+    column only (see :func:`pack_pieces`).
 
     A null or empty text is the end id alone; repeated rows are packed as often as they come; a
     null id is packed like any other; other columns are not read; an empty table gives no rows.
     ``capacity`` is a power of two."""
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
-    pieces, _ = materialise(cut_documents(docs, vocabulary, pattern, capacity, end_id, id_col, text_col, with_ids), "pieces")
-    return pack_pieces(pieces, capacity, id_col=id_col)
+    carry = () if by is None else (by,)
+    pieces, _ = materialise(cut_documents(docs, vocabulary, pattern, capacity, end_id, id_col, text_col, with_ids, carry), "pieces")
+    return pack_pieces(pieces, capacity, id_col=id_col, by=by)
 
 
 def op10_harmonic_packing(spark, sf_dir):

@@ -8,7 +8,7 @@ from cases import documents, near_components, no_documents
 from conftest import SF_SMALL
 from oracle_compare import compare
 
-from telemetry_spark.llm import langid
+from telemetry_spark.llm import langid, packing
 from telemetry_spark.llm.queries import ORACLE_SQL, QUERIES
 
 CONTRACT = {
@@ -110,3 +110,45 @@ def test_held_out_share(spark):
     from pyspark.sql import functions as F
 
     assert spark.range(4000).where(langid.held_out(F.col("id"))).count() in range(900, 1100)
+
+
+def test_pipeline_packs_by_the_languages_found(spark):
+    words = {"en": ["the", "house", "with", "every", "window"], "de": ["das", "zimmer", "unter", "jeder", "brücke"]}
+    text = lambda lang, i: " ".join(words[lang][(i + k * k) % 5] for k in range(60))
+    of = {i: ("en", "de")[i % 2] for i in range(40)}
+    label = {**of, 4: "de", 5: None, 6: None, 7: "en"}       # two mislabelled, two without a label
+    rows = [(i, text(of[i], i) + f" {i}", label[i]) for i in of] + [(40, "12 34", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = corpus_pipeline.language_id(spark, docs, SF_SMALL)
+    assert {r["doc_id"]: r["lang"] for r in found.collect()} == of
+    packed = dict(corpus_pipeline.STAGES)["packing"](spark, found, SF_SMALL).collect()
+    assert {r["doc_id"]: r["lang"] for r in packed} == of
+    sequences = {}
+    for r in packed:
+        sequences.setdefault(r["sequence_id"], set()).add(r["lang"])
+    assert set(sequences) == set(range(len(sequences))) and all(len(langs) == 1 for langs in sequences.values())
+
+
+def test_a_label_no_model_knows_stays(spark):
+    texts = [(i, ("the cat sat", "der hut lag")[i % 2]) for i in range(40)]
+    held = [i for i in range(100, 130) if zlib.crc32(str(i).encode()) % 4 == 2]     # its label is not learned
+    docs = spark.createDataFrame([(i, t, ("en", "de")[i % 2]) for i, t in texts] + [(i, "der hut lag", "nl") for i in held],
+                                 "doc_id long, text string, lang string")
+    left = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_id(spark, docs, SF_SMALL).collect()}
+    assert left == {**{i: ("en", "de")[i % 2] for i in range(40)}, **{i: "nl" for i in held}}
+
+
+def test_groups_beyond_the_largest_share_sequences(spark, tmp_path):
+    rows = [(i, 0, 1 << (i % 3), i, g) for i, g in enumerate(["a"] * 9 + ["b"] * 7 + ["c"] * 3 + ["d"] * 2 + [None] * 4)]
+    spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, lang string").write.parquet(f"{tmp_path}/pieces")
+    pieces = spark.read.parquet(f"{tmp_path}/pieces")
+    got = packing.pack_pieces(pieces, 8, lanes=4, by="lang", groups=2).collect()
+    assert sorted(r[:5] for r in got) == sorted(rows)
+    langs, filled = {}, {}
+    for r in got:
+        langs.setdefault(r["sequence_id"], set()).add(r["lang"] if r["lang"] in ("a", "b") else "rest")
+        filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert all(len(s) == 1 for s in langs.values()) and set(langs) == set(range(len(langs)))
+    for places in filled.values():
+        ends = [a + n for a, n in sorted(places)]
+        assert [a for a, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= 8
